@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from loomwright.llm.exact_dedup import mark_duplicates
 from loomwright.llm.piece_codec import encode_texts
+from loomwright.llm.repeats import remove_repeats
 from loomwright.llm.token_counts import count_tokens
 
 
@@ -40,10 +41,17 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = remove_repeats(documents(spark, sf_dir))
+    length = F.aggregate("removed", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
+    return cleaned.select("doc_id", "n_bytes", length.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_piece_codec": op1_piece_codec,
     "op2_exact_dedup": op2_exact_dedup,
     "op6_token_counts": op6_token_counts,
+    "op8_suffix_dedup": op8_suffix_dedup,
 }
 
 ORACLE: dict[str, str] = {
