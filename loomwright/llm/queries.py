@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomwright.llm.exact_dedup import mark_duplicates
+from loomwright.llm.ngram_join import jaccard_classes
 from loomwright.llm.piece_codec import encode_texts
 from loomwright.llm.repeats import remove_repeats
 from loomwright.llm.token_counts import count_tokens
+from loomwright.llm.toxicity import score_toxicity
 
 
 def tokenizer_path(name: str) -> str:
@@ -37,6 +39,14 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mark_duplicates(documents(spark, sf_dir)).drop("rid")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_classes(documents(spark, sf_dir)).drop("rid")
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
 
@@ -50,6 +60,8 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_piece_codec": op1_piece_codec,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_toxicity": op3_toxicity,
+    "op4_ngram_jaccard": op4_ngram_jaccard,
     "op6_token_counts": op6_token_counts,
     "op8_suffix_dedup": op8_suffix_dedup,
 }
