@@ -110,7 +110,7 @@ def fit(docs: DataFrame, labels: DataFrame, bits: int = BITS, most_rows: int = M
         use = np.flatnonzero(w)
         return pd.DataFrame({"slot": np.append(use, -1), "weight": np.append(w[use], bias)})
 
-    found = rows.mapInArrow(extract, "doc_id long, y double, slots array<int>").groupBy(F.lit(0)).applyInPandas(learn, "slot long, weight double").toPandas()
+    found = rows.mapInArrow(extract, "doc_id long, y double, slots array<int>").withColumn("one", F.lit(0)).groupBy("one").applyInPandas(learn, "slot long, weight double").toPandas()
     bias = float(found.loc[found["slot"] < 0, "weight"].sum())
     found = found[found["slot"] >= 0]
     return found["slot"].to_numpy(np.int64), found["weight"].to_numpy(float), bias
