@@ -72,5 +72,5 @@ def ranked(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
     for p, m in counts:
         rows.append((p, start))
         start += m
-    offsets = spark.createDataFrame(rows, "p long, start long")  # one row for each partition
-    return done.withColumn("_p", part).join(F.broadcast(offsets), F.col("_p") == F.col("p"), "left").withColumn(name, F.col("start") + F.col(name).bitwiseAND((1 << ROW_BITS) - 1)).drop("_p", "p", "start")
+    offsets = spark.createDataFrame(rows, "_part long, _start long")  # one row for each partition
+    return done.withColumn("_p", part).join(F.broadcast(offsets), F.col("_p") == F.col("_part"), "left").withColumn(name, F.col("_start") + F.col(name).bitwiseAND((1 << ROW_BITS) - 1)).drop("_p", "_part", "_start")

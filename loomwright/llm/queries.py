@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomwright.llm.exact_dedup import mark_duplicates
+from loomwright.llm.fingerprints import compare_edited
 from loomwright.llm.ngram_join import jaccard_classes
+from loomwright.llm.packing import pack_documents
 from loomwright.llm.piece_codec import encode_texts
 from loomwright.llm.repeats import remove_repeats
 from loomwright.llm.token_counts import count_tokens
@@ -47,6 +49,11 @@ def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(documents(spark, sf_dir)).drop("rid")
 
 
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = compare_edited(documents(spark, sf_dir))
+    return found.select("doc_id", "n_chars", F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
 
@@ -57,13 +64,19 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_bytes", length.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"), with_ids=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_piece_codec": op1_piece_codec,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_toxicity": op3_toxicity,
     "op4_ngram_jaccard": op4_ngram_jaccard,
+    "op5_fingerprints": op5_fingerprints,
     "op6_token_counts": op6_token_counts,
     "op8_suffix_dedup": op8_suffix_dedup,
+    "op10_best_fit_packing": op10_best_fit_packing,
 }
 
 ORACLE: dict[str, str] = {
