@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from loomwright.llm.bytesets import text_batches
 from loomwright.llm.common import materialise, ranked, text_rows
@@ -121,9 +122,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, order: tuple[str, ...] = (
             cols = [batch.column(c) for c in names]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(firsts[k] + rank - ranks[k]), pa.array(offsets[k])], [*names, "sequence_id", "offset"])
 
-    from pyspark.sql.types import LongType, StructType
-
-    return sorted_.mapInArrow(place, StructType(pieces.schema.fields).add("sequence_id", LongType()).add("offset", LongType()))
+    return sorted_.mapInArrow(place, StructType([*pieces.schema.fields, StructField("sequence_id", LongType()), StructField("offset", LongType())]))
 
 
 def pack_documents(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = True) -> DataFrame:

@@ -11,8 +11,10 @@ from loomwright.llm.exact_dedup import mark_duplicates
 from loomwright.llm.fingerprints import compare_edited
 from loomwright.llm.ngram_join import jaccard_classes
 from loomwright.llm.packing import pack_documents
+from loomwright.llm.page_language import identify
 from loomwright.llm.piece_codec import encode_texts
 from loomwright.llm.repeats import remove_repeats
+from loomwright.llm.resampling import resample
 from loomwright.llm.token_counts import count_tokens
 from loomwright.llm.toxicity import score_toxicity
 
@@ -58,16 +60,30 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op7_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = remove_repeats(documents(spark, sf_dir))
     length = F.aggregate("removed", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
     return cleaned.select("doc_id", "n_bytes", length.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op9_page_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(spark.read.parquet(f"{sf_dir}/pages.parquet"), documents(spark, sf_dir))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"), with_ids=False)
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_piece_codec": op1_piece_codec,
     "op2_exact_dedup": op2_exact_dedup,
@@ -75,8 +91,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_ngram_jaccard": op4_ngram_jaccard,
     "op5_fingerprints": op5_fingerprints,
     "op6_token_counts": op6_token_counts,
+    "op7_importance_resampling": op7_importance_resampling,
     "op8_suffix_dedup": op8_suffix_dedup,
+    "op9_page_language": op9_page_language,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "pipeline": pipeline,
 }
 
 ORACLE: dict[str, str] = {

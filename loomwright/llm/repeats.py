@@ -23,13 +23,15 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from loomwright.llm.bytesets import mix, text_batches, text_bytes
-from loomwright.llm.common import materialise, text_rows
+from loomwright.llm.common import fresh, materialise, rereadable, text_rows
 
 _BLOCK = 2 << 20
 _WINDOW = 8
@@ -343,3 +345,23 @@ def remove_repeats(docs: DataFrame, length: int = 200, size: int = _BLOCK, hot:
     run, schema = _remove(length, kind)
     both = rows.select("rid", "text").join(marks, "rid").join(spans, "rid", "left")
     return both.select("rid", "doc_id", "text", "locs", "spans").mapInArrow(run, schema)
+
+
+def clean_texts(docs: DataFrame, length: int = 200) -> DataFrame:
+    """``docs`` with repeated strings cut out of ``text`` and, where there is one, ``n_chars`` set anew; all columns and rows stay.
+
+    A character of which a part is cut goes as a whole; null texts stay null.
+    """
+    docs = rereadable(docs)
+    rid = fresh(docs, "rid")
+    cleaned = remove_repeats(docs, length).where(F.size("removed") > 0).select(F.col("rid").alias(rid), F.col("kept").alias(f"{rid}_kept"))
+    text = F.when(F.col(f"{rid}_kept").isNotNull(), _whole_characters(F.col(f"{rid}_kept"))).otherwise(F.col("text"))
+    out = docs.withColumn(rid, F.monotonically_increasing_id()).join(cleaned, rid, "left").withColumn("text", text)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(F.col(f"{rid}_kept").isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return out.select(*docs.columns)
+
+
+@F.pandas_udf(StringType())
+def _whole_characters(raw: pd.Series) -> pd.Series:
+    return raw.map(lambda x: None if x is None else bytes(x).decode("utf-8", "ignore"))

@@ -116,8 +116,7 @@ def fit(docs: DataFrame, labels: DataFrame, bits: int = BITS, most_rows: int = M
     return found["slot"].to_numpy(np.int64), found["weight"].to_numpy(float), bias
 
 
-def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], bits: int = BITS, keep: bool = False) -> DataFrame:
-    """``doc_id, score`` (or all columns and ``_score`` with ``keep``) for each row; null and empty texts get the bias alone."""
+def _scorer(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], bits: int):
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def values(texts: pa.Array) -> np.ndarray:
@@ -128,19 +127,18 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], bits: in
         sums = np.append(0, np.cumsum(table[found]))
         return 1 / (1 + np.exp(-np.clip(bias + sums[bounds[1:]] - sums[bounds[:-1]], -30, 30)))
 
+    return values
+
+
+def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], bits: int = BITS) -> DataFrame:
+    """``doc_id, score`` for each row; null and empty texts get the bias alone."""
+    values = _scorer(docs, model, bits)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in text_batches(whole, size=4 << 20):
-                got = pa.array(values(batch.column("text")))
-                if keep:
-                    yield batch.append_column("_score", got)
-                else:
-                    yield pa.RecordBatch.from_arrays([batch.column("doc_id"), got], ["doc_id", "score"])
-
-    if keep:
-        from pyspark.sql.types import DoubleType, StructType
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(values(batch.column("text")))], ["doc_id", "score"])
 
-        return docs.mapInArrow(run, StructType(docs.schema.fields).add("_score", DoubleType()))
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, score double")
 
 
@@ -158,4 +156,13 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, bits: int = BITS, most_ro
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, bits: int = BITS, most_rows: int = MAX_TRAINING_ROWS) -> DataFrame:
     """The rows of ``docs`` with a score under 0.5, all columns kept."""
-    return score(docs, fit(docs, labels, bits, most_rows), bits, keep=True).where("_score < 0.5").drop("_score")
+    values = _scorer(docs, fit(docs, labels, bits, most_rows), bits)
+    plain = docs.toDF(*(f"c{k}" for k in range(len(docs.columns))))  # any names may stand in ``docs``
+    text = f"c{docs.columns.index('text')}"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in text_batches(whole, text, 4 << 20):
+                yield batch.filter(pa.array(values(batch.column(text)) < 0.5))
+
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
