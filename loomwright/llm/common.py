@@ -31,6 +31,11 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def quoted(name: str) -> Column:
+    """The column of that name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def fresh(df: DataFrame, stem: str) -> str:
     """A column name that ``df`` does not have."""
     taken = {c.lower() for c in df.columns}
@@ -53,7 +58,7 @@ def rereadable(df: DataFrame) -> DataFrame:
 def text_rows(docs: DataFrame, *more: str) -> DataFrame:
     """Rows ``rid, doc_id, text`` (and ``more``), null text read as empty; ``rid`` is the same in each read of the result."""
     docs = rereadable(docs)
-    cols = [F.col(f"`{c}`") for c in more]
+    cols = [quoted(c) for c in more]
     return docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *cols)
 
 

@@ -39,6 +39,8 @@ def language_models(docs: DataFrame, bits: int = BITS) -> tuple[list[str], np.nd
     """(languages, log probabilities (language, bucket)) counted over all whole texts with a language."""
     docs = docs.where("lang is not null")
     names = sorted(r["lang"] for r in docs.select("lang").distinct().collect())  # as many as there are languages
+    if not names:
+        return [], np.zeros((0, 1 << bits))
     known = {n: k for k, n in enumerate(names)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -61,7 +63,7 @@ def language_models(docs: DataFrame, bits: int = BITS) -> tuple[list[str], np.nd
     for r in docs.select("text", "lang").mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():
         counts[r["cell"]] += r["n"]  # one row for each language and bucket
     counts = counts.reshape(len(names), -1)
-    return names, np.log(counts / counts.sum(1, keepdims=True)) if names else counts
+    return names, np.log(counts / counts.sum(1, keepdims=True))
 
 
 def visible_text(html: Column) -> Column:

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from loomwright.llm.bytesets import mix, text_batches, text_bytes
-from loomwright.llm.common import fresh, materialise, rereadable, text_rows
+from loomwright.llm.common import fresh, materialise, quoted, rereadable, text_rows
 
 _BLOCK = 2 << 20
 _WINDOW = 8
@@ -359,7 +359,7 @@ def clean_texts(docs: DataFrame, length: int = 200) -> DataFrame:
     out = docs.withColumn(rid, F.monotonically_increasing_id()).join(cleaned, rid, "left").withColumn("text", text)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col(f"{rid}_kept").isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+    return out.select(*(quoted(c) for c in docs.columns))
 
 
 @F.pandas_udf(StringType())

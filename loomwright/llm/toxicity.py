@@ -48,7 +48,7 @@ def features(column: pa.Array, bits: int = BITS, table: np.ndarray | None = None
     return (key & np.uint64((1 << bits) - 1)).astype(np.int64), np.searchsorted(key, np.arange(len(bounds)).astype(np.uint64) << np.uint64(bits))
 
 
-def ftrl(slots: np.ndarray, bounds: np.ndarray, labels: np.ndarray, bits: int = BITS, alpha: float = 0.3, beta: float = 1.0, l1: float = 16.0, l2: float = 1.0, passes: int = 4, group: int = 16, positive: float = 8.0) -> tuple[np.ndarray, float]:
+def ftrl(slots: np.ndarray, bounds: np.ndarray, labels: np.ndarray, bits: int = BITS, alpha: float = 0.3, beta: float = 1.0, l1: float = 12.0, l2: float = 1.0, passes: int = 4, group: int = 16, positive: float = 3.0) -> tuple[np.ndarray, float]:
     """Weights and bias after ``passes`` over the rows, ``group`` rows for each step; ``positive``: what a row of label 1 counts."""
     z, n = np.zeros(1 << bits), np.zeros(1 << bits)
     zb = nb = 0.0

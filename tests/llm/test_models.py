@@ -1,0 +1,154 @@
+"""Toxicity, resampling, language and fingerprints: held-out accuracy and brute force."""
+
+import base64
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from loomwright.llm import fingerprints, page_language, resampling, toxicity
+from loomwright.llm.queries import QUERIES
+
+
+@pytest.fixture(scope="module")
+def labelled(spark):
+    pick = random.Random(4)
+    words = ["w%d" % k for k in range(300)]
+    bad = ["idiot", "scum", "moron"]
+    rows, labels = [], []
+    for k in range(1500):
+        text = pick.choices(words, k=pick.randint(3, 120))
+        toxic = int(pick.random() < 0.2)
+        if toxic:
+            for _ in range(pick.randint(1, 3)):
+                text.insert(pick.randrange(len(text)), pick.choice(bad))
+        rows.append((k, " ".join(text)))
+        labels.append((k, 1 - toxic, toxic))
+    return spark.createDataFrame(rows, "doc_id long, text string").coalesce(3), spark.createDataFrame(labels, "doc_id long, quality int, toxic int").coalesce(2), dict((k, t) for k, _, t in labels)
+
+
+def test_toxicity_held_out(labelled):
+    docs, labels, truth = labelled
+    rows = toxicity.score_toxicity(docs, labels).collect()
+    assert len(rows) == 1500
+    unseen = [r for r in rows if r.held_out]
+    assert {r.doc_id for r in unseen} == {k for k in truth if zlib.crc32(str(k).encode()) % 5 == 0}
+    assert np.mean([r.predicted == truth[r.doc_id] for r in unseen]) > 0.95
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in rows)
+    kept = toxicity.drop_toxic(docs, labels)
+    assert kept.count() == sum(1 - r.predicted for r in rows)
+
+
+def test_toxicity_edges(spark, odd_docs, odd_rows, no_docs, labelled):
+    _, labels, _ = labelled
+    rows = toxicity.score_toxicity(odd_docs, labels).collect()
+    assert len(rows) == len(odd_rows)
+    assert len({r.score for r in rows if r.doc_id in (0, 1, 2)}) == 1
+    assert toxicity.score_toxicity(no_docs, labels).count() == 0
+    blank = toxicity.score_toxicity(odd_docs, labels.limit(0)).collect()
+    assert {r.score for r in blank} == {0.5}
+    kept = toxicity.drop_toxic(odd_docs, labels)
+    assert kept.columns == odd_docs.columns
+
+
+def test_resampling(labelled):
+    docs, labels, truth = labelled
+    rows = resampling.resample(docs, labels, keep=0.8).collect()
+    assert sum(r.kept for r in rows) == 1200
+    assert min(r.sort_key for r in rows if r.kept) >= max(r.sort_key for r in rows if not r.kept)
+    good = np.mean([r.kept for r in rows if not truth[r.doc_id]])
+    bad = np.mean([r.kept for r in rows if truth[r.doc_id]])
+    assert good > bad
+
+
+def test_resampling_ratio_is_that_of_counts(spark):
+    docs = spark.createDataFrame([("a b a", True), ("a c", False), (None, True), ("", False)], "text string, target boolean")
+    ratios = resampling.bag_ratios(docs, 10)
+    import pyarrow as pa
+
+    slots, _ = resampling._slots(pa.array(["a b a"]), 10)
+    raw, target = np.ones(1024), np.ones(1024)
+    other, _ = resampling._slots(pa.array(["a c"]), 10)
+    np.add.at(raw, slots, 1), np.add.at(raw, other, 1), np.add.at(target, slots, 1)
+    assert np.allclose(ratios, np.log(target / target.sum()) - np.log(raw / raw.sum()))
+
+
+def test_resampling_edges(odd_docs, odd_rows, no_docs, labelled):
+    _, labels, _ = labelled
+    rows = resampling.resample(odd_docs, labels).collect()
+    assert len(rows) == len(odd_rows) and all(r.log_ratio == 0 for r in rows if r.doc_id in (0, 1, 2))
+    assert resampling.resample(no_docs, labels).count() == 0
+
+
+def test_language(spark):
+    pick = random.Random(9)
+    tongues = {"en": ["the", "and", "with", "thing"], "de": ["der", "und", "nicht", "schön"], "fr": ["le", "être", "vous", "très"]}
+    said = lambda lang, n: " ".join(pick.choices(tongues[lang], k=n))
+    docs = spark.createDataFrame([(said(x, 50), x) for x in tongues for _ in range(20)] + [(None, "en"), ("x", None)], "text string, lang string")
+    pages = []
+    for k in range(120):
+        x = pick.choice(list(tongues))
+        pages.append((k, f"https://{x}.example.{x}/p/{k}", f'<html lang="{x}"><script>der und</script><p>{said(x, 30)}</p></html>', x))
+    pages += [(200, "https://de.example.de/x", "<p></p>", "de"), (201, "http://fr.example.fr/", None, "fr"), (202, None, '<html lang="de-AT"><p>der</p>', "de"), (None, "", "", None)]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string, want string")
+    got = page_language.identify(frame.drop("want"), docs).collect()
+    assert len(got) == len(pages)
+    want = {p[0]: p[3] for p in pages}
+    assert all(r.language == want[r.page_id] for r in got if r.page_id is not None)
+    assert all(0 < r.probability <= 1 for r in got)
+    assert page_language.identify(frame.limit(0), docs).count() == 0
+    assert {r.language for r in page_language.identify(frame, docs.limit(0)).collect()} == {None}
+
+
+def brute_pairs(b):
+    return [sum(c * (c - 1) // 2 for c in np.bincount(b[k : k + 64])) for k in range(len(b) - 63)]
+
+
+def test_equal_pairs():
+    b = np.random.default_rng(5).integers(97, 105, 400).astype(np.uint8)
+    assert fingerprints.equal_pairs(b).tolist() == brute_pairs(b)
+    fingerprints_block = fingerprints._BLOCK
+    fingerprints._BLOCK = 50
+    try:
+        assert fingerprints.equal_pairs(b).tolist() == brute_pairs(b)
+    finally:
+        fingerprints._BLOCK = fingerprints_block
+
+
+def edited_by_hand(rows):
+    order = sorted(rows, key=lambda r: -r[0])
+    out = {}
+    for k, (doc_id, text) in enumerate(order):
+        after = order[(k + 1) % len(order)][1]
+        half = len(text) // 2
+        out[doc_id] = text[: len(text) - half] + after[:half]
+    return out
+
+
+def test_fingerprints(spark, sf):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    got = {r.doc_id: r for r in QUERIES["op5_fingerprints"](spark, sf).collect()}
+    edited = edited_by_hand(rows)
+    assert {k: r.edited_sha256 for k, r in got.items()} == {k: hashlib.sha256(t.encode()).hexdigest() for k, t in edited.items()}
+    by_text = {}
+    for doc_id, text in rows:
+        assert got[doc_id].n_chars == len(text)
+        assert by_text.setdefault(text, got[doc_id].fingerprint) == got[doc_id].fingerprint
+    near, far = [r.near_edited for r in got.values()], [r.near_next for r in got.values()]
+    assert all(0 <= x <= 1 for x in near + far) and np.median(near) > 0.3 > np.median(far)
+    order = sorted(got, reverse=True)
+    chain = lambda s: np.frombuffer(base64.b64decode(s), np.uint64).reshape(-1, 32)
+    for a, b in zip(order, order[1:] + order[:1]):
+        assert got[a].near_next == pytest.approx(fingerprints.likeness(chain(got[a].fingerprint), chain(got[b].fingerprint)))
+        assert got[a].near_edited == pytest.approx(fingerprints.likeness(chain(got[a].fingerprint), chain(got[a].edited_fingerprint)))
+
+
+def test_fingerprint_edges(spark, odd_docs, odd_rows, no_docs):
+    rows = fingerprints.compare_edited(odd_docs).collect()
+    assert len(rows) == len(odd_rows)
+    assert all((r.fingerprint == "") == (r.n_chars == 0) for r in rows)
+    assert fingerprints.compare_edited(no_docs).count() == 0
+    one = fingerprints.compare_edited(odd_docs.where("doc_id = 6")).collect()
+    assert one[0].near_next == 1.0
