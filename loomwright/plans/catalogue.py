@@ -1,10 +1,442 @@
-"""All queries over the driver's tables, by name, with the SQL that DuckDB runs beside them."""
+"""All queries over the driver's tables, by name, with the SQL that DuckDB runs beside them.
+
+Tables stand in for recordings: a user's events for the tokens or frames of a
+source (gaps in minutes for pauses in milliseconds), embeddings for speakers,
+order lines for levels, documents for transcripts and manifests.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from loomwright.functions import text as T
+from loomwright.functions.levels import sigmoid
+from loomwright.operators import activity, manifests, pauses, planners, speakers, volume
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f: Callable[[SparkSession, str], DataFrame]):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE[f.__name__] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def rounded(*names: str) -> list[Column]:
+    return [F.round(n, 4).alias(n) for n in names]
+
+
+# -- speakers ------------------------------------------------------------
+
+_SPEAKERS = """
+WITH u AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE / sqrt(list_sum(list_transform(embedding, lambda y: y::DOUBLE * y::DOUBLE)))) AS v FROM embeddings),
+c AS (SELECT k, avg(x) AS m FROM (SELECT unnest(v) AS x, generate_subscripts(v, 1) AS k FROM u) GROUP BY k),
+n AS (SELECT sqrt(sum(m * m)) AS n FROM c),
+s AS (SELECT vec_id, sum(x * m / (SELECT n FROM n)) AS similarity FROM (SELECT vec_id, unnest(v) AS x, generate_subscripts(v, 1) AS k FROM u) JOIN c USING (k) GROUP BY vec_id),
+t AS (SELECT median(similarity) AS med, count(*) AS n FROM s),
+d AS (SELECT median(abs(similarity - med)) AS mad, any_value(med) AS med, any_value(n) AS n FROM s, t),
+r AS (SELECT s.*, row_number() OVER (ORDER BY similarity, vec_id) AS rk, d.*, med - {k} * 1.4826 * mad AS thr FROM s, d)
+SELECT vec_id, round(similarity, 4) AS similarity, rk AS rank_lowest_first, round(thr, 4) AS threshold,
+       similarity < thr AND rk <= greatest(1, floor(n * 0.1)) AS pruned FROM r
+"""
+
+
+def _speakers(spark: SparkSession, sf_dir: str, k: float) -> DataFrame:
+    scored = speakers.cosine_scores(table(spark, sf_dir, "embeddings").select("vec_id", "embedding")).drop("embedding")
+    return speakers.prune_outliers(scored, F.col("vec_id"), k).select("vec_id", *rounded("similarity"), "rank_lowest_first", *rounded("threshold"), "pruned")
+
+
+@query(_SPEAKERS.format(k=3))
+def speaker_outliers(spark, sf_dir):
+    return _speakers(spark, sf_dir, 3.0)
+
+
+@query(_SPEAKERS.format(k=1))
+def speaker_outliers_k1(spark, sf_dir):
+    return _speakers(spark, sf_dir, 1.0)
+
+
+# -- pauses --------------------------------------------------------------
+
+
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events")
+    return e.select("event_id", "user_id", "event_type", "value", (F.unix_micros(F.col("ts").cast("timestamp")) / 60e6).alias("minute"))
+
+
+def gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Minutes to the user's next event, with a category by type."""
+    e = events(spark, sf_dir)
+    kind = F.when(F.col("event_type") == "purchase", "strong").when(F.col("event_type") == "click", "weak").otherwise("no_punc")
+    timed = e.withColumn("at", F.struct("minute", "event_id")).withColumn("start_ms", F.col("minute") / 1000).withColumn("end_ms", F.col("start_ms"))
+    return pauses.token_pauses(timed, "user_id", "at", "start_ms", "end_ms").select("event_id", "user_id", F.round("pause_ms", 6).alias("pause_ms"), kind.alias("category"))
+
+
+_GAPS = """
+e AS (SELECT event_id, user_id, event_type, value, epoch_us(ts) / 60e6 AS minute FROM events),
+g AS (SELECT * FROM (SELECT event_id, user_id,
+        round(greatest(0.0, (lead(minute / 1000) OVER (PARTITION BY user_id ORDER BY minute, event_id) - minute / 1000) * 1000), 6) AS pause_ms,
+        lead(minute) OVER (PARTITION BY user_id ORDER BY minute, event_id) IS NOT NULL AS has_next,
+        CASE event_type WHEN 'purchase' THEN 'strong' WHEN 'click' THEN 'weak' ELSE 'no_punc' END AS category FROM e) WHERE has_next),
+f AS (SELECT user_id, category, count(*) AS n, quantile_cont(pause_ms, [0.05, 0.2, 0.4, 0.5, 0.6, 0.8, 0.95]) AS q FROM g WHERE pause_ms <= 3000 GROUP BY ALL),
+s AS (SELECT u.user_id, c.category, coalesce(n, 0) AS n,
+        CASE WHEN coalesce(n, 0) < 5 THEN [150.0, 280.0, 420.0, 500.0, 600.0, 900.0, 1500.0] ELSE q END AS q
+      FROM (SELECT DISTINCT user_id FROM g) u CROSS JOIN (VALUES ('strong'), ('weak'), ('no_punc')) c(category) LEFT JOIN f USING (user_id, category)),
+p AS (SELECT user_id, any_value(q) FILTER (category = 'strong') AS st, any_value(q) FILTER (category = 'weak') AS wk, any_value(q) FILTER (category = 'no_punc') AS np FROM s GROUP BY user_id)
+"""
+
+
+@query("WITH" + _GAPS + """SELECT user_id, category, n, round(q[1], 4) AS p5, round(q[2], 4) AS p20, round(q[3], 4) AS p40, round(q[4], 4) AS p50,
+    round(q[5], 4) AS p60, round(q[6], 4) AS p80, round(q[7], 4) AS p95, n < 5 AS is_fallback FROM s""")
+def pause_quantiles(spark, sf_dir):
+    return pauses.pause_quantiles(gaps(spark, sf_dir), "user_id").select("user_id", "category", "n", *rounded(*pauses.NAMES), "is_fallback")
+
+
+def _with_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = gaps(spark, sf_dir)
+    return g.join(pauses.by_category(pauses.pause_quantiles(g, "user_id"), "user_id"), "user_id")
+
+
+@query("WITH" + _GAPS + """, w AS (SELECT g.*, CASE
+    WHEN category = 'no_punc' AND pause_ms >= greatest(np[7], 180) THEN 'long_without_punctuation'
+    WHEN category = 'weak' AND pause_ms <= greatest(wk[1], np[5]) THEN 'short_at_weak'
+    WHEN category = 'strong' AND pause_ms <= greatest(st[1], wk[2]) THEN 'short_at_strong' END AS warning FROM g JOIN p USING (user_id))
+  SELECT user_id, event_id, category, warning FROM w WHERE warning IS NOT NULL""")
+def pause_warnings(spark, sf_dir):
+    warning = pauses.pause_warning(F.col("category"), F.col("pause_ms"), F.col("strong"), F.col("weak"), F.col("no_punc"))
+    return _with_stats(spark, sf_dir).withColumn("warning", warning).where("warning is not null").select("user_id", "event_id", "category", "warning")
+
+
+@query("WITH" + _GAPS + """SELECT event_id, category AS kind,
+    CASE WHEN category = 'strong' THEN CASE WHEN pause_ms >= greatest(st[4], wk[6], 180) THEN 'perfect' WHEN pause_ms >= greatest(st[2], wk[4], 90) THEN 'ok' ELSE 'bad' END
+         ELSE CASE WHEN pause_ms >= greatest(wk[6], np[7], 220) THEN 'perfect' WHEN pause_ms >= greatest(wk[4], np[6], 120) THEN 'ok' ELSE 'bad' END END AS quality,
+    CASE WHEN category = 'strong' AND pause_ms >= st[6] THEN 'must_cut' WHEN category = 'weak' AND pause_ms >= least(st[6], wk[7]) THEN 'must_cut'
+         WHEN category = 'weak' AND pause_ms <= wk[2] THEN 'no_cut' ELSE 'normal' END AS policy
+  FROM g JOIN p USING (user_id) WHERE category <> 'no_punc'""")
+def boundary_quality(spark, sf_dir):
+    k, ms, st, wk, np_ = (F.col(c) for c in ("category", "pause_ms", "strong", "weak", "no_punc"))
+    rows = _with_stats(spark, sf_dir).where("category <> 'no_punc'")
+    return rows.select("event_id", k.alias("kind"), pauses.boundary_quality(k, ms, st, wk, np_).alias("quality"), pauses.cut_policy(k, ms, st, wk).alias("policy"))
+
+
+@query("WITH" + _GAPS + """, b AS (SELECT category AS kind,
+    CASE WHEN category = 'strong' AND pause_ms >= st[6] THEN 'must_cut' WHEN category = 'weak' AND pause_ms >= least(st[6], wk[7]) THEN 'must_cut'
+         WHEN category = 'weak' AND pause_ms <= wk[2] THEN 'no_cut' ELSE 'normal' END AS policy FROM g JOIN p USING (user_id) WHERE category <> 'no_punc')
+  SELECT kind, count(*) AS n, count(*) FILTER (policy = 'must_cut') AS must_cut, count(*) FILTER (policy = 'no_cut') AS no_cut, count(*) FILTER (policy = 'normal') AS normal FROM b GROUP BY kind""")
+def boundary_counts(spark, sf_dir):
+    found = boundary_quality(spark, sf_dir)
+    return found.groupBy("kind").agg(F.count("*").alias("n"), *(F.count_if(F.col("policy") == p).alias(p) for p in ("must_cut", "no_cut", "normal")))
+
+
+@query("WITH" + _GAPS + """SELECT user_id, count(*) AS n,
+    round(CASE WHEN count(*) < 5 THEN 420.0 ELSE quantile_cont(pause_ms, 0.4) END, 4) AS p40, round(CASE WHEN count(*) < 5 THEN 600.0 ELSE quantile_cont(pause_ms, 0.6) END, 4) AS p60,
+    round(CASE WHEN count(*) < 5 THEN 900.0 ELSE quantile_cont(pause_ms, 0.8) END, 4) AS p80 FROM g WHERE category <> 'no_punc' GROUP BY user_id""")
+def combined_quantiles(spark, sf_dir):
+    return pauses.combined_quantiles(gaps(spark, sf_dir), "user_id").select("user_id", "n", *rounded("p40", "p60", "p80"))
+
+
+@query("WITH" + _GAPS + """, r AS (SELECT user_id, event_id, rank() OVER (PARTITION BY user_id ORDER BY pause_ms DESC) AS pause_rank, count(*) OVER (PARTITION BY user_id) AS n FROM g)
+  SELECT user_id, event_id, pause_rank, CASE WHEN pause_rank / n <= 0.2 THEN 'very long pause' WHEN pause_rank / n <= 0.4 THEN 'long pause'
+    WHEN pause_rank / n <= 0.6 THEN 'median pause' WHEN pause_rank / n <= 0.8 THEN 'short pause' ELSE 'very short pause' END AS pause_class FROM r""")
+def pause_rank_buckets(spark, sf_dir):
+    return pauses.pause_classes(gaps(spark, sf_dir), "user_id").select("user_id", "event_id", F.col("pause_rank").cast("long").alias("pause_rank"), "pause_class")
+
+
+@query("WITH" + _GAPS + """SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY CASE WHEN category = 'strong' THEN 0 ELSE 1 END, pause_ms DESC, event_id)
+    <= ceil(count(*) OVER (PARTITION BY user_id) / 2) AS in_top FROM g WHERE category <> 'no_punc'""")
+def top_half_partition(spark, sf_dir):
+    marked = gaps(spark, sf_dir).where("category <> 'no_punc'")
+    return pauses.top_half(marked, "user_id", "category", "pause_ms", "event_id", "event_id").select("user_id", "event_id", "in_top")
+
+
+# -- activity ------------------------------------------------------------
+
+_REGIONS = """
+e AS (SELECT event_id, user_id, event_type, value, epoch_us(ts) // 1000000 AS t FROM events),
+m AS (SELECT *, CASE WHEN t - lag(t) OVER w > 18000 THEN 1 ELSE 0 END AS new FROM e WINDOW w AS (PARTITION BY user_id ORDER BY t, event_id)),
+k AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY t, event_id ROWS UNBOUNDED PRECEDING) AS region FROM m),
+r AS (SELECT user_id, region::BIGINT AS region, min(t) AS "start", max(t) AS "end", count(*) AS n FROM k GROUP BY user_id, region)
+"""
+
+
+def seconds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events")
+    return e.select("event_id", "user_id", "event_type", "value", F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000).cast("long").alias("t"))
+
+
+def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return activity.gap_regions(seconds(spark, sf_dir), "user_id", "t", 18_000, ["t", "event_id"])
+
+
+@query("WITH" + _REGIONS + 'SELECT user_id, region, "start", "end", n FROM r')
+def session_regions(spark, sf_dir):
+    return regions(spark, sf_dir)
+
+
+@query("""WITH h AS (SELECT user_id, greatest(quantile_cont(value, 0.25) * 1.8, quantile_cont(value, 0.5) * 0.45, max(value) * 0.025, 1e-6) AS threshold FROM events GROUP BY user_id),
+  i AS (SELECT e.user_id, value, threshold, row_number() OVER (PARTITION BY e.user_id ORDER BY ts, event_id) - 1 AS i FROM events e JOIN h USING (user_id)),
+  q AS (SELECT user_id, i, i - row_number() OVER (PARTITION BY user_id ORDER BY i) AS g FROM i WHERE value <= threshold)
+  SELECT user_id, min(i) AS run_start, max(i) + 1 AS run_end, count(*) AS run_length FROM q GROUP BY user_id, g""")
+def adaptive_threshold_runs(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    limited = e.join(activity.adaptive_threshold(e, "user_id", "value"), "user_id")
+    runs = activity.true_runs(limited, "user_id", ["ts", "event_id"], F.col("value") <= F.col("threshold"))
+    return runs.select("user_id", F.col("run_start").cast("long"), F.col("run_end").cast("long"), "run_length")
+
+
+@query("""WITH e AS (SELECT user_id, value, epoch_us(ts) // 1000000 AS t FROM events),
+  h AS (SELECT user_id, greatest(quantile_cont(value, 0.25) * 1.8, quantile_cont(value, 0.5) * 0.45, max(value) * 0.025, 1e-6) AS threshold FROM e GROUP BY user_id),
+  w AS (SELECT e.*, threshold, t // 172800 AS win FROM e JOIN h USING (user_id)),
+  o AS (SELECT *, row_number() OVER (PARTITION BY user_id, win ORDER BY value, abs(t - (win * 172800 + 86400)), -t) AS rn FROM w WHERE value <= threshold),
+  a AS (SELECT DISTINCT user_id, win FROM w)
+  SELECT a.user_id, a.win AS window_id, coalesce(o.t, (a.win + 1) * 172800) AS cut_time, CASE WHEN o.t IS NULL THEN 'max' ELSE 'silence' END AS cut_method
+  FROM a LEFT JOIN o ON o.user_id = a.user_id AND o.win = a.win AND rn = 1""")
+def quiet_frame_cut(spark, sf_dir):
+    e = seconds(spark, sf_dir)
+    win = F.floor(F.col("t") / 172_800).cast("long")
+    rows = e.join(activity.adaptive_threshold(e, "user_id", "value"), "user_id").withColumn("window_id", win)
+    return activity.quietest_cut(rows, ["user_id", "window_id"], "t", "value", F.col("window_id") * 172_800 + 86_400, F.col("threshold"), (F.col("window_id") + 1) * 172_800)
+
+
+@query("WITH" + _REGIONS + """, x AS (SELECT user_id, greatest("end", f + 86400) AS a, least(nx, f + 432000) AS b FROM
+    (SELECT user_id, "end", lead("start") OVER (PARTITION BY user_id ORDER BY "start") AS nx, min("start") OVER (PARTITION BY user_id) AS f FROM r) WHERE nx IS NOT NULL)
+  SELECT user_id, (a + b) / 2 AS cut_time, b - a AS gap FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY b - a DESC, a) AS rn FROM x WHERE b > a) WHERE rn = 1""")
+def longest_gap_cut(spark, sf_dir):
+    return activity.longest_gap_cut(regions(spark, sf_dir), "user_id", 86_400, 432_000)
+
+
+@query("WITH" + _REGIONS + """, d AS (SELECT user_id, unnest(generate_series(lo // 86400, hi // 86400)) AS day FROM (SELECT user_id, min("start") AS lo, max("end") AS hi FROM r GROUP BY user_id))
+  SELECT r.user_id, day, sum(least("end", (day + 1) * 86400) - greatest("start", day * 86400))::BIGINT AS covered, count(*) AS n
+  FROM r JOIN d ON r.user_id = d.user_id AND "start" < (day + 1) * 86400 AND day * 86400 < "end" GROUP BY r.user_id, day""")
+def interval_overlap(spark, sf_dir):
+    r = regions(spark, sf_dir).select("user_id", "start", "end")
+    span = r.groupBy("user_id").agg(F.floor(F.min("start") / 86_400).alias("a"), F.floor(F.max("end") / 86_400).alias("b"))
+    grid = span.select("user_id", F.explode(F.sequence("a", "b")).alias("day")).select("user_id", "day", (F.col("day") * 86_400).alias("start"), ((F.col("day") + 1) * 86_400).alias("end"))
+    both = activity.overlaps(r, grid, "user_id", 86_400.0)
+    return both.groupBy("user_id", F.col("r_day").alias("day")).agg(F.sum(F.col("overlap_end") - F.col("overlap_start")).alias("covered"), F.count("*").alias("n"))
+
+
+@query("""WITH e AS (SELECT event_id, user_id, event_type, epoch_us(ts) // 1000000 AS t FROM events),
+  c AS (SELECT a.event_id, b.event_id AS near, abs(b.t - a.t) AS dist, row_number() OVER (PARTITION BY a.event_id ORDER BY abs(b.t - a.t), b.t, CASE WHEN b.t < a.t OR (b.t = a.t AND b.event_id < a.event_id) THEN -b.event_id ELSE b.event_id END) AS rn
+        FROM e a JOIN e b ON a.user_id = b.user_id AND a.event_type = 'purchase' AND b.event_type = 'error')
+  SELECT p.event_id, c.near AS near_value, c.dist AS near_distance FROM e p LEFT JOIN c ON p.event_id = c.event_id AND rn = 1 WHERE p.event_type = 'purchase'""")
+def nearest_asof(spark, sf_dir):
+    e = seconds(spark, sf_dir)
+    kind = F.col("event_type")
+    return activity.nearest(e, "user_id", "t", ["t", "event_id"], kind == "purchase", kind == "error", "event_id").select("event_id", "near_value", "near_distance")
+
+
+@query()
+def region_packing(spark, sf_dir):
+    return activity.pack_regions(regions(spark, sf_dir), "user_id", 259_200)
+
+
+@query("WITH" + _REGIONS + """, o AS (SELECT *, max("end") OVER (PARTITION BY user_id ORDER BY "start", "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM r),
+  g AS (SELECT *, sum(CASE WHEN reach IS NULL OR "start" - reach > 43200 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY "start", "end" ROWS UNBOUNDED PRECEDING) AS g FROM o)
+  SELECT user_id, min("start") AS "start", max("end") AS "end" FROM g GROUP BY user_id, g""")
+def merged_regions(spark, sf_dir):
+    return activity.merge_intervals(regions(spark, sf_dir).select("user_id", "start", "end"), "user_id", largest_gap=43_200)
+
+
+@query("WITH" + _REGIONS + """, s AS (SELECT user_id, "start", "end" FROM r WHERE "end" > "start"),
+  w AS (SELECT user_id, min("start") AS lo, max("end") AS hi FROM s GROUP BY user_id),
+  x AS (SELECT user_id, "end" AS a, lead("start") OVER (PARTITION BY user_id ORDER BY "start") AS b FROM s)
+  SELECT user_id, a AS "start", b AS "end" FROM x WHERE b > a""")
+def silent_complement(spark, sf_dir):
+    s = regions(spark, sf_dir).where("end > start").select("user_id", "start", "end")
+    whole = s.groupBy("user_id").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    return activity.subtract_intervals(whole, s, "user_id")
+
+
+@query("""WITH d AS (SELECT doc_id, n_chars, CASE WHEN n_chars <= 1000 THEN 1 ELSE greatest(2, floor(n_chars / 1000) + 1) END::BIGINT AS part_count FROM documents),
+  k AS (SELECT *, unnest(generate_series(0, part_count - 1)) AS part_index FROM d),
+  b AS (SELECT doc_id, n_chars, part_count, part_index, floor(part_index * n_chars / part_count)::BIGINT AS part_start, floor((part_index + 1) * n_chars / part_count)::BIGINT AS part_end FROM k)
+  SELECT doc_id, part_index, part_count, part_start, part_end, greatest(0.0::DOUBLE, part_end::DOUBLE - 100) AS cut_from, least(n_chars::DOUBLE, part_end::DOUBLE + 100) AS cut_to FROM b""")
+def even_split(spark, sf_dir):
+    return activity.split_evenly(table(spark, sf_dir, "documents"), "doc_id", "n_chars", 1000, 200)
+
+
+@query("WITH" + _REGIONS + """, x AS (SELECT user_id, region, "start", "end", unnest(generate_series("start", "end" - 1, 7200)) AS a FROM r WHERE "end" > "start")
+  SELECT user_id, region, a AS "start", least("end", a + 7200) AS "end" FROM x""")
+def fixed_split(spark, sf_dir):
+    return activity.split_fixed(regions(spark, sf_dir).drop("n"), "start", "end", 7200)
+
+
+# -- texts and manifests -------------------------------------------------
+
+
+@query(r"""WITH p AS (SELECT doc_id, unnest(regexp_extract_all(text, '[^.?!]+[.?!]*')) AS s, generate_subscripts(regexp_extract_all(text, '[^.?!]+[.?!]*'), 1) - 1 AS i FROM documents)
+  SELECT doc_id, i::BIGINT AS sentence, length(s)::BIGINT AS n_chars, md5(s) AS digest FROM p""")
+def sentence_split(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    s = d.select("doc_id", F.posexplode(F.regexp_extract_all("text", F.lit(r"[^.?!]+[.?!]*"), 0)).alias("sentence", "s"))
+    return s.select("doc_id", F.col("sentence").cast("long"), F.length("s").cast("long").alias("n_chars"), F.md5(F.encode("s", "UTF-8")).alias("digest"))
+
+
+@query(r"""SELECT doc_id, length(x)::BIGINT AS n_spoken, md5(x) AS digest FROM (SELECT doc_id, regexp_replace(text, '[\s\x1c-\x1f]|[^\PP<>()]|\pS', '', 'g') AS x FROM
+  (SELECT doc_id, replace(replace(text, '<', chr(57344)), '>', chr(57345)) AS text FROM documents)) """)
+def canonical_text(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    safe = F.replace(F.replace(F.col("text"), F.lit("<"), F.lit("")), F.lit(">"), F.lit(""))  # stand-ins the oracle can write too
+    x = T.spoken(safe)
+    return d.select("doc_id", F.length(x).cast("long").alias("n_spoken"), F.md5(F.encode(x, "UTF-8")).alias("digest"))
+
+
+@query("""SELECT lang, count(*) AS n, min(n_chars) AS least, round(median(n_chars), 4) AS median, round(avg(n_chars), 4) AS mean,
+    quantile_disc(n_chars, 0.95) AS p95, max(n_chars) AS largest FROM documents GROUP BY lang""")
+def text_lengths(spark, sf_dir):
+    found = manifests.numeric_summary(table(spark, sf_dir, "documents"), ["lang"], "n_chars")
+    return found.select("lang", "n", "least", *rounded("median", "mean"), F.col("p95").cast("long"), "largest")
+
+
+@query("""WITH k AS (SELECT role, CASE WHEN right(rtrim(text), 1) IN ('。','！','？','!','?','…') THEN 's' WHEN right(rtrim(text), 1) IN ('，','、','；','：',',') THEN 'w' END AS e FROM conversations)
+  SELECT role, count(*) AS n, count(*) FILTER (e = 's') AS strong_endings, count(*) FILTER (e = 'w') AS weak_endings,
+    round(100.0 * count(*) FILTER (e = 's') / count(*), 2) AS strong_percent, round(100.0 * count(*) FILTER (e = 'w') / count(*), 2) AS weak_percent FROM k GROUP BY role""")
+def text_stats(spark, sf_dir):
+    return manifests.ending_stats(table(spark, sf_dir, "conversations"), ["role"], "text")
+
+
+@query("""SELECT right(rtrim(text), 1) AS ending, count(*) AS n, min(doc_id) AS first_seen FROM documents WHERE rtrim(text) <> '' GROUP BY 1 ORDER BY n DESC, first_seen LIMIT 8""")
+def top_endings(spark, sf_dir):
+    return manifests.top_endings(table(spark, sf_dir, "documents"), "text", "doc_id")
+
+
+def _variants(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    left = table(spark, sf_dir, "documents").select("doc_id", F.md5(F.encode("text", "UTF-8")).alias("text"), "lang", F.col("n_chars").cast("double").alias("size"))
+    edited = F.col("doc_id") % 7 == 0
+    right = left.where("doc_id % 11 <> 0").select(
+        F.when(F.col("doc_id") % 13 == 0, F.col("doc_id") + 10_000_000).otherwise(F.col("doc_id")).alias("doc_id"),
+        F.when(edited, F.concat("text", F.lit("x"))).otherwise(F.col("text")).alias("text"), "lang", F.when(edited, F.col("size") + 0.5).otherwise(F.col("size") + 1e-7).alias("size"),
+    )
+    return left, right
+
+
+_DIFF = """WITH l AS (SELECT doc_id, md5(text) AS text, lang, n_chars::DOUBLE AS size FROM documents),
+  r AS (SELECT CASE WHEN doc_id % 13 = 0 THEN doc_id + 10000000 ELSE doc_id END AS doc_id, CASE WHEN doc_id % 7 = 0 THEN text || 'x' ELSE text END AS text, lang,
+        CASE WHEN doc_id % 7 = 0 THEN size + 0.5 ELSE size + 1e-7 END AS size FROM l WHERE doc_id % 11 <> 0),
+  b AS (SELECT coalesce(l.doc_id, r.doc_id) AS doc_id, l.doc_id IS NULL AS no_l, r.doc_id IS NULL AS no_r, l.text IS DISTINCT FROM r.text AS t, l.lang IS DISTINCT FROM r.lang AS g,
+        abs(l.size - r.size) > greatest(1e-9 * greatest(abs(l.size), abs(r.size)), 1e-6) AS z FROM l FULL JOIN r ON l.doc_id = r.doc_id)
+"""
+
+
+@query(_DIFF + """SELECT doc_id, CASE WHEN no_l THEN 'added' WHEN no_r THEN 'removed' WHEN t OR g OR z THEN 'changed' ELSE 'same' END AS status,
+    CASE WHEN no_l OR no_r THEN '' ELSE concat_ws(',', CASE WHEN t THEN 'text' END, CASE WHEN g THEN 'lang' END, CASE WHEN z THEN 'size' END) END AS changed FROM b""")
+def manifest_diff(spark, sf_dir):
+    found = manifests.diff(*_variants(spark, sf_dir), "doc_id", ["text", "lang", "size"], {"size": 1e-6})
+    return found.select("doc_id", "status", F.concat_ws(",", "changed_fields").alias("changed"))
+
+
+@query(_DIFF + """SELECT f AS field, count(*) AS n FROM (SELECT unnest(list_filter([CASE WHEN t THEN 'text' END, CASE WHEN g THEN 'lang' END, CASE WHEN z THEN 'size' END], lambda x: x IS NOT NULL)) AS f
+    FROM b WHERE NOT no_l AND NOT no_r) GROUP BY f""")
+def changed_field_counts(spark, sf_dir):
+    return manifests.changed_field_counts(manifests.diff(*_variants(spark, sf_dir), "doc_id", ["text", "lang", "size"], {"size": 1e-6}))
+
+
+@query("""SELECT conv_id, turn, CASE WHEN rn > 1 THEN conv_id::VARCHAR || '#' || rn::VARCHAR ELSE conv_id::VARCHAR END AS unique_key, rn > 1 AS is_duplicate
+  FROM (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS rn FROM conversations)""")
+def dup_keys(spark, sf_dir):
+    return manifests.unique_keys(table(spark, sf_dir, "conversations"), "conv_id", ["turn"]).select("conv_id", "turn", "unique_key", "is_duplicate")
+
+
+@query("""SELECT source, count(*) AS n, count(*) FILTER (s = 'kept') AS n_kept, count(*) FILTER (s = 'dropped_llm') AS n_dropped_llm, count(*) FILTER (s = 'unknown') AS n_unknown,
+    round(coalesce(sum(CASE WHEN s = 'kept' THEN n_chars * 0.1 END), 0) / 3600, 4) AS kept_hours
+  FROM (SELECT d.source, d.n_chars, CASE WHEN quality IS NULL THEN 'unknown' WHEN quality = 1 THEN 'kept' ELSE 'dropped_llm' END AS s FROM documents d LEFT JOIN labels l USING (doc_id)) GROUP BY source""")
+def status_counts(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    status = F.when(F.col("quality").isNull(), "unknown").when(F.col("quality") == 1, "kept").otherwise("dropped_llm")
+    return manifests.status_counts(d.withColumn("status", status), ["source"], F.col("status"), ["kept", "dropped_llm", "unknown"], F.col("n_chars") * 0.1)
+
+
+@query("""SELECT o_custkey, o_orderkey, round(o_totalprice, 4) AS o_totalprice, place FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS place FROM orders) WHERE place <= 3""")
+def topk_per_group(spark, sf_dir):
+    best = manifests.top_per_group(table(spark, sf_dir, "orders"), "o_custkey", [F.col("o_totalprice").desc(), F.col("o_orderkey")], 3)
+    return best.select("o_custkey", "o_orderkey", *rounded("o_totalprice"), F.col("place").cast("long"))
+
+
+@query("""SELECT c_custkey AS k, 'only_customer' AS side FROM (SELECT c_custkey FROM customer EXCEPT SELECT o_custkey FROM orders)
+  UNION ALL SELECT c_custkey, 'both' FROM (SELECT c_custkey FROM customer INTERSECT SELECT o_custkey FROM orders)
+  UNION ALL SELECT o_custkey, 'only_orders' FROM (SELECT o_custkey FROM orders EXCEPT SELECT c_custkey FROM customer)""")
+def set_ops(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"))
+    o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("k"))
+    parts = ((c.subtract(o), "only_customer"), (c.intersect(o), "both"), (o.subtract(c), "only_orders"))
+    one, two, three = (p.withColumn("side", F.lit(s)) for p, s in parts)
+    return one.unionByName(two).unionByName(three)
+
+
+# -- levels --------------------------------------------------------------
+
+
+@query("""WITH s AS (SELECT l_returnflag, l_extendedprice AS v, sum(l_quantity) AS w FROM lineitem WHERE l_quantity > 0 GROUP BY ALL),
+  c AS (SELECT *, sum(w) OVER (PARTITION BY l_returnflag ORDER BY v) AS upto, sum(w) OVER (PARTITION BY l_returnflag) AS total FROM s)
+  SELECT l_returnflag, round(min(v), 4) AS weighted_median FROM c WHERE upto >= total / 2 GROUP BY l_returnflag""")
+def weighted_median(spark, sf_dir):
+    return volume.weighted_median(table(spark, sf_dir, "lineitem"), "l_returnflag", "l_extendedprice", "l_quantity").select("l_returnflag", *rounded("weighted_median"))
+
+
+@query("""WITH x AS (SELECT l_orderkey, l_linenumber, -l_quantity AS lufs, l_discount * 200 AS headroom, l_tax * 12 AS active, l_extendedprice / 1500 AS dynamic FROM lineitem)
+  SELECT l_orderkey, l_linenumber, concat_ws(',', CASE WHEN -23.0 - lufs > 20.0 THEN 'too_quiet' END, CASE WHEN -23.0 - lufs > headroom - 1.0 THEN 'would_clip' END,
+    CASE WHEN active < 0.3 THEN 'inactive' END, CASE WHEN dynamic > 35.0 THEN 'too_dynamic' END) AS reasons FROM x""")
+def volume_prune(spark, sf_dir):
+    x = table(spark, sf_dir, "lineitem")
+    why = volume.prune_reasons(-F.col("l_quantity"), F.col("l_discount") * 200, F.col("l_tax") * 12, F.col("l_extendedprice") / 1500, -23.0, 20.0, 1.0, 0.3, 35.0)
+    return x.select("l_orderkey", "l_linenumber", F.concat_ws(",", why).alias("reasons"))
+
+
+@query("""WITH m AS (SELECT l_returnflag, median(l_quantity) AS m1, stddev_pop(l_quantity) AS s1, median(l_extendedprice) AS m2, stddev_pop(l_extendedprice) AS s2 FROM lineitem GROUP BY 1),
+  d AS (SELECT l_returnflag, median(abs(l_quantity - m1)) AS d1, median(abs(l_extendedprice - m2)) AS d2 FROM lineitem JOIN m USING (l_returnflag) GROUP BY 1),
+  z AS (SELECT l_orderkey, l_linenumber, CASE WHEN d1 >= 1e-9 THEN 0.67448975 * (l_quantity - m1) / d1 ELSE (l_quantity - m1) / s1 END AS z1,
+        CASE WHEN d2 >= 1e-9 THEN 0.67448975 * (l_extendedprice - m2) / d2 ELSE (l_extendedprice - m2) / s2 END AS z2 FROM lineitem JOIN m USING (l_returnflag) JOIN d USING (l_returnflag))
+  SELECT l_orderkey, l_linenumber, round(z1, 4) + 0.0::DOUBLE AS z_quantity, round(z2, 4) + 0.0::DOUBLE AS z_price, round(1 / (1 + exp(-(0.3 * greatest(z1, 0) + 0.2 * greatest(z2, 0) - 1.5))), 4) AS likelihood FROM z""")
+def robust_z_edges(spark, sf_dir):
+    x = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", F.col("l_quantity").alias("quantity"), F.col("l_extendedprice").alias("price"))
+    z = volume.robust_z(x, "l_returnflag", ["quantity", "price"])
+    likely = sigmoid(volume.edge_score([F.col("z_quantity"), F.col("z_price")]) - volume.EDGE_CENTRE)
+    return z.select("l_orderkey", "l_linenumber", *rounded("z_quantity", "z_price"), F.round(likely, 4).alias("likelihood"))
+
+
+# -- planners ------------------------------------------------------------
+
+
+def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of each document as tokens of 0.3 s; the pause after each follows from its place."""
+    d = table(spark, sf_dir, "documents")
+    words = d.select(F.col("doc_id").alias("source_id"), F.posexplode(F.split("text", r"\s+")).alias("idx", "word")).where("word <> ''")
+    pause = ((F.col("idx") * 7919 + F.col("source_id") * 104_729) % 600).cast("double")
+    last = F.col("idx") == F.max("idx").over(pauses.Window.partitionBy("source_id"))
+    mark = F.regexp_extract("word", r"(\p{P}+)$", 1)
+    kind = F.when(last, "final").otherwise(T.boundary_kind(mark))
+    timed = words.select("source_id", "idx", (F.col("idx") * 0.9).alias("start_sec"), (F.col("idx") * 0.9 + 0.3).alias("end_sec"), kind.alias("kind"), pause.alias("pause_ms"), T.pause_category(mark).alias("category"))
+    stats = pauses.by_category(pauses.pause_quantiles(timed))
+    return timed.join(stats, "source_id").withColumn("quality", pauses.boundary_quality(F.col("kind"), F.col("pause_ms"), F.col("strong"), F.col("weak"), F.col("no_punc"))).withColumn(
+        "policy", pauses.cut_policy(F.col("kind"), F.col("pause_ms"), F.col("strong"), F.col("weak"))
+    )
+
+
+def _plan(strategy: str):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return planners.plan_segments(tokens(spark, sf_dir), strategy, 5.0, 15.0)
+
+    return run
+
+
+for _name, _strategy in (("plan_legacy", "legacy_dp"), ("plan_v1", "priority_silence_v1"), ("plan_v2", "priority_silence_v2"), ("plan_v3", "priority_silence_v3"), ("plan_dp2", "dp_strategy_2"), ("plan_labelled", "llm_pause_priority_silence_v2")):
+    QUERIES[_name] = _plan(_strategy)
+
+
+@query()
+def final_filter(spark, sf_dir):
+    planned = QUERIES["plan_v3"](spark, sf_dir).where("problem is null")
+    return manifests.final_filter(planned, "source_id", "first_token", F.col("trimmed_sec"), F.col("dropped"), 5.0, 15.0).select("source_id", "segment_index", "status", "trimmed_sec", "phase")
