@@ -264,12 +264,13 @@ def jaccard_classes(docs: DataFrame, threshold: float = 0.8, n: int = 5, recall:
     worded = signed.where("n > 0")
     classes = worded.groupBy("n", "set_a", "set_b").agg(F.min("rid").alias("rep"), F.count("*").alias("copies"), F.min("doc_id").alias("least"))
     member = materialise(worded.select("rid", "doc_id", "n", "set_a", "set_b").join(classes, ["n", "set_a", "set_b"]).select("rid", "doc_id", "rep", "copies", "least"))
-    reps = signed.join(member.where("rid = rep").select("rid", "copies"), "rid").select("rid", "copies", "bands")
+    reps = materialise(signed.join(member.where("rid = rep").select("rid", "copies"), "rid").select("rid", "copies", "bands"))
 
     cells = reps.select("rid", F.posexplode("bands").alias("band", "hash"))
     full = cells.groupBy("band", "hash").agg(F.count("*").alias("m")).where("m > 1")
     full = materialise(full)
-    met = materialise(reps.select("rid", "copies", "bands", F.posexplode("bands").alias("band", "hash")).join(full, ["band", "hash"]))
+    # only cells that meet another are joined with the bands of their documents
+    met = materialise(cells.join(full, ["band", "hash"]).join(reps, "rid").select("rid", "copies", "bands", "band", "hash", "m"))
     # buckets of more than one block are dealt in square blocks
     small = met.where(F.col("m") <= block).select("*", F.lit(0).alias("u"), F.lit(0).alias("v"), F.lit(2).alias("side"))
     large = met.where(F.col("m") > block).withColumn("part", F.floor((F.row_number().over(Window.partitionBy("band", "hash").orderBy("rid")) - 1) / block).cast("int"))
