@@ -104,4 +104,17 @@ ORACLE: dict[str, str] = {
                doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
     """,
+    "op4_ngram_jaccard": """
+        WITH RECURSIVE w AS (
+            SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[ \\t\\n\\r\\f\\v]+'), lambda x: x <> '') AS ws FROM documents),
+        s AS (
+            SELECT doc_id, list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+                ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS g FROM w),
+        t AS (SELECT doc_id, len(g) AS n, unnest(g) AS x FROM s),
+        p AS (
+            SELECT a.doc_id AS a, b.doc_id AS b FROM t a JOIN t b ON a.x = b.x AND a.doc_id <> b.doc_id
+            GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING count(*) >= 0.8 * (a.n + b.n - count(*)) - 1e-9),
+        c(doc_id, root) AS (SELECT doc_id, doc_id FROM documents UNION SELECT c.doc_id, p.b FROM c JOIN p ON p.a = c.root)
+        SELECT doc_id, min(root) AS class_id, (SELECT count(*) FROM p WHERE p.a = c.doc_id) AS n_links FROM c GROUP BY doc_id
+    """,
 }
