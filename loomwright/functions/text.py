@@ -72,3 +72,10 @@ def extension(name: Column) -> Column:
     """Lower-cased, with a leading dot."""
     low = F.lower(F.trim(name))
     return F.when(low.startswith("."), low).otherwise(F.concat(F.lit("."), low))
+
+
+def first_mismatch(a: Column, b: Column) -> Column:
+    """0-based place of the first code point in which two texts differ (the shorter one's length if it starts the other); null for equal ones."""
+    x, y = F.split(a, ""), F.split(b, "")
+    unequal = F.zip_with(x, y, lambda p, q: ~p.eqNullSafe(q))
+    return F.when(a == b, None).otherwise(F.array_position(unequal, True).cast("int") - 1)

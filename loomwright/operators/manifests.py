@@ -79,3 +79,14 @@ def final_filter(segments: DataFrame, source: str, order: str, duration: Column,
     fits = (duration >= shortest - 1e-6) & (duration <= longest + 1e-6)
     status = F.when(drop, "dropped_llm").when(~fits, "dropped_length").otherwise("kept")
     return segments.withColumn("segment_index", F.row_number().over(Window.partitionBy(source).orderBy(order)) - 1).withColumn("status", status)
+
+
+def unique_names(rows: DataFrame, name: str, order: list[str]) -> DataFrame:
+    """``unique_name``: the second of a name gets ``__dup2``, the third ``__dup3``."""
+    n = F.row_number().over(Window.partitionBy(name).orderBy(*order))
+    return rows.withColumn("_n", n).withColumn("unique_name", F.when(F.col("_n") > 1, F.concat(F.col(name), F.lit("__dup"), F.col("_n").cast("string"))).otherwise(F.col(name))).drop("_n")
+
+
+def worst_of_each(rows: DataFrame, by: str, label: str, score: str) -> DataFrame:
+    """The label with the highest score of each group; of equals the one that sorts last ("start" before "end")."""
+    return rows.groupBy(by).agg(F.max(score).alias(score), F.max_by(label, F.struct(score, label)).alias(label))

@@ -74,6 +74,55 @@ def low_energy_spans(signal: np.ndarray, rate: int, start: float, end: float, sh
     return [(a, z) for a, z in spans if z - a >= shortest]
 
 
+def split_at_gaps(regions: list[tuple[int, int]], start: int, end: int, rate: int, low: float = 5.0, high: float = 15.0, hard: float = 10.0) -> tuple[list[tuple[int, int]], int]:
+    """Parts of [start, end) cut in the middle of the longest gap between regions 5 to 15 s ahead, or hard at 10 s; and how often hard."""
+    out, forced = [], 0
+    while end - start > high * rate:
+        a, z = start + round(low * rate), start + round(high * rate)
+        gaps = [(max(x[1], a), min(y[0], z)) for x, y in zip(regions, regions[1:], strict=False)]
+        best = max((g for g in gaps if g[1] > g[0]), key=lambda g: (g[1] - g[0], -g[0]), default=None)
+        forced += best is None
+        cut = (best[0] + best[1]) // 2 if best else start + round(hard * rate)
+        out.append((start, cut))
+        start = cut
+    return [*out, (start, end)], forced
+
+
+def even_cuts(signal: np.ndarray, rate: int, target: float, window: float = 10.0, shortest: float = 0.03) -> list[tuple[float, str]]:
+    """(second, method) of the cuts of a long signal into even parts, each moved to the longest quiet span near its ideal place."""
+    length = len(signal) / rate
+    parts = 1 if length <= target else max(2, int(length // target) + 1)
+    out: list[tuple[float, str]] = []
+    for k in range(1, parts):
+        ideal = k * length / parts
+        a, z = max(0.0, ideal - window / 2), min(length, ideal + window / 2)
+        spans = low_energy_spans(signal, rate, a, z, shortest)
+        if spans:
+            best = max(spans, key=lambda s: (round(s[1] - s[0], 6), -abs(sum(s) / 2 - ideal)))
+            cut, method = sum(best) / 2, "longest_silence"
+        else:
+            level, centre = frame_rms(signal[round(a * rate) : round(z * rate)], rate)
+            cut, method = a + float(centre[int(np.argmin(level))]), "quietest_frame"
+        least = out[-1][0] if out else 0.0
+        out.append((max(cut, least), method if cut >= least else f"{method}_clamped"))
+    return out
+
+
+def level_to(signal: np.ndarray, rate: int, db: float = -25.0) -> tuple[np.ndarray, float]:
+    """The signal scaled so that its louder-than-average 100 ms pieces have the level; and the factor that undoes it."""
+    def rms(x: np.ndarray) -> float:
+        return float(np.sqrt(np.mean(np.square(x, dtype=np.float64)))) if len(x) else 0.0
+
+    want, factor = 10 ** (db / 20), 1.0
+    if rms(signal) > EPS:
+        factor = want / rms(signal)
+        pieces = [rms(signal[k : k + rate // 10]) * factor for k in range(0, len(signal), max(1, rate // 10))]
+        loud = [p for p in pieces if p > np.mean(pieces)]
+        if loud:
+            factor *= want / float(np.sqrt(np.mean(np.square(loud))))
+    return (signal * factor).astype(np.float32), 1 / factor
+
+
 def silence_around(signal: np.ndarray, rate: int, left_end: float, right_start: float, scan: float = 0.55) -> float:
     """Milliseconds of quiet around a punctuation mark, at least the gap between its neighbours' times."""
     gap = max(0.0, (right_start - left_end) * 1000)

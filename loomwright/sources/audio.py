@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import re
 import struct
 import wave
 from collections.abc import Iterator
@@ -23,6 +24,15 @@ def scan(spark: SparkSession, path: str, extensions: tuple[str, ...] = EXTENSION
     return found.select("path", "length", "content", F.regexp_extract("path", r"([^/\\]+?)(\.[^./\\]*)?$", 1).alias("stem"))
 
 
+def scan_list(spark: SparkSession, listing: str, root: str) -> DataFrame:
+    """The files under ``root`` that a list names, one relative path a line (of several fields, the last)."""
+    wanted = spark.read.text(listing).select(F.element_at(F.split(F.trim("value"), r"\s+"), -1).alias("name")).where("name <> ''").distinct()
+    files = scan(spark, root)
+    base = root.rstrip("/")
+    relative = F.regexp_replace(F.col("path"), "^.*?" + re.escape(base) + "/", "")
+    return files.withColumn("name", relative).join(wanted, "name").drop("name")
+
+
 def duplicate_stems(files: DataFrame) -> DataFrame:
     return files.groupBy("stem").agg(F.count("*").alias("n"), F.array_sort(F.collect_set("path")).alias("paths")).where("n > 1")
 

@@ -160,3 +160,31 @@ def test_trim_and_cut(spark, tmp_path):
     for r in signal.cut_segments(files, segments).collect():
         y, rate = audio.decode_wav(r.wav)
         assert rate == RATE and len(y) / rate == pytest.approx(cut[r.segment_index].cut_end_sec - cut[r.segment_index].cut_start_sec, abs=0.01)
+
+
+def test_more_signals(spark, tmp_path):
+    parts, forced = signal.split_at_gaps([(0, 6 * RATE), (7 * RATE, 20 * RATE), (20 * RATE, 40 * RATE)], 0, 40 * RATE, RATE)
+    assert parts[0] == (0, int(6.5 * RATE)) and parts[-1][1] == 40 * RATE and forced >= 1
+    assert all(a[1] == b[0] for a, b in zip(parts, parts[1:]))
+    x = np.concatenate([tone(9), quiet(0.5), tone(10)])
+    (cut, method), = signal.even_cuts(x, RATE, 10)
+    assert 9 <= cut <= 9.5 and method == "longest_silence"
+    y, back = signal.level_to(tone(1, 0.01), RATE)
+    assert np.allclose(y * back, tone(1, 0.01), atol=1e-6) and np.sqrt(np.mean(y**2)) == pytest.approx(10 ** (-25 / 20), rel=0.1)
+    (tmp_path / "d").mkdir()
+    for n in "ab":
+        (tmp_path / "d" / f"{n}.wav").write_bytes(audio.encode_wav(tone(0.1), RATE))
+    (tmp_path / "list.scp").write_text("utt1 a.wav\n\n")
+    assert [r.stem for r in audio.scan_list(spark, str(tmp_path / "list.scp"), str(tmp_path / "d")).collect()] == ["a"]
+
+
+def test_names(spark):
+    from loomwright.functions.text import first_mismatch
+    from loomwright.operators import manifests
+
+    df = spark.createDataFrame([("abc", "abd"), ("ab", "abc"), ("x", "x")], "a string, b string")
+    assert [r.x for r in df.select(first_mismatch(F.col("a"), F.col("b")).alias("x")).collect()] == [2, 2, None]
+    names = spark.createDataFrame([("n", 1), ("n", 2), ("m", 3)], "name string, k int")
+    assert sorted(r.unique_name for r in manifests.unique_names(names, "name", ["k"]).collect()) == ["m", "n", "n__dup2"]
+    sides = spark.createDataFrame([("f", "start", 1.0), ("f", "end", 1.0), ("g", "end", 2.0), ("g", "start", 1.0)], "file string, side string, score double")
+    assert {(r.file, r.side) for r in manifests.worst_of_each(sides, "file", "side", "score").collect()} == {("f", "start"), ("g", "end")}
