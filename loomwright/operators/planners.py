@@ -358,6 +358,30 @@ def legacy(s: Source) -> list[Link]:
     return out
 
 
+def sliced_by_asker(s: Source, ask: Callable[[list[int], str], list[int]], attempts: int = 3, padding: float = 0.2) -> tuple[list[Link], str]:
+    """Segments at the markers (places in ``boundaries``) that an asker submits; ``submitted``, ``unconfirmed`` or ``fallback``.
+
+    A refused list, or one with segments out of bounds once padded, goes
+    back with its reason; an asker that submits the same list again
+    confirms it. Without a valid list priority_silence_v3 plans.
+    """
+    from loomwright.operators.models import valid_cuts
+
+    markers, said, last = list(range(len(s.boundaries))), "", None
+    for _ in range(attempts):
+        cuts = ask(markers, said)
+        if problem := valid_cuts(cuts, markers):
+            said = problem
+            continue
+        firsts = [0, *(s.boundaries[c].token + 1 for c in cuts[:-1])]
+        links = [s.link(a, s.boundaries[c], "submitted") for a, c in zip(firsts, cuts, strict=True)]
+        off = [f"{x.first}-{x.end.token}: {x.trimmed + 2 * padding:.2f} s" for x in links if not s.shortest <= x.trimmed + 2 * padding <= s.longest]
+        if not off or (last is not None and last[0] == cuts):
+            return links, "submitted"
+        last, said = (cuts, links), "out of bounds: " + "; ".join(off)
+    return (last[1], "unconfirmed") if last else (priority_v3(s) or [], "fallback")
+
+
 PLANNERS: dict[str, Callable[[Source], list[Link] | None]] = dict(zip(STRATEGIES, (legacy, priority_v1, priority_v2, priority_v3, dp_strategy_2, labelled_v2), strict=True))
 PLAN_SCHEMA = "first_token long, last_token long, raw_sec double, trimmed_sec double, valid boolean, dropped boolean, phase string, kind string, pause_ms double, problem string"
 

@@ -121,3 +121,17 @@ def stitch(chunks: DataFrame, tokens: DataFrame) -> tuple[DataFrame, DataFrame]:
     moved = tokens.join(chunks.select("source_id", "chunk", F.col("start_sec").alias("_o")), ["source_id", "chunk"])
     place = F.row_number().over(Window.partitionBy("source_id").orderBy("chunk", "idx")) - 1
     return whole, moved.select("source_id", place.alias("idx"), "char", (F.col("start_sec") + F.col("_o")).alias("start_sec"), (F.col("end_sec") + F.col("_o")).alias("end_sec"))
+
+
+def accepted_revision(original: Column, revised: Column) -> Column:
+    """The revised text if it has the same spoken characters, else the original one."""
+    return F.when(T.spoken(original) == T.spoken(revised), revised).otherwise(original)
+
+
+def padded_bounds(tokens: DataFrame, padding: float = 0.1) -> DataFrame:
+    """``opens_sec, closes_sec`` of each token: half way to its neighbours, but no more than ``padding`` away."""
+    by = Window.partitionBy("source_id").orderBy("idx")
+    before, after = F.lag("end_sec").over(by), F.lead("start_sec").over(by)
+    opens = F.coalesce(F.greatest((before + F.col("start_sec")) / 2, F.when(before.isNotNull(), F.col("start_sec") - padding)), F.col("start_sec"))
+    closes = F.coalesce(F.least((F.col("end_sec") + after) / 2, F.when(after.isNotNull(), F.col("end_sec") + padding)), F.col("end_sec"))
+    return tokens.withColumn("opens_sec", opens).withColumn("closes_sec", closes)

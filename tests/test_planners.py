@@ -96,3 +96,20 @@ def test_plan_covers_every_token(spark, sf):
     for spans in by.values():
         spans.sort()
         assert spans[0][0] == 0 and all(a[1] + 1 == b[0] for a, b in zip(spans, spans[1:]))
+
+
+def test_asker():
+    from loomwright.operators.planners import sliced_by_asker
+
+    s = source(6, [(1, W, 10), (3, S, 500), (5, F, 0)], 2)
+    asked = []
+
+    def good(markers, said):
+        asked.append(said)
+        return [1, 0] if not said else [1, 2]
+
+    links, how = sliced_by_asker(s, good)
+    assert how == "submitted" and [(x.first, x.end.token) for x in links] == [(0, 3), (4, 5)] and asked[1] == "cuts must be strictly increasing"
+    assert sliced_by_asker(s, lambda m, said: [])[1] == "fallback"
+    long = source(6, [(1, W, 10), (3, S, 500), (5, F, 0)], 1)
+    assert sliced_by_asker(long, lambda m, said: [2])[1] == "submitted"  # sent again, so confirmed

@@ -188,3 +188,11 @@ def test_names(spark):
     assert sorted(r.unique_name for r in manifests.unique_names(names, "name", ["k"]).collect()) == ["m", "n", "n__dup2"]
     sides = spark.createDataFrame([("f", "start", 1.0), ("f", "end", 1.0), ("g", "end", 2.0), ("g", "start", 1.0)], "file string, side string, score double")
     assert {(r.file, r.side) for r in manifests.worst_of_each(sides, "file", "side", "score").collect()} == {("f", "start"), ("g", "end")}
+
+
+def test_revision_and_bounds(spark):
+    df = spark.createDataFrame([("a,b", "a。b"), ("ab", "a c")], "x string, y string")
+    assert [r.z for r in df.select(transcripts.accepted_revision(F.col("x"), F.col("y")).alias("z")).collect()] == ["a。b", "ab"]
+    rows = spark.createDataFrame([("s", 0, 0.0, 1.0), ("s", 1, 1.1, 2.0), ("s", 2, 5.0, 6.0)], "source_id string, idx int, start_sec double, end_sec double")
+    got = [(r.opens_sec, r.closes_sec) for r in transcripts.padded_bounds(rows).orderBy("idx").collect()]
+    assert got == [(0.0, pytest.approx(1.05)), (pytest.approx(1.05), pytest.approx(2.1)), (pytest.approx(4.9), 6.0)]
