@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomwright.functions.levels import dot, norm, unit
+from loomwright.functions.levels import dot, unit
 from loomwright.functions.tables import quantiles, with_rank, written
 
 MAD_SCALE = 1.4826  # fixed value: MAD of a normal distribution to its deviation
@@ -14,10 +14,11 @@ MAD_SCALE = 1.4826  # fixed value: MAD of a normal distribution to its deviation
 def cosine_scores(rows: DataFrame, embedding: str = "embedding") -> DataFrame:
     """``similarity`` of each embedding to the normalised mean of all unit embeddings; an error for a zero one."""
     units = rows.withColumn("_unit", unit(F.col(embedding)))
-    means = units.select(F.posexplode("_unit").alias("k", "x")).groupBy("k").agg(F.avg("x").alias("m"))  # a row for each dimension
-    centroid = means.agg(F.array_sort(F.collect_list(F.struct("k", "m"))).alias("c")).select(F.col("c.m").alias("c"))
-    centroid = centroid.select(F.transform("c", lambda x: x / norm(F.col("c"))).alias("_centroid"))
-    return units.join(F.broadcast(centroid)).withColumn("similarity", dot(F.col("_unit"), F.col("_centroid"))).drop("_unit", "_centroid")
+    # one number for each dimension, whatever the corpus
+    means = [r["m"] for r in sorted(units.select(F.posexplode("_unit").alias("k", "x")).groupBy("k").agg(F.avg("x").alias("m")).collect(), key=lambda r: r["k"])]
+    length = sum(m * m for m in means) ** 0.5 or 1.0
+    centroid = F.array(*(F.lit(m / length) for m in means)).cast("array<double>")
+    return units.withColumn("similarity", dot(F.col("_unit"), centroid)).drop("_unit")
 
 
 def prune_outliers(scored: DataFrame, order: Column, multiplier: float = 3.0, ratio: float = 0.1, fewest: int = 8) -> DataFrame:
