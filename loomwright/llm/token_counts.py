@@ -27,7 +27,7 @@ from loomwright.llm.bytesets import Units, blocks, ragged, spaced_starts, text_b
 
 CHUNK_CHARS = 1 << 16
 OVERLAP_CHARS = 1 << 10
-_CACHE_UNITS = 400_000
+_CACHE_UNITS = 1_000_000
 #: Pre-tokenizer patterns (fixed values) in which a match never holds white space after something else.
 _KNOWN = {
     "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+": True,  # white space is dropped
@@ -54,28 +54,26 @@ class Counter:
         self.bare = plain and _KNOWN.get(pattern, False)  # units are words alone
         self.spaced = plain and norm is None and pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space")
         self.mark, self.mark_id = next(((t["content"].encode(), t["id"]) for t in added if plain and t["special"] and not t["normalized"]), (None, -1))
-        self.cache: dict[bytes, np.ndarray] = {}
+        self.cache: dict[bytes, bytes] = {}
 
     def encode_whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
 
-    def encode_units(self, raw: list[bytes]) -> list[np.ndarray]:
-        """Ids of many short units: they are joined by an added token, which separates as the ends of a text do."""
+    def encode_units(self, raw: list[bytes]) -> list[bytes]:
+        """Ids (32-bit, as bytes) of many short units: they are joined by an added token, which separates as the ends of a text do."""
         if self.mark is None:
-            return [np.array(x, np.int32) for x in self.encode_whole([x.decode() for x in raw])]
-        out: list[np.ndarray] = []
+            return [np.array(x, np.int32).tobytes() for x in self.encode_whole([x.decode() for x in raw])]
+        out: list[bytes] = []
         for k in range(0, len(raw), 4000):
             part = raw[k : k + 4000]
             joined = self.mark.join(part)
             if joined.count(self.mark) != len(part) - 1:  # a unit that holds the added token itself
-                out += [np.array(x, np.int32) for x in self.encode_whole([x.decode() for x in part])]
+                out += [np.array(x, np.int32).tobytes() for x in self.encode_whole([x.decode() for x in part])]
                 continue
             ids = np.array(self.tokenizer.encode(joined.decode(), add_special_tokens=False).ids, np.int32)
-            ends = [*np.flatnonzero(ids == self.mark_id).tolist(), len(ids)]
-            at = 0
-            for e in ends:
-                out.append(ids[at:e].copy())
-                at = e + 1
+            flat = ids.tobytes()
+            marks = (np.flatnonzero(ids == self.mark_id) * 4).tolist()
+            out += [flat[x:z] for x, z in zip([0, *(m + 4 for m in marks)], [*marks, len(flat)], strict=True)]
         return out
 
     def encode_huge(self, text: str, chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS) -> np.ndarray:
@@ -156,13 +154,15 @@ class Counter:
             raw = u.take(first)
             ids = [self.cache.get(x) for x in raw]
             new = [k for k, x in enumerate(ids) if x is None]
+            room = _CACHE_UNITS - len(self.cache)
             for k, got in zip(new, self.encode_units([raw[k] for k in new]), strict=True):
                 ids[k] = got
-                if len(self.cache) < _CACHE_UNITS and len(raw[k]) < 64:
-                    self.cache[raw[k]] = ids[k]
-            size = np.array([len(x) for x in ids], np.int64)
+                if room > 0 and len(raw[k]) < 64:
+                    self.cache[raw[k]] = got
+                    room -= 1
+            size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
             every = size[inverse]
-            part = ragged(np.concatenate(ids), (np.cumsum(size) - size)[inverse], every) if ids else np.zeros(0, np.int32)
+            part = ragged(np.frombuffer(b"".join(ids), np.int32), (np.cumsum(size) - size)[inverse], every)
             yield part, rows, np.diff(np.append(0, np.cumsum(every))[u.bounds])
 
 
