@@ -111,5 +111,5 @@ def drop_duplicates(docs: DataFrame, size: int = BLOCK_BYTES) -> DataFrame:
 
     docs = rereadable(docs)
     rid = fresh(docs, "rid")
-    kept = mark_duplicates(docs, size).where("kept").select(F.col("rid").alias(rid))
+    kept = mark_duplicates(docs, size).where("kept").select(F.col("rid").alias(rid)).hint("merge")  # as many ids as documents: never broadcast
     return docs.withColumn(rid, F.monotonically_increasing_id()).join(kept, rid, "left_semi").drop(rid)

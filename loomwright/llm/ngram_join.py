@@ -307,4 +307,4 @@ def keep_one_of_each(docs: DataFrame, threshold: float = 0.8, n: int = 5, recall
     found = materialise(jaccard_classes(docs, threshold, n, recall))
     lone = found.where("n_links = 0").select("rid")
     first = found.where("n_links > 0").groupBy("class_id").agg(F.min(F.struct("doc_id", "rid")).alias("one")).select("one.rid")
-    return docs.withColumn(rid, F.monotonically_increasing_id()).join(lone.unionByName(first).withColumnRenamed("rid", rid), rid, "left_semi").drop(rid)
+    return docs.withColumn(rid, F.monotonically_increasing_id()).join(lone.unionByName(first).withColumnRenamed("rid", rid).hint("merge"), rid, "left_semi").drop(rid)
