@@ -83,7 +83,8 @@ def resample(docs: DataFrame, labels: DataFrame, keep: float = KEEP, bits: int =
     an empty table gives no rows.
     """
     good = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct().withColumn("target", F.lit(True))
-    counted = docs.select("doc_id", "text").join(good, "doc_id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
+    # labels grow with the corpus, so they are never broadcast, however few they are here
+    counted = docs.select("doc_id", "text").join(good.hint("merge"), "doc_id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
     weighed = log_ratios(docs, bag_ratios(counted, bits), bits).withColumn("sort_key", F.col("log_ratio") + F.col("noise"))
     order = ranked(weighed, [F.col("sort_key").desc(), F.col("doc_id")], "_rank")
     most = round(keep * docs.count())
