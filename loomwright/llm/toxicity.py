@@ -103,10 +103,13 @@ def fit(docs: DataFrame, labels: DataFrame, bits: int = BITS, most_rows: int = M
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("y"), lists], ["doc_id", "y", "slots"])
 
     def learn(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["doc_id", "y"], kind="stable")
-        bounds = np.append(0, np.cumsum(group["slots"].map(len).to_numpy(np.int64)))
-        flat = np.concatenate(group["slots"].to_numpy()).astype(np.int64) if len(group) else np.zeros(0, np.int64)
-        w, bias = ftrl(flat, bounds, group["y"].to_numpy(float), bits)
+        order = np.lexsort((group["y"].to_numpy(), group["doc_id"].to_numpy()))
+        lists = group["slots"].to_numpy()[order]
+        y = group["y"].to_numpy(float)[order]
+        bounds = np.append(0, np.cumsum([len(x) for x in lists], dtype=np.int64))
+        flat = np.concatenate(lists).astype(np.int32, copy=False) if len(lists) else np.zeros(0, np.int32)
+        del lists
+        w, bias = ftrl(flat, bounds, y, bits)
         use = np.flatnonzero(w)
         return pd.DataFrame({"slot": np.append(use, -1), "weight": np.append(w[use], bias)})
 
