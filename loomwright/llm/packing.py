@@ -20,7 +20,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 from loomwright.llm.bytesets import text_batches
 from loomwright.llm.common import materialise, ranked, text_rows
@@ -109,20 +108,16 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, order: tuple[str, ...] = (
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most ``capacity`` rows
     if counts and not 0 < min(counts) <= max(counts) <= capacity:
         raise ValueError(f"lengths must be from 1 to {capacity}")
-    runs = pieces.sparkSession.sparkContext.broadcast(best_fit(counts, capacity))
+    ranks, firsts, offsets = best_fit(counts, capacity)
+    lengths = np.array(sorted(counts, reverse=True), np.int64)
+    begins = np.cumsum([0, *(counts[n] for n in lengths.tolist())])
+    of_run = lengths[np.searchsorted(begins, ranks, "right") - 1] if len(ranks) else ranks
+    rows = list(zip(of_run.tolist(), ranks.tolist(), [*ranks[1:].tolist(), int(begins[-1])], firsts.tolist(), offsets.tolist(), strict=True)) if len(ranks) else []
+    # bounded by the capacity: each step uses up a length or a run of gaps
+    runs = F.broadcast(pieces.sparkSession.createDataFrame(rows, "_length long, _from long, _to long, _first long, _at long"))
     sorted_ = ranked(pieces, [F.col("length").desc(), *(F.col(c) for c in order)], "_rank")
-
-    names = pieces.columns
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks, firsts, offsets = runs.value
-        for batch in batches:
-            rank = batch.column("_rank").to_numpy()
-            k = np.searchsorted(ranks, rank, "right") - 1
-            cols = [batch.column(c) for c in names]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(firsts[k] + rank - ranks[k]), pa.array(offsets[k])], [*names, "sequence_id", "offset"])
-
-    return sorted_.mapInArrow(place, StructType([*pieces.schema.fields, StructField("sequence_id", LongType()), StructField("offset", LongType())]))
+    placed = sorted_.join(runs, (F.col("length") == F.col("_length")) & (F.col("_rank") >= F.col("_from")) & (F.col("_rank") < F.col("_to")))
+    return placed.select(*pieces.columns, (F.col("_first") + F.col("_rank") - F.col("_from")).alias("sequence_id"), F.col("_at").alias("offset"))
 
 
 def pack_documents(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = True) -> DataFrame:

@@ -27,7 +27,7 @@ from loomwright.llm.bytesets import Units, blocks, ragged, spaced_starts, text_b
 
 CHUNK_CHARS = 1 << 16
 OVERLAP_CHARS = 1 << 10
-_CACHE_UNITS = 1_000_000
+_CACHE_UNITS = 600_000
 #: Pre-tokenizer patterns (fixed values) in which a match never holds white space after something else.
 _KNOWN = {
     "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+": True,  # white space is dropped
