@@ -41,7 +41,8 @@ def name_blocks(docs: DataFrame, size: int, bits: int) -> tuple[DataFrame, DataF
     # Hash partitions hold whole sets of equal blocks; sorted within each, the row number is the name.
     named = distinct.sortWithinPartitions("route", "block").select("route", F.monotonically_increasing_id().alias("name"))
     named = materialise(named)
-    shared = named.groupBy("route").agg(F.count("*").alias("n"), F.min("name").alias("name"))
+    # written, so that a join with it has no aggregate on either side and a route of many rows can be split
+    shared = materialise(named.groupBy("route").agg(F.count("*").alias("n"), F.min("name").alias("name")))
     single = shared.where("n = 1").select("route", "name")
     routes = shared.where("n > 1").select("route")
     if routes.isEmpty():
@@ -98,8 +99,8 @@ def mark_duplicates(docs: DataFrame, size: int = BLOCK_BYTES, bits: int = 64) ->
     the routing hash are only lowered by tests, to make blocks share it.
     """
     rows = text_rows(docs)
-    found = identities(rows, size, bits)
-    groups = found.groupBy("level", "name").agg(F.max(F.struct("doc_id", "rid")).alias("keep"), F.count("*").alias("group_size"))
+    found = materialise(identities(rows, size, bits))
+    groups = materialise(found.groupBy("level", "name").agg(F.max(F.struct("doc_id", "rid")).alias("keep"), F.count("*").alias("group_size")))
     return found.join(groups, ["level", "name"]).select(
         "rid", "doc_id", F.col("keep.doc_id").alias("keep_id"), "group_size", (F.col("rid") == F.col("keep.rid")).alias("kept"), "text_sha256"
     )
