@@ -26,7 +26,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -56,10 +56,11 @@ def _hash(prefix: np.ndarray, down: np.ndarray, start: np.ndarray, end: np.ndarr
     return mix((prefix[end - _WINDOW + 1] - prefix[start]) * down[start] + (end - start).astype(np.uint64))
 
 
-def triggers(b: np.ndarray, ends: np.ndarray, length: int, reach: int) -> tuple[np.ndarray, ...]:
+def triggers(b: np.ndarray, ends: np.ndarray, length: int, reach: int, contexts: bool = True) -> tuple[np.ndarray, ...]:
     """(trigger, first start, last start, phrase hash, context hash) for the strings of ``length`` bytes in a block.
 
-    ``ends``: for each byte, the end of its document in the block.
+    ``ends``: for each byte, the end of its document in the block. Without
+    ``contexts``, their hashes are left at 0.
     """
     empty = tuple(np.zeros(0, np.int64) for _ in range(3)) + tuple(np.zeros(0, np.uint64) for _ in range(2))
     n = len(b) - _WINDOW + 1
@@ -88,12 +89,16 @@ def triggers(b: np.ndarray, ends: np.ndarray, length: int, reach: int) -> tuple[
         prefix = np.append(np.uint64(0), np.cumsum(h * up[:n]))
         following = least[at + 1]
         phrase = _hash(prefix, down, at, following + _WINDOW)
+        if not contexts:
+            return at, lo, hi, phrase, np.zeros(len(phrase), np.uint64)
         other = np.append(np.uint64(0), np.cumsum(mix(h ^ np.uint64(0xA5A5A5A5A5A5A5A5)) * up[:n]))
         context = _hash(other, down, lo, hi + length) + (at - lo).astype(np.uint64)
     return at, lo, hi, phrase, context
 
 
-def _parse(length: int, reach: int, size: int):
+def _parse(length: int, reach: int, size: int, contexts: bool = True):
+    """``phrase, context, places``; without ``contexts`` how often each phrase of a batch occurs there (``phrase, n``)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in text_batches(whole, "text", 4 * size):
@@ -108,7 +113,7 @@ def _parse(length: int, reach: int, size: int):
                         z = min(int(offsets[j]), a + size + length - 1) if j == i + 1 else int(offsets[j])
                         inner = np.clip(offsets[i : j + 1], a, z) - a
                         ends = np.repeat(inner[1:], np.diff(inner))
-                        at, lo, hi, phrase, context = triggers(data[a:z], ends, length, reach)
+                        at, lo, hi, phrase, context = triggers(data[a:z], ends, length, reach, contexts)
                         row = np.searchsorted(inner, lo, "right") - 1
                         base = np.maximum(a - offsets[i : j + 1], 0)[row] - inner[row]
                         found.append((rids[i + row], ((lo + base) << 18) | ((at - lo) << 10) | ((hi - lo) << 2), phrase, context))
@@ -118,6 +123,10 @@ def _parse(length: int, reach: int, size: int):
                 rid, loc, phrase, context = (np.concatenate(x) for x in zip(*found, strict=True))
                 if not len(rid):
                     continue
+                if not contexts:
+                    phrase, n = np.unique(phrase, return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(phrase.view(np.int64)), pa.array(n)], ["phrase", "n"])
+                    continue
                 # equal contexts of a batch become one row with all their places
                 order = np.lexsort((context, phrase))
                 phrase, context = phrase[order], context[order]
@@ -256,17 +265,21 @@ def find_repeats(rows: DataFrame, length: int = 200, size: int = _BLOCK, hot: in
     reach = (length - _WINDOW) // 2
     if reach < 2:
         raise ValueError("strings of less than 12 bytes have no triggers")
-    parsed = rows.select("rid", "text").mapInArrow(_parse(length, reach, size), "phrase long, context long, places binary")
-    by = Window.partitionBy("phrase").orderBy("context")
-    near = parsed.withColumn("before", F.lag("context").over(by)).withColumn("after", F.lead("context").over(by))
-    twice = (F.octet_length("places") > 16) | F.coalesce(F.col("before") == F.col("context"), F.lit(False)) | F.coalesce(F.col("after") == F.col("context"), F.lit(False))
-    others = F.coalesce(F.col("before") != F.col("context"), F.lit(False)) | F.coalesce(F.col("after") != F.col("context"), F.lit(False))
-    state = F.when(twice, F.when(others, 3).otherwise(1)).when(others, 2)
+    texts = rows.select("rid", "text")
+    # Phrases that occur once are out. Counts are summed before they are shuffled, and all joins here are between written
+    # tables, or with one: a phrase that a third of all documents hold is split over tasks, never gathered in one.
+    often = texts.mapInArrow(_parse(length, reach, size, contexts=False), "phrase long, n long").groupBy("phrase").agg(F.sum("n").alias("n"))
+    often = materialise(often.where("n > 1").select("phrase"))
+    parsed = texts.mapInArrow(_parse(length, reach, size), "phrase long, context long, places binary")
+    parsed = materialise(parsed.join(often, "phrase", "left_semi"))
+    mixed = materialise(parsed.groupBy("phrase").agg((F.min("context") != F.max("context")).alias("others")))
+    equal = materialise(parsed.groupBy("phrase", "context").agg((F.sum(F.octet_length("places")) > 16).alias("twice")))
+    near = parsed.join(mixed, "phrase").join(equal, ["phrase", "context"])
+    state = F.when(F.col("twice"), F.when(F.col("others"), 3).otherwise(1)).when(F.col("others"), 2)
     known = near.select("places", state.cast("long").alias("state")).where("state is not null").mapInArrow(_unpack, "rid long, loc long")
     known = known.groupBy("rid").agg(F.collect_list("loc").alias("locs"))
     marks = materialise(rows.select("rid", "doc_id").join(known, "rid", "left"))
 
-    texts = rows.select("rid", "text")
     some = marks.where(F.exists("locs", lambda x: x.bitwiseAND(2) > 0)).select("rid", "locs")
     edges = texts.join(some, "rid").select("rid", "text", "locs").mapInArrow(_contexts(length), "rid long, lo long, before int, open boolean, bytes binary")
     # what every string of a context holds after its trigger
