@@ -19,6 +19,8 @@ _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
 _PLACE = _rng.integers(1, 2**63, _LONGEST, dtype=np.uint64) | np.uint64(1)
 WHITE = np.zeros(256, bool)
 WHITE[[9, 10, 11, 12, 13, 32]] = True
+#: White space of Unicode beyond ASCII, the bytes of each character as one number.
+_WIDE_WHITE = np.array([int.from_bytes(chr(c).encode()) for c in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)])
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -78,10 +80,14 @@ def word_starts(b: np.ndarray) -> np.ndarray:
 
 
 def spaced_starts(b: np.ndarray) -> np.ndarray:
-    """White space with the run that follows it. True where white space follows something else."""
+    """White space with the run that follows it. True where ASCII white space follows something that is no white space of Unicode."""
     w = WHITE[b]
     s = np.zeros(len(b), bool)
     s[1:] = w[1:] & ~w[:-1]
+    at = np.flatnonzero(s)
+    at = at[b[at - 1] >= 0x80]  # after a character beyond ASCII, which may be white space itself
+    code = b[np.maximum(at - 3, 0)].astype(np.int32) << 16 | b[np.maximum(at - 2, 0)].astype(np.int32) << 8 | b[at - 1]
+    s[at[np.isin(code, _WIDE_WHITE) | np.isin(code & 0xFFFF, _WIDE_WHITE)]] = False
     return s
 
 

@@ -8,9 +8,9 @@ to right and merges stay within a pre-token, so what follows such a place
 depends on the text after it alone. Without such a place the overlap is
 widened until there is one, or until the chunk holds all that is left.
 
-Shorter texts are cut where white space follows something else; no pre-token
-of the known patterns reaches across, so that each distinct unit of a block is
-encoded once.
+Shorter texts are cut where ASCII white space begins a run of white space (of
+Unicode, as the patterns read it); no pre-token of the known patterns reaches
+across, so that each distinct unit of a block is encoded once.
 """
 
 from __future__ import annotations

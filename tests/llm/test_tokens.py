@@ -79,6 +79,34 @@ def test_spliced_chunks_equal_whole_texts(chunk, overlap):
         assert tokens.encode_huge(text, chunk, overlap).tolist() == tokens.encode_whole([text])[0]
 
 
+WIDE = ["\x85", "\xa0", "\u1680", *map(chr, range(0x2000, 0x200B)), "\u2028", "\u2029", "\u202f", "\u205f", "\u3000"]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_runs_of_mixed_white_space(name):
+    tokens = Counter(tokenizer_path(name))
+    mixed = ["a \xa0 \xa0 b", "a\xa0 \xa0 \xa0 \xa0 b", *scrambled(800, ["\xa0", " ", "\xa0 ", "\n", "a", "é", "—"], 3), *scrambled(800, [*WIDE, " ", " ", " ", "\t", "\n", "b", "\u200b", "à"], 4)]
+    texts = [*mixed, "word \xa0 \xa0 " * 5900, "word \xa0 \xa0 " * 6000, "é\u3000 \xa0 x" * 6000]  # on both sides of 65,536 bytes
+    assert {len(t.encode()) > 1 << 16 for t in texts[-3:-1]} == {True, False}
+    for chunk in (1 << 16, 40):
+        ids, bounds = tokens.encode(pa.array(texts), chunk)
+        assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])] == tokens.encode_whole(texts)
+
+
+def test_white_space_of_the_pattern():
+    """The characters that a run of white space of the vocabulary's pattern holds are those that allow no cut after them."""
+    from loomwright.llm.bytesets import spaced_starts
+
+    pre = Counter(tokenizer_path("byte_bpe_50k.json")).tokenizer.pre_tokenizer
+    every = [chr(c) for c in range(128, 0x110000) if not 0xD800 <= c < 0xE000 and (c < 0x3100 or c % 97 == 0)]
+    text = "".join(f"a{c}  " for c in every) + "a"
+    cuts = spaced_starts(np.frombuffer(text.encode(), np.uint8))
+    edges = {e for _, (_, e) in pre.pre_tokenize_str(text)}  # in characters
+    at = np.cumsum([0, *(len(c.encode()) for c in text)])
+    own = [4 * k + 2 for k in range(len(every))]  # before the white space after each character
+    assert [c for c, p in zip(every, own) if p not in edges] == [c for c, p in zip(every, own) if not cuts[at[p]]] == WIDE
+
+
 def test_counts(spark, odd_docs, odd_rows, no_docs):
     tokens = Counter(tokenizer_path("byte_bpe_50k.json"))
     got = sorted((tuple(r) for r in count_tokens(odd_docs, tokenizer_path("byte_bpe_50k.json")).collect()), key=str)
