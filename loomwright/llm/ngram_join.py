@@ -257,6 +257,11 @@ def jaccard_classes(docs: DataFrame, threshold: float = 0.8, n: int = 5, recall:
     part; a class of such rows alone has a null class_id. Repeated rows are
     copies. Other columns are not read.
     """
+    return _rooted_classes(docs, threshold, n, recall, block).drop("root")
+
+
+def _rooted_classes(docs: DataFrame, threshold: float, n: int, recall: float, block: int = _BLOCK) -> DataFrame:
+    """``jaccard_classes`` with ``root``: the least rid of a class, which no other class has, whatever ids its rows have."""
     bands, rows = bands_for(threshold, recall)
     docs = text_rows(docs)
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -289,12 +294,13 @@ def jaccard_classes(docs: DataFrame, threshold: float = 0.8, n: int = 5, recall:
     links = found.where("other < 0").groupBy(F.col("rid").alias("rep")).agg(F.sum("links").alias("links"))
     joined = components(found.where("other >= 0").select("rid", "other")).select(F.col("rid").alias("rep"), "root")
     ends = member.where("rid = rep").join(joined, "rep").groupBy("root").agg(F.min("least").alias("class_id"))
-    linked = joined.join(ends, "root").join(links, "rep", "left").select("rep", "class_id", "links")
+    linked = joined.join(ends, "root").join(links, "rep", "left").select("rep", "root", "class_id", "links")
     some = member.join(linked, "rep", "left").select(
-        "rid", F.coalesce("class_id", "least").alias("class_id"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")
+        "rid", F.coalesce("root", "rep").alias("root"), F.coalesce("class_id", "least").alias("class_id"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")
     )
     return signed.select("rid", "doc_id", "n").join(some, "rid", "left").select(
-        "rid", "doc_id", F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")
+        "rid", "doc_id", F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        F.coalesce("root", "rid").alias("root"),
     )
 
 
@@ -304,7 +310,7 @@ def keep_one_of_each(docs: DataFrame, threshold: float = 0.8, n: int = 5, recall
 
     docs = rereadable(docs)
     rid = fresh(docs, "rid")
-    found = materialise(jaccard_classes(docs, threshold, n, recall))
+    found = materialise(_rooted_classes(docs, threshold, n, recall))
     lone = found.where("n_links = 0").select("rid")
-    first = found.where("n_links > 0").groupBy("class_id").agg(F.min(F.struct("doc_id", "rid")).alias("one")).select("one.rid")
+    first = found.where("n_links > 0").groupBy("root").agg(F.min(F.struct("doc_id", "rid")).alias("one")).select("one.rid")
     return docs.withColumn(rid, F.monotonically_increasing_id()).join(lone.unionByName(first).withColumnRenamed("rid", rid).hint("merge"), rid, "left_semi").drop(rid)

@@ -80,6 +80,20 @@ def test_jaccard_edges(spark, odd_docs, odd_rows, no_docs):
     assert kept.count() == len(odd_rows) - 3
 
 
+def test_classes_do_not_meet_by_id(spark):
+    """Classes of null-id rows alone, and classes that share a least doc_id, keep a row each."""
+    texts = [" ".join(f"{c}{k}" for k in range(40)) for c in "abcdef"]
+    near = [t.replace("39", "x") for t in texts]
+    ids = [None, None, None, 7, 7, 7]
+    rows = [(i, t) for i, t in zip(ids * 3, texts * 2 + near)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(3)
+    kept = ngram_join.keep_one_of_each(docs).collect()
+    assert sorted(r.text[0] for r in kept) == list("abcdef")
+    classes = ngram_join.jaccard_classes(docs)
+    assert classes.columns == ["rid", "doc_id", "class_id", "n_links"]
+    assert {(r.doc_id, r.class_id, r.n_links) for r in classes.collect()} == {(None, None, 2), (7, 7, 2)}
+
+
 def test_bands():
     for recall in (0.9, 0.99, 0.9999):
         bands, rows = ngram_join.bands_for(0.8, recall)
