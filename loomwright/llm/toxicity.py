@@ -158,8 +158,16 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, bits: int = BITS, most_ro
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, bits: int = BITS, most_rows: int = MAX_TRAINING_ROWS) -> DataFrame:
-    """The rows of ``docs`` with a score under 0.5, all columns kept."""
-    values = _scorer(docs, fit(docs, labels, bits, most_rows), bits)
+    """The rows of ``docs`` with a score under 0.5, all columns kept.
+
+    A model that learnt from no rows (every label is null, held out or of
+    no document), or from so few that no slot has a weight, gives all texts
+    one score and tells none apart: all rows are kept then.
+    """
+    model = fit(docs, labels, bits, most_rows)
+    if not len(model[0]):
+        return docs
+    values = _scorer(docs, model, bits)
     plain = docs.toDF(*(f"c{k}" for k in range(len(docs.columns))))  # any names may stand in ``docs``
     text = f"c{docs.columns.index('text')}"
 

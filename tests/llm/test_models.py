@@ -53,6 +53,23 @@ def test_toxicity_edges(spark, odd_docs, odd_rows, no_docs, labelled):
     assert kept.columns == odd_docs.columns
 
 
+def test_toxicity_stage_without_usable_labels(spark, odd_docs, odd_rows, labelled, tmp_path):
+    import corpus_pipeline
+
+    _, labels, _ = labelled
+    unusable = {
+        "empty": labels.limit(0),
+        "null": labels.selectExpr("doc_id", "quality", "cast(null as int) as toxic"),
+        "held": labels.where(toxicity.held_out("doc_id")),
+        "other": labels.selectExpr("doc_id + 100000 as doc_id", "quality", "toxic"),
+        "one": spark.createDataFrame([(3, 0, 1)], labels.schema),
+    }
+    for name, table in unusable.items():
+        table.write.parquet(f"{tmp_path}/{name}/labels.parquet")
+        kept = corpus_pipeline.toxicity(spark, odd_docs, f"{tmp_path}/{name}")
+        assert kept.columns == odd_docs.columns and sorted(map(str, kept.collect())) == sorted(map(str, odd_docs.collect())), name
+
+
 def test_resampling(labelled):
     docs, labels, truth = labelled
     rows = resampling.resample(docs, labels, keep=0.8).collect()
