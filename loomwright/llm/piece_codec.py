@@ -19,6 +19,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from loomwright.llm.bytesets import Units, blocks, ragged, text_batches, text_bytes
@@ -27,6 +28,9 @@ SPACE = "▁"
 _NONE = np.int64(1) << 40
 _CACHE_UNITS = 400_000
 _LONG_UNIT = 192
+_PLACE_BITS = 20  # of a symbol's place in one agenda of many units
+_AGENDA_UNITS = 15_000
+_WHOLE_CHARS = 1 << 20  # texts of this length or more are checked by their units alone
 
 
 class PairTable:
@@ -166,8 +170,10 @@ class MergeVocabulary:
         return self.ids(np.array(sym, np.int64)[keep], points[keep])
 
     def agenda_many(self, texts: list[str]) -> list[np.ndarray]:
-        """The agendas of many short units at once: each round merges the best pair of every unit."""
+        """The agendas of many short units at once, of 2**20 characters at most: each round merges the best pair of every unit."""
         points = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32).astype(np.int64)
+        if len(points) > 1 << _PLACE_BITS:
+            raise ValueError("more symbols than places")
         size = np.array([len(t) for t in texts])
         sym, owner = self.chars[points], np.repeat(np.arange(len(texts)), size)
         done_sym, done_point, done_owner = [], [], []
@@ -176,18 +182,18 @@ class MergeVocabulary:
         joined[inner] = self.table(sym[inner], sym[inner + 1])
         while len(sym):
             starts = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
-            order = np.where(joined >= 0, self.rank[joined], _NONE) * (1 << 20) + np.arange(len(sym))
+            order = np.where(joined >= 0, self.rank[joined], _NONE) * (1 << _PLACE_BITS) + np.arange(len(sym))
             best = np.minimum.reduceat(order, starts)
-            open_ = best < _NONE * (1 << 20)
+            open_ = best < _NONE * (1 << _PLACE_BITS)
             runs = np.diff(starts, append=len(sym))
             if not open_.all():
                 live = np.repeat(open_, runs)
                 done_sym.append(sym[~live]), done_point.append(points[~live]), done_owner.append(owner[~live])
                 moved = np.cumsum(live) - 1
-                best = moved[best[open_] & ((1 << 20) - 1)]
+                best = moved[best[open_] & ((1 << _PLACE_BITS) - 1)]
                 sym, points, owner, joined = sym[live], points[live], owner[live], joined[live]
             else:
-                best &= (1 << 20) - 1
+                best &= (1 << _PLACE_BITS) - 1
             if not len(sym):
                 break
             sym[best] = joined[best]
@@ -222,10 +228,14 @@ class MergeVocabulary:
             texts = [units[k].decode() for k in new]
             short = [k for k, t in enumerate(texts) if 0 < len(t) <= _LONG_UNIT]
             got: list[np.ndarray] = [np.zeros(0, np.int64)] * len(texts)
-            for a in range(0, len(short), 60_000 // 4):
-                part = short[a : a + 60_000 // 4]
+            ends = np.cumsum([len(texts[k]) for k in short])
+            a = 0
+            while a < len(short):  # as many units as there are places for their characters
+                z = min(a + _AGENDA_UNITS, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + (1 << _PLACE_BITS), "right")))
+                part = short[a:z]
                 for k, ids in zip(part, self.agenda_many([texts[k] for k in part]), strict=True):
                     got[k] = ids
+                a = z
             for k, t in enumerate(texts):
                 if len(t) > _LONG_UNIT:
                     got[k] = self.agenda_one(t)
@@ -348,13 +358,16 @@ def encode_texts(docs: DataFrame, model: str, id_column: str = "doc_id", text_co
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(model)
         for whole in batches:
-            for k, batch in enumerate(text_batches(whole, text_column, 4 << 20)):
+            checked = False
+            for batch in text_batches(whole, text_column, 4 << 20):
                 column = batch.column(text_column)
                 ids, bounds = vocab.encode(column, end)
-                if not k:  # a whole text of each Arrow batch, against the library
-                    text = (column[0].as_py() or "")[: 1 << 20]
-                    if len(text) < 1 << 20 and vocab.library.encode(text, add_eos=end) != ids[: bounds[1]].tolist():
-                        raise AssertionError(f"the library gives other ids for {text[:200]!r}")
+                if not checked:  # a whole text of each Arrow batch, against the library: the first that is neither empty nor too long
+                    sizes = pc.fill_null(pc.utf8_length(column), 0).to_numpy(zero_copy_only=False)
+                    for row in np.flatnonzero((sizes > 0) & (sizes < _WHOLE_CHARS))[:1].tolist():
+                        text, checked = column[row].as_py(), True
+                        if vocab.library.encode(text, add_eos=end) != ids[bounds[row] : bounds[row + 1]].tolist():
+                            raise AssertionError(f"the library gives other ids for {text[:200]!r}")
                 lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids))
                 yield pa.RecordBatch.from_arrays([batch.column(id_column), lists, pa.array(vocab.decode(ids, bounds), pa.string())], ["doc_id", "ids", "decoded"])
 

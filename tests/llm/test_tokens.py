@@ -35,6 +35,39 @@ def test_ids_and_texts_equal_the_library(vocab):
     assert vocab.decode(ids, bounds) == vocab.library.decode(want)
 
 
+@pytest.mark.parametrize("lines,letters", [(29_000, 70), (20_000, 100)])
+def test_a_block_of_long_units(lines, letters):
+    """15,000 units of over 70 characters have more symbols than one agenda has places."""
+    vocab, pick = MergeVocabulary(PIECES), random.Random(8)
+    text = "\n".join("".join(pick.choices("ACGTacgt", k=letters)) for _ in range(lines))
+    ids, _ = vocab.encode(pa.array([text]), end=False)
+    assert ids.tolist() == vocab.library.encode(text)
+
+
+def test_one_whole_text_of_each_batch_is_checked(spark, monkeypatch, vocab):
+    """An empty or very long first text does not take the place of the one that is checked."""
+    from loomwright.llm import piece_codec
+
+    docs = spark.createDataFrame([(0, None), (1, "a\n" * (1 << 19)), (2, "short text")], "doc_id long, text string").coalesce(1)
+    seen = []
+
+    class Library:
+        def encode(self, text, **more):
+            if isinstance(text, str):
+                seen.append(text)
+            return vocab.library.encode(text, **more)
+
+    proxy = MergeVocabulary(PIECES)
+    proxy.library = Library()
+    monkeypatch.setitem(piece_codec._loaded, PIECES, proxy)
+    plan = []
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, run, schema: plan.append(run))
+    encode_texts(docs, PIECES)
+    table = pa.table({"doc_id": [0, 1, 2], "text": pa.array([None, "a\n" * (1 << 19), "short text"])})
+    out = list(plan[0](iter(table.to_batches())))
+    assert seen == ["short text"] and sum(b.num_rows for b in out) == 3
+
+
 def test_decode_of_any_ids(vocab):
     pick = random.Random(3)
     runs = [[pick.choice([pick.randrange(3, 32000), pick.randrange(3, 259)]) for _ in range(pick.randint(1, 12))] for _ in range(500)]
