@@ -240,7 +240,7 @@ def nearest_asof(spark, sf_dir):
 
 @query()
 def region_packing(spark, sf_dir):
-    return activity.pack_regions(regions(spark, sf_dir), "user_id", 259_200)
+    return activity.pack_levels(regions(spark, sf_dir), seconds(spark, sf_dir), "user_id", 259_200, 86_400, "t", "value")
 
 
 @query("WITH" + _REGIONS + """, o AS (SELECT *, max("end") OVER (PARTITION BY user_id ORDER BY "start", "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM r),

@@ -92,6 +92,30 @@ def test_intervals(spark):
     assert [(r.start, r.end, r.n) for r in packed] == [(0, 9, 2), (11, 30, 1), (31, 33, 1)]
 
 
+def test_packing_cuts_long_regions_where_it_is_quiet(spark):
+    levels = [(t, 5.0 + t % 3 - 4 * (t in (17, 24, 26))) for t in range(34)]
+    regions = frame(spark, [(0, 4), (5, 9), (11, 30), (31, 33)])
+    rows = spark.createDataFrame([(k, *x) for k in "ab" for x in levels] + [("a", 18, None), ("c", 3, 1.0)], "k string, t long, v double")
+    got = {}
+    for r in activity.pack_levels(regions, rows, "k", 10, 4, "t", "v").orderBy("k", "chunk").collect():
+        got.setdefault(r.k, []).append((r.start, r.end, r.n))
+    assert got["a"] == [(0, 9, 2), (11, 17, 1), (17, 24, 1), (24, 33, 2)]
+    # no regions: cut all over, each cut at the least level from 4 after the last one until before 10
+    assert [b for _, b, _ in got["b"]][-1] == 33 and all(b - a <= 10 and n == 0 for a, b, n in got["b"])
+    assert [a for a, _, _ in got["b"]] == [0, *(b for _, b, _ in got["b"][:-1])] and {17, 24} <= {a for a, _, _ in got["b"]}
+    assert got["c"] == [(3, 3, 0)]
+    flat = spark.createDataFrame([("a", t, 1.0) for t in range(34)], "k string, t long, v double")
+    cuts = activity.pack_levels(frame(spark, [(0, 25)]), flat, "k", 10, 4, "t", "v").orderBy("chunk").collect()
+    assert [(r.start, r.end) for r in cuts] == [(0, 10), (10, 20), (20, 25)]
+
+
+def test_region_packing_query_keeps_the_budget(spark, sf):
+    from loomwright.plans import catalogue
+
+    rows = catalogue.QUERIES["region_packing"](spark, sf).collect()
+    assert rows and all(0 <= r.end - r.start <= 259_200 for r in rows)
+
+
 def test_overlaps(spark):
     rng = np.random.default_rng(2)
     left = sorted({(int(a), int(a + d)) for a, d in zip(rng.integers(0, 300, 40), rng.integers(1, 90, 40))})
