@@ -1,44 +1,111 @@
-"""Written steps, exact global ranks and quantiles without a single-task sort."""
+"""Written steps, row ids that hold across reads, exact global ranks and quantiles without a single-task sort."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-_ROW_BITS = 33  # low bits of monotonically_increasing_id count rows of a partition (fixed by Spark)
+#: Low bits of monotonically_increasing_id that count rows of a partition (fixed by Spark).
+ROW_BITS = 33
+#: Low bits of a row id that count rows of a file; the bits above number the files.
+FILE_ROW_BITS = 40
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder for written steps: spark.checkpoint.dir where the cluster names it, else a temporary one."""
-    sc = spark.sparkContext
+    """Folder for written steps: spark.checkpoint.dir where it is set; else the warehouse, and only in local mode a temporary folder."""
     if named := spark.conf.get("spark.checkpoint.dir", None):
         return named.rstrip("/")
-    if sc.getCheckpointDir() is None:
+    sc = spark.sparkContext
+    if (known := sc.getCheckpointDir()) is not None:
+        return known.rstrip("/")
+    if sc.master == "local" or sc.master.startswith("local["):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="loomwright-"))
-    return sc.getCheckpointDir().rstrip("/")
+        return sc.getCheckpointDir().rstrip("/")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/loomwright-steps"
 
 
 def written(df: DataFrame) -> DataFrame:
+    """``df`` as Parquet in the shared folder, read back: a lost executor costs no recomputation, and nothing before it is computed twice."""
     path = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def with_rank(df: DataFrame, order: list[Column], name: str) -> DataFrame:
-    """1-based global row number in ``order``: a range sort, then one offset for each partition."""
+def quoted(name: str) -> Column:
+    """The column of that name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def fresh(df: DataFrame, stem: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while stem.lower() in taken:
+        stem = f"_{stem}"
+    return stem
+
+
+def plain_scan(df: DataFrame) -> bool:
+    """True where ``df`` is one scan of files under projections and filters of deterministic expressions: each read gives the same rows."""
+
+    def plain(node) -> bool:
+        kids = node.children()
+        if kids.size() == 0:
+            return node.nodeName() == "LogicalRelation"
+        return node.nodeName() in ("Project", "Filter", "SubqueryAlias") and node.deterministic() and kids.size() == 1 and plain(kids.apply(0))
+
+    return plain(df._jdf.queryExecution().analyzed())
+
+
+def with_row_ids(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with a long that identifies each row and is the same in every read, however the files are split over tasks.
+
+    The id is the number of the row's file and the row's place in it, both of
+    which Parquet readers know. Anything but a plain scan of Parquet files is
+    written first, all columns as they are.
+    """
+
+    def located(t: DataFrame) -> DataFrame:
+        where = t.metadataColumn("_metadata")
+        return t.select("*", where["file_path"].alias(path), where["row_index"].alias(place))
+
+    path, place = fresh(df, f"{name}_path"), fresh(df, f"{name}_place")
+    try:
+        if not plain_scan(df):
+            raise AnalysisException("not a plain scan")
+        rows = located(df)
+    except AnalysisException:  # another plan, or files of a kind that knows no row numbers
+        plain = written(df.toDF(*(f"c{k}" for k in range(len(df.columns)))))  # Parquet takes no odd or repeated names
+        rows = located(plain).toDF(*df.columns, path, place)
+    # one row for each file: as many as the driver lists for the scan itself
+    number = f"{name}_file"
+    files = written(rows.select(path).distinct().withColumn(number, F.row_number().over(Window.orderBy(path))))
+    found = rows.join(files, path).withColumn(name, F.shiftleft(F.col(number).cast("long"), FILE_ROW_BITS) + F.col(place))
+    return found.select(*(quoted(c) for c in df.columns), name)
+
+
+def with_rank(df: DataFrame, order: list[Column], name: str, first: int = 1) -> DataFrame:
+    """Global row number in ``order`` from ``first`` on: a range sort, then one offset for each partition.
+
+    Only one count per partition is gathered, never the rows. ``order`` must
+    be total for the ranks to be the same in each run. The range sort reads
+    its input twice, so what is not yet a table is written first.
+    """
     spark = df.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    part, start = fresh(df, "_part"), fresh(df, "_start")
+    df = df if plain_scan(df) else written(df)
     done = written(df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn(name, F.monotonically_increasing_id()))
-    part = F.shiftright(F.col(name), _ROW_BITS)
-    rows, start = [], 1
-    for p, m in sorted((r[0], r[1]) for r in done.groupBy(part.alias("p")).count().collect()):
-        rows.append((p, start))
-        start += m
-    offsets = F.broadcast(spark.createDataFrame(rows, "_part long, _start long"))  # a row for each partition
-    return done.join(offsets, part == F.col("_part")).withColumn(name, F.col("_start") + F.col(name).bitwiseAND((1 << _ROW_BITS) - 1)).drop("_part", "_start")
+    of = F.shiftright(F.col(name), ROW_BITS)
+    rows, at = [], first
+    for p, m in sorted((r[0], r[1]) for r in done.groupBy(of.alias("p")).count().collect()):
+        rows.append((p, at))
+        at += m
+    offsets = F.broadcast(spark.createDataFrame(rows, f"{part} long, {start} long"))  # a row for each partition
+    return done.join(offsets, of == F.col(part)).withColumn(name, F.col(start) + F.col(name).bitwiseAND((1 << ROW_BITS) - 1)).drop(part, start)
 
 
 def quantiles(df: DataFrame, column: str, points: list[float]) -> list[float] | None:
