@@ -60,28 +60,33 @@ def plain_scan(df: DataFrame) -> bool:
     return plain(df._jdf.queryExecution().analyzed())
 
 
+def _located(df: DataFrame, path: str, place: str) -> DataFrame:
+    where = df.metadataColumn("_metadata")
+    return df.select("*", where["file_path"].alias(path), where["row_index"].alias(place))
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """``df`` itself where it is a plain scan of files that know their row numbers (Parquet), else a written copy with the same columns."""
+    if plain_scan(df):
+        try:
+            _located(df, fresh(df, "path"), fresh(df, "place"))
+            return df
+        except AnalysisException:  # files of another kind
+            pass
+    plain = written(df.toDF(*(f"c{k}" for k in range(len(df.columns)))))  # Parquet takes no odd or repeated names
+    return plain.toDF(*df.columns)
+
+
 def with_row_ids(df: DataFrame, name: str) -> DataFrame:
     """``df`` with a long that identifies each row and is the same in every read, however the files are split over tasks.
 
-    The id is the number of the row's file and the row's place in it, both of
-    which Parquet readers know. Anything but a plain scan of Parquet files is
-    written first, all columns as they are.
+    The id is the number of the row's file and the row's place in it. Two
+    calls agree where both get the same settled table (:func:`settled`).
     """
-
-    def located(t: DataFrame) -> DataFrame:
-        where = t.metadataColumn("_metadata")
-        return t.select("*", where["file_path"].alias(path), where["row_index"].alias(place))
-
-    path, place = fresh(df, f"{name}_path"), fresh(df, f"{name}_place")
-    try:
-        if not plain_scan(df):
-            raise AnalysisException("not a plain scan")
-        rows = located(df)
-    except AnalysisException:  # another plan, or files of a kind that knows no row numbers
-        plain = written(df.toDF(*(f"c{k}" for k in range(len(df.columns)))))  # Parquet takes no odd or repeated names
-        rows = located(plain).toDF(*df.columns, path, place)
+    df = settled(df)
+    path, place, number = (fresh(df, f"{name}_{x}") for x in ("path", "place", "file"))
+    rows = _located(df, path, place)
     # one row for each file: as many as the driver lists for the scan itself
-    number = f"{name}_file"
     files = written(rows.select(path).distinct().withColumn(number, F.row_number().over(Window.orderBy(path))))
     found = rows.join(files, path).withColumn(name, F.shiftleft(F.col(number).cast("long"), FILE_ROW_BITS) + F.col(place))
     return found.select(*(quoted(c) for c in df.columns), name)
