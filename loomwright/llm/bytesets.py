@@ -13,10 +13,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 BLOCK = 2 << 20
-_LONGEST = 4096
+_TABLED = 4096
 _rng = np.random.Generator(np.random.PCG64(20240229))
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
-_PLACE = _rng.integers(1, 2**63, _LONGEST, dtype=np.uint64) | np.uint64(1)
+_PLACE = _rng.integers(1, 2**63, _TABLED, dtype=np.uint64) | np.uint64(1)  # weights of the first places of a unit
 WHITE = np.zeros(256, bool)
 WHITE[[9, 10, 11, 12, 13, 32]] = True
 #: White space of Unicode beyond ASCII, the bytes of each character as one number.
@@ -45,6 +45,16 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def weights(place: np.ndarray) -> np.ndarray:
+    """An odd weight for each place of a unit, however long the unit is."""
+    if not len(place) or place.max() < _TABLED:
+        return _PLACE[place]
+    far = place >= _TABLED
+    out = _PLACE[np.where(far, 0, place)]
+    out[far] = mix(place[far].astype(np.uint64) ^ np.uint64(0x5DEECE66D1B4F0A3)) | np.uint64(1)
+    return out
+
+
 def blocks(data: np.ndarray, offsets: np.ndarray, cut: Callable[[np.ndarray], np.ndarray], size: int = BLOCK) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(bytes, starts of the pieces in them, row of each piece), at most about ``size`` bytes at once.
 
@@ -117,15 +127,15 @@ class Units:
             return np.zeros(0, np.uint64)
         table = np.where(WHITE, np.uint64(0), _BYTE) if self.bare else _BYTE
         v = table[self.data[self.first :]]
-        v *= _PLACE[self.place % _LONGEST if len(self.place) and self.place.max() >= _LONGEST else self.place]
+        v *= weights(self.place)
         h = np.add.reduceat(v, self.at - self.first)
         return mix(h + self.size.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
-    def distinct(self) -> tuple[np.ndarray, np.ndarray]:
+    def distinct(self, h: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(an index of each distinct unit, for each unit the number of its distinct one); equal hashes are checked byte by byte."""
         if not len(self.at):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        h = self.hashes()
+        h = self.hashes() if h is None else h
         order = np.argsort(h)
         ordered = h[order]
         new = np.append(True, ordered[1:] != ordered[:-1])
@@ -148,14 +158,119 @@ class Units:
             first = np.unique(inverse, return_index=True)[1]
         return first, inverse
 
+    def bytes_of(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of these units one after another, and their sizes."""
+        return ragged(self.data, self.at[which], self.size[which]), self.size[which]
+
     def take(self, which: np.ndarray) -> list[bytes]:
         raw = self.data.tobytes()
         return [raw[a : a + n] for a, n in zip(self.at[which].tolist(), self.size[which].tolist(), strict=True)]
 
 
-def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all words of a column, and the n+1 offsets of its rows among them."""
+class UnitCache:
+    """Ids of units seen before, in flat arrays: open addressing by hash, bytes compared with the stored ones, ids in one buffer.
+
+    Holds ``most`` units at most; what comes after is not kept, which
+    changes no result. Two units with one hash are told apart by their
+    bytes, and only the first of them is kept.
+    """
+
+    def __init__(self, most: int, longest: int = 63):
+        self.most, self.longest, self.n = most, longest, 0
+        self.bits = 12
+        self.slots = np.full(1 << self.bits, -1, np.int32)
+        self.keys = np.zeros(1 << 11, np.uint64)
+        self.start = np.zeros((1 << 11, 2), np.int64)  # of a unit's bytes and of its ids
+        self.size = np.zeros((1 << 11, 2), np.int32)
+        self.raw, self.ids = np.zeros(1 << 14, np.uint8), np.zeros(1 << 13, np.int32)
+        self.used = [0, 0]
+
+    def _slot(self, h: np.ndarray) -> np.ndarray:
+        return (h >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, h: np.ndarray, raw: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Number of each unit (hash, its bytes in ``raw`` one after another, sizes), -1 where it is not known."""
+        found = self.with_hash(h)
+        known = np.flatnonzero(found >= 0)
+        other = self.size[found[known], 0] != size[known]
+        found[known[other]] = -1
+        known = known[~other]
+        if len(known):
+            starts = np.cumsum(size) - size
+            unequal = ragged(raw, starts[known], size[known]) != ragged(self.raw, self.start[found[known], 0], size[known])
+            bad = np.add.reduceat(unequal, np.cumsum(size[known]) - size[known], dtype=np.int64) > 0
+            found[known[bad]] = -1
+        return found
+
+    def _grown(self, a: np.ndarray, n: int) -> np.ndarray:
+        if n <= len(a):
+            return a
+        out = np.zeros((max(n, 2 * len(a)), *a.shape[1:]), a.dtype)
+        out[: len(a)] = a
+        return out
+
+    def _seat(self, numbers: np.ndarray) -> None:
+        """Puts stored units, of different hashes, into free slots."""
+        at, mask = self._slot(self.keys[numbers]), (1 << self.bits) - 1
+        while len(numbers):
+            free = self.slots[at] < 0
+            self.slots[at[free]] = numbers[free]
+            left = self.slots[at] != numbers
+            at, numbers = (at[left] + 1) & mask, numbers[left]
+
+    def add(self, h: np.ndarray, raw: np.ndarray, size: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
+        """Keeps units that ``find`` did not know, as far as there is room."""
+        _, first = np.unique(h, return_index=True)
+        first = first[(size[first] > 0) & (size[first] <= self.longest)]
+        first = first[self.with_hash(h[first]) < 0][: self.most - self.n]
+        if not len(first):
+            return
+        n, m = self.n, self.n + len(first)
+        self.keys, self.start, self.size = self._grown(self.keys, m), self._grown(self.start, m), self._grown(self.size, m)
+        for k, (flat, sizes) in enumerate(((raw, size), (ids, counts))):
+            part = ragged(flat, (np.cumsum(sizes) - sizes)[first], sizes[first])
+            held = self._grown(self.raw if k == 0 else self.ids, self.used[k] + len(part))
+            held[self.used[k] : self.used[k] + len(part)] = part
+            self.start[n:m, k] = self.used[k] + np.cumsum(sizes[first]) - sizes[first]
+            self.size[n:m, k] = sizes[first]
+            self.used[k] += len(part)
+            if k == 0:
+                self.raw = held
+            else:
+                self.ids = held
+        self.keys[n:m] = h[first]
+        self.n = m
+        if 2 * m > 1 << self.bits:
+            while 2 * m > 1 << self.bits:
+                self.bits += 1
+            self.slots = np.full(1 << self.bits, -1, np.int32)
+            self._seat(np.arange(m, dtype=np.int32))
+        else:
+            self._seat(np.arange(n, m, dtype=np.int32))
+
+    def with_hash(self, h: np.ndarray) -> np.ndarray:
+        """Number of the unit kept under each hash, -1 where there is none."""
+        at, mask = self._slot(h), (1 << self.bits) - 1
+        found = self.slots[at].astype(np.int64)
+        left = np.flatnonzero((found >= 0) & (self.keys[found] != h))
+        while len(left):
+            at[left] = (at[left] + 1) & mask
+            found[left] = self.slots[at[left]]
+            left = left[(found[left] >= 0) & (self.keys[found[left]] != h[left])]
+        return found
+
+
+#: ASCII letters in lower case, ASCII punctuation as spaces, all else as it is.
+PLAIN = np.arange(256, dtype=np.uint8)
+PLAIN[65:91] += 32
+PLAIN[[c for c in range(33, 127) if not chr(c).isalnum()]] = 32
+
+
+def word_hashes(column: pa.Array, as_: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words of a column, and the n+1 offsets of its rows among them; ``as_``: what each byte is read as."""
     data, offsets = text_bytes(column)
+    if as_ is not None:
+        data, offsets = as_[data[offsets[0] : offsets[-1]]], offsets - offsets[0]
     parts, counts = [], np.zeros(len(offsets) - 1, np.int64)
     for b, pieces, rows in blocks(data, offsets, lambda x: WHITE[x]):
         u = Units(b, pieces, word_starts, True)

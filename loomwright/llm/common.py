@@ -2,80 +2,20 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Low bits of monotonically_increasing_id that count rows within a partition (fixed by Spark).
-ROW_BITS = 33
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """Folder for cut lineage: spark.checkpoint.dir where the cluster names it, else a temporary one (tests)."""
-    sc = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="loomwright-"))
-    return sc.getCheckpointDir().rstrip("/")
-
-
-def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it back, so that a lost executor costs no recomputation."""
-    path = f"{shared_dir(df.sparkSession)}/step-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
+from loomwright.functions.tables import fresh, quoted, settled, shared_dir, with_rank, with_row_ids
+from loomwright.functions.tables import written as materialise
 
-def quoted(name: str) -> Column:
-    """The column of that name, whatever characters it has."""
-    return F.col("`" + name.replace("`", "``") + "`")
+__all__ = ["fresh", "materialise", "quoted", "ranked", "settled", "shared_dir", "text_rows", "with_row_ids"]
 
 
-def fresh(df: DataFrame, stem: str) -> str:
-    """A column name that ``df`` does not have."""
-    taken = {c.lower() for c in df.columns}
-    while stem.lower() in taken:
-        stem = f"_{stem}"
-    return stem
-
-
-def rereadable(df: DataFrame) -> DataFrame:
-    """``df`` itself when it is a plain scan, which gives the same rows in the same order each time; else a written copy.
-
-    Row ids from monotonically_increasing_id are only safe across several
-    reads when no shuffle can change the order of rows between them.
-    """
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    plain = re.fullmatch(r"(?:\s*[:+\-| ]*(?:Project|Relation|Filter)[^\n]*\n?)+", plan)
-    return df if plain else materialise(df)
-
-
-def text_rows(docs: DataFrame, *more: str) -> DataFrame:
-    """Rows ``rid, doc_id, text`` (and ``more``), null text read as empty; ``rid`` is the same in each read of the result."""
-    docs = rereadable(docs)
-    cols = [quoted(c) for c in more]
-    return docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *cols)
+def text_rows(docs: DataFrame) -> DataFrame:
+    """Rows ``rid, doc_id, text``, null text read as empty; ``rid`` is the same in each read of the result."""
+    return with_row_ids(docs.select("doc_id", F.col("text").cast("string").alias("text")), "rid").select("rid", "doc_id", F.coalesce("text", F.lit("")).alias("text"))
 
 
 def ranked(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
-    """``df`` with its global 0-based rank in ``order``: a range sort, then the offsets of the partitions.
-
-    Only one count per partition is gathered, never the rows. ``order`` must
-    be total for the ranks to be the same in each run. The result is read
-    from a written table.
-    """
-    spark, n = df.sparkSession, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    done = materialise(df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn(name, F.monotonically_increasing_id()))
-    part = F.shiftright(F.col(name), ROW_BITS)
-    counts = sorted((r["p"], r["n"]) for r in done.groupBy(part.alias("p")).agg(F.count("*").alias("n")).collect())
-    start, rows = 0, []
-    for p, m in counts:
-        rows.append((p, start))
-        start += m
-    offsets = spark.createDataFrame(rows, "_part long, _start long")  # one row for each partition
-    return done.withColumn("_p", part).join(F.broadcast(offsets), F.col("_p") == F.col("_part"), "left").withColumn(name, F.col("_start") + F.col(name).bitwiseAND((1 << ROW_BITS) - 1)).drop("_p", "_part", "_start")
+    """``df`` with its global 0-based rank in ``order``, which must be total for ranks to be the same in each run."""
+    return with_rank(df, order, name, 0)

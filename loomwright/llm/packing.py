@@ -17,12 +17,13 @@ import bisect
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomwright.llm.bytesets import text_batches
-from loomwright.llm.common import materialise, ranked, text_rows
+from loomwright.llm.common import fresh, materialise, quoted, ranked
 from loomwright.llm.token_counts import counter
 
 CAPACITY = 4096
@@ -69,7 +70,7 @@ def best_fit(counts: dict[int, int], capacity: int) -> tuple[np.ndarray, np.ndar
     rank = opened = 0
 
     def put(size: int, first: int, n: int) -> None:
-        if size > 0:
+        if size > 0 and n > 0:
             if size not in gaps:
                 gaps[size] = []
                 bisect.insort(sizes, size)
@@ -82,18 +83,24 @@ def best_fit(counts: dict[int, int], capacity: int) -> tuple[np.ndarray, np.ndar
             if at < len(sizes):  # the successors of this length
                 size = sizes[at]
                 first, n = gaps[size].pop()
-                m = min(n, left)
-                if m < n:
-                    gaps[size].append((first + m, n - m))
-                elif not gaps[size]:
+                if not gaps[size]:
                     del gaps[size], sizes[at]
             else:
-                size, m = capacity, -(-left // (capacity // length))
-                first, opened = opened, opened + m
-            runs.append((rank, first, capacity - size))
-            put(size - length, first, m)
-            rank += m
-            left -= m
+                size, first, n = capacity, opened, -(-left // (capacity // length))
+                opened += n
+            each = size // length  # an updated gap is the nearest successor again, so each is filled up
+            full = min(n, left // each)
+            layers = [(full, each)]
+            if full < n and left - full * each:  # the last one takes what is left
+                layers.append((1, left - full * each))
+            for m, deep in layers:
+                for k in range(deep if m else 0):
+                    runs.append((rank, first, capacity - size + k * length))
+                    rank += m
+                    left -= m
+                put(size - deep * length, first, m)
+                first, n = first + m, n - m
+            put(size, first, n)
     found = np.array(runs, np.int64).reshape(-1, 3)
     return found[:, 0], found[:, 1], found[:, 2]
 
@@ -102,25 +109,30 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, order: tuple[str, ...] = (
     """``pieces`` (with ``length`` of 1 to ``capacity``) and, for each, ``sequence_id`` and ``offset``.
 
     Sequences are gapless from offset 0. Ties in ``order`` are broken by the
-    range sort; extra columns are carried along. An empty table gives none.
+    range sort; extra columns are carried along, whatever their names. An
+    empty table gives none.
     """
     pieces = materialise(pieces)
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most ``capacity`` rows
     if counts and not 0 < min(counts) <= max(counts) <= capacity:
         raise ValueError(f"lengths must be from 1 to {capacity}")
-    ranks, firsts, offsets = best_fit(counts, capacity)
-    lengths = np.array(sorted(counts, reverse=True), np.int64)
-    begins = np.cumsum([0, *(counts[n] for n in lengths.tolist())])
-    of_run = lengths[np.searchsorted(begins, ranks, "right") - 1] if len(ranks) else ranks
-    rows = list(zip(of_run.tolist(), ranks.tolist(), [*ranks[1:].tolist(), int(begins[-1])], firsts.tolist(), offsets.tolist(), strict=True)) if len(ranks) else []
-    # bounded by the capacity: each step uses up a length or a run of gaps
-    runs = F.broadcast(pieces.sparkSession.createDataFrame(rows, "_length long, _from long, _to long, _first long, _at long"))
-    sorted_ = ranked(pieces, [F.col("length").desc(), *(F.col(c) for c in order)], "_rank")
-    placed = sorted_.join(runs, (F.col("length") == F.col("_length")) & (F.col("_rank") >= F.col("_from")) & (F.col("_rank") < F.col("_to")))
-    return placed.select(*pieces.columns, (F.col("_first") + F.col("_rank") - F.col("_from")).alias("sequence_id"), F.col("_at").alias("offset"))
+    # the runs are bounded by the capacity: each step uses up a length or a run of gaps
+    runs = pieces.sparkSession.sparkContext.broadcast(best_fit(counts, capacity))
+
+    @F.pandas_udf("sequence_id long, offset long")
+    def placed(rank: pd.Series) -> pd.DataFrame:
+        begins, sequences, offsets = runs.value
+        at = rank.to_numpy(np.int64)
+        run = np.searchsorted(begins, at, "right") - 1
+        return pd.DataFrame({"sequence_id": sequences[run] + at - begins[run], "offset": offsets[run]})
+
+    rank = fresh(pieces, "_rank")
+    place = fresh(pieces, "_place")
+    sorted_ = ranked(pieces, [F.col("length").desc(), *(quoted(c) for c in order)], rank).withColumn(place, placed(rank))
+    return sorted_.select(*(quoted(c) for c in pieces.columns), F.col(f"{place}.sequence_id"), F.col(f"{place}.offset"))
 
 
 def pack_documents(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = True) -> DataFrame:
     """:func:`token_pieces` packed; with the ids of each piece, or with their ``ids_crc32`` alone."""
-    pieces = token_pieces(text_rows(docs), vocabulary, capacity, end_id)
+    pieces = token_pieces(docs, vocabulary, capacity, end_id)
     return pack(pieces if with_ids else pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")), capacity)

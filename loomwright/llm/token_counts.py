@@ -23,11 +23,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from loomwright.llm.bytesets import Units, blocks, ragged, spaced_starts, text_batches, text_bytes, word_starts
+from loomwright.llm.bytesets import UnitCache, Units, blocks, ragged, spaced_starts, text_batches, text_bytes, word_starts
 
 CHUNK_CHARS = 1 << 16
 OVERLAP_CHARS = 1 << 10
-_CACHE_UNITS = 600_000
+_CACHE_UNITS = 1_500_000
+_MOST_JOINED = 4000
 #: Pre-tokenizer patterns (fixed values) in which a match never holds white space after something else.
 _KNOWN = {
     "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+": True,  # white space is dropped
@@ -54,27 +55,73 @@ class Counter:
         self.bare = plain and _KNOWN.get(pattern, False)  # units are words alone
         self.spaced = plain and norm is None and pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space")
         self.mark, self.mark_id = next(((t["content"].encode(), t["id"]) for t in added if plain and t["special"] and not t["normalized"]), (None, -1))
-        self.cache: dict[bytes, bytes] = {}
+        self.cache = UnitCache(_CACHE_UNITS)
+        self.apart = self._separator() if self.bare else None
 
     def encode_whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
 
-    def encode_units(self, raw: list[bytes]) -> list[bytes]:
-        """Ids (32-bit, as bytes) of many short units: they are joined by an added token, which separates as the ends of a text do."""
-        if self.mark is None:
-            return [np.array(x, np.int32).tobytes() for x in self.encode_whole([x.decode() for x in raw])]
-        out: list[bytes] = []
-        for k in range(0, len(raw), 4000):
-            part = raw[k : k + 4000]
-            joined = self.mark.join(part)
-            if joined.count(self.mark) != len(part) - 1:  # a unit that holds the added token itself
-                out += [np.array(x, np.int32).tobytes() for x in self.encode_whole([x.decode() for x in part])]
-                continue
-            ids = np.array(self.tokenizer.encode(joined.decode(), add_special_tokens=False).ids, np.int32)
-            flat = ids.tobytes()
-            marks = (np.flatnonzero(ids == self.mark_id) * 4).tolist()
-            out += [flat[x:z] for x, z in zip([0, *(m + 4 for m in marks)], [*marks, len(flat)], strict=True)]
-        return out
+    def _separator(self) -> tuple[bytes, int] | None:
+        """An ASCII character that is one token whatever stands around it: words joined by it between spaces can be told apart again."""
+        for c in "~|^#":  # no other character is normalised to one of these
+            got = self.encode_whole([c, f"a {c} b", f"a{c}{c}b", f"a{c}b"])
+            if len(got[0]) == 1 and got[1].count(got[0][0]) == 1:
+                return c.encode(), got[0][0]
+        return None
+
+    def encode_units(self, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids one after another, how many each unit has) of many short units.
+
+        Many are handed to the library at once. Words (their white space is
+        dropped) are joined by a token of one character that none of them
+        holds, other units by an added token, which separates as the ends of
+        a text do.
+        """
+        flat: list[np.ndarray] = []
+        counts: list[np.ndarray] = []
+        for k in range(0, len(raw), _MOST_JOINED):
+            part = raw[k : k + _MOST_JOINED]
+            got = None
+            if self.apart is not None:
+                between, mark = self.apart
+                held = [x for x in part if between in x]
+                if not held:
+                    got = self._joined(b" " + between + b" ", part, mark)
+                elif len(held) < len(part):  # words that hold the character go by the other way
+                    got = self._merged(part, between)
+            if got is None and self.mark is not None:
+                got = self._joined(self.mark, part, self.mark_id)
+            if got is None:
+                ids = self.encode_whole([x.decode() for x in part])
+                got = np.array([i for x in ids for i in x], np.int32), np.array([len(x) for x in ids], np.int64)
+            flat.append(got[0])
+            counts.append(got[1])
+        return (np.concatenate(flat), np.concatenate(counts)) if flat else (np.zeros(0, np.int32), np.zeros(0, np.int64))
+
+    def _joined(self, between: bytes, part: list[bytes], mark: int) -> tuple[np.ndarray, np.ndarray] | None:
+        joined = between.join(part)
+        if joined.count(between.strip()) != len(part) - 1:
+            return None
+        ids = np.array(self.encode_whole([joined.decode()])[0], np.int32)
+        is_mark = ids == mark
+        ends = np.append(np.flatnonzero(is_mark), len(ids))
+        if len(ends) != len(part):
+            return None
+        return ids[~is_mark], np.diff(ends, prepend=-1) - 1
+
+    def _merged(self, part: list[bytes], between: bytes) -> tuple[np.ndarray, np.ndarray]:
+        out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for which in ([k for k, x in enumerate(part) if between not in x], [k for k, x in enumerate(part) if between in x]):
+            units = [part[k] for k in which]
+            got = self._joined(b" " + between + b" ", units, self.apart[1]) if not out else self._joined(self.mark, units, self.mark_id) if self.mark is not None else None
+            if got is None:
+                ids = self.encode_whole([x.decode() for x in units])
+                got = np.array([i for x in ids for i in x], np.int32), np.array([len(x) for x in ids], np.int64)
+            out.append((np.array(which), *got))
+        place = np.argsort(np.concatenate([o[0] for o in out]))
+        counts = np.concatenate([o[2] for o in out])
+        flat = np.concatenate([o[1] for o in out])
+        return ragged(flat, (np.cumsum(counts) - counts)[place], counts[place]), counts[place]
 
     def encode_huge(self, text: str, chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS) -> np.ndarray:
         """Ids of one long text from overlapping chunks; equal to encoding it at once."""
@@ -150,19 +197,22 @@ class Counter:
         starts = word_starts if self.bare else spaced_starts
         for b, pieces, rows in blocks(data, offsets, spaced_starts):
             u = Units(b, pieces, starts, self.bare)
-            first, inverse = u.distinct()
-            raw = u.take(first)
-            ids = [self.cache.get(x) for x in raw]
-            new = [k for k, x in enumerate(ids) if x is None]
-            room = _CACHE_UNITS - len(self.cache)
-            for k, got in zip(new, self.encode_units([raw[k] for k in new]), strict=True):
-                ids[k] = got
-                if room > 0 and len(raw[k]) < 64:
-                    self.cache[raw[k]] = got
-                    room -= 1
-            size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-            every = size[inverse]
-            part = ragged(np.frombuffer(b"".join(ids), np.int32), (np.cumsum(size) - size)[inverse], every)
+            h = u.hashes()
+            first, inverse = u.distinct(h)
+            h = h[first]
+            raw, size = u.bytes_of(first)
+            known = self.cache.find(h, raw, size)
+            new = np.flatnonzero(known < 0)
+            ids, counts = self.encode_units(u.take(first[new]))
+            every = np.zeros(len(first), np.int64)
+            begins = np.zeros(len(first), np.int64)
+            old = np.flatnonzero(known >= 0)
+            every[old], begins[old] = self.cache.size[known[old], 1], self.cache.start[known[old], 1]
+            every[new], begins[new] = counts, self.cache.used[1] + np.cumsum(counts) - counts
+            source = np.concatenate([self.cache.ids[: self.cache.used[1]], ids]) if len(old) else ids
+            begins -= 0 if len(old) else self.cache.used[1]
+            part, every = ragged(source, begins[inverse], every[inverse]), every[inverse]
+            self.cache.add(h[new], ragged(raw, (np.cumsum(size) - size)[new], size[new]), size[new], ids, counts)
             yield part, rows, np.diff(np.append(0, np.cumsum(every))[u.bounds])
 
 

@@ -9,7 +9,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from loomwright.llm.packing import best_fit, pack_documents, token_pieces
+from loomwright.llm.bytesets import UnitCache
+from loomwright.llm.packing import best_fit, pack, pack_documents, token_pieces
 from loomwright.llm.piece_codec import MergeVocabulary, encode_texts
 from loomwright.llm.queries import QUERIES, tokenizer_path
 from loomwright.llm.token_counts import Counter, count_tokens
@@ -201,3 +202,66 @@ def test_best_fit_is_tight():
             assert [o for o, _ in parts] == [sum(n for _, n in parts[:k]) for k in range(len(parts))]
             assert sum(n for _, n in parts) <= 100
         assert len(bins) <= 1.05 * sum(lengths) / 100 + 1
+
+
+def naive_best_fit(lengths, capacity):
+    """How many sequences the pieces take, the longest first, each into the fullest sequence that has room for it."""
+    room = []
+    for length in sorted(lengths, reverse=True):
+        fits = [k for k, r in enumerate(room) if r >= length]
+        if fits:
+            room[min(fits, key=lambda k: room[k])] -= length
+        else:
+            room.append(capacity - length)
+    return len(room), sorted(room)
+
+
+def test_best_fit_is_that_of_single_pieces():
+    pick = random.Random(6)
+    for capacity in (7, 30, 100):
+        for _ in range(40):
+            counts = defaultdict(int)
+            for _ in range(pick.randint(1, 120)):
+                counts[pick.randint(1, capacity)] += 1
+            ranks, firsts, offsets = best_fit(dict(counts), capacity)
+            lengths = [n for n in sorted(counts, reverse=True) for _ in range(counts[n])]
+            filled = defaultdict(int)
+            for rank, length in enumerate(lengths):
+                k = np.searchsorted(ranks, rank, "right") - 1
+                filled[firsts[k] + rank - ranks[k]] += length
+            assert (len(filled), sorted(capacity - x for x in filled.values())) == naive_best_fit(lengths, capacity)
+
+
+def test_pack_keeps_columns_of_any_name(spark):
+    names = ["doc_id", "piece", "length", "_rank", "_place", "_first", "_length", "_from", "_to", "_at", "_p", "_part", "_start", "a.b"]
+    pieces = spark.createDataFrame([(k, 0, 1 + k % 5, *range(11)) for k in range(40)], ", ".join(f"`{n}` long" for n in names))
+    rows = pack(pieces, 5)
+    assert rows.columns == [*names, "sequence_id", "offset"]
+    assert held(rows.collect(), 5) == 24
+
+
+def test_unit_cache_compares_bytes():
+    cache = UnitCache(5)
+    flat = lambda xs: np.frombuffer(b"".join(xs), np.uint8)
+    sizes = lambda xs: np.array([len(x) for x in xs])
+    h = np.array([1 << 60, 1 << 60, 5, 6], np.uint64)
+    units = [b"ab", b"cd", b"", b"x" * 70]
+    cache.add(h, flat(units), sizes(units), np.arange(8, dtype=np.int32), np.array([2, 2, 2, 2]))
+    assert cache.n == 1  # one of each hash, nothing empty, nothing long
+    assert cache.find(h, flat(units), sizes(units)).tolist() == [0, -1, -1, -1]
+    many = [b"u%d" % k for k in range(4000)]
+    big = UnitCache(3000)
+    hashes = np.random.default_rng(1).integers(0, 2**63, 4000, dtype=np.uint64)
+    for k in range(0, 4000, 500):
+        s = slice(k, k + 500)
+        big.add(hashes[s], flat(many[s]), sizes(many[s]), np.arange(k, k + 500, dtype=np.int32), np.ones(500, np.int64))
+    found = big.find(hashes, flat(many), sizes(many))
+    assert big.n == 3000 and (found >= 0).sum() == 3000 and (big.ids[big.start[found[found >= 0], 1]] == np.flatnonzero(found >= 0)).all()
+
+
+def test_words_that_hold_the_separator():
+    tokens = Counter(tokenizer_path("word_bpe_49k.json"))
+    assert tokens.apart
+    texts = ["a ~ b~c ~~ d", "~", "x~", *scrambled(500, ["~", " ", "a", "|", "^", "é", " "], 9), *["w%d~ v" % k for k in range(9000)]]
+    ids, bounds = tokens.encode(pa.array(texts))
+    assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])] == tokens.encode_whole(texts)
