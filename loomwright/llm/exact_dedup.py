@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomwright.llm.common import materialise, text_rows
+from loomwright.llm.common import fresh, materialise, settled, text_rows, with_row_ids
 
 BLOCK_BYTES = 4096
 
@@ -108,9 +108,7 @@ def mark_duplicates(docs: DataFrame, size: int = BLOCK_BYTES, bits: int = 64) ->
 
 def drop_duplicates(docs: DataFrame, size: int = BLOCK_BYTES) -> DataFrame:
     """The rows of ``docs`` that :func:`mark_duplicates` keeps, with all their columns."""
-    from loomwright.llm.common import fresh, rereadable
-
-    docs = rereadable(docs)
+    docs = settled(docs)
     rid = fresh(docs, "rid")
     kept = mark_duplicates(docs, size).where("kept").select(F.col("rid").alias(rid)).hint("merge")  # as many ids as documents: never broadcast
-    return docs.withColumn(rid, F.monotonically_increasing_id()).join(kept, rid, "left_semi").drop(rid)
+    return with_row_ids(docs, rid).join(kept, rid, "left_semi").drop(rid)

@@ -1,28 +1,34 @@
 """Document fingerprints of improbable features, after the similarity digests of forensics.
 
-Each 64-byte window has a collision entropy, from the number of pairs of
+Each 16-byte window has a collision entropy, from the number of pairs of
 equal bytes in it. How often each entropy occurs in the corpus makes its
-rarity. Of 64 windows in a row the rarest is marked; windows marked 16 times
-or more are the features. Their hashes go, five bits each, into Bloom filters
-of 256 bytes; a filter with 160 features is followed by the next in the
-chain. Two chains are compared by the overlap of bits beyond what chance
-gives, normalised to 0..1.
+rarity. Of 32 windows in a row the rarest is marked (the first of equals);
+windows marked 8 times or more are the features. A row may reach over the
+ends of a text, where it is shorter, so that windows at the ends have as many
+rows as others and a short text has features by the same rule. Hashes of the
+features go, five bits each, into Bloom filters of 256 bytes; a filter with
+160 features is followed by the next in the chain. Two chains are compared by
+the overlap of bits beyond what chance gives, normalised to 0..1.
 """
 
 from __future__ import annotations
 
 import base64
+import bisect
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomwright.llm.bytesets import mix, text_batches, text_bytes
+from loomwright.llm.common import ranked, text_rows
 
-WINDOW = 64
-POPULAR = 16
+WINDOW = 16
+RUN = 32
+POPULAR = 8
 PER_FILTER = 160
 FILTER_BYTES = 256
 _BITS = FILTER_BYTES * 8
@@ -33,7 +39,7 @@ _BLOCK = 1 << 16
 
 
 def equal_pairs(b: np.ndarray) -> np.ndarray:
-    """For each 64-byte window of ``b`` the number of pairs of equal bytes in it."""
+    """For each window of ``b`` the number of pairs of equal bytes in it."""
     n = len(b)
     if n < WINDOW:
         return np.zeros(0, np.int32)
@@ -88,38 +94,44 @@ def rarity_ranks(counts: np.ndarray) -> np.ndarray:
     return ranks
 
 
+def features(b: np.ndarray, sizes: np.ndarray, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place in ``b``, number of its text) of each feature of the texts that stand one after another in ``b``."""
+    none = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    windows = np.maximum(sizes - WINDOW + 1, 0)
+    if len(b) < WINDOW or not windows.any():
+        return none
+    # between the windows of two texts lie RUN - 1 places without one, so that a row never meets two texts
+    base = np.cumsum(windows + RUN - 1) - windows
+    own = np.repeat(np.arange(len(sizes)), windows)
+    nth = np.arange(len(own)) - np.repeat(np.cumsum(windows) - windows, windows)
+    at = nth + np.repeat(np.cumsum(sizes) - sizes, windows)
+    key = np.full(int((windows + RUN - 1).sum()) + RUN - 1, np.int64(0xFFFF) << 40)
+    key += np.arange(len(key))
+    key[base[own] + nth] = (ranks[equal_pairs(b)][at] << 40) | (base[own] + nth)
+    wide = 1
+    while wide < RUN:
+        key = np.minimum(key[:-wide], key[wide:])
+        wide *= 2
+    chosen = key[key >> 40 < 0xFFFF] & ((1 << 40) - 1)
+    starts = np.flatnonzero(np.append(True, chosen[1:] != chosen[:-1])) if len(chosen) else np.zeros(0, np.int64)
+    marked = chosen[starts[np.diff(starts, append=len(chosen)) >= POPULAR]]
+    text = np.searchsorted(base, marked, "right") - 1
+    return marked - base[text] + (np.cumsum(sizes) - sizes)[text], text
+
+
 def filters(texts: list[bytes], ranks: np.ndarray) -> list[np.ndarray]:
     """The chain of each text: (filters, 32) arrays of 64-bit words, in order."""
     sizes = np.array([len(t) for t in texts], np.int64)
-    ends = np.cumsum(sizes)
     b = np.frombuffer(b"".join(texts), np.uint8)
     own, hashes = [], []
-    if len(b) >= WINDOW:
-        n = len(b) - WINDOW + 1
-        rank = ranks[equal_pairs(b)]
-        end = np.repeat(ends, sizes)[:n]
-        at = np.arange(n)
-        rank[end - at < WINDOW] = 0xFFFF  # not a window of one text
-        key = (rank << 40) | at
-        wide = 1
-        while wide < WINDOW:
-            key = np.minimum(key[:-wide], key[wide:]) if len(key) > wide else key[:0]
-            wide *= 2
-        text_of = np.repeat(np.arange(len(texts)), sizes)
-        chosen = key & ((1 << 40) - 1)
-        good = ((key >> 40) < 0xFFFF) & (end[: len(key)] - at[: len(key)] >= 2 * WINDOW - 1)  # the 64 windows lie in one text
-        chosen = chosen[good]
-        new = np.append(True, chosen[1:] != chosen[:-1]) if len(chosen) else np.zeros(0, bool)
-        starts = np.flatnonzero(new)
-        runs = np.diff(starts, append=len(chosen))
-        feature = chosen[starts[runs >= POPULAR]]
-        if len(feature):
-            words = np.ascontiguousarray(b[feature[:, None] + np.arange(WINDOW)]).view("<u8")
-            h = np.full(len(feature), 0x243F6A8885A308D3, np.uint64)
-            for k in range(words.shape[1]):
-                h = mix(h * np.uint64(0x100000001B3) + words[:, k])
-            own.append(text_of[feature])
-            hashes.append(h)
+    feature, text_of = features(b, sizes, ranks)
+    if len(feature):
+        words = np.ascontiguousarray(b[feature[:, None] + np.arange(WINDOW)]).view("<u8")
+        h = np.full(len(feature), 0x243F6A8885A308D3, np.uint64)
+        for k in range(words.shape[1]):
+            h = mix(h * np.uint64(0x100000001B3) + words[:, k])
+        own.append(text_of)
+        hashes.append(h)
     have = np.concatenate(own) if own else np.zeros(0, np.int64)
     lone = np.setdiff1d(np.flatnonzero(sizes > 0), have)  # short or dull: the text itself is the feature
     if len(lone):
@@ -164,6 +176,56 @@ def text_of(chain: np.ndarray) -> str:
     return base64.b64encode(chain.tobytes()).decode()
 
 
+def _groups(rows: DataFrame, n: int) -> DataFrame:
+    """``rows`` (rid, doc_id, text) with ``group, tail, h``: runs of the order as even as ranks make them, each followed by the row after it (tail 1).
+
+    The order is by falling doc_id (nulls last), then by a hash of the text,
+    then by row; only the first key of each run, one for each partition, is
+    gathered.
+    """
+    keys = rows.select("rid", "doc_id", F.xxhash64("text").alias("h"))
+    places = ranked(keys, [F.col("doc_id").desc_nulls_last(), F.col("h"), F.col("rid")], "place")
+    total = places.count()
+    starts = sorted({total * k // n for k in range(n)}) if total else [0]
+    heads = {r["place"]: (r["doc_id"], r["h"], r["rid"]) for r in places.where(F.col("place").isin(starts)).collect()}
+    cuts = rows.sparkSession.sparkContext.broadcast([heads[k] for k in sorted(heads)])
+
+    @F.pandas_udf("array<int>")
+    def roles(doc_id: pd.Series, missing: pd.Series, h: pd.Series, rid: pd.Series) -> pd.Series:
+        """The row's group; where it is the first of it, also the group before, which it follows."""
+        known = [c for c in cuts.value if c[0] is not None]
+        rest = [c[1:] for c in cuts.value if c[0] is None]
+        ids = sorted({c[0] for c in known})
+        below = [sum(c[0] > x for c in known) for x in ids]  # cuts before those of each id
+        of = {x: [c[1:] for c in known if c[0] == x] for x in ids}
+        missing = missing.to_numpy(bool)
+        values = doc_id[~missing]
+        at = np.searchsorted(np.array(ids, dtype=object if values.dtype == object else values.dtype), values.to_numpy(), "left") if ids else np.zeros(len(values), np.int64)
+        out, k = [], 0
+        for gone, x, *key in zip(missing.tolist(), doc_id.tolist(), h.tolist(), rid.tolist(), strict=True):
+            if gone:
+                before, ties = len(known), rest
+            else:
+                p = int(at[k])
+                k += 1
+                same = p < len(ids) and ids[p] == x
+                before = below[p] if p < len(ids) else 0
+                if not same:
+                    out.append([before + (len(of[ids[p]]) if p < len(ids) else 0) - 1])
+                    continue
+                ties = of[x]
+            place = bisect.bisect_right(ties, tuple(key))
+            group = before + place - 1
+            first = place > 0 and ties[place - 1] == tuple(key)
+            out.append([group, (group - 1) % len(cuts.value)] if first else [group])
+        return pd.Series(out)
+
+    # ids of no value go as one that has, beside the mark that they have none: pandas would turn whole numbers into floats
+    filled = F.coalesce("doc_id", F.lit(next((c[0] for c in cuts.value if c[0] is not None), None)).cast(rows.schema["doc_id"].dataType))
+    dealt = rows.withColumn("h", F.xxhash64("text")).select("*", F.posexplode(roles(filled, F.isnull("doc_id"), "h", "rid")).alias("tail", "group"))
+    return dealt.repartitionById(n, F.col("group")) if hasattr(dealt, "repartitionById") else dealt.repartition(n, "group")
+
+
 def compare_edited(docs: DataFrame, counts: np.ndarray | None = None) -> DataFrame:
     """Fingerprints of each whole text and of its edited text, and how like they are.
 
@@ -172,35 +234,18 @@ def compare_edited(docs: DataFrame, counts: np.ndarray | None = None) -> DataFra
     code points replaced by the first as many (or all) of the next
     document's, in descending order of doc_id; after the last comes the
     first again. Null texts count as empty, with an empty fingerprint; null
-    ids come last; rows that share an id are ordered by their texts. A text
-    without features (short or of few characters) has itself as its
-    feature. Equal fingerprints have likeness 1, an empty one 0 to others.
-    Other columns are not read.
+    ids come last; rows that share an id are ordered by a hash of their
+    texts, and split over tasks like others. A text without features (under
+    16 bytes, or of few characters) has itself as its feature. Equal
+    fingerprints have likeness 1, an empty one 0 to others. Ids may be of
+    any type with an order. Other columns are not read.
     """
     spark = docs.sparkSession
     counts = entropy_counts(docs) if counts is None else counts
     ranks = spark.sparkContext.broadcast(rarity_ranks(counts))
-    rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    kind = rows.schema["doc_id"].dataType.simpleString()
+    kind = docs.schema["doc_id"].dataType.simpleString()
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # One id for each partition, taken from the table: group k begins with the k-th of them, and its first rows also
-    # close group k - 1, so that each group knows the document after its last one.
-    cuts = rows.select(F.percentile_approx("doc_id", [k / n for k in range(1, n)] if n > 1 else [0.5], 10_000).alias("q"), F.max("doc_id").alias("top"), F.count("*").alias("rows"), F.count("doc_id").alias("ids")).first()
-    starts = sorted({q for q in cuts["q"] or [] if q != cuts["top"]}, reverse=True)
-    listed = F.array(*(F.lit(q).cast(kind) for q in starts)) if starts else F.array().cast(f"array<{kind}>")
-    group = F.when(F.col("doc_id").isNull(), len(starts)).otherwise(F.size(F.filter(listed, lambda q: q >= F.col("doc_id"))))
-    first = F.col("doc_id").isin(*starts) if starts else F.lit(False)
-    top = F.col("doc_id").eqNullSafe(F.lit(cuts["top"]).cast(kind))
-    placed = rows.withColumn("group", group)
-    roles = F.array_compact(
-        F.array(
-            F.struct(F.col("group").alias("group"), F.lit(0).alias("tail")),
-            F.when(first, F.struct((F.col("group") - 1).alias("group"), F.lit(1).alias("tail"))),
-            F.when(top, F.struct(F.lit(len(starts)).alias("group"), F.lit(1).alias("tail"))),
-        )
-    )
-    dealt = placed.select("doc_id", "text", F.explode(roles).alias("role")).select("role.group", "role.tail", "doc_id", "text")
-    dealt = dealt.repartition(n, "group").sortWithinPartitions("group", "tail", F.col("doc_id").desc_nulls_last(), F.xxhash64("text"), "text")
+    dealt = _groups(text_rows(docs), n).sortWithinPartitions("group", "tail", F.col("doc_id").desc_nulls_last(), "h", "rid").select("group", "tail", "doc_id", "text")
 
     def flush(held: list[tuple], following: str) -> pa.RecordBatch:
         texts = [h[1] for h in held]
@@ -221,7 +266,7 @@ def compare_edited(docs: DataFrame, counts: np.ndarray | None = None) -> DataFra
 
     from pyspark.sql.pandas.types import to_arrow_type
 
-    id_type = to_arrow_type(rows.schema["doc_id"].dataType)
+    id_type = to_arrow_type(docs.schema["doc_id"].dataType)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []

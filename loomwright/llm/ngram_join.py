@@ -15,13 +15,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomwright.llm.bytesets import mix, text_batches, word_hashes
-from loomwright.llm.common import materialise, text_rows
+from loomwright.llm.bytesets import mix, ragged, text_batches, word_hashes
+from loomwright.llm.common import fresh, materialise, settled, text_rows, with_row_ids
 
-_BLOCK = 256
+_BLOCK = 512
 
 
 def bands_for(threshold: float, recall: float, most_hashes: int = 128) -> tuple[int, int]:
@@ -177,22 +177,20 @@ def _verify(n: int, threshold: float):
                 near = size[i] * 1.0 >= threshold * size[j] - 1e-9
                 near &= size[j] * 1.0 >= threshold * size[i] - 1e-9
                 i, j = i[near], j[near]
+                if not len(i):
+                    continue
                 _, g = np.unique(g, return_inverse=True)
-                sets = [g[s:e] for s, e in zip(bounds[:-1], bounds[1:], strict=True)]
-                if z - a > 8:  # rows of a membership matrix, one n-gram column for each distinct one of the block
-                    wide = int(g.max()) + 1 if len(g) else 0
-                    match = np.zeros(len(i), bool)
-                    member = np.zeros(wide, bool)
-                    for row in np.unique(i).tolist():
-                        member[:] = False
-                        member[sets[row]] = True
-                        here = np.flatnonzero(i == row)
-                        for k in here.tolist():
-                            both = int(member[sets[j[k]]].sum())
-                            match[k] = both >= threshold * (size[row] + size[j[k]] - both) - 1e-9
-                else:
-                    both = np.array([len(np.intersect1d(sets[p], sets[q], assume_unique=True)) for p, q in zip(i.tolist(), j.tolist(), strict=True)])
-                    match = both >= threshold * (size[i] + size[j] - both) - 1e-9
+                both = np.zeros(len(i), np.int64)
+                member = np.zeros(int(g.max()) + 1 if len(g) else 0, bool)
+                order = np.argsort(i, kind="stable")
+                rows, heads = np.unique(i[order], return_index=True)
+                for row, k, e in zip(rows.tolist(), heads.tolist(), [*heads[1:].tolist(), len(i)], strict=True):  # one set against all its partners
+                    own, pair = g[bounds[row] : bounds[row + 1]], order[k:e]
+                    partner = j[pair]
+                    member[own] = True
+                    both[pair] = np.add.reduceat(member[ragged(g, bounds[partner], size[partner])], np.cumsum(size[partner]) - size[partner], dtype=np.int64)
+                    member[own] = False
+                match = both >= threshold * (size[i] + size[j] - both) - 1e-9
                 i, j = i[match] + a, j[match] + a
                 np.add.at(links, i, copies[j])
                 np.add.at(links, j, copies[i])
@@ -268,6 +266,7 @@ def _rooted_classes(docs: DataFrame, threshold: float, n: int, recall: float, bl
     signed = materialise(docs.mapInArrow(_sign(n, bands, rows), f"rid long, doc_id {kind}, n long, set_a long, set_b long, bands array<long>"))
     worded = signed.where("n > 0")
     classes = worded.groupBy("n", "set_a", "set_b").agg(F.min("rid").alias("rep"), F.count("*").alias("copies"), F.min("doc_id").alias("least"))
+    classes = materialise(classes)  # no aggregate beside the join, so that a set of many copies can be split
     member = materialise(worded.select("rid", "doc_id", "n", "set_a", "set_b").join(classes, ["n", "set_a", "set_b"]).select("rid", "doc_id", "rep", "copies", "least"))
     reps = materialise(signed.join(member.where("rid = rep").select("rid", "copies"), "rid").select("rid", "copies", "bands"))
 
@@ -276,10 +275,10 @@ def _rooted_classes(docs: DataFrame, threshold: float, n: int, recall: float, bl
     full = materialise(full)
     # only cells that meet another are joined with the bands of their documents
     met = materialise(cells.join(full, ["band", "hash"]).join(reps, "rid").select("rid", "copies", "bands", "band", "hash", "m"))
-    # buckets of more than one block are dealt in square blocks
+    # buckets of more than one block are dealt in square blocks; the block of a member is a hash of its rid, so no bucket is ever sorted
     small = met.where(F.col("m") <= block).select("*", F.lit(0).alias("u"), F.lit(0).alias("v"), F.lit(2).alias("side"))
-    large = met.where(F.col("m") > block).withColumn("part", F.floor((F.row_number().over(Window.partitionBy("band", "hash").orderBy("rid")) - 1) / block).cast("int"))
     count = F.ceil(F.col("m") / block).cast("int")
+    large = met.where(F.col("m") > block).withColumn("part", F.pmod(F.xxhash64("rid"), count).cast("int"))
     squares = F.transform(
         F.sequence(F.lit(0), count - 1),
         lambda k: F.struct(F.least(F.col("part"), k).alias("u"), F.greatest(F.col("part"), k).alias("v"), F.when(k == F.col("part"), 2).when(F.col("part") < k, 0).otherwise(1).alias("side")),
@@ -306,11 +305,9 @@ def _rooted_classes(docs: DataFrame, threshold: float, n: int, recall: float, bl
 
 def keep_one_of_each(docs: DataFrame, threshold: float = 0.8, n: int = 5, recall: float = 0.9999) -> DataFrame:
     """The rows of ``docs`` with one document of each class: the one with the least doc_id (of equal ids, the first read)."""
-    from loomwright.llm.common import fresh, rereadable
-
-    docs = rereadable(docs)
+    docs = settled(docs)
     rid = fresh(docs, "rid")
     found = materialise(_rooted_classes(docs, threshold, n, recall))
     lone = found.where("n_links = 0").select("rid")
     first = found.where("n_links > 0").groupBy("root").agg(F.min(F.struct("doc_id", "rid")).alias("one")).select("one.rid")
-    return docs.withColumn(rid, F.monotonically_increasing_id()).join(lone.unionByName(first).withColumnRenamed("rid", rid).hint("merge"), rid, "left_semi").drop(rid)
+    return with_row_ids(docs, rid).join(lone.unionByName(first).withColumnRenamed("rid", rid).hint("merge"), rid, "left_semi").drop(rid)

@@ -4,8 +4,8 @@ The posterior of a language is the product of: the likelihood of the page's
 text under byte 4-gram models learnt from labelled documents; how often pages
 in that language declare the page's markup language; and a prior of its host,
 which shrinks to the host's domain, the address suffix and all pages in turn.
-The last two are counted by grouped aggregation of the text posteriors, a
-page's own part left out of its host's counts.
+The last two are counted by grouped aggregation of the text posteriors; a
+page's own part is left out of every count that it is judged by.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomwright.llm.bytesets import mix, text_batches, text_bytes
-from loomwright.llm.common import materialise, rereadable
+from loomwright.llm.common import materialise
 
 BITS = 15
 GRAM = 4
@@ -114,7 +114,7 @@ def identify(pages: DataFrame, docs: DataFrame, bits: int = BITS, strength: floa
                 yield pa.RecordBatch.from_arrays([*cols, lists], ["page_id", "declared", "host", "logs"])
 
     html = F.coalesce(F.col("html").cast("string"), F.lit(""))
-    read = rereadable(pages).select("page_id", visible_text(html).alias("text"), declared_language(html).alias("declared"), host_of(F.col("url")).alias("host"))
+    read = pages.select("page_id", visible_text(html).alias("text"), declared_language(html).alias("declared"), host_of(F.col("url")).alias("host"))
     scored = read.mapInArrow(run, f"page_id {kind}, declared string, host string, logs array<double>")
     if not n:
         none = F.lit(None)
@@ -123,36 +123,43 @@ def identify(pages: DataFrame, docs: DataFrame, bits: int = BITS, strength: floa
     scored = scored.withColumn("declared_as", F.when(F.array_contains(known, F.col("declared")), F.col("declared")).when(F.col("declared") == "", "").otherwise("other"))
     rows = materialise(scored.withColumn("own", _posterior(F.col("logs"))))
 
-    sums = [F.sum(F.col("own")[k]).alias(f"n{k}") for k in range(n)]
-    everywhere = rows.agg(*sums).first()
-    total = sum(everywhere[k] or 0.0 for k in range(n))
-    world = [((everywhere[k] or 0.0) + 1.0) / (total + n) for k in range(n)]
+    sums = F.array(*(F.sum(F.col("own")[k]) for k in range(n)))
+    none = F.array(*(F.lit(0.0) for _ in range(n)))
+
+    def doubles(values: list[float] | None) -> Column:
+        return F.array(*(F.lit(float(x or 0.0)) for x in values)) if values else none
+
+    def others(counts: str | Column) -> Column:
+        """Counts without the page's own part."""
+        return F.zip_with(counts, "own", lambda a, o: F.greatest(a - o, F.lit(0.0)))
+
+    def shrunk(counts: Column, prior: Column) -> Column:
+        whole = F.aggregate(counts, F.lit(0.0), lambda a, x: a + x)
+        return F.zip_with(counts, prior, lambda c, p: (c + strength * p) / (whole + strength))
+
     # how pages of each language declare themselves: at most languages + 2 kinds
-    said = {r["declared_as"]: [r[f"n{k}"] for k in range(n)] for r in rows.groupBy("declared_as").agg(*sums).collect()}
     kinds = n + 2
-    declared = {d: [float(np.log((v[k] + 1.0) / ((everywhere[k] or 0.0) + kinds))) for k in range(n)] for d, v in said.items()}
-    evidence = F.array(*(F.lit(0.0) for _ in range(n)))
-    for d, v in declared.items():
-        evidence = F.when(F.col("declared_as") == d, F.array(*(F.lit(x) for x in v))).otherwise(evidence)
+    everywhere = doubles(rows.agg(sums.alias("n")).first()["n"])
+    declared = none
+    for r in rows.groupBy("declared_as").agg(sums.alias("n")).collect():
+        declared = F.when(F.col("declared_as") == r["declared_as"], doubles(r["n"])).otherwise(declared)
+    evidence = F.zip_with(others(declared), others(everywhere), lambda c, a: F.log((c + 1.0) / (a + float(kinds))))
+    world = F.transform(others(everywhere), lambda c: c + 1.0)
+    world = F.transform(world, lambda c: c / F.aggregate(world, F.lit(0.0), lambda a, x: a + x))
 
     # host -> domain -> suffix -> all, each summed from the narrower one
     labels = F.split("host", r"\.")
-    hosts = rows.groupBy("host").agg(*sums)
-    hosts = hosts.select("host", F.array(*(F.col(f"n{k}") for k in range(n))).alias("at_host"), F.array_join(F.slice(labels, F.greatest(F.lit(1), F.size(labels) - 1), 2), ".").alias("domain"), F.element_at(labels, -1).alias("suffix"))
-
-    def level(key: str, of: str, name: str, *more: str) -> DataFrame:
-        return hosts.groupBy(key).agg(F.array(*(F.sum(F.col(of)[k]) for k in range(n))).alias(name), *(F.first(m).alias(m) for m in more))
+    hosts = rows.groupBy("host").agg(sums.alias("at_host"))
+    hosts = materialise(hosts.select("host", "at_host", F.array_join(F.slice(labels, F.greatest(F.lit(1), F.size(labels) - 1), 2), ".").alias("domain"), F.element_at(labels, -1).alias("suffix")))
 
-    def shrunk(counts: str, prior: Column) -> Column:
-        whole = F.aggregate(counts, F.lit(0.0), lambda a, x: a + x)
-        return F.zip_with(counts, prior, lambda c, p: (c + strength * p) / (whole + strength))
+    def level(key: str, name: str) -> DataFrame:
+        return hosts.groupBy(key).agg(F.array(*(F.sum(F.col("at_host")[k]) for k in range(n))).alias(name))
 
-    suffixes = level("suffix", "at_host", "at_suffix").select("suffix", shrunk("at_suffix", F.array(*(F.lit(x) for x in world))).alias("of_suffix"))
-    domains = level("domain", "at_host", "at_domain", "suffix").join(suffixes, "suffix").select("domain", shrunk("at_domain", F.col("of_suffix")).alias("of_domain"))
-    priors = hosts.join(domains, "domain").select("host", "at_host", "of_domain")
-    fused = rows.join(priors, "host").withColumn("others", F.zip_with("at_host", "own", lambda a, o: F.greatest(a - o, F.lit(0.0))))
-    fused = fused.withColumn("prior", shrunk("others", F.col("of_domain")))
-    joint = F.zip_with(F.zip_with("logs", evidence, lambda a, b: a + b), "prior", lambda a, p: a + F.log(p))
+    # written, so that the join of pages with it can split a host that holds many of them
+    priors = materialise(hosts.join(level("domain", "at_domain"), "domain").join(level("suffix", "at_suffix"), "suffix").select("host", "at_host", "at_domain", "at_suffix"))
+    prior = shrunk(others("at_host"), shrunk(others("at_domain"), shrunk(others("at_suffix"), world)))
+    fused = rows.join(priors, "host").withColumn("evidence", evidence).withColumn("prior", prior)
+    joint = F.zip_with(F.zip_with("logs", "evidence", lambda a, b: a + b), "prior", lambda a, p: a + F.log(p))
     fused = fused.withColumn("posterior", _posterior(joint))
     best = F.array_position("posterior", F.array_max("posterior")).cast("int")
     text_best = F.array_position("own", F.array_max("own")).cast("int")

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from loomwright.llm.bytesets import mix, text_batches, text_bytes
-from loomwright.llm.common import fresh, materialise, quoted, rereadable, text_rows
+from loomwright.llm.common import fresh, materialise, quoted, settled, text_rows, with_row_ids
 
 _BLOCK = 2 << 20
 _WINDOW = 8
@@ -365,11 +365,11 @@ def clean_texts(docs: DataFrame, length: int = 200) -> DataFrame:
 
     A character of which a part is cut goes as a whole; null texts stay null.
     """
-    docs = rereadable(docs)
+    docs = settled(docs)
     rid = fresh(docs, "rid")
     cleaned = remove_repeats(docs, length).where(F.size("removed") > 0).select(F.col("rid").alias(rid), F.col("kept").alias(f"{rid}_kept"))
     text = F.when(F.col(f"{rid}_kept").isNotNull(), _whole_characters(F.col(f"{rid}_kept"))).otherwise(F.col("text"))
-    out = docs.withColumn(rid, F.monotonically_increasing_id()).join(cleaned, rid, "left").withColumn("text", text)
+    out = with_row_ids(docs, rid).join(cleaned, rid, "left").withColumn("text", text)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col(f"{rid}_kept").isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return out.select(*(quoted(c) for c in docs.columns))

@@ -4,8 +4,7 @@ Two bags of hashed words and word pairs are counted: one over the target
 texts, one over all raw texts. The log ratio of the two generative models
 weighs a document; Gumbel noise is added to the weight and the k largest
 sums are taken, which samples k documents in proportion to their weights
-without replacement. Weights are divided by the root of the number of
-features, so that long texts do not outweigh all others by length alone.
+without replacement.
 """
 
 from __future__ import annotations
@@ -57,8 +56,12 @@ def bag_ratios(docs: DataFrame, bits: int = BITS) -> np.ndarray:
     return np.log(target / target.sum()) - np.log(raw / raw.sum())
 
 
-def log_ratios(docs: DataFrame, ratios: np.ndarray, bits: int = BITS) -> DataFrame:
-    """``doc_id, log_ratio, noise`` of each whole text; null and empty texts have a log ratio of 0."""
+def log_ratios(docs: DataFrame, ratios: np.ndarray, bits: int = BITS, temper: float = 0.0) -> DataFrame:
+    """``doc_id, log_ratio, noise`` of each whole text: the sum of its features' log ratios, divided by their number to the power ``temper``.
+
+    With 0 (the default) it is the ratio of the two generative models, 0.5
+    takes most of the influence of length away. Null and empty texts have 0.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(ratios)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -66,7 +69,7 @@ def log_ratios(docs: DataFrame, ratios: np.ndarray, bits: int = BITS) -> DataFra
             for batch in text_batches(whole, "text", 4 << 20):
                 slots, row = _slots(batch.column("text"), bits)
                 n = np.bincount(row, minlength=batch.num_rows)
-                sums = np.bincount(row, sent.value[slots], batch.num_rows) / np.sqrt(np.maximum(n, 1))
+                sums = np.bincount(row, sent.value[slots], batch.num_rows) / np.maximum(n, 1) ** temper
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sums), batch.column("noise")], ["doc_id", "log_ratio", "noise"])
 
     uniform = (F.xxhash64(F.lit("gumbel"), "doc_id", "text").bitwiseAND((1 << 52) - 1).cast("double") + 0.5) / float(1 << 52)
@@ -74,7 +77,7 @@ def log_ratios(docs: DataFrame, ratios: np.ndarray, bits: int = BITS) -> DataFra
     return noisy.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, log_ratio double, noise double")
 
 
-def resample(docs: DataFrame, labels: DataFrame, keep: float = KEEP, bits: int = BITS) -> DataFrame:
+def resample(docs: DataFrame, labels: DataFrame, keep: float = KEEP, bits: int = BITS, temper: float = 0.0) -> DataFrame:
     """One row per document: ``doc_id, log_ratio, sort_key, kept``; the share ``keep`` of rows with the largest keys is kept.
 
     The target texts are those that ``labels`` (doc_id, quality) give
@@ -85,7 +88,7 @@ def resample(docs: DataFrame, labels: DataFrame, keep: float = KEEP, bits: int =
     good = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct().withColumn("target", F.lit(True))
     # labels grow with the corpus, so they are never broadcast, however few they are here
     counted = docs.select("doc_id", "text").join(good.hint("merge"), "doc_id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
-    weighed = log_ratios(docs, bag_ratios(counted, bits), bits).withColumn("sort_key", F.col("log_ratio") + F.col("noise"))
+    weighed = log_ratios(docs, bag_ratios(counted, bits), bits, temper).withColumn("sort_key", F.col("log_ratio") + F.col("noise"))
     order = ranked(weighed, [F.col("sort_key").desc(), F.col("doc_id")], "_rank")
     most = round(keep * docs.count())
     return order.select("doc_id", "log_ratio", "sort_key", (F.col("_rank") < most).alias("kept"))

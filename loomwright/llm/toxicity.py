@@ -1,8 +1,7 @@
 """Toxicity scores by FTRL-proximal logistic regression over hashed word n-grams and skip-grams.
 
 Features of a text are its words, word pairs and pairs with one word left
-out, as they stand in the text,
-hashed into 2**bits slots. Training keeps a rate of its own for each
+out, in lower case and without ASCII punctuation, hashed into 2**bits slots. Training keeps a rate of its own for each
 coordinate and an L1 pull to zero, so only slots that carry evidence keep a
 weight; those few are sent to the executors.
 
@@ -20,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomwright.llm.bytesets import mix, text_batches, word_hashes
+from loomwright.llm.bytesets import PLAIN, mix, text_batches, word_hashes
 
 BITS = 20
 MAX_TRAINING_ROWS = 20_000
@@ -31,7 +30,7 @@ def features(column: pa.Array, bits: int = BITS, table: np.ndarray | None = None
 
     With a ``table`` of weights, only slots that have one.
     """
-    h, bounds = word_hashes(column)
+    h, bounds = word_hashes(column, PLAIN)
     row = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
     found = []
     for k, salt in ((0, 0), (1, 0x51ED270B), (2, 0xB5297A4D)):
@@ -48,8 +47,13 @@ def features(column: pa.Array, bits: int = BITS, table: np.ndarray | None = None
     return (key & np.uint64((1 << bits) - 1)).astype(np.int64), np.searchsorted(key, np.arange(len(bounds)).astype(np.uint64) << np.uint64(bits))
 
 
-def ftrl(slots: np.ndarray, bounds: np.ndarray, labels: np.ndarray, bits: int = BITS, alpha: float = 0.3, beta: float = 1.0, l1: float = 12.0, l2: float = 1.0, passes: int = 4, group: int = 16, positive: float = 3.0) -> tuple[np.ndarray, float]:
-    """Weights and bias after ``passes`` over the rows, ``group`` rows for each step; ``positive``: what a row of label 1 counts."""
+def ftrl(slots: np.ndarray, bounds: np.ndarray, labels: np.ndarray, bits: int = BITS, alpha: float = 1.0, beta: float = 1.0, l1: float | None = None, l2: float = 1.0, passes: int = 4, group: int = 16, positive: float = 4.0) -> tuple[np.ndarray, float]:
+    """Weights and bias after ``passes`` over the rows, ``group`` rows for each step; ``positive``: what a row of label 1 counts.
+
+    ``l1`` is 24 unless given, less for under 3,000 rows: it follows the
+    root of their number, as chance sums of gradients do.
+    """
+    l1 = max(6.0, 24.0 * min(1.0, (len(labels) / 3000) ** 0.5)) if l1 is None else l1
     z, n = np.zeros(1 << bits), np.zeros(1 << bits)
     zb = nb = 0.0
     bias = 0.0
@@ -88,22 +92,25 @@ def fit(docs: DataFrame, labels: DataFrame, bits: int = BITS, most_rows: int = M
     """(slots, weights, bias) from at most ``most_rows`` labelled rows, picked by a hash of their id; held-out rows are left out.
 
     The pick is of labelled rows for training alone; scoring covers every
-    row. The fit runs in one task over that bounded sample. Without labelled
+    row. Of rows that share an id one is learnt from, ids may be of any type. The fit runs in one task over that bounded sample. Without labelled
     rows there are no weights, and every score is 0.5.
     """
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id")).groupBy("doc_id").agg(F.max(label).cast("double").alias("y"))
     picked = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_rows)
     rows = docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text").join(F.broadcast(picked), "doc_id")
+    # one row for each id, however often it is repeated: as many rows as picked labels at most
+    rows = rows.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("h"), F.col("text").alias("text"), F.col("y").alias("y"))).alias("one"))
+    rows = rows.select(F.xxhash64("doc_id").alias("key"), "one.text", "one.y")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in text_batches(whole):
                 slots, bounds = features(batch.column("text"), bits)
                 lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(slots.astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("y"), lists], ["doc_id", "y", "slots"])
+                yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("y"), lists], ["key", "y", "slots"])
 
     def learn(group: pd.DataFrame) -> pd.DataFrame:
-        order = np.lexsort((group["y"].to_numpy(), group["doc_id"].to_numpy()))
+        order = np.lexsort((group["y"].to_numpy(), group["key"].to_numpy()))
         lists = group["slots"].to_numpy()[order]
         y = group["y"].to_numpy(float)[order]
         bounds = np.append(0, np.cumsum([len(x) for x in lists], dtype=np.int64))
@@ -113,7 +120,7 @@ def fit(docs: DataFrame, labels: DataFrame, bits: int = BITS, most_rows: int = M
         use = np.flatnonzero(w)
         return pd.DataFrame({"slot": np.append(use, -1), "weight": np.append(w[use], bias)})
 
-    found = rows.mapInArrow(extract, "doc_id long, y double, slots array<int>").withColumn("one", F.lit(0)).groupBy("one").applyInPandas(learn, "slot long, weight double").toPandas()
+    found = rows.mapInArrow(extract, "key long, y double, slots array<int>").withColumn("one", F.lit(0)).groupBy("one").applyInPandas(learn, "slot long, weight double").toPandas()
     bias = float(found.loc[found["slot"] < 0, "weight"].sum())
     found = found[found["slot"] >= 0]
     return found["slot"].to_numpy(np.int64), found["weight"].to_numpy(float), bias

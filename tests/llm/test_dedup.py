@@ -94,6 +94,45 @@ def test_classes_do_not_meet_by_id(spark):
     assert {(r.doc_id, r.class_id, r.n_links) for r in classes.collect()} == {(None, None, 2), (7, 7, 2)}
 
 
+def test_long_words(spark):
+    """Words that differ only far inside, and blocks exchanged within a word, are other words."""
+    a, b = "a" * 4096, "b" * 4096
+    cjk, far = "\u65e5" * 4096, "\u672c" * 4096
+    texts = [a + b, b + a, a + b, cjk + far, far + cjk, "x" * 20_000 + "y", "x" * 20_000 + "z", a + b + a, a + a + b]
+    got = sorted((r.doc_id, r.class_id, r.n_links) for r in ngram_join.jaccard_classes(docs_of(spark, texts)).collect())
+    assert got == brute_links(texts)
+    import pyarrow as pa
+
+    from loomwright.llm.bytesets import word_hashes
+
+    pick = np.random.default_rng(3)
+    long = bytes(pick.integers(97, 123, 50_000).astype(np.uint8)).decode()
+    words = [long]
+    for _ in range(300):
+        i, j = sorted(pick.integers(0, 50_000, 2).tolist())
+        words.append(long[:i] + long[j] + long[i + 1 : j] + long[i] + long[j + 1 :])
+    assert len(set(word_hashes(pa.array(words))[0].tolist())) == len(set(words))
+
+
+def test_kept_rows_hold_for_other_splits(spark, prose, tmp_path):
+    """Rows are told apart in the same way whatever the split of files when a step reads them again."""
+    docs_of(spark, prose).repartition(9).write.parquet(f"{tmp_path}/t")
+    docs = spark.read.parquet(f"{tmp_path}/t")
+
+    def under(parts, make):
+        spark.conf.set("spark.sql.files.minPartitionNum", parts)
+        try:
+            return make()
+        finally:
+            spark.conf.unset("spark.sql.files.minPartitionNum")
+
+    for stage in (drop_duplicates, ngram_join.keep_one_of_each, repeats.clean_texts):
+        lazy = under("2", lambda: stage(docs))  # its written steps under one split, its last step under another
+        there = sorted(map(tuple, under("40", lazy.collect)))
+        assert there == sorted(map(tuple, under("3", lambda: stage(docs).collect()))), stage.__name__
+    assert sorted(r.text for r in under("40", under("2", lambda: drop_duplicates(docs)).collect)) == sorted(set(prose))
+
+
 def test_bands():
     for recall in (0.9, 0.99, 0.9999):
         bands, rows = ngram_join.bands_for(0.8, recall)

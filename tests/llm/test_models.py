@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from loomwright.llm import fingerprints, page_language, resampling, toxicity
 from loomwright.llm.queries import QUERIES
@@ -53,6 +54,17 @@ def test_toxicity_edges(spark, odd_docs, odd_rows, no_docs, labelled):
     assert kept.columns == odd_docs.columns
 
 
+def test_toxicity_with_repeated_and_string_ids(spark, labelled):
+    docs, labels, truth = labelled
+    hot = next(k for k in truth if zlib.crc32(str(k).encode()) % 5)
+    many = docs.unionByName(spark.createDataFrame([(hot, "w1 w2")] * 3000, docs.schema))
+    slots, _, _ = toxicity.fit(many, labels)
+    assert len(slots)
+    named, same = docs.selectExpr("concat('d', doc_id) as doc_id", "text"), labels.selectExpr("concat('d', doc_id) as doc_id", "toxic")
+    rows = toxicity.score_toxicity(named, same).collect()
+    assert np.mean([r.predicted == truth[int(r.doc_id[1:])] for r in rows if r.held_out]) > 0.95
+
+
 def test_toxicity_stage_without_usable_labels(spark, odd_docs, odd_rows, labelled, tmp_path):
     import corpus_pipeline
 
@@ -92,6 +104,27 @@ def test_resampling_ratio_is_that_of_counts(spark):
     assert np.allclose(ratios, np.log(target / target.sum()) - np.log(raw / raw.sum()))
 
 
+def test_resampling_draws_in_proportion(spark):
+    """Of many copies of the draw, each document comes first as often as its share of the weights."""
+    ratios = np.zeros(1 << 10)
+    import pyarrow as pa
+
+    words = ["a", "b", "c"]
+    for w, x in zip(words, (0.0, 1.0, 2.0)):
+        ratios[resampling._slots(pa.array([w]), 10)[0]] = x
+    n = 3000
+    docs = spark.createDataFrame([(f"{k}-{w}", w) for k in range(n) for w in words], "doc_id string, text string").coalesce(2)
+    rows = resampling.log_ratios(docs, ratios, 10).collect()
+    best = {}
+    for r in rows:
+        k, w = r.doc_id.split("-")
+        best.setdefault(k, []).append((r.log_ratio + r.noise, w))
+    first = [max(v)[1] for v in best.values()]
+    for w, x in zip(words, (0.0, 1.0, 2.0)):
+        assert abs(first.count(w) / n - np.exp(x) / (1 + np.e + np.e**2)) < 0.03
+    assert {r.doc_id[-1]: r.log_ratio for r in rows} == {"a": 0.0, "b": 1.0, "c": 2.0}
+
+
 def test_resampling_edges(odd_docs, odd_rows, no_docs, labelled):
     _, labels, _ = labelled
     rows = resampling.resample(odd_docs, labels).collect()
@@ -119,8 +152,38 @@ def test_language(spark):
     assert {r.language for r in page_language.identify(frame, docs.limit(0)).collect()} == {None}
 
 
+def test_language_where_text_alone_is_wrong(spark):
+    """Short pages of shared words: host, suffix and markup settle them; a page is no evidence for itself."""
+    pick = random.Random(3)
+    tongues = {"de": ["der", "und", "nicht", "schoen"], "nl": ["het", "een", "niet", "mooi"]}
+    docs = spark.createDataFrame([(" ".join(pick.choices(tongues[x], k=40)), x) for x in tongues for _ in range(20)], "text string, lang string")
+    pages = [(k, f"https://{x}{k % 5}.site.{x}/p{k}", f'<html lang="{x}"><p>{" ".join(pick.choices(tongues[x], k=20))}</p>', x) for k in range(200) for x in ("de", "nl")]
+    # a word or two of the other language on a page whose host, suffix and markup are of one
+    pages += [(1000 + 2 * k + (x == "nl"), f"https://{x}{k % 5}.site.{x}/short{k}", f'<html lang="{x}"><p>{word}</p>', x) for k in range(20) for x, word in (("de", "het"), ("nl", "der"))]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string, want string")
+    got = {r.page_id: r for r in page_language.identify(frame.drop("want"), docs).collect()}
+    short = [(got[p[0]], p[3]) for p in pages if p[0] >= 1000]
+    assert all(r.text_language != want for r, want in short)
+    assert all(r.language == want for r, want in short)
+    alone = spark.createDataFrame([(1, "https://only.example.xx/", "<p>der und</p>"), (2, "https://nl1.site.nl/", "<p>het een</p>")], "page_id long, url string, html string")
+    one = {r.page_id: r for r in page_language.identify(alone, docs).collect()}
+    # its own text is all that speaks for page 1: host, domain, suffix and markup hold nothing but the page itself
+    text = one[1].probability
+    assert one[1].language == "de" and text < 1
+    more = page_language.identify(alone.where("page_id = 1").unionByName(alone.where("page_id = 2")), docs, strength=1e-9).collect()
+    assert abs([r for r in more if r.page_id == 1][0].probability - text) < 0.35
+
+
+def test_language_edges(spark, odd_docs):
+    """Very long pages, and columns with names that the operator uses inside."""
+    docs = spark.createDataFrame([("der und nicht " * 9, "de"), ("the and thing " * 9, "en")], "text string, lang string")
+    pages = spark.createDataFrame([(1, "http://a.de/", "<p>" + "der und " * 400_000 + "</p>", "x", "y", "z", 1), (2, None, None, None, None, None, None)], "page_id string, url string, html string, text string, host string, declared string, own long")
+    got = {r.page_id: r.language for r in page_language.identify(pages, docs).collect()}
+    assert got["1"] == "de" and set(got) == {"1", "2"}
+
+
 def brute_pairs(b):
-    return [sum(c * (c - 1) // 2 for c in np.bincount(b[k : k + 64])) for k in range(len(b) - 63)]
+    return [sum(c * (c - 1) // 2 for c in np.bincount(b[k : k + fingerprints.WINDOW])) for k in range(len(b) - fingerprints.WINDOW + 1)]
 
 
 def test_equal_pairs():
@@ -134,6 +197,54 @@ def test_equal_pairs():
         fingerprints._BLOCK = fingerprints_block
 
 
+def brute_features(raw, ranks):
+    """Places of the windows that are the rarest of at least 8 rows of 32 windows, rows reaching over both ends."""
+    rank = [int(ranks[p]) for p in brute_pairs(np.frombuffer(raw, np.uint8))] if len(raw) >= fingerprints.WINDOW else []
+    marks = [0] * len(rank)
+    for row in range(1 - fingerprints.RUN, len(rank)):
+        best = min(((r, k) for k, r in enumerate(rank) if row <= k < row + fingerprints.RUN and r < 0xFFFF), default=None)
+        if best:
+            marks[best[1]] += 1
+    return [k for k, m in enumerate(marks) if m >= fingerprints.POPULAR]
+
+
+def test_features_and_chains_equal_brute_force(prose):
+    texts = [t.encode() for t in ["", "a", "x" * 300, "short text of words", "ab", "é" * 9, *prose[:40], "", "one more"]]
+    counts = np.zeros(fingerprints._MOST_PAIRS + 1, np.int64)
+    for t in texts:
+        for p in brute_pairs(np.frombuffer(t, np.uint8)) if len(t) >= fingerprints.WINDOW else []:
+            counts[p] += 1
+    ranks = fingerprints.rarity_ranks(counts)
+    seen = [k for k in range(fingerprints._DULL + 1) if counts[k]]
+    assert sorted(seen, key=lambda k: (counts[k], k)) == sorted(seen, key=lambda k: ranks[k])
+    place, text = fingerprints.features(np.frombuffer(b"".join(texts), np.uint8), np.array([len(t) for t in texts]), ranks)
+    for k, t in enumerate(texts):
+        start = sum(map(len, texts[:k]))
+        assert (place[text == k] - start).tolist() == (want := brute_features(t, ranks)), t
+        bits = fingerprints.filters([t], ranks)[0]
+        assert len(bits) == -(-max(len(want), bool(t)) // fingerprints.PER_FILTER)
+        assert all(np.array_equal(x, y) for x, y in zip(bits, fingerprints.filters(texts, ranks)[k]))
+        for n, row in enumerate(bits):
+            held = len({t[p : p + fingerprints.WINDOW] for p in want[n * fingerprints.PER_FILTER : (n + 1) * fingerprints.PER_FILTER]}) or 1
+            assert 1 <= np.bitwise_count(row).sum() <= 5 * held
+
+
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_groups_of_equal_and_missing_ids(spark, kind):
+    """One id, or none, on most rows: all tasks take part and the order is whole."""
+    ids = [7] * 300 + [None] * 300 + list(range(10, 60)) + [2**60 + 1]
+    rows = [(i, f"text {k} " * 3) for k, i in enumerate(ids)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr(f"cast(doc_id as {kind}) as doc_id", "text").repartition(3)
+    out = fingerprints.compare_edited(docs)
+    got = out.collect()
+    assert len(got) == len(rows)
+    assert sorted(r.edited[: r.n_chars - r.n_chars // 2] for r in got) == sorted(t[: len(t) - len(t) // 2] for _, t in rows)
+    # each text lends its beginning to one document, itself to none
+    assert sorted(r.edited[r.n_chars - r.n_chars // 2 :][:8] for r in got) == sorted(t[:8] for _, t in rows)
+    sizes = [r[0] for r in out.select(F.spark_partition_id().alias("p")).groupBy("p").count().select("count").collect()]
+    assert len(sizes) == 4 and max(sizes) < 1.2 * min(sizes)
+
+
 def edited_by_hand(rows):
     order = sorted(rows, key=lambda r: -r[0])
     out = {}
@@ -153,6 +264,8 @@ def test_fingerprints(spark, sf):
     for doc_id, text in rows:
         assert got[doc_id].n_chars == len(text)
         assert by_text.setdefault(text, got[doc_id].fingerprint) == got[doc_id].fingerprint
+    short = [r for r in got.values() if 40 <= r.n_chars < 200]
+    assert np.mean([r.near_edited > 0 for r in short]) > 0.9 and np.mean([r.near_edited for r in short]) > np.mean([r.near_next for r in short]) + 0.2
     near, far = [r.near_edited for r in got.values()], [r.near_next for r in got.values()]
     assert all(0 <= x <= 1 for x in near + far) and np.median(near) > 0.3 > np.median(far)
     order = sorted(got, reverse=True)
