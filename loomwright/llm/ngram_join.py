@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from loomwright.llm.bytesets import mix, ragged, text_batches, word_hashes
 from loomwright.llm.common import fresh, materialise, settled, text_rows, with_row_ids
 
-_BLOCK = 512
+_BLOCK = 256
 
 
 def bands_for(threshold: float, recall: float, most_hashes: int = 128) -> tuple[int, int]:

@@ -14,12 +14,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomwright.llm.bytesets import PLAIN, mix, text_batches, word_hashes
+from loomwright.llm.bytesets import PLAIN, mix, ragged, text_batches, word_hashes
 
 BITS = 20
 MAX_TRAINING_ROWS = 20_000
@@ -47,8 +46,8 @@ def features(column: pa.Array, bits: int = BITS, table: np.ndarray | None = None
     return (key & np.uint64((1 << bits) - 1)).astype(np.int64), np.searchsorted(key, np.arange(len(bounds)).astype(np.uint64) << np.uint64(bits))
 
 
-def ftrl(slots: np.ndarray, bounds: np.ndarray, labels: np.ndarray, bits: int = BITS, alpha: float = 1.0, beta: float = 1.0, l1: float | None = None, l2: float = 1.0, passes: int = 4, group: int = 16, positive: float = 4.0) -> tuple[np.ndarray, float]:
-    """Weights and bias after ``passes`` over the rows, ``group`` rows for each step; ``positive``: what a row of label 1 counts.
+def ftrl(slots: np.ndarray, starts: np.ndarray, sizes: np.ndarray, labels: np.ndarray, bits: int = BITS, alpha: float = 1.0, beta: float = 1.0, l1: float | None = None, l2: float = 1.0, passes: int = 4, group: int = 16, positive: float = 4.0) -> tuple[np.ndarray, float]:
+    """Weights and bias after ``passes`` over the rows (slots[starts[k] : starts[k] + sizes[k]] of row k), ``group`` rows for each step; ``positive``: what a row of label 1 counts.
 
     ``l1`` is 24 unless given, less for under 3,000 rows: it follows the
     root of their number, as chance sums of gradients do.
@@ -62,9 +61,9 @@ def ftrl(slots: np.ndarray, bounds: np.ndarray, labels: np.ndarray, bits: int =
         deal = order.permutation(len(labels))
         for k in range(0, len(deal), group):
             rows = deal[k : k + group]
-            size = bounds[rows + 1] - bounds[rows]
+            size = sizes[rows]
             own = np.repeat(np.arange(len(rows)), size)
-            f = slots[np.repeat(bounds[rows] - np.cumsum(size) + size, size) + np.arange(size.sum())]
+            f = ragged(slots, starts[rows], size)
             use, inverse = np.unique(f, return_inverse=True)
             zu, nu = z[use], n[use]
             w = np.where(np.abs(zu) <= l1, 0.0, -(zu - np.sign(zu) * l1) / ((beta + np.sqrt(nu)) / alpha + l2))
@@ -109,18 +108,24 @@ def fit(docs: DataFrame, labels: DataFrame, bits: int = BITS, most_rows: int = M
                 lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(slots.astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("y"), lists], ["key", "y", "slots"])
 
-    def learn(group: pd.DataFrame) -> pd.DataFrame:
-        order = np.lexsort((group["y"].to_numpy(), group["key"].to_numpy()))
-        lists = group["slots"].to_numpy()[order]
-        y = group["y"].to_numpy(float)[order]
-        bounds = np.append(0, np.cumsum([len(x) for x in lists], dtype=np.int64))
-        flat = np.concatenate(lists).astype(np.int32, copy=False) if len(lists) else np.zeros(0, np.int32)
-        del lists
-        w, bias = ftrl(flat, bounds, y, bits)
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flat, sizes, keys, labels_ = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
+        for batch in batches:
+            lists = batch.column("slots")
+            flat.append(lists.flatten().to_numpy().copy())
+            sizes.append(np.diff(lists.offsets.to_numpy()).astype(np.int64))
+            keys.append(batch.column("key").to_numpy())
+            labels_.append(batch.column("y").to_numpy())
+        slots = np.concatenate(flat)
+        del flat
+        size, y = np.concatenate(sizes), np.concatenate(labels_)
+        order = np.lexsort((size, y, np.concatenate(keys)))  # the same whatever task a row came from
+        w, bias = ftrl(slots, (np.cumsum(size) - size)[order], size[order], y[order], bits)
         use = np.flatnonzero(w)
-        return pd.DataFrame({"slot": np.append(use, -1), "weight": np.append(w[use], bias)})
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(use, -1)), pa.array(np.append(w[use], bias))], ["slot", "weight"])
 
-    found = rows.mapInArrow(extract, "key long, y double, slots array<int>").withColumn("one", F.lit(0)).groupBy("one").applyInPandas(learn, "slot long, weight double").toPandas()
+    # one task, for a sample of bounded size
+    found = rows.mapInArrow(extract, "key long, y double, slots array<int>").repartition(1).mapInArrow(learn, "slot long, weight double").toPandas()
     bias = float(found.loc[found["slot"] < 0, "weight"].sum())
     found = found[found["slot"] >= 0]
     return found["slot"].to_numpy(np.int64), found["weight"].to_numpy(float), bias
