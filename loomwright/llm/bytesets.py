@@ -6,6 +6,8 @@ of bounded size, so memory does not follow the length of a batch.
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -13,6 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 BLOCK = 2 << 20
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None) if sys.platform == "linux" else None  # of glibc alone
 _TABLED = 4096
 _rng = np.random.Generator(np.random.PCG64(20240229))
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
@@ -112,8 +115,8 @@ class Units:
         mark[inner] = ~WHITE[b[inner]] if bare else True
         self.at = np.flatnonzero(mark)
         size = np.diff(self.at, append=len(b))
-        self.place = np.arange(len(b) - (self.at[0] if len(self.at) else len(b))) - np.repeat(self.at - (self.at[0] if len(self.at) else 0), size)
         self.first = int(self.at[0]) if len(self.at) else len(b)
+        self.place = np.arange(len(b) - self.first, dtype=np.int32) - np.repeat((self.at - self.first).astype(np.int32), size)
         if bare:  # a unit ends at its first white space, or where the next piece starts
             white = np.add.reduceat(WHITE[b].astype(np.int64), self.at) if len(self.at) else size
             self.size = size - white
@@ -145,9 +148,9 @@ class Units:
         rep = first[inverse]
         same = bool((self.size[rep] == self.size).all())
         if same:
-            shift = np.repeat(self.at[rep] - self.at, np.diff(self.at, append=len(self.data)))
-            here = np.arange(self.first, len(self.data))
-            other = self.data[np.minimum(here + shift, len(self.data) - 1)]
+            other = np.arange(self.first, len(self.data), dtype=np.int32)
+            other += np.repeat((self.at[rep] - self.at).astype(np.int32), np.diff(self.at, append=len(self.data)))
+            other = self.data[np.minimum(other, len(self.data) - 1, out=other)]
             unequal = other != self.data[self.first :]
             if self.bare:
                 unequal &= ~WHITE[self.data[self.first :]]
@@ -279,6 +282,13 @@ def word_hashes(column: pa.Array, as_: np.ndarray | None = None) -> tuple[np.nda
     return (np.concatenate(parts) if parts else np.zeros(0, np.uint64)), np.append(0, np.cumsum(counts))
 
 
+def give_back() -> None:
+    """Hands freed memory back to the system, so that a worker reused by later stages does not hold it."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
 def ragged(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The runs flat[starts[k] : starts[k] + sizes[k]] one after another."""
     total = int(sizes.sum())
@@ -289,6 +299,7 @@ def ragged(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarra
 def text_batches(batch: pa.RecordBatch, name: str = "text", size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with about ``size`` bytes of text each."""
     _, offsets = text_bytes(batch.column(name))
+    give_back()  # what the batch before it left
     i = 0
     while i < batch.num_rows:
         j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + size, "right")) - 1)

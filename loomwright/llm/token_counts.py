@@ -27,7 +27,8 @@ from loomwright.llm.bytesets import UnitCache, Units, blocks, ragged, spaced_sta
 
 CHUNK_CHARS = 1 << 16
 OVERLAP_CHARS = 1 << 10
-_CACHE_UNITS = 1_000_000
+_CACHE_UNITS = 600_000
+_BLOCK = 1 << 20
 _MOST_JOINED = 4000
 #: Pre-tokenizer patterns (fixed values) in which a match never holds white space after something else.
 _KNOWN = {
@@ -195,7 +196,7 @@ class Counter:
 
     def _units(self, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         starts = word_starts if self.bare else spaced_starts
-        for b, pieces, rows in blocks(data, offsets, spaced_starts):
+        for b, pieces, rows in blocks(data, offsets, spaced_starts, _BLOCK):
             u = Units(b, pieces, starts, self.bare)
             h = u.hashes()
             first, inverse = u.distinct(h)

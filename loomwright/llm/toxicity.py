@@ -103,7 +103,7 @@ def fit(docs: DataFrame, labels: DataFrame, bits: int = BITS, most_rows: int = M
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in text_batches(whole):
+            for batch in text_batches(whole, size=2 << 20):
                 slots, bounds = features(batch.column("text"), bits)
                 lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(slots.astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("y"), lists], ["key", "y", "slots"])
@@ -151,7 +151,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], bits: in
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in text_batches(whole, size=4 << 20):
+            for batch in text_batches(whole, size=2 << 20):
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(values(batch.column("text")))], ["doc_id", "score"])
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, score double")
@@ -185,7 +185,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, bits: int = BITS, most_rows:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in text_batches(whole, text, 4 << 20):
+            for batch in text_batches(whole, text, 2 << 20):
                 yield batch.filter(pa.array(values(batch.column(text)) < 0.5))
 
     return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
