@@ -22,6 +22,7 @@ from loomwright.llm.bytesets import PLAIN, mix, ragged, text_batches, word_hashe
 
 BITS = 20
 MAX_TRAINING_ROWS = 20_000
+_PART = 256
 
 
 def features(column: pa.Array, bits: int = BITS, table: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -105,8 +106,12 @@ def fit(docs: DataFrame, labels: DataFrame, bits: int = BITS, most_rows: int = M
         for whole in batches:
             for batch in text_batches(whole, size=2 << 20):
                 slots, bounds = features(batch.column("text"), bits)
-                lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(slots.astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("y"), lists], ["key", "y", "slots"])
+                # rows of a few slots each, so that no Arrow batch of the one learning task is large
+                parts = np.maximum(1, -(-np.diff(bounds) // _PART))
+                row = np.repeat(np.arange(len(parts)), parts)
+                start = bounds[row] + (np.arange(len(row)) - np.repeat(np.cumsum(parts) - parts, parts)) * _PART
+                lists = pa.ListArray.from_arrays(pa.array(np.append(start, bounds[-1]).astype(np.int32)), pa.array(slots.astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([batch.column("key").take(pa.array(row)), batch.column("y").take(pa.array(row)), lists], ["key", "y", "slots"])
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat, sizes, keys, labels_ = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
@@ -118,9 +123,12 @@ def fit(docs: DataFrame, labels: DataFrame, bits: int = BITS, most_rows: int = M
             labels_.append(batch.column("y").to_numpy())
         slots = np.concatenate(flat)
         del flat
-        size, y = np.concatenate(sizes), np.concatenate(labels_)
-        order = np.lexsort((size, y, np.concatenate(keys)))  # the same whatever task a row came from
-        w, bias = ftrl(slots, (np.cumsum(size) - size)[order], size[order], y[order], bits)
+        size, key, y = np.concatenate(sizes), np.concatenate(keys), np.concatenate(labels_)
+        order = np.argsort(key, kind="stable")  # rows of one document together, in the same order whatever task they came from
+        slots = ragged(slots, (np.cumsum(size) - size)[order], size[order])
+        ids, first = np.unique(key[order], return_index=True)
+        size = np.add.reduceat(size[order], first) if len(ids) else size
+        w, bias = ftrl(slots, np.cumsum(size) - size, size, y[order][first] if len(ids) else y, bits)
         use = np.flatnonzero(w)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(use, -1)), pa.array(np.append(w[use], bias))], ["slot", "weight"])
 
