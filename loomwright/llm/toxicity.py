@@ -125,7 +125,8 @@ def fit(docs: DataFrame, labels: DataFrame, bits: int = BITS, most_rows: int = M
         del flat
         size, key, y = np.concatenate(sizes), np.concatenate(keys), np.concatenate(labels_)
         order = np.argsort(key, kind="stable")  # rows of one document together, in the same order whatever task they came from
-        slots = ragged(slots, (np.cumsum(size) - size)[order], size[order])
+        start = np.cumsum(size) - size
+        slots = np.concatenate([slots[:0], *(ragged(slots, start[k], size[k]) for k in np.array_split(order, 1 + len(order) // 4096))])
         ids, first = np.unique(key[order], return_index=True)
         size = np.add.reduceat(size[order], first) if len(ids) else size
         w, bias = ftrl(slots, np.cumsum(size) - size, size, y[order][first] if len(ids) else y, bits)
