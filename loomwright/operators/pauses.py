@@ -97,17 +97,3 @@ def top_half(candidates: DataFrame, source: str, kind: str, pause: str, token: s
     by = Window.partitionBy(source)
     place = F.row_number().over(by.orderBy(F.when(F.col(kind) == "strong", 0).otherwise(1), F.col(pause).desc(), token, ident))
     return candidates.withColumn("in_top", place <= F.ceil(F.count("*").over(by) / 2))
-
-
-def label_step(kind: Column, pause: Column, label: Column, strong: Column, weak: Column) -> Column:
-    """Which step of the labelled planner a boundary enters: must, step2, step3, step4 or not_candidate."""
-    return (
-        F.when(kind == "final", "must")
-        .when(label == "bad", "not_candidate")
-        .when((label == "good") & (pause >= strong["p80"]), "must")
-        .when((label == "good") & (pause >= weak["p50"]), "step2")
-        .when((label == "good") & (pause > weak["p20"]), "step3")
-        .when((label == "ok") & (pause >= weak["p50"]), "step3")
-        .when((label == "ok") & (pause > weak["p20"]), "step4")
-        .otherwise("not_candidate")
-    )

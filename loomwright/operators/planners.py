@@ -9,9 +9,10 @@ the next phase; what no phase covers is left over and dropped.
 
 from __future__ import annotations
 
+import bisect
 import math
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -77,8 +78,8 @@ class Source:
     weak: Quantiles
     shortest: float
     longest: float
-    trim: Callable[[float, float], float] = lambda a, b: b - a
-    seen: dict[tuple[int, int], tuple[float, float]] = field(default_factory=dict)
+    trim: Callable[[float, float], float] | None = None  # none: nothing is taken off
+    most_trim: float | None = None  # the most seconds that ``trim`` takes off; without it no stretch is too long to try
 
     def opens(self, k: int) -> float:
         if k == 0:
@@ -91,10 +92,13 @@ class Source:
         return min((self.ends[k] + self.starts[k + 1]) / 2, self.ends[k] + PADDING_SEC)
 
     def lengths(self, first: int, last: int) -> tuple[float, float]:
-        if (first, last) not in self.seen:
-            a, b = self.opens(first), self.closes(last)
-            self.seen[first, last] = (max(0.0, b - a), self.trim(a, b))
-        return self.seen[first, last]
+        a, b = self.opens(first), self.closes(last)
+        return max(0.0, b - a), self.trim(a, b) if self.trim else b - a
+
+    def reach(self) -> float:
+        """Seconds beyond which no untrimmed stretch can be valid."""
+        taken = 0.0 if self.trim is None else math.inf if self.most_trim is None else self.most_trim
+        return self.longest + taken + 1e-9
 
     def link(self, first: int, end: Boundary, phase: str) -> Link:
         raw, trimmed = self.lengths(first, end.token)
@@ -112,18 +116,24 @@ def chain(source: Source, region: Region, inner: Sequence[Boundary], phase: str,
     points = [stops[t] for t in sorted(stops)]
     reached: list[tuple[tuple, int, Link | None]] = [(zero, -1, None)]  # place 0: nothing chosen yet
     where = [start]
+    latest = [source.opens(start)]  # of this place and all before it
+    reach = source.reach()
     for b in points:
-        best = None
-        for k, first in enumerate(where):
+        best, closes = None, source.closes(b.token)
+        for k in range(len(where) - 1, -1, -1):
+            if closes - latest[k] > reach:  # so are all places before it
+                break
+            first = where[k]
             if first is None or first > b.token:
                 continue
             link = source.link(first, b, phase)
             if link.valid and link.trimmed > 0:
                 score = add(reached[k][0], link)
-                if best is None or score > best[0]:
+                if best is None or score >= best[0]:  # of equals the earliest place
                     best = (score, k, link)
         reached.append(best or (zero, -1, None))
         where.append(b.token + 1 if best else None)
+        latest.append(max(latest[-1], source.opens(b.token + 1)) if best and b.token + 1 < len(source.starts) else latest[-1])
     ends = [k for k, first in enumerate(where) if first is not None]
     if to_end:
         if where[-1] is None:
@@ -162,10 +172,13 @@ def regions_of(source: Source, must: Callable[[Boundary], bool]) -> list[Region]
 def without(regions: list[Region], solved: list[Link]) -> list[Region]:
     """Regions less what is solved; a stretch before a solved link ends at a synthetic boundary."""
     out = []
+    links = sorted(solved, key=lambda x: (x.first, x.end.token))
+    firsts = [x.first for x in links]
     for start, last in regions:
         at = start
-        for link in sorted(solved, key=lambda x: (x.first, x.end.token)):
-            if link.end.token < at or link.first > last.token:
+        # solved links do not overlap: only the one before may reach into the region
+        for link in links[max(0, bisect.bisect_left(firsts, start) - 1) : bisect.bisect_right(firsts, last.token)]:
+            if link.end.token < at:
                 continue
             if at < link.first:
                 out.append((at, Boundary(link.first - 1, "synthetic", 0.0)))
@@ -176,7 +189,14 @@ def without(regions: list[Region], solved: list[Link]) -> list[Region]:
 
 
 def inside(boundaries: Sequence[Boundary], regions: list[Region]) -> list[Boundary]:
-    return [b for b in boundaries if any(start <= b.token < last.token for start, last in regions)]
+    spans = sorted((start, last.token) for start, last in regions)  # they do not overlap
+    firsts = [x for x, _ in spans]
+
+    def held(token: int) -> bool:
+        k = bisect.bisect_right(firsts, token) - 1
+        return k >= 0 and token < spans[k][1]
+
+    return [b for b in boundaries if held(b.token)]
 
 
 @dataclass(frozen=True)
@@ -194,10 +214,12 @@ def by_phases(source: Source, must: Callable[[Boundary], bool], phases: Sequence
     solved: list[Link] = []
     left = regions
     for phase in phases:
-        picked = phase.pick([b for b in inside(source.boundaries, left) if not must(b)])
+        picked = sorted(phase.pick([b for b in inside(source.boundaries, left) if not must(b)]), key=lambda b: b.token)
+        tokens = [b.token for b in picked]
         found = []
         for region in left:
-            links = chain(source, region, picked, phase.name, (0.0, 0, 0), phase.add, False)
+            inner = picked[bisect.bisect_left(tokens, region[0]) : bisect.bisect_left(tokens, region[1].token)]
+            links = chain(source, region, inner, phase.name, (0.0, 0, 0), phase.add, False)
             if phase.needs_inner and not any(x.end.token < region[1].token for x in links):
                 links = []
             found += links
@@ -283,13 +305,15 @@ def dp_strategy_2(s: Source) -> list[Link] | None:
     regions = regions_of(s, must)
     if regions is None:
         return None
-    strong = [b for b in s.boundaries if b.kind == "strong"]
+    strong = sorted((b for b in s.boundaries if b.kind == "strong"), key=lambda b: b.token)
+    tokens = [b.token for b in strong]
     middle = (s.shortest + s.longest) / 2
     floor = max(s.strong.p60, s.weak.p60)
+    between = np.append(0, np.cumsum([floor < b.pause < s.strong.p80 for b in strong], dtype=np.int64)).tolist()
 
     def add(score: tuple, link: Link) -> tuple:
-        skipped = [b for b in strong if link.first <= b.token < link.end.token]
-        spoilt = len(skipped) + sum(floor < b.pause < s.strong.p80 for b in skipped)
+        a, z = bisect.bisect_left(tokens, link.first), bisect.bisect_left(tokens, link.end.token)
+        spoilt = z - a + between[z] - between[a]
         worth = (dp_score(s, link.end) or 0) + (link.trimmed <= middle) - spoilt
         ms = round(link.trimmed * 1000)
         return (score[0] + ms, score[1] + worth, min(score[2], -ms), score[3] + 1, score[4] + round(link.end.pause))

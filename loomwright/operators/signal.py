@@ -42,21 +42,23 @@ def silence_chunks(signal: np.ndarray, rate: int, shortest: float = 5.0, longest
     return [*out, (at, len(signal))] if len(signal) > at else out
 
 
-def speech_regions(signal: np.ndarray, rate: int, sensitivity: float = 0.5, pad_sec: float = 0.1, shortest: float = 0.25, silence: float = 0.3) -> list[tuple[int, int]]:
-    """Energy-based activity: frames within a range of the loudest, padded, short ones left out, near ones joined."""
+def speech_regions(signal: np.ndarray, rate: int, sensitivity: float = 0.5, pad_sec: float = 0.2, shortest: float = 0.25, silence: float = 0.3, frame: int = 2048, hop: int = 512) -> list[tuple[int, int]]:
+    """Energy-based activity: frames (centred on multiples of ``hop``) within a range of the loudest, padded and clipped, short ones left out, near ones joined."""
     if not len(signal):
         return []
-    level, centre = frame_rms(signal, rate, 20.0, 10.0)
-    top = max(10, round((1 - sensitivity) * 60))
-    loud = (level > 0) & (20 * np.log10(np.maximum(level, 1e-10) / max(level.max(), 1e-10)) > -top)
+    half = frame // 2
+    total = np.append(0, np.cumsum(np.square(np.pad(signal.astype(np.float64), half))))
+    at = np.arange(1 + len(signal) // hop) * hop
+    power = np.maximum((total[at + frame] - total[at]) / frame, 1e-10)
+    loud = 10 * np.log10(power / power.max()) > -max(10, round((1 - sensitivity) * 60))
+    pad, least, quiet = int(rate * pad_sec), int(rate * shortest), int(rate * silence)
     out: list[list[int]] = []
     for a, z in runs_of(loud):
-        start, end = int((centre[a] - 0.01 - pad_sec) * rate), int((centre[z - 1] + 0.01 + pad_sec) * rate)
-        if (end - start) / rate - 2 * pad_sec < shortest:
+        start, end = max(0, a * hop - pad), min(len(signal), min(z * hop, len(signal)) + pad)
+        if end - start < least:
             continue
-        start, end = max(0, start), min(len(signal), end)
-        if out and start - out[-1][1] < silence * rate:
-            out[-1][1] = max(out[-1][1], end)
+        if out and start - out[-1][1] < quiet:
+            out[-1][1] = end
         else:
             out.append([start, end])
     return [tuple(x) for x in out]
@@ -186,22 +188,29 @@ def istft(spectra: np.ndarray, length: int, size: int = 512, hop: int = 128) ->
     return (out / np.maximum(norm, 1e-12))[size // 2 : size // 2 + length]
 
 
-def per_file(files: DataFrame, schema: str, work: Callable[[np.ndarray, int], list[tuple]], rate: int | None = None) -> DataFrame:
-    """``stem`` and the rows that ``work(signal, rate)`` gives for each file; unreadable files give none (see sources.audio.frames)."""
+def per_file(files: DataFrame, schema: str, work: Callable[[np.ndarray, int], list[tuple]], rate: int | None = None, problems: bool = False) -> DataFrame:
+    """``stem`` and the rows that ``work(signal, rate)`` gives for each file.
+
+    An unreadable file gives no row, or with ``problems`` one that has
+    nothing but its stem and the reason in a last column ``problem``.
+    """
     names = [c.split()[0] for c in schema.split(", ")]
+    shown = [*names, "problem"] if problems else names
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for stem, content in zip(batch["stem"], batch["content"], strict=True):
                 try:
                     signal, own = decode_wav(content)
-                except Exception:  # noqa: BLE001  counted by sources.audio.frames, which keeps the reason
+                except Exception as e:  # noqa: BLE001  whatever a broken file raises
+                    if problems:
+                        yield pd.DataFrame([(stem, *(None for _ in names), f"{type(e).__name__}: {e}")], columns=["stem", *shown])
                     continue
                 rows = work(resample(signal, own, rate) if rate else signal, rate or own)
                 if rows:
-                    yield pd.DataFrame(rows, columns=names).assign(stem=stem)[["stem", *names]]
+                    yield pd.DataFrame(rows, columns=names).assign(stem=stem, problem=None)[["stem", *shown]]
 
-    return files.select("stem", "content").mapInPandas(run, f"stem string, {schema}")
+    return files.select("stem", "content").mapInPandas(run, f"stem string, {schema}{', problem string' if problems else ''}")
 
 
 def chunk_files(files: DataFrame, rate: int = 16_000, shortest: float = 5.0, longest: float = 15.0) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomwright.functions.levels import dot, unit
-from loomwright.functions.tables import quantiles, with_rank, written
+from loomwright.functions.tables import quantiles, with_rank
 
 MAD_SCALE = 1.4826  # fixed value: MAD of a normal distribution to its deviation
 
@@ -28,17 +28,16 @@ def prune_outliers(scored: DataFrame, order: Column, multiplier: float = 3.0, ra
     first, up to max(1, floor(rows * ratio)); none with a ratio of 0 or
     fewer than ``fewest`` rows.
     """
-    scored = written(scored)
-    found = quantiles(scored, "similarity", [0.5])
-    if found is None:
+    ranked = with_rank(scored, [F.col("similarity"), order], "rank_lowest_first")  # one sort gives the ranks and the median
+    n = ranked.count()
+    if not n:
         empty = scored.withColumn("rank_lowest_first", F.lit(0).cast("long"))
         return empty.withColumns({c: F.lit(0.0) for c in ("threshold", "median", "mad")} | {"pruned": F.lit(False), "reason": F.lit("")})
-    median = found[0]
-    mad = quantiles(scored.select(F.abs(F.col("similarity") - median).alias("d")), "d", [0.5])[0]
+    middle = [r[0] for r in ranked.where(F.col("rank_lowest_first").isin((n + 1) // 2, n // 2 + 1)).select("similarity").collect()]
+    median = (min(middle) + max(middle)) / 2
+    mad = quantiles(ranked.select(F.abs(F.col("similarity") - median).alias("d")), "d", [0.5])[0]
     threshold = median - multiplier * MAD_SCALE * mad
-    n = scored.count()
     most = min(n, max(1, int(n * ratio)) if ratio > 0 else 0) if n >= fewest else 0
-    ranked = with_rank(scored, [F.col("similarity"), order], "rank_lowest_first")
     pruned = (F.col("similarity") < threshold) & (F.col("rank_lowest_first") <= most)
     return ranked.withColumns(
         {"threshold": F.lit(threshold), "median": F.lit(median), "mad": F.lit(mad), "pruned": pruned, "reason": F.when(pruned, "below speaker similarity threshold").otherwise("")}

@@ -116,7 +116,8 @@ def stitch(chunks: DataFrame, tokens: DataFrame) -> tuple[DataFrame, DataFrame]:
     ``chunks``: source_id, chunk, start_sec, text; ``tokens``: source_id,
     chunk, idx, char, start_sec, end_sec counted from the chunk.
     """
-    parts = chunks.where(F.trim("text") != "").groupBy("source_id").agg(F.array_sort(F.collect_list(F.struct("chunk", F.trim("text").alias("t")))).alias("p"))
+    some = F.when(F.trim("text") != "", F.struct("chunk", F.trim("text").alias("t")))  # a chunk without a result adds nothing, its source stays
+    parts = chunks.groupBy("source_id").agg(F.array_sort(F.collect_list(some)).alias("p"))
     whole = parts.select("source_id", F.array_join(F.transform("p", lambda x: x["t"]), " ").alias("text"))
     moved = tokens.join(chunks.select("source_id", "chunk", F.col("start_sec").alias("_o")), ["source_id", "chunk"])
     place = F.row_number().over(Window.partitionBy("source_id").orderBy("chunk", "idx")) - 1

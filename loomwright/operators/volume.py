@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomwright.functions.tables import with_rank, written
+
 # Z scale of a MAD, weights of the positive edge scores, centre of their likelihood, ceiling of a target.
 Z_SCALE = 0.67448975
 EDGE_WEIGHTS = (0.30, 0.20, 0.30, 0.15, 0.05)
@@ -14,11 +18,24 @@ CEILING_DBFS = -1.0
 
 
 def weighted_median(rows: DataFrame, by: str, value: str, weight: str) -> DataFrame:
-    """``weighted_median``: the least value at which the weights sum to half of the total; weights of 0 or less do not count."""
-    sums = rows.where(F.col(weight) > 0).groupBy(by, value).agg(F.sum(weight).alias("_w"))  # equal values first, so that a window is of distinct ones
-    upto = F.sum("_w").over(Window.partitionBy(by).orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
-    marked = sums.withColumn("_upto", upto).withColumn("_total", F.sum("_w").over(Window.partitionBy(by)))
-    return marked.where(F.col("_upto") >= F.col("_total") / 2).groupBy(by).agg(F.min(value).alias("weighted_median"))
+    """``weighted_median``: the least value at which the weights sum to half of the total; weights of 0 or less do not count.
+
+    Equal values are summed, the sums range-sorted, and running sums kept
+    within a range: what came before it is one number for each key and
+    range, so no key is held in one task.
+    """
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sums = written(rows.where(F.col(weight) > 0).groupBy(by, value).agg(F.sum(weight).alias("_w")))
+    dealt = written(sums.repartitionByRange(n, by, value).withColumn("_part", F.spark_partition_id()))
+    parts = dealt.groupBy(by, "_part").agg(F.sum("_w").alias("_in"))
+    key = Window.partitionBy(by)
+    before = F.coalesce(F.sum("_in").over(key.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = parts.select(F.col(by).alias("_by"), F.col("_part").alias("_p"), before.alias("_before"), F.sum("_in").over(key).alias("_total"), "_in")
+    # only the range in which the half is reached is summed up row by row
+    parts = parts.where((F.col("_before") < F.col("_total") / 2) & (F.col("_before") + F.col("_in") >= F.col("_total") / 2))
+    near = dealt.join(parts, dealt[by].eqNullSafe(F.col("_by")) & (F.col("_part") == F.col("_p")))
+    upto = F.col("_before") + F.sum("_w").over(Window.partitionBy(by, "_part").orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
+    return near.withColumn("_upto", upto).where(F.col("_upto") >= F.col("_total") / 2).groupBy(by).agg(F.min(value).alias("weighted_median"))
 
 
 def target_level(rows: DataFrame, level: str, weight: str, headroom_target: str, ceiling: float = CEILING_DBFS) -> DataFrame:
@@ -42,16 +59,30 @@ def prune_reasons(level: Column, headroom: Column, active: Column, dynamic: Colu
     )
 
 
+def _medians(values: DataFrame, by: str) -> DataFrame:
+    """Exact median of ``v`` for each (by, f) of rows (by, f, v): global ranks, of which the middle ones are picked."""
+    ranks = with_rank(values, [F.col(by), F.col("f"), F.col("v")], "_r")
+    sizes = ranks.groupBy(by, "f").agg(F.min("_r").alias("_lo"), F.count("*").alias("_n"), F.stddev_pop("v").alias("std"))
+    place = F.col("_r") - F.col("_lo")
+    middle = ranks.join(sizes, [by, "f"]).where((place == F.floor((F.col("_n") - 1) / 2)) | (place == F.floor(F.col("_n") / 2)))
+    return middle.groupBy(by, "f").agg(((F.min("v") + F.max("v")) / 2).alias("med"), F.first("std").alias("std"))
+
+
 def robust_z(rows: DataFrame, by: str, features: list[str]) -> DataFrame:
-    """``z_<feature>``: distance to the group's median in MADs, or in population deviations where the MAD vanishes."""
-    out = rows
-    for f in features:
-        medians = out.groupBy(by).agg(F.percentile(f, 0.5).alias("_med"), F.stddev_pop(f).alias("_std"))
-        spread = out.join(medians, by).groupBy(by).agg(F.percentile(F.abs(F.col(f) - F.col("_med")), F.lit(0.5)).alias("_mad"))
-        out = out.join(medians, by).join(spread, by)
-        scale = F.when(F.col("_mad") >= 1e-9, F.col("_mad") / Z_SCALE).when(F.col("_std") > 1e-9, F.col("_std")).otherwise(1.0)
-        out = out.withColumn(f"z_{f}", (F.col(f) - F.col("_med")) / scale).drop("_med", "_std", "_mad")
-    return out
+    """``z_<feature>``: distance to the group's median in MADs, or in population deviations where the MAD vanishes.
+
+    All features are ranked in one range sort and their deviations in a
+    second, so no group is held in one task.
+    """
+    cells = F.explode(F.array(*(F.struct(F.lit(k).alias("f"), F.col(f).cast("double").alias("v")) for k, f in enumerate(features)))).alias("c")
+    values = written(rows.where(F.col(by).isNotNull()).select(by, cells).select(by, "c.f", "c.v").where("v is not null"))
+    medians = written(_medians(values, by))
+    far = values.join(medians, [by, "f"]).select(by, "f", F.abs(F.col("v") - F.col("med")).alias("v"))
+    spread = _medians(far, by).select(by, "f", F.col("med").alias("mad"))
+    scale = F.when(F.col("mad") >= 1e-9, F.col("mad") / Z_SCALE).when(F.col("std") > 1e-9, F.col("std")).otherwise(1.0)
+    wide = medians.join(spread, [by, "f"]).withColumn("scale", scale).groupBy(by).agg(F.map_from_entries(F.collect_list(F.struct("f", F.struct("med", "scale")))).alias("_m"))
+    out = rows.join(written(wide), by)
+    return out.withColumns({f"z_{f}": (F.col(f) - F.col("_m")[k]["med"]) / F.col("_m")[k]["scale"] for k, f in enumerate(features)}).drop("_m")
 
 
 def edge_score(zs: list[Column], weights: tuple[float, ...] = EDGE_WEIGHTS) -> Column:
@@ -91,6 +122,30 @@ def _biquad(x: np.ndarray, b: np.ndarray, a: np.ndarray) -> np.ndarray:
     return out
 
 
+@lru_cache(maxsize=8)
+def _weighting_response(rate: int) -> np.ndarray:
+    """Impulse response of both filters over one second, by when it has died away."""
+    out = np.zeros(rate)
+    out[0] = 1.0
+    for b, a in k_weighting(rate):
+        out = _biquad(out, b, a)
+    return out
+
+
+def weighted_signal(x: np.ndarray, rate: int) -> np.ndarray:
+    """The K-weighted signal, by convolution with the filters' response in blocks (overlap-add)."""
+    h = _weighting_response(rate)
+    size = 1 << max(15, (2 * len(h) - 1).bit_length())
+    step = size - len(h) + 1
+    spectrum = np.fft.rfft(h, size)
+    out = np.zeros(len(x) + len(h) - 1)
+    for k in range(0, len(x), step):
+        part = np.fft.irfft(np.fft.rfft(x[k : k + step], size) * spectrum, size)
+        part = part[: len(out) - k]
+        out[k : k + len(part)] += part
+    return out[: len(x)]
+
+
 def k_weighting(rate: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """The two filters of ITU-R BS.1770 at any sample rate (a high shelf, then a high pass)."""
     def shelf(f0: float, gain_db: float, q: float) -> tuple[np.ndarray, np.ndarray]:
@@ -112,9 +167,7 @@ def integrated_loudness(signal: np.ndarray, rate: int) -> float:
     size, step = int(round(0.4 * rate)), int(round(0.1 * rate))
     if len(signal) < size:
         raise ValueError("the signal is shorter than a block of 400 ms")
-    x = signal.astype(np.float64)
-    for b, a in k_weighting(rate):
-        x = _biquad(x, b, a)
+    x = weighted_signal(signal.astype(np.float64), rate)
     total = np.append(0, np.cumsum(x * x))
     starts = np.arange(0, len(x) - size + 1, step)
     power = (total[starts + size] - total[starts]) / size

@@ -17,7 +17,13 @@ class Settings:
         for line in Path(path).read_text(encoding="utf-8").splitlines() if Path(path).exists() else ():
             name, mark, value = line.strip().removeprefix("export ").partition("=")
             if mark and not name.startswith("#"):
-                found[name.strip()] = value.strip().strip("\"'")
+                value = value.strip()
+                quote = value[:1]
+                if quote and quote in "\"'" and value.find(quote, 1) > 0:
+                    value = value[1 : value.find(quote, 1)]
+                else:  # a comment may follow a bare value
+                    value = value.split(" #")[0].rstrip()
+                found[name.strip()] = value
         return cls(found)
 
     def text(self, name: str, default: str = "") -> str:
@@ -25,8 +31,8 @@ class Settings:
 
     def whole(self, name: str, default: int) -> int:
         try:
-            return int(self.values[name])
-        except (KeyError, ValueError):
+            return int(float(self.values[name]))
+        except (KeyError, ValueError, OverflowError):
             return default
 
     def number(self, name: str, default: float) -> float:
@@ -36,4 +42,6 @@ class Settings:
             return default
 
     def flag(self, name: str, default: bool = False) -> bool:
-        return self.values[name].lower() in ("1", "true", "yes", "on") if self.values.get(name) else default
+        """Words that say neither yes nor no give the default."""
+        said = self.values.get(name, "").lower()
+        return True if said in ("1", "true", "yes", "on") else False if said in ("0", "false", "no", "off") else default

@@ -2,6 +2,7 @@
 
 import pytest
 
+from loomwright.operators import planners as P
 from loomwright.operators.planners import Boundary, Quantiles, Source, better_half, dp_score, labelled_step, plan
 
 STRONG = Quantiles(10, 20, 40, 50, 60, 200, 95)
@@ -113,3 +114,51 @@ def test_asker():
     assert sliced_by_asker(s, lambda m, said: [])[1] == "fallback"
     long = source(6, [(1, W, 10), (3, S, 500), (5, F, 0)], 1)
     assert sliced_by_asker(long, lambda m, said: [2])[1] == "submitted"  # sent again, so confirmed
+
+
+def every_chain(source, start, points, last):
+    """All chains of valid links from the start, brute force."""
+    out = [[]]
+    for b in [p for p in points if start <= p.token < last.token] + [last]:
+        link = source.link(start, b, "x")
+        if link.valid and link.trimmed > 0:
+            out.append([link])
+            if b.token < last.token:
+                out += [[link, *rest] for rest in every_chain(source, b.token + 1, points, last) if rest]
+    return out
+
+
+def test_chain_is_the_best_of_all():
+    import random
+
+    pick = random.Random(12)
+    for trial in range(150):
+        n = pick.randint(2, 14)
+        starts, at = [], 0.0
+        for _ in range(n):
+            starts.append(at)
+            at += pick.uniform(0.3, 3.0)
+        ends = [x + 0.25 for x in starts]
+        cuts = sorted(pick.sample(range(n - 1), pick.randint(0, min(7, n - 1))))
+        inner = [P.Boundary(k, "weak", float(pick.randint(1, 9)), j) for j, k in enumerate(cuts)]
+        last = P.Boundary(n - 1, "final", 0.0)
+        off = (lambda a, b: max(0.0, b - a - 0.4)) if trial % 3 == 0 else None
+        source = P.Source(starts, ends, [*inner, last], P.Quantiles(), P.Quantiles(), 1.0, 4.0, off, 0.4 if trial % 2 else None)
+        for add, to_end in ((P._more_segments, False), (P._more_silence, True)):
+            got = P.chain(source, (0, last), inner, "x", (0.0, 0, 0), add, to_end)
+            total = lambda links: __import__("functools").reduce(add, links, (0.0, 0, 0))  # noqa: E731, B023
+            known = [c for c in every_chain(source, 0, inner, last) if not to_end or (c and c[-1].end.token == last.token)]
+            best = max((total(c) for c in known), default=None)
+            assert (total(got) if got or not to_end else None) == best
+
+
+def test_long_regions_take_time_in_proportion():
+    import time
+
+    n = 20_000
+    source = P.Source([k * 0.5 for k in range(n)], [k * 0.5 + 0.4 for k in range(n)], [*(P.Boundary(k, "weak", 200.0, k) for k in range(n - 1)), P.Boundary(n - 1, "final", 0.0, n)], P.Quantiles(), P.Quantiles(), 3.0, 10.0)
+    began = time.time()
+    for name in ("priority_silence_v3", "dp_strategy_2"):
+        assert name not in P.PLANNERS or P.plan(name, source)[0]
+    assert P.chain(source, (0, source.boundaries[-1]), source.boundaries[:-1], "x", (0.0, 0, 0), P._more_segments, False)
+    assert time.time() - began < 20
