@@ -445,3 +445,21 @@ def plan_segments(tokens: DataFrame, strategy: str, shortest: float, longest: fl
         return pd.DataFrame(rows, columns=names).assign(**{source: part[source].iloc[0]})[[source, *names]]
 
     return tokens.groupBy(source).applyInPandas(run, f"{source} {kind}, {PLAN_SCHEMA}")
+
+
+def next_window(source: Source, first: int, least_sec: float = 15.0, sentences: int = 3, extension: int = 2) -> list[Boundary]:
+    """Boundaries of the window that a model is shown next: from token ``first`` until it is long enough or has its sentences, then up to ``extension`` sentences more."""
+    out: list[Boundary] = []
+    ended, most = 0, None
+    for b in source.boundaries:
+        if b.token < first:
+            continue
+        if most is not None and ended >= most:
+            break
+        out.append(b)
+        ended += b.kind in ("strong", "final")
+        if most is None and (source.closes(b.token) - source.opens(first) >= least_sec or ended >= sentences or b.kind == "final"):
+            most = ended + extension
+        if b.kind == "final":
+            break
+    return out

@@ -64,6 +64,46 @@ def speech_regions(signal: np.ndarray, rate: int, sensitivity: float = 0.5, pad_
     return [tuple(x) for x in out]
 
 
+def quiet_boundary(signal: np.ndarray, rate: int, start: int, end: int, least_sec: float = 10.0, window_ms: float = 100.0) -> int:
+    """The quietest sample of the quietest 100 ms between ``least_sec`` after ``start`` and ``end``; ``end`` where nothing is quieter than the rest."""
+    lo = max(start + 1, min(int(start + round(least_sec * rate)), len(signal)))
+    hi = max(lo, min(end, len(signal)))
+    part = np.abs(signal[lo:hi].astype(np.float64))
+    if not len(part):
+        return end
+    size = max(4, round(window_ms * rate / 1000))
+    if len(part) <= size:
+        return lo + int(np.argmin(part))
+    total = np.append(0, np.cumsum(part))
+    sums = total[size:] - total[:-size]
+    if sums.max() - sums.min() <= 1e-6:
+        return end
+    at = int(np.argmin(sums))
+    return lo + at + int(np.argmin(part[at : at + size]))
+
+
+def budget_chunks(signal: np.ndarray, rate: int, regions: list[tuple[int, int]], budget_sec: float, least_sec: float = 10.0) -> list[tuple[int, int]]:
+    """Regions packed into chunks of at most the budget; a longer region, or a signal without regions, is cut at quiet boundaries.
+
+    A budget of 0 gives one chunk of everything.
+    """
+    if not len(signal):
+        return []
+    if budget_sec <= 0:
+        return [(0, len(signal))]
+    most, out = int(budget_sec * rate), []
+    for start, end in regions or [(0, len(signal))]:
+        if out and end - out[-1][0] <= most:
+            out[-1] = (out[-1][0], end)
+            continue
+        while end - start > most:
+            cut = quiet_boundary(signal, rate, start, start + most, min(least_sec, budget_sec / 2))
+            out.append((start, cut))
+            start = cut
+        out.append((start, end))
+    return out
+
+
 def low_energy_spans(signal: np.ndarray, rate: int, start: float, end: float, shortest: float = 0.03) -> list[tuple[float, float]]:
     """Quiet spans in seconds within a window; none where the level is flat."""
     level, centre = frame_rms(signal[round(start * rate) : round(end * rate)], rate)
