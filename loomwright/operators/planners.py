@@ -17,6 +17,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from loomwright.operators.pauses import FALLBACK, FEWEST, NAMES, POINTS
 
@@ -438,13 +439,16 @@ def plan_segments(tokens: DataFrame, strategy: str, shortest: float, longest: fl
         extra = {c: cut[c].tolist() if c in cut else [d] * len(cut) for c, d in (("quality", "bad"), ("policy", "normal"), ("label", "ok"))}
         place = {int(i): k for k, i in enumerate(part["idx"])}
         boundaries = [Boundary(place[int(t)], k, float(p), n, *x) for n, (t, k, p, *x) in enumerate(zip(cut["idx"], cut["kind"], cut["pause_ms"], *extra.values(), strict=True))]
-        quantile = [Quantiles(**{n: float(part[c].iloc[0][n]) for n in NAMES}) for c in ("strong", "weak")]
+        quantile = [Quantiles(**{n: float(part[f"{c}_{n}"].iloc[0]) for n in NAMES}) for c in ("strong", "weak")]
         links, problem = plan(strategy, Source(part["start_sec"].tolist(), part["end_sec"].tolist(), boundaries, *quantile, shortest, longest))
         rows = [(*x.row(), None) for x in links] + ([(None,) * 9 + (problem,)] if problem else [])
         names = [c.split()[0] for c in PLAN_SCHEMA.split(", ")]
         return pd.DataFrame(rows, columns=names).assign(**{source: part[source].iloc[0]})[[source, *names]]
 
-    return tokens.groupBy(source).applyInPandas(run, f"{source} {kind}, {PLAN_SCHEMA}")
+    # flat columns, and only those that are read: a struct on each token would become a dict on each token
+    used = [c for c in (source, "idx", "start_sec", "end_sec", "kind", "pause_ms", "quality", "policy", "label") if c in tokens.columns]
+    flat = tokens.select(*used, *(F.col(c)[n].alias(f"{c}_{n}") for c in ("strong", "weak") for n in NAMES))
+    return flat.groupBy(source).applyInPandas(run, f"{source} {kind}, {PLAN_SCHEMA}")
 
 
 def next_window(source: Source, first: int, least_sec: float = 15.0, sentences: int = 3, extension: int = 2) -> list[Boundary]:
