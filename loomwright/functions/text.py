@@ -29,10 +29,15 @@ def spoken(text: Column) -> Column:
     return F.regexp_replace(text, SILENT, "")
 
 
+def _blank(run: Column) -> Column:
+    """Empty, or white space alone."""
+    return run.rlike(r"^(?U)[\s\x1c-\x1f]*$")
+
+
 def run_after(text: Column, position: Column) -> Column:
     """The silent run right after a 0-based position; empty if it holds nothing visible."""
     run = F.regexp_extract(F.substring(text, position + 2, F.length(text)), f"^{SILENT}+", 0)
-    return F.when(F.trim(run) == "", "").otherwise(run)
+    return F.when(_blank(run), "").otherwise(run)
 
 
 def pause_category(run: Column) -> Column:
@@ -43,7 +48,7 @@ def pause_category(run: Column) -> Column:
 
 def boundary_kind(run: Column) -> Column:
     """strong if any mark of a visible run is strong, else weak; null without a visible run."""
-    return F.when(F.trim(run) == "", None).when(run.rlike(_marks(STRONG_STOPS)), "strong").otherwise("weak")
+    return F.when(_blank(run), None).when(run.rlike(_marks(STRONG_STOPS)), "strong").otherwise("weak")
 
 
 def ending_kind(text: Column) -> Column:
@@ -79,3 +84,9 @@ def first_mismatch(a: Column, b: Column) -> Column:
     x, y = F.split(a, ""), F.split(b, "")
     unequal = F.zip_with(x, y, lambda p, q: ~p.eqNullSafe(q))
     return F.when(a == b, None).otherwise(F.array_position(unequal, True).cast("int") - 1)
+
+
+def json_arguments(raw: Column) -> Column:
+    """The members of a JSON object as text; empty for a null, blank or broken text, or JSON of another kind."""
+    found = F.from_json(F.btrim(raw), "map<string,string>")
+    return F.coalesce(found, F.create_map().cast("map<string,string>"))
