@@ -61,6 +61,24 @@ def diff_lines(found: DataFrame, key: str, fields: dict[str, tuple[str, str]], w
     return found.where("status != 'same'").select(key, F.posexplode(lines).alias("line", "text"))
 
 
+def part_mapping(parts: DataFrame, source: str = "source_path", output: str = "output_path") -> DataFrame:
+    """The nine columns that map the parts of a pre-split to their sources, seconds with three decimals as text.
+
+    ``parts``: the two paths, part_index, part_count, start_sec, end_sec,
+    cut_method and silence_sec (null for the last part: final, no silence).
+    """
+    three = lambda c: F.format_string("%.3f", c.cast("double"))
+    return parts.select(
+        F.col(source).alias("source_path"), F.col(output).alias("output_path"), "part_index", "part_count", three(F.col("start_sec")).alias("start_sec"), three(F.col("end_sec")).alias("end_sec"),
+        three(F.col("end_sec") - F.col("start_sec")).alias("duration_sec"), F.coalesce("cut_method", F.lit("final")).alias("cut_method"), three(F.coalesce("silence_sec", F.lit(0.0))).alias("silence_sec"),
+    )
+
+
+def write_mapping(mapping: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """The mapping as CSV with a header, in the order of sources and parts."""
+    mapping.orderBy("source_path", "part_index").write.mode(mode).option("header", True).csv(path)
+
+
 def write_summary(row: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """A table of one row (an aggregate) as one JSON object in one file; the commit of the write makes it appear whole."""
     row.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value")).coalesce(1).write.mode(mode).text(path)

@@ -42,6 +42,40 @@ def silence_chunks(signal: np.ndarray, rate: int, shortest: float = 5.0, longest
     return [*out, (at, len(signal))] if len(signal) > at else out
 
 
+def longest_run_cuts(
+    signal: np.ndarray, rate: int, shortest: float = 5.0, longest: float = 15.0, silence_ms: float = 80.0, frame_ms: float = 25.0, hop_ms: float = 5.0, fallback: str = "max"
+) -> list[tuple[float, float, float, float, float, float, str]]:
+    """(start, end, silence start, silence end, silence ms, silence rms, fallback) in seconds of segments cut in the middle of the longest silence ahead.
+
+    Of equally long silences the quieter one counts, then the one nearer to
+    the middle of the window. Without a silence of ``silence_ms`` the cut is
+    at the window's end, or half way to it (``fallback`` midpoint). The last
+    segment is a tail. No samples, no segments.
+    """
+    if not len(signal):
+        return []
+    level, centre = frame_rms(signal, rate, frame_ms, hop_ms)
+    limit, total = threshold_of(level), len(signal) / rate
+    step = centre[1] - centre[0] if len(centre) > 1 else hop_ms / 1000
+    frames = max(1, int(np.ceil(silence_ms / 1000 / max(step, 1e-6))))
+    sums = np.append(0, np.cumsum(level))
+    out, now = [], 0.0
+    while total - now > longest:
+        middle = now + (shortest + longest) / 2
+        lo, hi = np.searchsorted(centre, now + shortest), np.searchsorted(centre, now + longest, side="right")
+        runs = [(a + lo, z + lo) for a, z in runs_of(level[lo:hi] <= limit) if z - a >= frames]
+        if runs:
+            a, z = max(runs, key=lambda r: (r[1] - r[0], -(sums[r[1]] - sums[r[0]]) / (r[1] - r[0]), -abs((centre[r[0]] + centre[r[1] - 1]) / 2 - middle)))
+            first, last = float(centre[a]), float(centre[z - 1])
+            cut = (first + last) / 2
+            out.append((now, cut, first, last, (last - first) * 1000, float(sums[z] - sums[a]) / (z - a), ""))
+        else:
+            cut = now + (longest if fallback == "max" else longest / 2)
+            out.append((now, cut, cut, cut, 0.0, 0.0, f"no_silence_{fallback}"))
+        now = max(cut, now + 0.1)
+    return [*out, (now, total, total, total, 0.0, 0.0, "tail")] if total - now > 1e-6 else out
+
+
 def speech_regions(signal: np.ndarray, rate: int, sensitivity: float = 0.5, pad_sec: float = 0.2, shortest: float = 0.25, silence: float = 0.3, frame: int = 2048, hop: int = 512) -> list[tuple[int, int]]:
     """Energy-based activity: frames (centred on multiples of ``hop``) within a range of the loudest, padded and clipped, short ones left out, near ones joined."""
     if not len(signal):
@@ -257,6 +291,12 @@ def chunk_files(files: DataFrame, rate: int = 16_000, shortest: float = 5.0, lon
     return per_file(files, "start long, end long", lambda x, r: silence_chunks(x, r, shortest, longest), rate)
 
 
+def longest_run_files(files: DataFrame, rate: int = 16_000, shortest: float = 5.0, longest: float = 15.0, silence_ms: float = 80.0) -> DataFrame:
+    """The cut experiment over files; ``reports.cut_summary`` sums it up."""
+    schema = "start_sec double, end_sec double, silence_start_sec double, silence_end_sec double, silence_ms double, silence_rms double, fallback string"
+    return per_file(files, schema, lambda x, r: longest_run_cuts(x, r, shortest, longest, silence_ms), rate)
+
+
 def speech_files(files: DataFrame, rate: int = 16_000) -> DataFrame:
     return per_file(files, "start long, end long", speech_regions, rate)
 
