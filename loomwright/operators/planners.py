@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomwright.operators.pauses import FALLBACK, FEWEST, NAMES, POINTS
+from loomwright.sources.audio import decode_wav, trim
 
 # Fixed values of the rules, in seconds and milliseconds.
 PADDING_SEC = 0.1
@@ -424,23 +425,49 @@ def plan(strategy: str, source: Source) -> tuple[list[Link], str | None]:
     return (links, None) if links is not None else ([], f"{strategy} found no final must_cut boundary")
 
 
-def plan_segments(tokens: DataFrame, strategy: str, shortest: float, longest: float, source: str = "source_id") -> DataFrame:
+def trimmed_lengths(signal: np.ndarray, rate: int, top_db: float = 60.0, frame: int = 2048, hop: int = 512) -> tuple[Callable[[float, float], float], float]:
+    """How many seconds of a stretch are left without its silent ends, and the most seconds that this takes off any stretch.
+
+    What is taken off lies in runs of frames under the loudest of the whole
+    signal by as much; 6 dB and two frames allow for other frame places.
+    """
+    known: dict[tuple[int, int], float] = {}
+
+    def left(start: float, end: float) -> float:
+        key = max(0, round(start * rate)), min(len(signal), round(end * rate))
+        if key not in known:
+            first, last = trim(signal[slice(*key)], top_db, frame, hop) if key[1] > key[0] else (0, 0)
+            known[key] = (last - first) / rate
+        return known[key]
+
+    x = np.pad(signal.astype(np.float64), frame // 2)
+    total = np.append(0, np.cumsum(x * x))
+    at = np.arange(0, len(x) - frame + 1, hop)
+    power = (total[at + frame] - total[at]) / frame
+    edge = np.flatnonzero(np.diff(np.concatenate([[0], (power <= power.max() * 10 ** (-top_db / 10) * 4).astype(np.int8), [0]])))
+    longest = int((edge[1::2] - edge[::2]).max(initial=0))
+    return left, 2 * (longest * hop + 2 * frame) / rate
+
+
+def plan_segments(tokens: DataFrame, strategy: str, shortest: float, longest: float, source: str = "source_id", audio: DataFrame | None = None) -> DataFrame:
     """Segments of every source, planned side by side.
 
     ``tokens``: a row for each token with idx, start_sec, end_sec; where a
     boundary follows, kind, pause_ms (and quality, policy, label); structs
-    strong and weak of the source's pause quantiles.
+    strong and weak of the source's pause quantiles. With ``audio`` (the
+    source and WAV ``content``, a row each) segments are judged by their
+    lengths without silent ends; a source without audio by its whole lengths.
     """
     kind = tokens.schema[source].dataType.simpleString()
 
-    def run(part: pd.DataFrame) -> pd.DataFrame:
+    def planned(part: pd.DataFrame, sound: tuple) -> pd.DataFrame:
         part = part.sort_values("idx")
         cut = part[part["kind"].notna()]
         extra = {c: cut[c].tolist() if c in cut else [d] * len(cut) for c, d in (("quality", "bad"), ("policy", "normal"), ("label", "ok"))}
         place = {int(i): k for k, i in enumerate(part["idx"])}
         boundaries = [Boundary(place[int(t)], k, float(p), n, *x) for n, (t, k, p, *x) in enumerate(zip(cut["idx"], cut["kind"], cut["pause_ms"], *extra.values(), strict=True))]
         quantile = [Quantiles(**{n: float(part[f"{c}_{n}"].iloc[0]) for n in NAMES}) for c in ("strong", "weak")]
-        links, problem = plan(strategy, Source(part["start_sec"].tolist(), part["end_sec"].tolist(), boundaries, *quantile, shortest, longest))
+        links, problem = plan(strategy, Source(part["start_sec"].tolist(), part["end_sec"].tolist(), boundaries, *quantile, shortest, longest, *sound))
         rows = [(*x.row(), None) for x in links] + ([(None,) * 9 + (problem,)] if problem else [])
         names = [c.split()[0] for c in PLAN_SCHEMA.split(", ")]
         return pd.DataFrame(rows, columns=names).assign(**{source: part[source].iloc[0]})[[source, *names]]
@@ -448,7 +475,15 @@ def plan_segments(tokens: DataFrame, strategy: str, shortest: float, longest: fl
     # flat columns, and only those that are read: a struct on each token would become a dict on each token
     used = [c for c in (source, "idx", "start_sec", "end_sec", "kind", "pause_ms", "quality", "policy", "label") if c in tokens.columns]
     flat = tokens.select(*used, *(F.col(c)[n].alias(f"{c}_{n}") for c in ("strong", "weak") for n in NAMES))
-    return flat.groupBy(source).applyInPandas(run, f"{source} {kind}, {PLAN_SCHEMA}")
+    if audio is None:
+        return flat.groupBy(source).applyInPandas(lambda part: planned(part, ()), f"{source} {kind}, {PLAN_SCHEMA}")
+
+    def heard(part: pd.DataFrame, files: pd.DataFrame) -> pd.DataFrame:
+        if not len(part):
+            return pd.DataFrame(columns=[source, *(c.split()[0] for c in PLAN_SCHEMA.split(", "))])
+        return planned(part, trimmed_lengths(*decode_wav(files["content"].iloc[0])) if len(files) else ())
+
+    return flat.groupBy(source).cogroup(audio.select(source, "content").groupBy(source)).applyInPandas(heard, f"{source} {kind}, {PLAN_SCHEMA}")
 
 
 def next_window(source: Source, first: int, least_sec: float = 15.0, sentences: int = 3, extension: int = 2) -> list[Boundary]:

@@ -39,11 +39,6 @@ def test_segments(strategy, n, boundaries, longest, want):
     assert cut(strategy, n, boundaries, longest) == want
 
 
-def spread(p40, p60, p80):
-    """Far-off boundaries that give the combined quantiles wanted are not needed: the fixed ones serve with few pauses."""
-    return p40, p60, p80
-
-
 def test_combined_quantiles():
     q = Quantiles.of([100, 200, 300, 400, 500])
     assert (q.p40, q.p60, q.p80) == pytest.approx((260, 340, 420))
@@ -162,3 +157,27 @@ def test_long_regions_take_time_in_proportion():
         assert name not in P.PLANNERS or P.plan(name, source)[0]
     assert P.chain(source, (0, source.boundaries[-1]), source.boundaries[:-1], "x", (0.0, 0, 0), P._more_segments, False)
     assert time.time() - began < 20
+
+
+def test_lengths_without_silent_ends(spark):
+    import numpy as np
+
+    from loomwright.operators.pauses import NAMES
+    from loomwright.sources.audio import encode_wav
+
+    rate = 8000
+    x = np.sin(np.arange(8 * rate)).astype(np.float32) * 0.5
+    x[2 * rate : 4 * rate] = 0
+    left, most = P.trimmed_lengths(x, rate)
+    rng = np.random.default_rng(1)
+    for a, z in np.sort(rng.uniform(0, 8, (200, 2)), axis=1):
+        assert z - a - left(a, z) <= most + 1e-3
+    assert abs(left(0, 4) - 2) < 0.3 and left(5, 6) == pytest.approx(1, abs=0.1)
+    rows = [(k, i, i * 1.0, i + 0.9, "final" if i == 7 else "strong" if i == 3 else None, 130.0) for k in (1, 2) for i in range(8)]
+    q = "struct<" + ", ".join(f"{n}: double" for n in NAMES) + ">"
+    stats = tuple(float(v) for v in range(1, len(NAMES) + 1))
+    tokens = spark.createDataFrame([(*r, stats, stats) for r in rows], f"source_id long, idx int, start_sec double, end_sec double, kind string, pause_ms double, strong {q}, weak {q}")
+    audio = spark.createDataFrame([(1, encode_wav(x, rate)), (3, encode_wav(x, rate))], "source_id long, content binary")
+    got = {(r.source_id, r.first_token): r for r in P.plan_segments(tokens, "priority_silence_v1", 1.0, 5.0, audio=audio).collect()}
+    assert set(got) == {(1, 0), (1, 4), (2, 0), (2, 4)}
+    assert got[1, 0].trimmed_sec < 2.5 < got[2, 0].trimmed_sec and got[1, 0].raw_sec == got[2, 0].raw_sec
