@@ -7,14 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomwright.llm.alignment import align_tokens
 from loomwright.llm.exact_dedup import mark_duplicates
 from loomwright.llm.fingerprints import compare_edited
+from loomwright.llm.lexical_search import search
 from loomwright.llm.ngram_join import jaccard_classes
 from loomwright.llm.packing import pack_documents
 from loomwright.llm.page_language import identify
 from loomwright.llm.piece_codec import encode_texts
 from loomwright.llm.repeats import remove_repeats
 from loomwright.llm.resampling import resample
+from loomwright.llm.secret_scan import find_secrets, n_of, span_list
 from loomwright.llm.token_counts import count_tokens
 from loomwright.llm.toxicity import score_toxicity
 
@@ -78,6 +81,20 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"), with_ids=False)
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(documents(spark, sf_dir))
+    counts = (n_of(F.col("spans"), kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex"))
+    return found.select("doc_id", *counts, F.sha2(F.encode(span_list(F.col("spans"), base=True), "UTF-8"), 256).alias("base_sha256"), span_list(F.col("spans")).alias("spans"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokens(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -95,6 +112,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_page_language": op9_page_language,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_secret_scan": op11_secret_scan,
+    "op12_token_alignment": op12_token_alignment,
+    "op13_lexical_search": op13_lexical_search,
     "pipeline": pipeline,
 }
 
@@ -117,4 +137,22 @@ ORACLE: dict[str, str] = {
         c(doc_id, root) AS (SELECT doc_id, doc_id FROM documents UNION SELECT c.doc_id, p.b FROM c JOIN p ON p.a = c.root)
         SELECT doc_id, min(root) AS class_id, (SELECT count(*) FROM p WHERE p.a = c.doc_id) AS n_links FROM c GROUP BY doc_id
     """,
+    "op13_lexical_search": """
+        WITH words AS (
+            SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+        tf AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY ALL),
+        len AS (SELECT doc_id, count(*) AS n FROM words GROUP BY ALL),
+        world AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_terms FROM len),
+        df AS (SELECT term, count(*) AS df FROM tf GROUP BY ALL),
+        asked AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+        scored AS (
+            SELECT item_id, doc_id, sum(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1)))::BIGINT
+                * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + ((90 * n * n_docs) // n_terms)))))::BIGINT AS score
+            FROM asked JOIN tf USING (term) JOIN df USING (term) JOIN len USING (doc_id), world GROUP BY ALL),
+        ranked AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score FROM scored WHERE score > 0)
+        SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+    """,
 }

@@ -16,6 +16,9 @@ COLUMNS = {
     "op6_token_counts": ["doc_id", "n_bytes", "n_tokens", "over_limit"],
     "op8_suffix_dedup": ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
     "op10_best_fit_packing": ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
+    "op11_secret_scan": ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"],
+    "op12_token_alignment": ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"],
+    "op13_lexical_search": ["item_id", "rank", "doc_id", "score"],
 }
 
 
