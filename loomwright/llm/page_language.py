@@ -10,6 +10,7 @@ page's own part is left out of every count that it is judged by.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -66,15 +67,53 @@ def language_models(docs: DataFrame, bits: int = BITS) -> tuple[list[str], np.nd
     return names, np.log(counts / counts.sum(1, keepdims=True))
 
 
-def visible_text(html: Column) -> Column:
-    """The page's text without scripts, styles, menus, comments, tags and entities."""
-    bare = F.regexp_replace(html, r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<nav\b.*?</nav\s*>|<!--.*?-->", " ")
-    return F.regexp_replace(F.regexp_replace(bare, r"<[^>]*>", " "), r"&#?\w{1,8};|\s+", " ")
-
-
-def declared_language(html: Column) -> Column:
+_BLOCKS = {"script": r"<script\b", "style": r"<style\b", "nav": r"<nav\b", "!--": "<!--"}
+_CLOSERS = {k: re.compile("-->" if k == "!--" else rf"</{k}\s*>", re.IGNORECASE | re.ASCII) for k in _BLOCKS}
+_TAG = re.compile("<[^>]*>")
+_ENTITY = re.compile(r"&#?\w{1,8};|\s+", re.ASCII)
+_HTML = re.compile(r"<html\b", re.IGNORECASE | re.ASCII)
+_LANG = re.compile(r"\blang\s*=\s*[\"']?([a-z]{2,3})", re.IGNORECASE | re.ASCII)
+_openers: dict[tuple[str, ...], re.Pattern[str]] = {}
+
+
+def _without_blocks(html: str) -> str:
+    """Scripts, styles, menus and comments as blanks; what has no end stays. Once a kind's end is not found, it is not sought again."""
+    kinds, out, kept, at = tuple(_BLOCKS), [], 0, 0
+    while kinds:
+        if kinds not in _openers:
+            _openers[kinds] = re.compile("|".join(f"({_BLOCKS[k]})" for k in kinds), re.IGNORECASE | re.ASCII)
+        m = _openers[kinds].search(html, at)
+        if m is None:
+            break
+        kind = kinds[m.lastindex - 1]
+        if end := _CLOSERS[kind].search(html, m.end()):
+            out += [html[kept : m.start()], " "]
+            kept = at = end.end()
+        else:
+            kinds, at = tuple(k for k in kinds if k != kind), m.start() + 1
+    return "".join([*out, html[kept:]])
+
+
+def visible_text(html: str) -> str:
+    """The page's text without scripts, styles, menus, comments, tags and entities; time in proportion to the page, whatever is left open."""
+    bare = _without_blocks(html)
+    last = bare.rfind(">") + 1  # a tag ends by then: no search runs to the end in vain
+    return _ENTITY.sub(" ", _TAG.sub(" ", bare[:last]) + bare[last:])
+
+
+def declared_language(html: str) -> str:
     """Primary subtag of the lang attribute of the html element, lower-cased; empty where there is none."""
-    return F.coalesce(F.lower(F.regexp_extract(html, r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([a-z]{2,3})", 1)), F.lit(""))
+    at = 0
+    while m := _HTML.search(html, at):
+        end = html.find(">", m.end())
+        end = len(html) if end < 0 else end
+        found = _LANG.search(html, m.end())
+        if found is None:
+            break
+        if found.start() < end:
+            return found[1].lower()
+        at = end  # another html element before it ends has no attribute either
+    return ""
 
 
 def host_of(url: Column) -> Column:
@@ -98,8 +137,9 @@ def identify(pages: DataFrame, docs: DataFrame, bits: int = BITS, strength: floa
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in text_batches(whole, "text", 1 << 20):
-                data, offsets = text_bytes(batch.column("text"))
+            for batch in text_batches(whole, "html", 1 << 20):
+                html = [x or "" for x in batch.column("html").to_pylist()]
+                data, offsets = text_bytes(pa.array([visible_text(x) for x in html], pa.large_string()))
                 b = data[offsets[0] : offsets[-1]]
                 sums = np.zeros((batch.num_rows, n))
                 if len(b) >= GRAM and n:
@@ -110,11 +150,10 @@ def identify(pages: DataFrame, docs: DataFrame, bits: int = BITS, strength: floa
                     for k in range(n):
                         sums[:, k] = np.bincount(row[inside], sent.value[k][grams[inside]], batch.num_rows) * SHARE
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * n), pa.array(sums.ravel()))
-                cols = [batch.column(c) for c in ("page_id", "declared", "host")]
-                yield pa.RecordBatch.from_arrays([*cols, lists], ["page_id", "declared", "host", "logs"])
+                declared = pa.array([declared_language(x) for x in html], pa.string())
+                yield pa.RecordBatch.from_arrays([batch.column("page_id"), declared, batch.column("host"), lists], ["page_id", "declared", "host", "logs"])
 
-    html = F.coalesce(F.col("html").cast("string"), F.lit(""))
-    read = pages.select("page_id", visible_text(html).alias("text"), declared_language(html).alias("declared"), host_of(F.col("url")).alias("host"))
+    read = pages.select("page_id", F.col("html").cast("string").alias("html"), host_of(F.col("url")).alias("host"))
     scored = read.mapInArrow(run, f"page_id {kind}, declared string, host string, logs array<double>")
     if not n:
         none = F.lit(None)

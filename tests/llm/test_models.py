@@ -3,6 +3,8 @@
 import base64
 import hashlib
 import random
+import re
+import time
 import zlib
 
 import numpy as np
@@ -174,6 +176,88 @@ def test_language_where_text_alone_is_wrong(spark):
     assert abs([r for r in more if r.page_id == 1][0].probability - text) < 0.35
 
 
+def plain_posteriors(pages, docs):
+    """The whole fusion page by page: each count is summed anew over all other pages."""
+    names = sorted({x for _, x in docs if x})
+
+    def grams(text):
+        b = bytes(c + 32 if 65 <= c <= 90 else c for c in (text or "").encode())
+        return [int(page_language._grams(np.frombuffer(b[k : k + 4], np.uint8), page_language.BITS)[0]) for k in range(len(b) - 3)]
+
+    logs = []
+    for x in names:
+        counts = np.ones(1 << page_language.BITS)
+        for text, lang in docs:
+            if lang == x:
+                for g in grams(text):
+                    counts[g] += 1
+        logs.append(np.log(counts / counts.sum()))
+    n, k = len(names), page_language.STRENGTH
+    rows = []
+    for i, url, html in pages:
+        text = np.array([sum(v[g] for g in grams(page_language.visible_text(html or ""))) / 4 for v in logs])
+        own = np.exp(text - text.max())
+        host = (url or "").split("://")[-1].split("/")[0].removeprefix("www.")
+        said = page_language.declared_language(html or "")
+        parts = host.split(".")
+        rows.append((i, text, own / own.sum(), {"host": host, "domain": ".".join(parts[-2:]), "suffix": parts[-1]}, said if said in names or not said else "other"))
+    out = {}
+    for row in rows:
+        others = [r for r in rows if r is not row]
+
+        def total(test, others=others):
+            return sum((r[2] for r in others if test(r)), np.zeros(n))
+
+        world = total(lambda r: True) + 1
+        prior = world / world.sum()
+        for level in ("suffix", "domain", "host"):
+            here = total(lambda r, level=level, row=row: r[3][level] == row[3][level])
+            prior = (here + k * prior) / (here.sum() + k)
+        declared = (total(lambda r, row=row: r[4] == row[4]) + 1) / (world - 1 + n + 2)
+        joint = row[1] + np.log(declared) + np.log(prior)
+        post = np.exp(joint - joint.max())
+        out[row[0]] = (names[int(post.argmax())], post.max() / post.sum())
+    return out
+
+
+def test_posteriors_equal_a_plain_recomputation(spark):
+    pick = random.Random(21)
+    tongues = {"de": ["der", "und", "nicht", "schön"], "en": ["the", "and", "with"], "nl": ["het", "een", "der", "und"]}
+    docs = [(" ".join(pick.choices(tongues[x], k=12)), x) for x in tongues for _ in range(4)] + [("zz", None), (None, "en")]
+    pages = []
+    for k in range(90):
+        x = pick.choice(list(tongues))
+        words = " ".join(pick.choices(tongues[pick.choice([x, x, "nl"])], k=pick.randint(0, 3)))
+        lang = pick.choice(["", f' lang="{x}"', ' lang="fr"', " lang=EN"])
+        pages.append((k, pick.choice([None, f"http://www.{x}{k % 2}.site.{x}/{k}", f"https://a.b{k % 3}.org/"]), f"<html{lang}><p>{words}</p><!-- {k}"))
+    got = page_language.identify(spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3), spark.createDataFrame(docs, "text string, lang string"))
+    want = plain_posteriors(pages, docs)
+    rows = {r.page_id: (r.language, r.probability) for r in got.collect()}
+    assert rows.keys() == want.keys()
+    for i, (lang, p) in want.items():
+        assert abs(rows[i][1] - p) < 1e-9 and (rows[i][0] == lang or p < 0.5 + 1e-9)
+    assert min(p for _, p in want.values()) < 0.9
+
+
+@pytest.mark.parametrize("part", ["<script ", "<!-- ", "<nav>", "<style>x", "<", "<html ", "<html lang ", "<script></script ", "&a", "<script><style><!--<nav "])
+def test_pages_without_ends_take_time_in_proportion(part):
+    html = part * (10_000_000 // len(part))
+    began = time.time()
+    page_language.visible_text(html), page_language.declared_language(html)
+    assert time.time() - began < 6
+
+
+def test_visible_text_equals_the_patterns():
+    pick = random.Random(4)
+    parts = ["<script", "<style", "</script", ">", " ", "</nav>", "<nav", "<!--", "-->", "--", "a", "&amp;", "</style >", "<html", "lang", "=", "en", '"', "é", "x lang=de", "<"]
+    for _ in range(5000):
+        html = "".join(pick.choices(parts, k=pick.randint(1, 25)))
+        bare = re.sub(r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<nav\b.*?</nav\s*>|<!--.*?-->", " ", html, flags=re.ASCII)
+        assert page_language.visible_text(html) == re.sub(r"&#?\w{1,8};|\s+", " ", re.sub(r"<[^>]*>", " ", bare), flags=re.ASCII)
+        m = re.search(r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([a-z]{2,3})", html, re.ASCII)
+        assert page_language.declared_language(html) == (m[1].lower() if m else "")
+
+
 def test_language_edges(spark, odd_docs):
     """Very long pages, and columns with names that the operator uses inside."""
     docs = spark.createDataFrame([("der und nicht " * 9, "de"), ("the and thing " * 9, "en")], "text string, lang string")
