@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from urllib.parse import urlsplit
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -16,7 +19,10 @@ FILE_ROW_BITS = 40
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder for written steps: spark.checkpoint.dir where it is set; else the warehouse, and only in local mode a temporary folder."""
+    """Folder for written steps: spark.checkpoint.dir where it is set; else the warehouse, and only in local mode a temporary folder.
+
+    On a cluster a warehouse in the machines' own folders is refused: each executor would write to its own disk.
+    """
     if named := spark.conf.get("spark.checkpoint.dir", None):
         return named.rstrip("/")
     sc = spark.sparkContext
@@ -25,7 +31,13 @@ def shared_dir(spark: SparkSession) -> str:
     if sc.master == "local" or sc.master.startswith("local["):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="loomwright-"))
         return sc.getCheckpointDir().rstrip("/")
-    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/loomwright-steps"
+    return _on_all_machines(spark.conf.get("spark.sql.warehouse.dir")).rstrip("/") + "/loomwright-steps"
+
+
+def _on_all_machines(folder: str) -> str:
+    if urlsplit(folder).scheme in ("", "file"):
+        raise ValueError(f"{folder} may be another folder on each machine: set spark.checkpoint.dir to one that all of them share")
+    return folder
 
 
 def written(df: DataFrame) -> DataFrame:
@@ -80,16 +92,29 @@ def settled(df: DataFrame) -> DataFrame:
 def with_row_ids(df: DataFrame, name: str) -> DataFrame:
     """``df`` with a long that identifies each row and is the same in every read, however the files are split over tasks.
 
-    The id is the number of the row's file and the row's place in it. Two
-    calls agree where both get the same settled table (:func:`settled`).
+    The id is the number of the row's file, in the order of paths, and the
+    row's place in it. The driver lists the files for the scan anyway; rows
+    find their file's number by a hash of the path in a broadcast of 16
+    bytes a file, so no row is moved. Two calls agree where both get the
+    same settled table (:func:`settled`).
     """
     df = settled(df)
-    path, place, number = (fresh(df, f"{name}_{x}") for x in ("path", "place", "file"))
-    rows = _located(df, path, place)
-    # one row for each file: as many as the driver lists for the scan itself
-    files = written(rows.select(path).distinct().withColumn(number, F.row_number().over(Window.orderBy(path))))
-    found = rows.join(files, path).withColumn(name, F.shiftleft(F.col(number).cast("long"), FILE_ROW_BITS) + F.col(place))
-    return found.select(*(quoted(c) for c in df.columns), name)
+    path, place, key, number = (fresh(df, f"{name}_{x}") for x in ("path", "place", "key", "file"))
+    rows = _located(df, path, place).withColumn(key, F.xxhash64(path)).drop(path)
+    found = rows.join(F.broadcast(_file_numbers(df, key, number)), key, "left")
+    known = F.when(F.col(number).isNull(), F.raise_error(F.lit("a row's file is none of those listed for the scan")).cast("long")).otherwise(F.col(number))
+    return found.withColumn(name, F.shiftleft(known, FILE_ROW_BITS) + F.col(place)).select(*(quoted(c) for c in df.columns), name)
+
+
+def _file_numbers(df: DataFrame, key: str, number: str) -> DataFrame:
+    """Hash of each file's path, with and without an empty authority, and its number in the order of paths, for the files that the driver has listed."""
+    files = sorted(set(df.inputFiles()))
+    spelt = {x: k for k, path in enumerate(files) for x in (path.replace(":///", ":/", 1), path)}
+    listed = df.sparkSession.createDataFrame(pa.table({"path": pa.array(list(spelt), pa.string()), number: pa.array(list(spelt.values()), pa.int64())}))
+    hashed = listed.select(F.xxhash64("path").alias(key), number).toArrow()
+    if len(pc.unique(hashed[key])) < hashed.num_rows:
+        raise ValueError("two files' paths share a 64-bit hash: write the table anew")
+    return df.sparkSession.createDataFrame(hashed)
 
 
 def with_rank(df: DataFrame, order: list[Column], name: str, first: int = 1) -> DataFrame:

@@ -1,8 +1,9 @@
 """Row ids hold whatever the split of files; ranks are global."""
 
+import pytest
 from pyspark.sql import functions as F
 
-from loomwright.functions.tables import plain_scan, with_rank, with_row_ids
+from loomwright.functions.tables import FILE_ROW_BITS, _on_all_machines, plain_scan, with_rank, with_row_ids
 
 
 def test_row_ids_hold_for_other_splits(spark, tmp_path):
@@ -37,3 +38,28 @@ def test_ranks(spark):
     rows = with_rank(table, [F.col("v")], "r", 0)
     assert rows.columns == ["v", "_part", "_start", "r"]
     assert all(r.v == r.r for r in rows.collect())
+
+
+def test_row_ids_move_no_rows_and_take_odd_paths(spark, tmp_path):
+    odd = f"{tmp_path}/a b%20c"
+    spark.range(60).selectExpr("id", "concat('k %/=é ', id % 3) as `p q`").write.partitionBy("p q").parquet(odd)
+    table = spark.read.parquet(odd)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = with_row_ids(table, "rid")
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
+        ids = [r.rid for r in found.collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(set(ids)) == 60 and len({i >> FILE_ROW_BITS for i in ids}) == len(table.inputFiles())
+
+
+@pytest.mark.parametrize("folder,shared", [("file:/tmp/w", False), ("/tmp/w", False), ("hdfs://n/w", True), ("s3a://b/w", True)])
+def test_machine_local_folders_are_refused(folder, shared):
+    if shared:
+        assert _on_all_machines(folder) == folder
+    else:
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            _on_all_machines(folder)
