@@ -1,25 +1,33 @@
 """Planners that cut a source's tokens into segments of bounded length at punctuation pauses.
 
-A strategy is a list of phases over regions that end at must-cuts. In each
-phase a chain of segments is chosen by dynamic programming: the chain starts
-where its region does, every link has an admissible trimmed length, and the
-best reachable end wins. What is solved is taken out of the regions before
-the next phase; what no phase covers is left over and dropped.
+A strategy is a set of rules over boundary rows: which are must-cuts, which
+may be cut at in which phase, what a cut is worth. Must-cuts number the
+regions of a source by a running sum; a region's rows meet in one task, sorted,
+and a chain of segments is chosen there by dynamic programming over a window of
+starts: it begins where the region does, every link has an admissible trimmed
+length, and the best reachable end wins. What a phase has solved is the head
+of its region; the next phase goes on behind it, and what none covers is left
+over. Regions of one source are independent, so a long source spreads over
+tasks.
+
+Tokens are in the order of time within a source.
 """
 
 from __future__ import annotations
 
-import bisect
-import math
-from collections.abc import Callable, Sequence
+import itertools
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomwright.operators.pauses import FALLBACK, FEWEST, NAMES, POINTS
+from loomwright.functions.pointers import followed, sorted_groups
+from loomwright.functions.tables import written
+from loomwright.operators.pauses import combined_quantiles
 from loomwright.sources.audio import decode_wav, trim
 
 # Fixed values of the rules, in seconds and milliseconds.
@@ -28,477 +36,538 @@ SLACK_SEC = 0.35
 OVERSHOOT_SEC = 8.0
 ANCHOR_SEC = (15.0, 30.0)
 STRATEGIES = ("legacy_dp", "priority_silence_v1", "priority_silence_v2", "priority_silence_v3", "dp_strategy_2", "llm_pause_priority_silence_v2")
+PLAN_FIELDS = "first_token long, last_token long, raw_sec double, trimmed_sec double, valid boolean, dropped boolean, phase string, kind string, pause_ms double, problem string"
+_ANCHOR_BIN = 31.0  # wider than the furthest anchor, so that an anchor is in a start's bin or the next
+
+
+# -- boundaries as rows ------------------------------------------------------
+
+
+def boundary_rows(tokens: DataFrame, source: str = "source_id", keep: tuple[str, ...] = ("quality", "policy", "label")) -> DataFrame:
+    """A row for each token that a boundary follows.
+
+    ``token`` is its place in the source; a stretch that ends here
+    ``closes`` in the pause behind it, and one that begins behind the row
+    before begins at ``from_token`` and opens at ``from_opens``. ``row``
+    numbers the boundaries, ``n_tokens`` counts the source's tokens.
+    """
+    by = Window.partitionBy(source).orderBy("idx")
+    start, end = F.col("start_sec"), F.col("end_sec")
+    after = F.lead(start).over(by)
+    timed = tokens.withColumns(
+        {
+            "token": F.row_number().over(by) - 1,
+            "closes": F.when(after.isNull(), end).otherwise(F.least((end + after) / 2, end + PADDING_SEC)),
+            "_next_opens": F.greatest((end + after) / 2, after - PADDING_SEC),
+            "_first_opens": F.first(start).over(by),
+            "n_tokens": F.count("*").over(Window.partitionBy(source)),
+        }
+    )
+    rows = timed.where("kind is not null").withColumns(
+        {
+            "from_token": F.coalesce(F.lag("token").over(by) + 1, F.lit(0)),
+            "from_opens": F.coalesce(F.lag("_next_opens").over(by), F.col("_first_opens")),
+            "row": F.row_number().over(by) - 1,
+        }
+    )
+    extra = [c for c in keep if c in tokens.columns]
+    return rows.select(source, "row", "token", "from_token", "from_opens", "closes", "kind", F.col("pause_ms").cast("double").alias("pause_ms"), "n_tokens", *extra)
+
+
+# -- rules of the strategies -------------------------------------------------
 
 
 @dataclass(frozen=True)
-class Boundary:
-    token: int
-    kind: str
-    pause: float
-    ident: int = -1
-    quality: str = "bad"
-    policy: str = "normal"
-    label: str = "ok"
+class Rules:
+    """What a strategy says about boundary rows; phases are tried in turn."""
+
+    must: Column
+    phases: tuple[tuple[str, Column], ...]
+    needs_inner: bool = True  # the first phase counts only with a cut inside its region
+    worth: Column | None = None  # of a cut, for chains that must reach the region's end
+    spoils: Column | None = None  # what a boundary costs that a segment runs over
+
+
+def _kind(*kinds: str) -> Column:
+    return F.col("kind").isin(*kinds)
+
+
+def rules_v1() -> Rules:
+    pause, strong, weak = F.col("pause_ms"), F.col("strong"), F.col("weak")
+    floor = F.greatest(weak["p60"], F.lit(120.0))
+    must = _kind("final") | (_kind("strong") & (pause >= F.greatest(strong["p80"], F.lit(220.0))))
+    return Rules(must, (("good_cut", _kind("strong") & (pause >= floor)), ("valid_cut", pause >= floor)))
+
+
+def rules_v2() -> Rules:
+    """The second phase takes the better half of what the first has left in a source (``in_top``)."""
+    legal = _kind("strong", "weak") & (F.col("pause_ms") >= F.col("weak")["p60"])
+    return Rules(rules_v1().must, (("good_cut", legal & _kind("strong")), ("top50_cut", F.col("in_top")), ("remaining50_cut", legal)))
+
+
+def rules_v3() -> Rules:
+    pause, q = F.col("pause_ms"), F.col("both")
+    marked = _kind("strong", "weak")
+    must = _kind("final") | (_kind("strong") & (pause >= q["p80"]))
+    phases = (("combined_p60_strong_cut", _kind("strong") & (pause >= q["p60"])), ("combined_p60_cut", marked & (pause >= q["p60"])), ("combined_p40_cut", marked & (pause >= q["p40"])))
+    return Rules(must, phases)
+
+
+def labelled_step() -> Column:
+    """The step in which a labelled boundary may be cut at."""
+    pause, strong, weak, label = F.col("pause_ms"), F.col("strong"), F.col("weak"), F.col("label")
+    good = label == "good"
+    return (
+        F.when(_kind("final") | (good & (pause >= strong["p80"])), "must_cut")
+        .when((label == "bad") | (pause <= weak["p20"]), "not_candidate")
+        .when(pause >= weak["p50"], F.when(good, "step2_good_median").otherwise("step3_good_or_ok"))
+        .otherwise(F.when(good, "step3_good_or_ok").otherwise("step4_not_bad"))
+    )
+
+
+def rules_labelled() -> Rules:
+    steps = ("step2_good_median", "step3_good_or_ok", "step4_not_bad")
+    step = labelled_step()
+    return Rules(step == "must_cut", tuple((name, step.isin(*steps[: k + 1])) for k, name in enumerate(steps)))
+
+
+def dp_score() -> Column:
+    """What a cut is worth under dp_strategy_2; null where it must not be made."""
+    pause, strong, weak = F.col("pause_ms"), F.col("strong"), F.col("weak")
+    worth = F.when(pause >= strong["p80"], 3).when(pause >= F.greatest(strong["p60"], weak["p60"]), 2).when(pause >= weak["p60"], 1).otherwise(-1)
+    return F.when(_kind("final"), 0).when(_kind("strong", "weak") & (pause > weak["p20"]), worth + F.when(_kind("strong"), 2).otherwise(-1))
+
+
+def rules_dp2() -> Rules:
+    pause, strong, weak = F.col("pause_ms"), F.col("strong"), F.col("weak")
+    between = (pause > F.greatest(strong["p60"], weak["p60"])) & (pause < strong["p80"])
+    must = _kind("final") | (_kind("strong") & (pause >= strong["p80"]))
+    spoils = F.when(_kind("strong"), 1 + between.cast("int")).otherwise(0)
+    return Rules(must, (("dp_strategy_2", dp_score().isNotNull()),), False, F.coalesce(dp_score(), F.lit(0)), spoils)
+
+
+RULES: dict[str, Callable[[], Rules]] = dict(zip(STRATEGIES[1:], (rules_v1, rules_v2, rules_v3, rules_dp2, rules_labelled), strict=True))
+
+
+# -- chains of links within a region -----------------------------------------
+
+
+class Region:
+    """The rows of a region, in order, as lists."""
+
+    def __init__(self, table: pa.Table):
+        self.table = table
+        for c in ("token", "from_token", "from_opens", "closes", "pause_ms", "flags", "worth", "spoils"):
+            setattr(self, c, table[c].to_pylist())
+        self.n = len(self.token)
+        self.before = [0, *itertools.accumulate(self.spoils)]
 
 
 @dataclass(frozen=True)
-class Link:
-    first: int
-    end: Boundary
-    raw: float
-    trimmed: float
-    valid: bool
-    phase: str
-
-    def row(self) -> tuple:
-        return (self.first, self.end.token, self.raw, self.trimmed, self.valid, self.phase == "leftover", self.phase, self.end.kind, self.end.pause)
-
-
-@dataclass
-class Quantiles:
-    p5: float = FALLBACK[0]
-    p20: float = FALLBACK[1]
-    p40: float = FALLBACK[2]
-    p50: float = FALLBACK[3]
-    p60: float = FALLBACK[4]
-    p80: float = FALLBACK[5]
-    p95: float = FALLBACK[6]
-
-    @classmethod
-    def of(cls, values: Sequence[float]) -> Quantiles:
-        return cls(**dict(zip(NAMES, np.quantile(values, POINTS).tolist(), strict=True))) if len(values) >= FEWEST else cls()
-
-
-@dataclass
-class Source:
-    """Token times of one source, its boundaries by token, quantiles, and how long a stretch is once trimmed."""
-
-    starts: Sequence[float]
-    ends: Sequence[float]
-    boundaries: list[Boundary]
-    strong: Quantiles
-    weak: Quantiles
+class Bounds:
     shortest: float
     longest: float
     trim: Callable[[float, float], float] | None = None  # none: nothing is taken off
-    most_trim: float | None = None  # the most seconds that ``trim`` takes off; without it no stretch is too long to try
+    most_trim: float = 0.0  # the most seconds that ``trim`` takes off
 
-    def opens(self, k: int) -> float:
-        if k == 0:
-            return self.starts[0]
-        return max((self.ends[k - 1] + self.starts[k]) / 2, self.starts[k] - PADDING_SEC)
+    def lengths(self, r: Region, s: int, e: int) -> tuple[float, float]:
+        a, b = r.from_opens[s], r.closes[e]
+        return max(0.0, b - a), self.trim(a, b) if self.trim else b - a
 
-    def closes(self, k: int) -> float:
-        if k + 1 >= len(self.ends):
-            return self.ends[k]
-        return min((self.ends[k] + self.starts[k + 1]) / 2, self.ends[k] + PADDING_SEC)
+    def fits(self, trimmed: float) -> bool:
+        return self.shortest <= trimmed <= self.longest
 
-    def lengths(self, first: int, last: int) -> tuple[float, float]:
-        a, b = self.opens(first), self.closes(last)
-        return max(0.0, b - a), self.trim(a, b) if self.trim else b - a
 
-    def reach(self) -> float:
-        """Seconds beyond which no untrimmed stretch can be valid."""
-        taken = 0.0 if self.trim is None else math.inf if self.most_trim is None else self.most_trim
-        return self.longest + taken + 1e-9
+Link = tuple[int, int]  # first and last row
+
+
+def _more_segments(score: tuple, r: Region, s: int, e: int, trimmed: float) -> tuple:
+    return (score[0] + trimmed, score[1] + 1, score[2] + r.pause_ms[e])
+
 
-    def link(self, first: int, end: Boundary, phase: str) -> Link:
-        raw, trimmed = self.lengths(first, end.token)
-        return Link(first, end, round(raw, 3), round(trimmed, 3), self.shortest <= trimmed <= self.longest, phase)
+def _more_silence(score: tuple, r: Region, s: int, e: int, trimmed: float) -> tuple:
+    return (score[0] + trimmed, score[1] + round(r.pause_ms[e]), score[2] + 1)
 
 
-Region = tuple[int, Boundary]
+def _more_worth(middle: float) -> Callable[..., tuple]:
+    def add(score: tuple, r: Region, s: int, e: int, trimmed: float) -> tuple:
+        worth = r.worth[e] + (trimmed <= middle) - (r.before[e] - r.before[s])
+        ms = round(trimmed * 1000)
+        return (score[0] + ms, score[1] + worth, min(score[2], -ms), score[3] + 1, score[4] + round(r.pause_ms[e]))
 
+    return add
 
-def chain(source: Source, region: Region, inner: Sequence[Boundary], phase: str, zero: tuple, add: Callable[[tuple, Link], tuple], to_end: bool) -> list[Link]:
-    """The best chain of valid links from the start of a region; ``to_end``: it must reach the region's end."""
-    start, last = region
-    stops = {b.token: b for b in inner if start <= b.token < last.token}
-    stops[last.token] = last
-    points = [stops[t] for t in sorted(stops)]
-    reached: list[tuple[tuple, int, Link | None]] = [(zero, -1, None)]  # place 0: nothing chosen yet
-    where = [start]
-    latest = [source.opens(start)]  # of this place and all before it
-    reach = source.reach()
-    for b in points:
-        best, closes = None, source.closes(b.token)
-        for k in range(len(where) - 1, -1, -1):
+
+def best_chain(r: Region, begin: int, cuts: list[int], bounds: Bounds, zero: tuple, add: Callable[..., tuple], to_end: bool) -> list[Link]:
+    """The best chain of valid links from the row ``begin`` over ``cuts`` (rows, the region's last one included); ``to_end``: it must reach that."""
+    reach = bounds.longest + bounds.most_trim + 1e-9
+    scores: list[tuple] = [zero]
+    came: list[tuple[int, Link | None]] = [(-1, None)]
+    starts: list[int | None] = [begin]  # row that a link from here begins with
+    latest = [r.from_opens[begin]]  # of this place and all before it
+    for e in cuts:
+        best, closes = None, r.closes[e]
+        for k in range(len(starts) - 1, -1, -1):
             if closes - latest[k] > reach:  # so are all places before it
                 break
-            first = where[k]
-            if first is None or first > b.token:
+            s = starts[k]
+            if s is None:
                 continue
-            link = source.link(first, b, phase)
-            if link.valid and link.trimmed > 0:
-                score = add(reached[k][0], link)
+            trimmed = bounds.lengths(r, s, e)[1]
+            short = round(trimmed, 3)
+            if bounds.fits(trimmed) and short > 0:
+                score = add(scores[k], r, s, e, short)
                 if best is None or score >= best[0]:  # of equals the earliest place
-                    best = (score, k, link)
-        reached.append(best or (zero, -1, None))
-        where.append(b.token + 1 if best else None)
-        latest.append(max(latest[-1], source.opens(b.token + 1)) if best and b.token + 1 < len(source.starts) else latest[-1])
-    ends = [k for k, first in enumerate(where) if first is not None]
+                    best = (score, k, (s, e))
+        scores.append(best[0] if best else zero)
+        came.append((best[1], best[2]) if best else (-1, None))
+        starts.append(e + 1 if best else None)
+        latest.append(max(latest[-1], r.from_opens[e + 1]) if best and e + 1 < r.n else latest[-1])
     if to_end:
-        if where[-1] is None:
+        if starts[-1] is None:
             return []
-        at = len(where) - 1
+        at = len(starts) - 1
     else:
-        at = max(ends, key=lambda k: (reached[k][0], -k))
+        at = max((k for k, s in enumerate(starts) if s is not None), key=lambda k: (scores[k], -k))
     out = []
     while at > 0:
-        out.append(reached[at][2])
-        at = reached[at][1]
+        at, link = came[at]
+        out.append(link)
     return out[::-1]
 
 
-def _more_segments(score: tuple, link: Link) -> tuple:
-    return (score[0] + link.trimmed, score[1] + 1, score[2] + link.end.pause)
+Found = list[tuple[Link, str]]
 
 
-def _more_silence(score: tuple, link: Link) -> tuple:
-    return (score[0] + link.trimmed, score[1] + round(link.end.pause), score[2] + 1)
+def by_phases(names: list[str], needs_inner: bool, worth: bool, leftover: bool = True) -> Callable[[Region, Bounds], Found]:
+    """Chains of a region's phases, each behind what those before it have solved."""
 
+    def solve(r: Region, bounds: Bounds) -> Found:
+        out: Found = []
+        begin, last = 0, r.n - 1
+        for p, name in enumerate(names):
+            cuts = [k for k in range(begin, last) if r.flags[k] >> p & 1] + [last]
+            if worth:
+                links = best_chain(r, begin, cuts, bounds, (0,) * 5, _more_worth((bounds.shortest + bounds.longest) / 2), True)
+            else:
+                inner = p == 0 and needs_inner
+                links = best_chain(r, begin, cuts, bounds, (0.0, 0, 0), _more_segments if inner else _more_silence, False)
+                if inner and all(e == last for _, e in links):
+                    links = []
+            out += [(x, name) for x in links]
+            if links:
+                begin = links[-1][1] + 1
+            if begin > last:
+                return out
+        return [*out, ((begin, last), "leftover")] if leftover else out
 
-def regions_of(source: Source, must: Callable[[Boundary], bool]) -> list[Region] | None:
-    """Stretches between must-cuts; None unless the last boundary closes the source."""
-    cuts = [b for b in source.boundaries if must(b)]
-    if not cuts or cuts[-1].kind != "final":
-        return None
-    out, start = [], 0
-    for b in cuts:
-        if start <= b.token:
-            out.append((start, b))
-        start = b.token + 1
-    return out
+    return solve
 
 
-def without(regions: list[Region], solved: list[Link]) -> list[Region]:
-    """Regions less what is solved; a stretch before a solved link ends at a synthetic boundary."""
-    out = []
-    links = sorted(solved, key=lambda x: (x.first, x.end.token))
-    firsts = [x.first for x in links]
-    for start, last in regions:
-        at = start
-        # solved links do not overlap: only the one before may reach into the region
-        for link in links[max(0, bisect.bisect_left(firsts, start) - 1) : bisect.bisect_right(firsts, last.token)]:
-            if link.end.token < at:
+def legacy_path(r: Region, bounds: Bounds) -> Found | None:
+    """Between two anchors, the path with the fewest bad lengths and cuts; none may skip a must-cut. None where there is no path."""
+    quality, policy = r.table["quality"].to_pylist(), r.table["policy"].to_pylist()
+    rank = {"perfect": 0, "ok": 1}
+    target = (bounds.shortest + bounds.longest) / 2
+    best: list[tuple[tuple, int] | None] = []
+    for j in range(r.n):
+        found = None
+        for i in range(j - 1, -2, -1) if policy[j] != "no_cut" else ():
+            if i + 1 < j and policy[i + 1] == "must_cut":
+                break  # a must-cut would be skipped
+            if i >= 0 and best[i] is None:
                 continue
-            if at < link.first:
-                out.append((at, Boundary(link.first - 1, "synthetic", 0.0)))
-            at = max(at, link.end.token + 1)
-        if at <= last.token:
-            out.append((at, last))
-    return out
-
-
-def inside(boundaries: Sequence[Boundary], regions: list[Region]) -> list[Boundary]:
-    spans = sorted((start, last.token) for start, last in regions)  # they do not overlap
-    firsts = [x for x, _ in spans]
-
-    def held(token: int) -> bool:
-        k = bisect.bisect_right(firsts, token) - 1
-        return k >= 0 and token < spans[k][1]
-
-    return [b for b in boundaries if held(b.token)]
-
-
-@dataclass(frozen=True)
-class Phase:
-    name: str
-    pick: Callable[[list[Boundary]], list[Boundary]]
-    add: Callable[[tuple, Link], tuple]
-    needs_inner: bool = False
-
-
-def by_phases(source: Source, must: Callable[[Boundary], bool], phases: Sequence[Phase]) -> list[Link] | None:
-    regions = regions_of(source, must)
-    if regions is None:
-        return None
-    solved: list[Link] = []
-    left = regions
-    for phase in phases:
-        picked = sorted(phase.pick([b for b in inside(source.boundaries, left) if not must(b)]), key=lambda b: b.token)
-        tokens = [b.token for b in picked]
-        found = []
-        for region in left:
-            inner = picked[bisect.bisect_left(tokens, region[0]) : bisect.bisect_left(tokens, region[1].token)]
-            links = chain(source, region, inner, phase.name, (0.0, 0, 0), phase.add, False)
-            if phase.needs_inner and not any(x.end.token < region[1].token for x in links):
-                links = []
-            found += links
-        solved += found
-        left = without(left, found)
-    solved += [source.link(start, last, "leftover") for start, last in left]
-    return sorted(solved, key=lambda x: (x.first, x.end.token))
-
-
-def better_half(boundaries: Sequence[Boundary]) -> list[Boundary]:
-    """Strong ones first, then weak ones, each by longer pause, token and id; half of them, rounded up."""
-    order = sorted((b for b in boundaries if b.kind in ("strong", "weak")), key=lambda b: (b.kind != "strong", -b.pause, b.token, b.ident))
-    return order[: math.ceil(len(boundaries) / 2)]
-
-
-def _keep(rule: Callable[[Boundary], bool]) -> Callable[[list[Boundary]], list[Boundary]]:
-    return lambda bs: [b for b in bs if rule(b)]
-
-
-def priority_v1(s: Source) -> list[Link] | None:
-    floor = max(s.weak.p60, 120.0)
-    must = lambda b: b.kind == "final" or (b.kind == "strong" and b.pause >= max(s.strong.p80, 220.0))
-    return by_phases(s, must, [
-        Phase("good_cut", _keep(lambda b: b.kind == "strong" and b.pause >= floor), _more_segments, True),
-        Phase("valid_cut", _keep(lambda b: b.pause >= floor), _more_silence),
-    ])
-
-
-def priority_v2(s: Source) -> list[Link] | None:
-    legal = lambda b: b.kind in ("strong", "weak") and b.pause >= s.weak.p60
-    must = lambda b: b.kind == "final" or (b.kind == "strong" and b.pause >= max(s.strong.p80, 220.0))
-    return by_phases(s, must, [
-        Phase("good_cut", _keep(lambda b: b.kind == "strong" and b.pause >= s.weak.p60), _more_segments, True),
-        Phase("top50_cut", lambda bs: better_half([b for b in bs if legal(b)]), _more_silence),
-        Phase("remaining50_cut", _keep(legal), _more_silence),
-    ])
-
-
-def priority_v3(s: Source) -> list[Link] | None:
-    q = Quantiles.of([b.pause for b in s.boundaries if b.kind in ("strong", "weak")])
-    marked = lambda b, least: b.kind in ("strong", "weak") and b.pause >= least
-    must = lambda b: b.kind == "final" or (b.kind == "strong" and b.pause >= q.p80)
-    return by_phases(s, must, [
-        Phase("combined_p60_strong_cut", _keep(lambda b: b.kind == "strong" and b.pause >= q.p60), _more_segments, True),
-        Phase("combined_p60_cut", _keep(lambda b: marked(b, q.p60)), _more_silence),
-        Phase("combined_p40_cut", _keep(lambda b: marked(b, q.p40)), _more_silence),
-    ])
-
-
-def labelled_step(s: Source, b: Boundary) -> str:
-    """The step in which a labelled boundary may be cut at."""
-    if b.kind == "final" or (b.label == "good" and b.pause >= s.strong.p80):
-        return "must_cut"
-    if b.label == "bad" or b.pause <= s.weak.p20:
-        return "not_candidate"
-    if b.pause >= s.weak.p50:
-        return "step2_good_median" if b.label == "good" else "step3_good_or_ok"
-    return "step3_good_or_ok" if b.label == "good" else "step4_not_bad"
-
-
-def labelled_v2(s: Source) -> list[Link] | None:
-    steps = ("step2_good_median", "step3_good_or_ok", "step4_not_bad")
-    phases = [
-        Phase(name, _keep(lambda b, k=k: labelled_step(s, b) in steps[: k + 1]), _more_segments if k == 0 else _more_silence, k == 0)
-        for k, name in enumerate(steps)
-    ]
-    return by_phases(s, lambda b: labelled_step(s, b) == "must_cut", phases)
-
-
-def dp_score(s: Source, b: Boundary) -> int | None:
-    """What a cut is worth under dp_strategy_2; None where it must not be made."""
-    if b.kind == "final":
-        return 0
-    if b.kind not in ("strong", "weak") or b.pause <= s.weak.p20:
-        return None
-    steps = ((s.strong.p80, 3), (max(s.strong.p60, s.weak.p60), 2), (s.weak.p60, 1))
-    worth = next((v for least, v in steps if b.pause >= least), -1)
-    return worth + (2 if b.kind == "strong" else -1)
-
-
-def dp_strategy_2(s: Source) -> list[Link] | None:
-    must = lambda b: b.kind == "final" or (b.kind == "strong" and b.pause >= s.strong.p80)
-    regions = regions_of(s, must)
-    if regions is None:
+            raw, trimmed = bounds.lengths(r, i + 1, j)
+            if raw > bounds.longest + OVERSHOOT_SEC:
+                continue
+            fits = bounds.fits(trimmed)
+            nearly = bounds.fits(raw) or max(0.0, bounds.shortest - SLACK_SEC) <= trimmed <= bounds.longest + SLACK_SEC
+            cost = (not fits and not nearly, not fits and nearly, quality[j] not in rank, quality[j] == "ok", round(abs(trimmed - target) * 1000))
+            score = tuple(map(sum, zip(best[i][0] if i >= 0 else (0,) * 5, cost, strict=True)))
+            if found is None or score <= found[0]:  # towards earlier starts, so that the first of equals stays
+                found = (score, i)
+        best.append(found)
+    if best[-1] is None:
         return None
-    strong = sorted((b for b in s.boundaries if b.kind == "strong"), key=lambda b: b.token)
-    tokens = [b.token for b in strong]
-    middle = (s.shortest + s.longest) / 2
-    floor = max(s.strong.p60, s.weak.p60)
-    between = np.append(0, np.cumsum([floor < b.pause < s.strong.p80 for b in strong], dtype=np.int64)).tolist()
+    path, at = [], r.n - 1
+    while at >= 0:
+        path.append(((best[at][1] + 1, at), "legacy_dp"))
+        at = best[at][1]
+    return path[::-1]
 
-    def add(score: tuple, link: Link) -> tuple:
-        a, z = bisect.bisect_left(tokens, link.first), bisect.bisect_left(tokens, link.end.token)
-        spoilt = z - a + between[z] - between[a]
-        worth = (dp_score(s, link.end) or 0) + (link.trimmed <= middle) - spoilt
-        ms = round(link.trimmed * 1000)
-        return (score[0] + ms, score[1] + worth, min(score[2], -ms), score[3] + 1, score[4] + round(link.end.pause))
 
-    out: list[Link] = []
-    for region in regions:
-        legal = [b for b in inside(s.boundaries, [region]) if dp_score(s, b) is not None and not must(b)]
-        out += chain(s, region, legal, "dp_strategy_2", (0, 0, 0, 0, 0), add, True) or [s.link(*region, "leftover")]
-    return out
+# -- regions dealt over tasks ------------------------------------------------
 
+_READ = ("region", "token", "from_token", "from_opens", "closes", "kind", "pause_ms", "flags", "worth", "spoils", "quality", "policy", "problem")
 
-class Unplanned(Exception):
-    """A planner got stuck; it carries the segments made so far."""
 
-    def __init__(self, problem: str, links: list[Link]):
-        super().__init__(problem)
-        self.links = links
+def plan_regions(rows: DataFrame, source: str, solve: Callable[[Region, Bounds], Found | None], shortest: float, longest: float, audio: DataFrame | None = None) -> DataFrame:
+    """Segments of each (source, region) of boundary rows; a region is solved in one task, and no task holds a source.
 
-
-def legacy(s: Source) -> list[Link]:
-    """Windows up to an anchor 15 to 30 s ahead; in each the path with the fewest bad lengths and cuts."""
-    rank = {"perfect": 0, "ok": 1}
-    order = lambda b: (b.policy != "must_cut", rank.get(b.quality, 2), -round(b.pause), b.token)
-    target = (s.shortest + s.longest) / 2
-    out: list[Link] = []
-    start = 0
-    while start < len(s.starts):
-        ahead = [(s.closes(b.token) - s.opens(start), b) for b in s.boundaries if b.token >= start and b.policy != "no_cut"]
-        near = [b for d, b in ahead if d <= ANCHOR_SEC[1] + 1e-6]
-        window = [b for d, b in ahead if ANCHOR_SEC[0] <= d <= ANCHOR_SEC[1] + 1e-6]
-        if not near:
-            raise Unplanned("unable to choose planning anchor", out)
-        if near[-1].kind == "final":
-            anchor = near[-1]
-        else:
-            stops = [b for b in window if b.kind in ("strong", "final")] or [b for b in window if b.kind == "weak"]
-            anchor = min(stops, key=order) if stops else max(window, key=lambda b: (b.pause, -rank.get(b.quality, 2), -b.token)) if window else max(near, key=lambda b: b.token)
-        points = [b for b in s.boundaries if start <= b.token <= anchor.token]
-        best: list[tuple[tuple, int, Link] | None] = []
-        for j, b in enumerate(points):
-            found = None
-            for i in range(j - 1, -2, -1) if b.policy != "no_cut" else ():
-                if i + 1 < j and points[i + 1].policy == "must_cut":
-                    break  # a must-cut would be skipped
-                if i >= 0 and best[i] is None:
-                    continue
-                first = start if i < 0 else points[i].token + 1
-                raw, trimmed = s.lengths(first, b.token)
-                if first > b.token or raw > s.longest + OVERSHOOT_SEC:
-                    continue
-                fits = s.shortest <= trimmed <= s.longest
-                nearly = s.shortest <= raw <= s.longest or max(0.0, s.shortest - SLACK_SEC) <= trimmed <= s.longest + SLACK_SEC
-                cost = (not fits and not nearly, not fits and nearly, b.quality not in rank, b.quality == "ok", round(abs(trimmed - target) * 1000))
-                score = tuple(map(sum, zip(best[i][0] if i >= 0 else (0,) * 5, cost, strict=True)))
-                if found is None or score <= found[0]:  # towards earlier starts, so that the first of equals stays
-                    found = (score, i, s.link(first, b, "legacy_dp"))
-            best.append(found)
-        if best[-1] is None:
-            raise Unplanned("unable to plan a cut path to the selected anchor", out)
-        path, at = [], len(points) - 1
-        while at >= 0:
-            path.append(best[at][2])
-            at = best[at][1]
-        out += path[::-1]
-        start = anchor.token + 1
-    return out
-
-
-def sliced_by_asker(s: Source, ask: Callable[[list[int], str], list[int]], attempts: int = 3, padding: float = 0.2) -> tuple[list[Link], str]:
-    """Segments at the markers (places in ``boundaries``) that an asker submits; ``submitted``, ``unconfirmed`` or ``fallback``.
-
-    A refused list, or one with segments out of bounds once padded, goes
-    back with its reason; an asker that submits the same list again
-    confirms it. Without a valid list priority_silence_v3 plans.
+    A row with a ``problem`` stands for a source that has no plan. Where
+    ``solve`` finds none, the region gives one row with a problem.
     """
-    from loomwright.operators.models import valid_cuts
-
-    markers, said, last = list(range(len(s.boundaries))), "", None
-    for _ in range(attempts):
-        cuts = ask(markers, said)
-        if problem := valid_cuts(cuts, markers):
-            said = problem
-            continue
-        firsts = [0, *(s.boundaries[c].token + 1 for c in cuts[:-1])]
-        links = [s.link(a, s.boundaries[c], "submitted") for a, c in zip(firsts, cuts, strict=True)]
-        off = [f"{x.first}-{x.end.token}: {x.trimmed + 2 * padding:.2f} s" for x in links if not s.shortest <= x.trimmed + 2 * padding <= s.longest]
-        if not off or (last is not None and last[0] == cuts):
-            return links, "submitted"
-        last, said = (cuts, links), "out of bounds: " + "; ".join(off)
-    return (last[1], "unconfirmed") if last else (priority_v3(s) or [], "fallback")
-
-
-PLANNERS: dict[str, Callable[[Source], list[Link] | None]] = dict(zip(STRATEGIES, (legacy, priority_v1, priority_v2, priority_v3, dp_strategy_2, labelled_v2), strict=True))
-PLAN_SCHEMA = "first_token long, last_token long, raw_sec double, trimmed_sec double, valid boolean, dropped boolean, phase string, kind string, pause_ms double, problem string"
-
-
-def plan(strategy: str, source: Source) -> tuple[list[Link], str | None]:
-    """Segments of a source, or what kept the strategy from making them."""
-    if strategy not in PLANNERS:
-        return [], f"unknown rough cut strategy: {strategy}"
-    if not source.boundaries:
-        return [], "no candidate punctuation boundaries found"
-    try:
-        links = PLANNERS[strategy](source)
-    except Unplanned as e:
-        return e.links, str(e)
-    return (links, None) if links is not None else ([], f"{strategy} found no final must_cut boundary")
-
-
-def trimmed_lengths(signal: np.ndarray, rate: int, top_db: float = 60.0, frame: int = 2048, hop: int = 512) -> tuple[Callable[[float, float], float], float]:
-    """How many seconds of a stretch are left without its silent ends, and the most seconds that this takes off any stretch.
+    kind = rows.schema[source].dataType.simpleString()
+    by = Window.partitionBy(source, "region").orderBy("token")
+    used = [c for c in _READ if c in rows.columns]
+    more = {c: F.lit(d) for c, d in (("worth", 0), ("spoils", 0), ("quality", "bad"), ("policy", "normal")) if c not in used}
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # as many tasks, however few bytes the rows have
+    dealt = rows.select(source, *used).withColumns(more).repartition(n, source, "region").withColumn("opens_region", F.row_number().over(by) == 1)
+    fields = f"{source} {kind}, region long, {PLAN_FIELDS}"
+    names = [f.split()[0] for f in fields.split(", ")]
+
+    def solved(table: pa.Table, bounds: Bounds) -> pa.Table:
+        links: list[tuple] = []
+        place: list[int] = []
+        begins = np.flatnonzero(table["opens_region"].to_numpy()).tolist()
+        problems = table["problem"].to_pylist()
+        kinds = table["kind"].to_pylist()
+        for a, z in zip(begins, [*begins[1:], table.num_rows], strict=True):
+            found, said = [], problems[a]
+            if said is None:
+                r = Region(table.slice(a, z - a))
+                found = solve(r, bounds)
+                if found is None:
+                    found, said = [], "unable to plan a cut path to the selected anchor"
+            for (s, e), phase in found:
+                raw, trimmed = bounds.lengths(r, s, e)
+                links.append((r.from_token[s], r.token[e], round(raw, 3), round(trimmed, 3), bounds.fits(trimmed), phase == "leftover", phase, kinds[a + e], r.pause_ms[e], None))
+                place.append(a)
+            if said is not None:
+                links.append((None,) * 9 + (said,))
+                place.append(a)
+        at = pa.array(place, pa.int64())
+        types = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.bool_(), pa.bool_(), pa.string(), pa.string(), pa.float64(), pa.string())
+        columns = [pa.array([x[k] for x in links], t) for k, t in enumerate(types)]
+        return pa.table([table[source].take(at), table["region"].take(at), *columns], names)
 
-    What is taken off lies in runs of frames under the loudest of the whole
-    signal by as much; 6 dB and two frames allow for other frame places.
-    """
+    if audio is None:
+        plain = Bounds(shortest, longest)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for table in sorted_groups(batches, "opens_region"):
+                yield from solved(table.combine_chunks(), plain).to_batches()
+
+        return dealt.mapInArrow(run, fields)
+
+    def heard(table: pa.Table, parts: pa.Table) -> pa.Table:
+        table = table.combine_chunks().sort_by("token")
+        if not table.num_rows:
+            return solved(table, Bounds(shortest, longest))
+        if not parts.num_rows:
+            return solved(table, Bounds(shortest, longest))
+        part = parts.slice(0, 1).to_pylist()[0]
+        left = trimmed_lengths(np.frombuffer(part["samples"], np.float32), part["rate"], part["from_sample"])
+        return solved(table, Bounds(shortest, longest, left, part["most_trim"]))
+
+    parts = region_audio(dealt, audio, source)
+    return dealt.groupBy(source, "region").cogroup(parts.groupBy(source, "region")).applyInArrow(heard, fields)
+
+
+def region_audio(rows: DataFrame, audio: DataFrame, source: str) -> DataFrame:
+    """The samples of each region, cut out of its source's file in one task a file: ``from_sample``, ``rate``, ``samples`` and ``most_trim``."""
+    kind = rows.schema[source].dataType.simpleString()
+    spans = rows.groupBy(source, "region").agg(F.min("from_opens").alias("a"), F.max("closes").alias("z"))
+    names = [source, "region", "from_sample", "rate", "most_trim", "samples"]
+
+    def cut(spans: pa.Table, files: pa.Table) -> pa.Table:
+        out: list[list] = [[] for _ in names]
+        if files.num_rows and spans.num_rows:
+            signal, rate = decode_wav(files["content"][0].as_py())
+            signal = signal.astype(np.float32)
+            most = most_trimmed(signal, rate)
+            for k, (region, a, z) in enumerate(zip(*(spans[c].to_pylist() for c in ("region", "a", "z")), strict=True)):
+                i, j = max(0, round(a * rate)), min(len(signal), round(z * rate))
+                for column, value in zip(out, (k, region, i, rate, most, signal[i:j].tobytes()), strict=True):
+                    column.append(value)
+        at = pa.array(out[0], pa.int64())
+        types = (None, pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.binary())
+        return pa.table([spans[source].take(at), *(pa.array(v, t) for v, t in list(zip(out, types, strict=True))[1:])], names)
+
+    files = audio.select(source, "content")
+    return spans.groupBy(source).cogroup(files.groupBy(source)).applyInArrow(cut, f"{source} {kind}, region long, from_sample long, rate long, most_trim double, samples binary")
+
+
+def trimmed_lengths(signal: np.ndarray, rate: int, offset: int = 0, top_db: float = 60.0, frame: int = 2048, hop: int = 512) -> Callable[[float, float], float]:
+    """How many seconds of a stretch are left without its silent ends; ``signal`` begins at the source's sample ``offset``."""
     known: dict[tuple[int, int], float] = {}
 
     def left(start: float, end: float) -> float:
-        key = max(0, round(start * rate)), min(len(signal), round(end * rate))
+        key = max(0, round(start * rate) - offset), min(len(signal), round(end * rate) - offset)
         if key not in known:
             first, last = trim(signal[slice(*key)], top_db, frame, hop) if key[1] > key[0] else (0, 0)
             known[key] = (last - first) / rate
         return known[key]
 
+    return left
+
+
+def most_trimmed(signal: np.ndarray, rate: int, top_db: float = 60.0, frame: int = 2048, hop: int = 512) -> float:
+    """The most seconds that trimming takes off any stretch.
+
+    What is taken off lies in runs of frames under the loudest of the whole
+    signal by as much; 6 dB and two frames allow for other frame places.
+    """
     x = np.pad(signal.astype(np.float64), frame // 2)
     total = np.append(0, np.cumsum(x * x))
     at = np.arange(0, len(x) - frame + 1, hop)
     power = (total[at + frame] - total[at]) / frame
     edge = np.flatnonzero(np.diff(np.concatenate([[0], (power <= power.max() * 10 ** (-top_db / 10) * 4).astype(np.int8), [0]])))
     longest = int((edge[1::2] - edge[::2]).max(initial=0))
-    return left, 2 * (longest * hop + 2 * frame) / rate
+    return 2 * (longest * hop + 2 * frame) / rate
+
+
+# -- strategies --------------------------------------------------------------
 
 
-def plan_segments(tokens: DataFrame, strategy: str, shortest: float, longest: float, source: str = "source_id", audio: DataFrame | None = None) -> DataFrame:
-    """Segments of every source, planned side by side.
+def _with_stats(rows: DataFrame, stats: DataFrame, source: str) -> DataFrame:
+    of = stats.withColumnRenamed(source, "_of")
+    return rows.join(of, F.col(source).eqNullSafe(F.col("_of")), "left").drop("_of")
+
+
+def _flagged(rows: DataFrame, phases: tuple[tuple[str, Column], ...]) -> DataFrame:
+    bits = (F.when(may, F.lit(1 << p)).otherwise(F.lit(0)) for p, (_, may) in enumerate(phases))
+    return rows.withColumn("flags", reduce(lambda a, b: a.bitwiseOR(b), bits))
+
+
+def _regions(rows: DataFrame, rules: Rules, strategy: str, source: str) -> DataFrame:
+    """Boundary rows with the number of their region: must-cuts before them, by a running sum.
+
+    Rows behind the last must-cut are in no region; a source whose last
+    must-cut is not its final boundary keeps one row, with the problem.
+    """
+    by = Window.partitionBy(source).orderBy("token")
+    whole = Window.partitionBy(source)
+    rows = rows.withColumn("_must", F.coalesce(rules.must, F.lit(False)))
+    last = F.max(F.when(F.col("_must"), F.struct("token", "kind"))).over(whole)
+    numbered = rows.withColumn("region", F.coalesce(F.sum(F.col("_must").cast("long")).over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).withColumn("_last", last)
+    lost = ~F.coalesce(F.col("_last.kind") == "final", F.lit(False))
+    numbered = numbered.withColumn("problem", F.when(lost, F.lit(f"{strategy} found no final must_cut boundary")))
+    return numbered.where((F.col("problem").isNull() & (F.col("token") <= F.col("_last.token"))) | (F.col("problem").isNotNull() & (F.col("row") == 0)))
+
+
+def _without_boundaries(tokens: DataFrame, source: str) -> DataFrame:
+    """A row with the problem for each source that no boundary divides."""
+    return _problem(tokens.groupBy(source).agg(F.count("kind").alias("n")).where("n = 0"), source, "no candidate punctuation boundaries found")
+
+
+def _problem(sources: DataFrame, source: str, said: str, *more: str) -> DataFrame:
+    none = [F.lit(None).cast(f.split()[1]).alias(f.split()[0]) for f in PLAN_FIELDS.split(", ")[:-1]]
+    return sources.select(source, *more, *none, F.lit(said).alias("problem"))
+
+
+def _in_top(rows: DataFrame, source: str) -> DataFrame:
+    """``in_top``: the better half of a source's legal rows: strong ones first, then by longer pause, token and place."""
+    by = Window.partitionBy(source, "_legal")
+    place = F.row_number().over(by.orderBy(F.when(F.col("kind") == "strong", 0).otherwise(1), F.col("pause_ms").desc(), "token", "row"))
+    return rows.withColumn("in_top", F.col("_legal") & (place <= F.ceil(F.count("*").over(by) / 2)))
+
+
+def _plan_v2(rows: DataFrame, rules: Rules, source: str, bounds: tuple[float, float], audio: DataFrame | None) -> DataFrame:
+    """The first phase by itself; then the rest of every region, with the better half ranked over its source."""
+    held = written(rows.withColumn("_legal", F.col("problem").isNull() & ~F.col("_must") & F.coalesce(rules.phases[2][1], F.lit(False))))
+    first = written(plan_regions(_flagged(held, rules.phases[:1]), source, by_phases(["good_cut"], True, False, False), *bounds, audio))
+    solved = first.where("problem is null").groupBy(F.col(source).alias("_s"), F.col("region").alias("_r")).agg(F.max("last_token").alias("_to"))
+    rest = held.where("problem is null").join(solved, F.col(source).eqNullSafe(F.col("_s")) & (F.col("region") == F.col("_r")), "left")
+    rest = _in_top(rest.where(F.col("_to").isNull() | (F.col("token") > F.col("_to"))).drop("_s", "_r", "_to"), source)
+    names = [name for name, _ in rules.phases[1:]]
+    return first.unionByName(plan_regions(_flagged(rest, rules.phases[1:]), source, by_phases(names, False, False), *bounds, audio))
+
+
+def anchors(rows: DataFrame, source: str) -> DataFrame:
+    """``row, anchor``: for each row as the first of a window, the row that the window ends with.
+
+    Boundaries ahead meet a start by a join of neighbouring bins of time;
+    null where no cut lies within reach.
+    """
+    start = rows.select(F.col(source).alias("_s"), F.col("row").alias("_row"), F.col("from_opens").alias("_opens"), F.floor(F.col("from_opens") / _ANCHOR_BIN).alias("_bin"))
+    bin_ = F.floor(F.col("closes") / _ANCHOR_BIN)
+    ends = rows.where("policy <> 'no_cut'").withColumn("_bin", F.explode(F.array(bin_ - 1, bin_)))
+    ends = ends.select(F.col(source).alias("_t"), "_bin", F.col("row").alias("_at"), "token", "closes", "kind", "pause_ms", "quality", "policy")
+    far = F.col("closes") - F.col("_opens")
+    on = F.col("_s").eqNullSafe(F.col("_t")) & (start["_bin"] == ends["_bin"])
+    near = start.join(ends, on).where((F.col("_at") >= F.col("_row")) & (far <= ANCHOR_SEC[1] + 1e-6))
+    rank = F.when(F.col("quality") == "perfect", 0).when(F.col("quality") == "ok", 1).otherwise(2)
+    order = F.struct((F.col("policy") != "must_cut").alias("a"), rank.alias("b"), (-F.bround("pause_ms")).alias("c"), F.col("token").alias("d"))
+    window = far >= ANCHOR_SEC[0]
+
+    def stop(*kinds: str) -> Column:
+        return F.min(F.when(window & F.col("kind").isin(*kinds), F.struct(order.alias("o"), F.col("_at"))))["_at"]
+
+    loudest = F.max(F.when(window, F.struct(F.col("pause_ms"), (-rank).alias("r"), (-F.col("token")).alias("t"), F.col("_at"))))["_at"]
+    last = F.max(F.struct("_at", "kind"))
+    chosen = F.when(last["kind"] == "final", last["_at"]).otherwise(F.coalesce(stop("strong", "final"), stop("weak"), loudest, last["_at"]))
+    found = near.groupBy("_s", "_row").agg(chosen.alias("anchor"))
+    both = start.select("_s", "_row").join(found.withColumnsRenamed({"_s": "_f", "_row": "_g"}), F.col("_s").eqNullSafe(F.col("_f")) & (F.col("_row") == F.col("_g")), "left")
+    return both.select(F.col("_s").alias(source), F.col("_row").alias("row"), "anchor")
+
+
+def _plan_legacy(rows: DataFrame, source: str, bounds: tuple[float, float], audio: DataFrame | None) -> DataFrame:
+    """Windows from anchor to anchor: pointers from each start, the chain of a source's first one, then each window by itself."""
+    rows = written(rows)
+    pointed = written(anchors(rows, source).withColumn("next", F.col("anchor") + 1))
+    used = followed(pointed, source, "row", "next")
+    used = used.join(pointed.drop("next").withColumnsRenamed({source: "_s", "row": "_row"}), F.col(source).eqNullSafe(F.col("_s")) & (F.col("row") == F.col("_row")))
+    used = used.select(F.col(source).alias("_s"), F.col("row").alias("_row"), F.col("anchor"), F.lit(True).alias("_opens"))
+    by = Window.partitionBy(source).orderBy("row")
+    placed = rows.join(used, F.col(source).eqNullSafe(F.col("_s")) & (F.col("row") == F.col("_row")), "left").drop("_s", "_row")
+    placed = placed.withColumn("region", F.sum(F.coalesce(F.col("_opens").cast("long"), F.lit(0))).over(by) - 1)
+    stuck = F.col("_opens") & F.col("anchor").isNull()
+    placed = placed.withColumn("problem", F.when(stuck, F.lit("unable to choose planning anchor"))).withColumn("flags", F.lit(0))
+    # behind a window without an anchor there is no row that opens another
+    placed = placed.withColumn("_dead", F.max(F.coalesce(stuck, F.lit(False))).over(by))
+    found = written(plan_regions(placed.where(~F.col("_dead") | F.col("problem").isNotNull()), source, legacy_path, *bounds, audio))
+    ends = rows.groupBy(source).agg(F.max("token").alias("_last"), F.max("n_tokens").alias("_n")).where("_last + 1 < _n")
+    plan_ends = found.groupBy(source).agg(F.max("region").alias("region"), F.max("problem").alias("_p")).where("_p is null")
+    cut_off = plan_ends.join(ends.withColumnRenamed(source, "_e"), F.col(source).eqNullSafe(F.col("_e")))
+    late = _problem(cut_off.withColumn("region", F.col("region") + 1), source, "unable to choose planning anchor", "region")
+    failed = found.where("problem is not null").groupBy(F.col(source).alias("_s")).agg(F.min("region").alias("_at"))
+    return found.join(failed, F.col(source).eqNullSafe(F.col("_s")), "left").where("_at is null or region <= _at").drop("_s", "_at").unionByName(late)
+
+
+def plan_segments(tokens: DataFrame, strategy: str, shortest: float, longest: float, source: str = "source_id", audio: DataFrame | None = None, stats: DataFrame | None = None) -> DataFrame:
+    """Segments of every source: ``source, first_token, last_token`` (places in the source), lengths, phase, and the boundary that ends each.
 
     ``tokens``: a row for each token with idx, start_sec, end_sec; where a
-    boundary follows, kind, pause_ms (and quality, policy, label); structs
-    strong and weak of the source's pause quantiles. With ``audio`` (the
+    boundary follows, kind, pause_ms (and quality, policy, label). ``stats``:
+    a row for each source with structs strong and weak of its pause
+    quantiles; without it they stand on the tokens. With ``audio`` (the
     source and WAV ``content``, a row each) segments are judged by their
     lengths without silent ends; a source without audio by its whole lengths.
+    What keeps a source from being planned is in ``problem``, on a row of its
+    own.
     """
-    kind = tokens.schema[source].dataType.simpleString()
-
-    def planned(part: pd.DataFrame, sound: tuple) -> pd.DataFrame:
-        part = part.sort_values("idx")
-        cut = part[part["kind"].notna()]
-        extra = {c: cut[c].tolist() if c in cut else [d] * len(cut) for c, d in (("quality", "bad"), ("policy", "normal"), ("label", "ok"))}
-        place = {int(i): k for k, i in enumerate(part["idx"])}
-        boundaries = [Boundary(place[int(t)], k, float(p), n, *x) for n, (t, k, p, *x) in enumerate(zip(cut["idx"], cut["kind"], cut["pause_ms"], *extra.values(), strict=True))]
-        quantile = [Quantiles(**{n: float(part[f"{c}_{n}"].iloc[0]) for n in NAMES}) for c in ("strong", "weak")]
-        links, problem = plan(strategy, Source(part["start_sec"].tolist(), part["end_sec"].tolist(), boundaries, *quantile, shortest, longest, *sound))
-        rows = [(*x.row(), None) for x in links] + ([(None,) * 9 + (problem,)] if problem else [])
-        names = [c.split()[0] for c in PLAN_SCHEMA.split(", ")]
-        return pd.DataFrame(rows, columns=names).assign(**{source: part[source].iloc[0]})[[source, *names]]
-
-    # flat columns, and only those that are read: a struct on each token would become a dict on each token
-    used = [c for c in (source, "idx", "start_sec", "end_sec", "kind", "pause_ms", "quality", "policy", "label") if c in tokens.columns]
-    flat = tokens.select(*used, *(F.col(c)[n].alias(f"{c}_{n}") for c in ("strong", "weak") for n in NAMES))
-    if audio is None:
-        return flat.groupBy(source).applyInPandas(lambda part: planned(part, ()), f"{source} {kind}, {PLAN_SCHEMA}")
-
-    def heard(part: pd.DataFrame, files: pd.DataFrame) -> pd.DataFrame:
-        if not len(part):
-            return pd.DataFrame(columns=[source, *(c.split()[0] for c in PLAN_SCHEMA.split(", "))])
-        return planned(part, trimmed_lengths(*decode_wav(files["content"].iloc[0])) if len(files) else ())
-
-    return flat.groupBy(source).cogroup(audio.select(source, "content").groupBy(source)).applyInPandas(heard, f"{source} {kind}, {PLAN_SCHEMA}")
-
-
-def next_window(source: Source, first: int, least_sec: float = 15.0, sentences: int = 3, extension: int = 2) -> list[Boundary]:
-    """Boundaries of the window that a model is shown next: from token ``first`` until it is long enough or has its sentences, then up to ``extension`` sentences more."""
-    out: list[Boundary] = []
-    ended, most = 0, None
-    for b in source.boundaries:
-        if b.token < first:
-            continue
-        if most is not None and ended >= most:
-            break
-        out.append(b)
-        ended += b.kind in ("strong", "final")
-        if most is None and (source.closes(b.token) - source.opens(first) >= least_sec or ended >= sentences or b.kind == "final"):
-            most = ended + extension
-        if b.kind == "final":
-            break
-    return out
+    if strategy not in STRATEGIES:
+        return _problem(tokens.select(source).distinct(), source, f"unknown rough cut strategy: {strategy}")
+    rows = boundary_rows(tokens, source)
+    for c, d in (("quality", "bad"), ("policy", "normal"), ("label", "ok")):
+        if c not in rows.columns:
+            rows = rows.withColumn(c, F.lit(d))
+    bounds = (shortest, longest)
+    if strategy == "legacy_dp":
+        planned = _plan_legacy(rows, source, bounds, audio)
+    else:
+        if strategy == "priority_silence_v3":
+            q = combined_quantiles(rows, source, "kind")
+            stats = q.select(source, F.struct(*[c for c in q.columns if c.startswith("p")]).alias("both"))
+        elif stats is None:
+            stats = tokens.groupBy(source).agg(F.any_value("strong").alias("strong"), F.any_value("weak").alias("weak"))
+        rules = RULES[strategy]()
+        rows = _with_stats(rows, stats, source)
+        if strategy == "priority_silence_v3":  # a source without strong or weak boundaries has the fixed quantiles
+            rows = rows.withColumn("both", F.coalesce("both", _fixed_quantiles()))
+        rows = _regions(rows, rules, strategy, source)
+        if strategy == "priority_silence_v2":
+            planned = _plan_v2(rows, rules, source, bounds, audio)
+        else:
+            if rules.worth is not None:
+                rows = rows.withColumns({"worth": rules.worth, "spoils": rules.spoils})
+            solve = by_phases([name for name, _ in rules.phases], rules.needs_inner, rules.worth is not None)
+            planned = plan_regions(_flagged(rows, rules.phases), source, solve, *bounds, audio)
+    return planned.drop("region").unionByName(_without_boundaries(tokens, source))
+
+
+def _fixed_quantiles() -> Column:
+    from loomwright.operators.pauses import FALLBACK, NAMES
+
+    return F.struct(*(F.lit(v).alias(n) for n, v in zip(NAMES, FALLBACK, strict=True)))

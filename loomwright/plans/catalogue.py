@@ -410,24 +410,39 @@ def robust_z_edges(spark, sf_dir):
 # -- planners ------------------------------------------------------------
 
 
-def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words of each document as tokens of 0.3 s; the pause after each follows from its place."""
+def timed_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of each document as tokens of 0.3 s; the pause after each follows from its place, and so does the label of its boundary."""
     d = table(spark, sf_dir, "documents")
     words = d.select(F.col("doc_id").alias("source_id"), F.posexplode(F.split("text", r"\s+")).alias("idx", "word")).where("word <> ''")
     pause = ((F.col("idx") * 7919 + F.col("source_id") * 104_729) % 600).cast("double")
     last = F.col("idx") == F.max("idx").over(pauses.Window.partitionBy("source_id"))
     mark = F.regexp_extract("word", r"(\p{P}+)$", 1)
     kind = F.when(last, "final").otherwise(T.boundary_kind(mark))
-    timed = words.select("source_id", "idx", (F.col("idx") * 0.9).alias("start_sec"), (F.col("idx") * 0.9 + 0.3).alias("end_sec"), kind.alias("kind"), pause.alias("pause_ms"), T.pause_category(mark).alias("category"))
-    stats = pauses.by_category(pauses.pause_quantiles(timed))
-    return timed.join(stats, "source_id").withColumn("quality", pauses.boundary_quality(F.col("kind"), F.col("pause_ms"), F.col("strong"), F.col("weak"), F.col("no_punc"))).withColumn(
+    said = F.element_at(F.array(*map(F.lit, ("good", "ok", "bad", "ok", "good"))), ((F.col("idx") * 31 + F.col("source_id")) % 5 + 1).cast("int"))
+    return words.select(
+        "source_id", "idx", (F.col("idx") * 0.9).alias("start_sec"), (F.col("idx") * 0.9 + 0.3).alias("end_sec"), kind.alias("kind"), pause.alias("pause_ms"), T.pause_category(mark).alias("category"),
+        said.alias("label"),
+    )
+
+
+def token_stats(timed: DataFrame) -> DataFrame:
+    return pauses.by_category(pauses.pause_quantiles(timed))
+
+
+def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens with the quality and policy of their boundaries."""
+    timed = timed_tokens(spark, sf_dir)
+    return timed.join(token_stats(timed), "source_id").withColumn("quality", pauses.boundary_quality(F.col("kind"), F.col("pause_ms"), F.col("strong"), F.col("weak"), F.col("no_punc"))).withColumn(
         "policy", pauses.cut_policy(F.col("kind"), F.col("pause_ms"), F.col("strong"), F.col("weak"))
     )
 
 
 def _plan(strategy: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return planners.plan_segments(tokens(spark, sf_dir), strategy, 5.0, 15.0)
+        if strategy == "legacy_dp":
+            return planners.plan_segments(tokens(spark, sf_dir), strategy, 5.0, 15.0)
+        timed = timed_tokens(spark, sf_dir)
+        return planners.plan_segments(timed, strategy, 5.0, 15.0, stats=token_stats(timed))
 
     return run
 

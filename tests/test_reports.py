@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loomwright.operators import loudness, reports, signal, volume
-from loomwright.operators.planners import Boundary, Quantiles, Source, next_window
+from tests.plain_planners import Boundary, Quantiles, Source, next_window
 from loomwright.operators.speakers import prune_outliers
 from loomwright.sources.audio import decode_wav, encode_wav
 
