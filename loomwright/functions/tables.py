@@ -149,3 +149,43 @@ def quantiles(df: DataFrame, column: str, points: list[float]) -> list[float] |
     wanted = sorted({k for x in places.values() for k in (int(x) + 1, min(int(x) + 2, n))})
     at = {r["_r"]: r["v"] for r in ranks.where(F.col("_r").isin(wanted)).collect()}
     return [at[int(x) + 1] + (x - int(x)) * (at[min(int(x) + 2, n)] - at[int(x) + 1]) for x in places.values()]
+
+
+def group_quantiles(rows: DataFrame, by: list[str], wanted: dict[str, tuple[str, float, bool]]) -> DataFrame:
+    """Exact quantiles of each group: ``wanted`` gives for each name (column, point, interpolated or by nearest rank).
+
+    All columns are ranked in one range sort, so neither a group nor its
+    distinct values are held in one task. Null values do not count; groups
+    without values of a column have null there.
+    """
+    columns = list(dict.fromkeys(c for c, _, _ in wanted.values()))
+    keys = [f"_k{n}" for n in range(len(by))]
+    cells = F.explode(F.array(*(F.struct(F.lit(k).alias("f"), F.col(c).cast("double").alias("v")) for k, c in enumerate(columns)))).alias("c")
+    values = written(rows.select(*(quoted(c).alias(k) for c, k in zip(by, keys, strict=True)), cells).select(*keys, "c.f", "c.v").where("v is not null"))
+    ranks = with_rank(values, [*map(F.col, keys), F.col("f"), F.col("v")], "_r", 0)
+    sizes = ranks.groupBy(*keys, "f").agg(F.min("_r").alias("_lo"), F.count("*").alias("_n"))
+    sizes = sizes.select(*(F.col(k).alias(f"{k}s") for k in keys), F.col("f").alias("_fs"), "_lo", "_n")
+    on = F.col("f") == F.col("_fs")
+    for k in keys:
+        on &= F.col(k).eqNullSafe(F.col(f"{k}s"))
+    place, n = F.col("_r") - F.col("_lo"), F.col("_n")
+    out, needed = [], F.lit(False)
+    for name, (column, point, between) in wanted.items():
+        x = (n - 1) * F.lit(point)
+        low, high = (F.floor(x), F.ceil(x)) if between else (F.greatest(F.ceil(n * F.lit(point)) - 1, F.lit(0)),) * 2
+        mine = F.col("f") == columns.index(column)
+        needed = needed | (mine & ((place == low) | (place == high)))
+        a, b = F.max(F.when(mine & (place == low), F.col("v"))), F.max(F.when(mine & (place == high), F.col("v")))
+        share = F.max(F.when(mine, x - F.floor(x))) if between else F.lit(0.0)
+        out.append((a + (b - a) * share).alias(name))
+    near = ranks.join(sizes, on).where(needed).groupBy(*keys).agg(*out)
+    return near.select(*(F.col(k).alias(c) for c, k in zip(by, keys, strict=True)), *wanted)
+
+
+def joined_by(left: DataFrame, right: DataFrame, by: list[str]) -> DataFrame:
+    """Left join on columns of the same names; nulls are equal."""
+    names = {c: f"_j{n}" for n, c in enumerate(by)}
+    on = F.lit(True)
+    for c, n in names.items():
+        on &= quoted(c).eqNullSafe(F.col(n))
+    return left.join(right.withColumnsRenamed(names), on, "left").drop(*names.values())

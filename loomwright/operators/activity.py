@@ -6,6 +6,8 @@ or events of a log. Sequential folds run per source in Arrow batches.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -44,16 +46,33 @@ def merge_intervals(rows: DataFrame, key: str, start: str = "start", end: str =
 
 
 def subtract_intervals(whole: DataFrame, holes: DataFrame, key: str, start: str = "start", end: str = "end") -> DataFrame:
-    """What is left of each whole interval without the holes that lie in it (half-open)."""
-    merged = merge_intervals(holes, key, start, end).select(key, F.col(start).alias("_hs"), F.col(end).alias("_he"))
-    pairs = whole.join(merged, key, "left").where(F.col("_hs").isNull() | ((F.col("_hs") < F.col(end)) & (F.col("_he") > F.col(start))))
-    plain = whole.join(pairs.select(key, start, end).distinct(), [key, start, end], "left_anti").select(key, start, end)
-    cuts = pairs.groupBy(key, start, end).agg(F.array_sort(F.collect_list(F.struct("_hs", "_he"))).alias("_h"))
-    clean = F.filter("_h", lambda h: h["_hs"].isNotNull())
-    left = F.concat(F.array(F.col(start)), F.transform(clean, lambda h: h["_he"]))
-    right = F.concat(F.transform(clean, lambda h: h["_hs"]), F.array(F.col(end)))
-    parts = cuts.select(key, F.explode(F.arrays_zip(left.alias("a"), right.alias("b"))).alias("p")).select(key, F.col("p.a").alias(start), F.col("p.b").alias(end))
-    return parts.where(F.col(start) < F.col(end)).unionByName(plain)
+    """What is left of each whole interval without the holes that lie in it (half-open); repeated rows stay, empty ones go.
+
+    A sweep over the ends of holes and intervals counts, at each interval's
+    start, the holes that have ended and, at its end, those that have begun:
+    between the two lie the gaps it reaches, which it then meets by their
+    numbers. Nothing is compared that is not part of the result.
+    """
+    merged = merge_intervals(holes, key, start, end).select(F.col(key).alias("k"), F.col(start).alias("hs"), F.col(end).alias("he"))
+    by = Window.partitionBy("k").orderBy("hs")
+    numbered = merged.withColumn("j", F.row_number().over(by) - 1).withColumn("from", F.lag("he").over(by)).withColumn("next", F.lead("hs").over(by))
+    gaps = numbered.select("k", "j", "from", F.col("hs").alias("to")).unionByName(numbered.where("next is null").select("k", (F.col("j") + 1).alias("j"), F.col("he").alias("from"), F.lit(None).cast(holes.schema[start].dataType).alias("to")))
+    wholes = whole.groupBy(F.col(key).alias("k"), F.col(start).alias("s"), F.col(end).alias("e")).agg(F.count("*").alias("n"))
+    none = F.lit(None)
+    events = [
+        merged.select("k", F.col("he").alias("at"), F.lit(0).alias("order"), none.alias("s"), none.alias("e"), none.alias("n")),
+        wholes.select("k", F.col("s").alias("at"), F.lit(1).alias("order"), "s", "e", "n"),
+        wholes.select("k", F.col("e").alias("at"), F.lit(1).alias("order"), "s", "e", "n"),
+        merged.select("k", F.col("hs").alias("at"), F.lit(2).alias("order"), none.alias("s"), none.alias("e"), none.alias("n")),
+    ]
+    swept = Window.partitionBy("k").orderBy("at", "order").rowsBetween(Window.unboundedPreceding, 0)
+    count = lambda order: F.sum((F.col("order") == order).cast("long")).over(swept)
+    seen = reduce(DataFrame.unionByName, events).withColumn("ended", count(0)).withColumn("begun", count(2)).where("order = 1")
+    reach = seen.groupBy("k", "s", "e").agg(F.max("n").alias("n"), F.min("ended").alias("i"), F.max("begun").alias("z")).where("s < e")
+    parts = reach.select("k", "s", "e", F.explode(F.sequence("i", F.greatest("i", "z"))).alias("j"), "n").withColumnsRenamed({"k": "wk", "j": "wj"})
+    parts = parts.join(gaps, F.col("wk").eqNullSafe(F.col("k")) & (F.col("wj") == F.col("j")), "left")
+    left = parts.select(F.col("wk").alias(key), F.greatest("s", "from").alias(start), F.least("e", "to").alias(end), "n").where(F.col(start) < F.col(end))
+    return left.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n")))).drop("n", "_copy")
 
 
 def overlaps(left: DataFrame, right: DataFrame, key: str, width: float, start: str = "start", end: str = "end") -> DataFrame:
@@ -83,7 +102,7 @@ def nearest(rows: DataFrame, key: str, time: str, order: list[str], anchor: Colu
     """
     seen = F.when(target, F.struct(F.col(time).alias("t"), F.col(value).alias("v")))
     before = F.last(seen, ignorenulls=True).over(Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
-    after = F.first(seen, ignorenulls=True).over(Window.partitionBy(key).orderBy(*order).rowsBetween(0, Window.unboundedFollowing))
+    after = F.last(seen, ignorenulls=True).over(Window.partitionBy(key).orderBy(*(F.col(o).desc() for o in order)).rowsBetween(Window.unboundedPreceding, 0))
     found = rows.withColumn("_b", before).withColumn("_a", after).where(anchor)
     db, da = F.col(time) - F.col("_b.t"), F.col("_a.t") - F.col(time)
     first = F.col("_b").isNotNull() & (F.col("_a").isNull() | (db <= da))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomwright.functions.levels import nearly_equal, percent
+from loomwright.functions.tables import group_quantiles, joined_by
 from loomwright.functions.text import ending_kind
 
 
@@ -43,10 +44,9 @@ def changed_field_counts(found: DataFrame) -> DataFrame:
 
 def numeric_summary(rows: DataFrame, by: list[str], value: str) -> DataFrame:
     """Rows, least, median, mean, 95th percentile by nearest rank, and largest."""
-    return rows.groupBy(*by).agg(
-        F.count(value).alias("n"), F.min(value).alias("least"), F.percentile(value, 0.5).alias("median"), F.avg(value).alias("mean"),
-        F.expr(f"percentile_disc(0.95) WITHIN GROUP (ORDER BY `{value}`)").alias("p95"), F.max(value).alias("largest"),
-    )
+    plain = rows.groupBy(*by).agg(F.count(value).alias("n"), F.min(value).alias("least"), F.avg(value).alias("mean"), F.max(value).alias("largest"))
+    ranked = group_quantiles(rows, by, {"median": (value, 0.5, True), "p95": (value, 0.95, False)})
+    return joined_by(plain, ranked, by).select(*by, "n", "least", "median", "mean", "p95", "largest")
 
 
 def ending_stats(rows: DataFrame, by: list[str], text: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomwright.functions.tables import group_quantiles, joined_by
 from loomwright.operators.loudness import marked_payload
 
 
@@ -34,10 +35,12 @@ def speaker_pruned_records(pruned: DataFrame, payload: str = "payload") -> DataF
 
 def cut_summary(segments: DataFrame, by: list[str], seconds: str, hit: Column, silence_ms: str, fallback: Column) -> DataFrame:
     """Segments of a cut experiment: count, lengths, share of cuts in a silence (percent), silence lengths, fallbacks that are no tails."""
-    return segments.groupBy(*by).agg(
-        F.count("*").alias("segments"), F.avg(seconds).alias("mean_sec"), F.percentile(seconds, 0.5).alias("median_sec"), F.min(seconds).alias("least_sec"), F.max(seconds).alias("most_sec"),
-        (F.avg(hit.cast("double")) * 100).alias("hit_percent"), F.percentile(silence_ms, 0.5).alias("silence_median_ms"), F.percentile(silence_ms, 0.9).alias("silence_p90_ms"), F.count_if(fallback).alias("fallbacks"),
+    plain = segments.groupBy(*by).agg(
+        F.count("*").alias("segments"), F.avg(seconds).alias("mean_sec"), F.min(seconds).alias("least_sec"), F.max(seconds).alias("most_sec"),
+        (F.avg(hit.cast("double")) * 100).alias("hit_percent"), F.count_if(fallback).alias("fallbacks"),
     )
+    ranked = group_quantiles(segments, by, {"median_sec": (seconds, 0.5, True), "silence_median_ms": (silence_ms, 0.5, True), "silence_p90_ms": (silence_ms, 0.9, True)})
+    return joined_by(plain, ranked, by).select(*by, "segments", "mean_sec", "median_sec", "least_sec", "most_sec", "hit_percent", "silence_median_ms", "silence_p90_ms", "fallbacks")
 
 
 def compact_pauses(stats: DataFrame, by: list[str], count: str, points: list[str]) -> DataFrame:

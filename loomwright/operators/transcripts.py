@@ -97,13 +97,25 @@ def apply_edits(texts: DataFrame, edits: DataFrame) -> DataFrame:
     return rows.select("source_id", F.when(same, whole).otherwise(F.col("text")).alias("corrected"), F.when(same, folded["n"]).otherwise(0).alias("n_edits"))
 
 
+def contained(segments: DataFrame, tokens: DataFrame, width: int = 64) -> DataFrame:
+    """Tokens with each segment (first_token to last_token) that holds them.
+
+    Both meet in bins of ``width`` places, so a token is compared with the
+    segments of its neighbourhood alone, and a long source is dealt over
+    tasks; segments may overlap.
+    """
+    bin_ = lambda c: F.floor(F.col(c) / width).cast("long")
+    dealt = segments.withColumn("_bin", F.explode(F.sequence(bin_("first_token"), bin_("last_token"))))
+    return tokens.withColumn("_bin", bin_("idx")).join(dealt, ["source_id", "_bin"]).where("idx between first_token and last_token").drop("_bin")
+
+
 def segment_texts(segments: DataFrame, texts: DataFrame, aligned: DataFrame, tokens: DataFrame) -> DataFrame:
     """``transcript`` of each segment (first_token to last_token): its stretch of text with the marks that follow, or its tokens joined."""
-    inside = segments.join(aligned, "source_id").where("idx between first_token and last_token")
-    stretch = inside.groupBy("source_id", "first_token").agg(F.min(F.array_min("positions")).alias("a"), F.max(F.array_max("positions")).alias("z"))
-    said = segments.join(tokens.select("source_id", "idx", "char"), "source_id").where("idx between first_token and last_token")
-    joined = said.groupBy("source_id", "first_token").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("idx", "char"))), lambda x: x["char"]), "").alias("said"))
-    rows = segments.join(texts, "source_id", "left").join(stretch, ["source_id", "first_token"], "left").join(joined, ["source_id", "first_token"], "left")
+    placed = tokens.select("source_id", "idx", "char").join(aligned.select("source_id", "idx", "positions"), ["source_id", "idx"], "left")
+    inside = contained(segments.select("source_id", "first_token", "last_token").distinct(), placed)
+    said = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("idx", "char"))), lambda x: x["char"]), "")
+    found = inside.groupBy("source_id", "first_token", "last_token").agg(F.min(F.array_min("positions")).alias("a"), F.max(F.array_max("positions")).alias("z"), said.alias("said"))
+    rows = segments.join(texts, "source_id", "left").join(found, ["source_id", "first_token", "last_token"], "left")
     tail = F.regexp_extract(F.substring("text", F.col("z") + 2, F.length("text")), f"^{T.SILENT}*", 0)
     text = F.concat(F.substring("text", F.col("a") + 1, F.col("z") - F.col("a") + 1), tail)
     plain = F.btrim(F.regexp_replace(text, "\r\n|\n", " "))

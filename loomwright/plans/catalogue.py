@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from loomwright.functions import text as T
 from loomwright.functions.levels import sigmoid
-from loomwright.operators import activity, manifests, pauses, planners, speakers, volume
+from loomwright.operators import activity, cuts, manifests, pauses, planners, speakers, volume
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -274,6 +274,22 @@ def fixed_split(spark, sf_dir):
     return activity.split_fixed(regions(spark, sf_dir).drop("n"), "start", "end", 7200)
 
 
+@query("""WITH RECURSIVE e AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS i, floor(value / 5) AS v, event_type <> 'purchase' AS quiet FROM events),
+  n AS (SELECT user_id, count(*) AS n FROM e GROUP BY user_id),
+  c AS (SELECT a.user_id, a.i, b.i AS cut, row_number() OVER (PARTITION BY a.user_id, a.i ORDER BY b.v, abs(2 * b.i - 2 * a.i - 20), b.i DESC) AS rn
+        FROM e a JOIN e b ON a.user_id = b.user_id AND b.i BETWEEN a.i + 5 AND a.i + 15 AND b.quiet),
+  p AS (SELECT e.user_id, e.i, n.n, c.cut, CASE WHEN n.n - e.i > 15 THEN coalesce(c.cut, e.i + 15) END AS nxt FROM e JOIN n USING (user_id) LEFT JOIN c ON c.user_id = e.user_id AND c.i = e.i AND rn = 1),
+  r AS (SELECT * FROM p WHERE i = 0 UNION ALL SELECT p.* FROM r JOIN p ON p.user_id = r.user_id AND p.i = r.nxt)
+  SELECT user_id, i AS start, coalesce(nxt, n) AS stop, CASE WHEN nxt IS NULL THEN 'end' WHEN cut IS NULL THEN 'max' ELSE 'silence' END AS method FROM r""")
+def greedy_cuts(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    by = pauses.Window.partitionBy("user_id")
+    frames = e.select(
+        "user_id", (F.row_number().over(by.orderBy("ts", "event_id")) - 1).alias("i"), F.floor(F.col("value") / 5).alias("v"), (F.col("event_type") != "purchase").alias("quiet"), F.count("*").over(by).alias("n")
+    )
+    return cuts.greedy_chunks(frames, "user_id", "i", "v", "quiet", 5, 15, "n")
+
+
 # -- texts and manifests -------------------------------------------------
 
 

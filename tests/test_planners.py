@@ -272,7 +272,7 @@ def test_a_long_source_spreads_over_tasks(spark):
     """Regions of one source are solved in several tasks, and windows between anchors too."""
     n = 60_000
     tokens = spark.range(n).selectExpr(
-        "'s' as source_id", "cast(id as int) as idx", "id * 0.9 as start_sec", "id * 0.9 + 0.3 as end_sec", f"case when id = {n - 1} then 'final' when id % 60 = 7 then 'strong' when id % 3 = 0 then 'weak' end as kind",
+        "concat('s', id div 1000000) as source_id", "cast(id as int) as idx", "id * 0.9 as start_sec", "id * 0.9 + 0.3 as end_sec", f"case when id = {n - 1} then 'final' when id % 60 = 7 then 'strong' when id % 3 = 0 then 'weak' end as kind",
         "cast((id * 7919) % 600 as double) + case when id % 60 = 7 then 600 else 0 end as pause_ms", "'ok' as quality", "'normal' as policy",
     )
     got = planners.plan_segments(tokens, "priority_silence_v3", 5.0, 15.0)
