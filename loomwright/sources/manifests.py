@@ -2,18 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from loomwright.functions.tables import written
 from loomwright.functions.text import manifest_path, unsafe_path
 from loomwright.operators.manifests import unique_keys
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``line, raw`` of each non-blank line, 1-based within its file, with the file's ``path``."""
-    files = spark.read.format("text").option("wholetext", True).load(path).select(F.col("_metadata.file_path").alias("path"), F.split("value", "\r?\n").alias("lines"))
-    rows = files.select("path", F.posexplode("lines").alias("line", "raw"))
-    return rows.select("path", (F.col("line") + 1).alias("line"), F.trim("raw").alias("raw")).where("raw <> ''")
+    """``line, raw`` of each non-blank line, 1-based within its file, with the file's ``path``; large files are read in splits.
+
+    The lines of a split are numbered in its task; how many lines the splits
+    before it hold are sums over one row a split.
+    """
+    text = spark.read.text(path)
+    meta = text.metadataColumn("_metadata")
+    placed = text.select("value", meta["file_path"].alias("path"), meta["file_block_start"].alias("begin"), F.monotonically_increasing_id().alias("at"))
+    rows = written(placed)  # once: another read could be split anew
+    splits = rows.groupBy("path", "begin").agg(F.count("*").alias("n"), F.min("at").alias("first"))
+    before = F.sum("n").over(Window.partitionBy("path").orderBy("begin").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = splits.select("path", "begin", (F.coalesce(before, F.lit(0)) - F.col("first") + 1).alias("offset"))
+    numbered = rows.join(offsets, ["path", "begin"]).select("path", (F.col("at") + F.col("offset")).alias("line"), F.trim("value").alias("raw"))
+    return numbered.where("raw <> ''")
+
+
+def discover(spark: SparkSession, folder: str, pattern: str = "*.jsonl") -> str:
+    """The one manifest of a folder; an error where there is none, or more than one."""
+    found = [r["path"] for r in spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder).select("path").limit(3).collect()]
+    if len(found) != 1:
+        raise ValueError(f"one manifest {pattern} wanted in {folder}, found {len(found) if len(found) < 3 else 'more than two'}")
+    return found[0]
 
 
 def _parsed(lines: DataFrame) -> DataFrame:
@@ -35,10 +56,26 @@ def scan(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("path", "line", "raw", manifest_path(F.col("audio")).alias("audio"), "text", "duration", problem.alias("problem"))
 
 
-def scan_strict(spark: SparkSession, path: str) -> DataFrame:
-    """:func:`scan`, but any faulty record fails the job when it is read."""
-    message = F.concat(F.lit("line "), F.col("line").cast("string"), F.lit(": "), F.col("problem"))
+def with_missing(rows: DataFrame, files: DataFrame, root: str) -> DataFrame:
+    """Records of a scan; a sound one whose audio is none of ``files`` (``path``) under ``root`` gets the problem ``missing file`` (Spark lists no file without bytes)."""
+    base = re.escape(root.rstrip("/"))
+    there = files.select(F.regexp_replace("path", f"^.*?{base}/", "").alias("_there")).distinct()
+    both = rows.join(there, F.col("audio") == F.col("_there"), "left")
+    return both.withColumn("problem", F.when(F.col("problem").isNull() & F.col("_there").isNull(), "missing file").otherwise(F.col("problem"))).drop("_there")
+
+
+def scan_strict(spark: SparkSession, path: str, root: str | None = None) -> DataFrame:
+    """:func:`scan`, but a manifest without records is refused, and any faulty record fails the job when it is read.
+
+    With ``root``, the folder of the audio files, a file that is not there is
+    a fault too.
+    """
     rows = scan(spark, path)
+    if root is not None:
+        rows = with_missing(rows, spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path"), root)
+    if rows.isEmpty():
+        raise ValueError(f"{path} holds no records")
+    message = F.concat(F.lit("line "), F.col("line").cast("string"), F.lit(": "), F.col("problem"))
     return rows.withColumn("audio", F.when(F.col("problem").isNull(), F.col("audio")).otherwise(F.raise_error(message).cast("string"))).drop("problem")
 
 
