@@ -6,6 +6,7 @@ tasks, everything after the measurement is column expressions.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -55,7 +56,7 @@ def measure_files(files: DataFrame, silence_db: float = 40.0) -> DataFrame:
         except ValueError as e:
             return [(*(None for _ in MEASURES.split(", ")), str(e))]
 
-    found = per_file(files, f"{MEASURES}, unmeasured string", work, problems=True)
+    found = per_file(files, f"{MEASURES}, unmeasured string", work)
     return found.withColumn("problem", F.coalesce("problem", "unmeasured")).drop("unmeasured")
 
 
@@ -116,3 +117,36 @@ def pruned_records(records: DataFrame, decided: DataFrame, payload: str = "paylo
     """Records (stem, payload) of pruned files, marked with that and with the reasons."""
     some = records.join(decided.where("pruned").select("stem", F.col("pruned").alias("_p"), "reasons"), "stem")
     return marked_payload(some, payload, {"normalization_pruned": "_p", "normalization_reasons": "reasons"}).drop("_p", "reasons")
+
+
+def normalised_manifest(measured: DataFrame, normalised: DataFrame, records: DataFrame) -> DataFrame:
+    """One row for each file that was written, levels and seconds with three decimals as text: row, paths, seconds, rates, loudness, asked and given gain, and whether its peak held it back.
+
+    ``records``: stem, jsonl_row, source_audio, output_audio.
+    """
+    three = lambda c: F.format_string("%.3f", c)
+    rows = records.join(normalised.drop("content"), "stem").join(measured.select("stem", "seconds", "rate", "lufs"), "stem")
+    return rows.select(
+        "jsonl_row", "source_audio", "output_audio", three("seconds").alias("duration_sec"), F.col("rate").alias("source_sample_rate"), F.col("rate").alias("output_sample_rate"),
+        three("lufs").alias("source_lufs"), three("requested_gain_db").alias("requested_gain_db"), three("applied_gain_db").alias("applied_gain_db"), "peak_limited",
+    )
+
+
+def moved_records(records: DataFrame, payload: str = "payload", audio: str = "output_audio", field: str = "audio") -> DataFrame:
+    """Records whose payload (a JSON object as text) names the file that was written; its other fields and their order stay, and so does what is no object."""
+    import pyarrow as pa
+
+    names = records.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for text, path in zip(batch.column(payload).to_pylist(), batch.column(audio).to_pylist(), strict=True):
+                try:
+                    held = json.loads(text)
+                except (TypeError, ValueError):
+                    held = None
+                out.append(json.dumps(held | {field: path}, ensure_ascii=False) if isinstance(held, dict) else text)
+            yield batch.set_column(names.index(payload), payload, pa.array(out, pa.string()))
+
+    return records.mapInArrow(run, records.schema)

@@ -18,12 +18,15 @@ Model = Callable[[list], list]
 _kept: dict[str, Model] = {}
 
 
-def apply_model(rows: DataFrame, inputs: list[str], output: str, kind: str, name: str, factory: Callable[[], Model], order: str | None = None, batch: int = 8) -> DataFrame:
+def apply_model(rows: DataFrame, inputs: list[str], output: str, kind: str, name: str, factory: Callable[[], Model], order: str | None = None, batch: int = 8, at_once: int | None = None) -> DataFrame:
     """``output`` from a model over ``inputs``; a batch that fails gives nulls and its reason in ``<output>_problem``.
 
     ``order``: rows are sorted by it within partitions first, so that a
-    batch has inputs of like size.
+    batch has inputs of like size. ``at_once``: no more than so many batches
+    are with the model at the same time (rows are dealt into that many tasks).
     """
+    if at_once:
+        rows = rows.repartition(at_once)
     if order:
         rows = rows.sortWithinPartitions(order)
     names = rows.columns
@@ -71,23 +74,3 @@ def hashed_embedder(size: int = 16) -> Model:
         return (v / np.linalg.norm(v)).tolist()
 
     return lambda rows: [embed(r) for r in rows]
-
-
-def labels_with_retry(ask: Callable[[list[int], int], dict[int, str] | None], wanted: list[int], attempts: int = 2, default: str = "ok") -> dict[int, str]:
-    """Labels good, ok or bad for all wanted ids from an asker that may fail; after the last attempt all are ``default``."""
-    for attempt in range(attempts):
-        got = ask(wanted, attempt)
-        if got and set(got) == set(wanted) and set(got.values()) <= {"good", "ok", "bad"}:
-            return got
-    return dict.fromkeys(wanted, default)
-
-
-def valid_cuts(submitted: list[int], markers: list[int]) -> str | None:
-    """Why a list of cut markers is refused: it must rise, be known and end at the last marker; None if it is fine."""
-    if not submitted:
-        return "no cuts"
-    if any(b <= a for a, b in zip(submitted, submitted[1:], strict=False)):
-        return "cuts must be strictly increasing"
-    if unknown := sorted(set(submitted) - set(markers)):
-        return f"unknown markers: {unknown}"
-    return None if submitted[-1] == markers[-1] else "the last cut must be the last marker"

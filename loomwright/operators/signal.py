@@ -1,7 +1,8 @@
-"""Signals of whole files within one task each: chunks, speech regions, cuts, edges, overlapped model windows.
+"""Signals of whole files within one task each: speech regions, cuts, parts, edges, levels.
 
 Each operator takes ``stem, content`` rows (see sources.audio.scan) and
-returns small rows; decoded signals stay in the task.
+returns small rows; decoded signals stay in the task. A file that cannot be
+read has one row, with its stem and the ``problem``.
 """
 
 from __future__ import annotations
@@ -11,8 +12,11 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from loomwright.sources.audio import decode_wav, frame_rms, resample
+from loomwright.operators.volume import EDGE_CENTRE, edge_score, restored, robust_z, target_level
+from loomwright.sources import audio as sound
+from loomwright.sources.audio import decode_wav, encode_wav, frame_rms, resample, trim
 
 EPS = 1e-8
 
@@ -26,22 +30,6 @@ def runs_of(mask: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True))
 
 
-def silence_chunks(signal: np.ndarray, rate: int, shortest: float = 5.0, longest: float = 15.0, frame_ms: float = 20.0, hop_ms: float = 5.0) -> list[tuple[int, int]]:
-    """Chunks of at most ``longest`` seconds, each cut at the quietest silent frame between the bounds."""
-    level, centre = frame_rms(signal, rate, frame_ms, hop_ms)
-    limit, out, at = threshold_of(level), [], 0
-    least, most = max(1, round(shortest * rate)), max(1, round(longest * rate))
-    while len(signal) - at > most:
-        now = at / rate
-        ok = np.flatnonzero((centre >= now + shortest) & (centre <= now + longest) & (level <= limit))
-        far = np.abs(centre[ok] - (now + (shortest + longest) / 2))
-        cut = now + longest if not len(ok) else centre[ok[np.lexsort((-centre[ok], far, level[ok]))[0]]]
-        z = min(max(round(cut * rate), at + least), at + most)
-        out.append((at, z))
-        at = z
-    return [*out, (at, len(signal))] if len(signal) > at else out
-
-
 def longest_run_cuts(
     signal: np.ndarray, rate: int, shortest: float = 5.0, longest: float = 15.0, silence_ms: float = 80.0, frame_ms: float = 25.0, hop_ms: float = 5.0, fallback: str = "max"
 ) -> list[tuple[float, float, float, float, float, float, str]]:
@@ -231,64 +219,41 @@ def edge_features(signal: np.ndarray, rate: int) -> list[tuple[str, float, float
     return out
 
 
-def overlap_windows(signal: np.ndarray, rate: int, model: Callable[[np.ndarray], np.ndarray], window: float = 4.0, stride: float = 0.75, whole_below: float = 20.0) -> np.ndarray:
-    """A model run over overlapping windows; of each, the edges that its neighbours see better are thrown away."""
-    size = int(window * rate)
-    if len(signal) <= whole_below * rate or len(signal) <= size:
-        return model(signal)
-    hop = int(size * stride)
-    give = (size - hop) // 2
-    padded = np.pad(signal, (0, (-(len(signal) - size)) % hop))
-    out = np.zeros(len(padded), np.float32)
-    for a in range(0, len(padded) - size + 1, hop):
-        part = model(padded[a : a + size])
-        lo, hi = (0 if a == 0 else give), (size if a + size == len(padded) else size - give)
-        out[a + lo : a + hi] = part[lo:hi]
-    return out[: len(signal)]
-
-
-def stft(signal: np.ndarray, size: int = 512, hop: int = 128) -> np.ndarray:
-    """Hann-windowed spectra, one row for each frame of the reflected signal."""
-    x = np.pad(signal.astype(np.float64), size // 2, mode="reflect")
-    return np.fft.rfft(np.lib.stride_tricks.sliding_window_view(x, size)[::hop] * np.hanning(size + 1)[:-1])
-
-
-def istft(spectra: np.ndarray, length: int, size: int = 512, hop: int = 128) -> np.ndarray:
-    w = np.hanning(size + 1)[:-1]
-    out, norm = np.zeros((len(spectra) - 1) * hop + size), np.zeros((len(spectra) - 1) * hop + size)
-    for k, frame in enumerate(np.fft.irfft(spectra, size)):
-        out[k * hop : k * hop + size] += frame * w
-        norm[k * hop : k * hop + size] += w * w
-    return (out / np.maximum(norm, 1e-12))[size // 2 : size // 2 + length]
+def per_file(files: DataFrame, schema: str, work: Callable[..., list[tuple]], rate: int | None = None, beside: DataFrame | None = None) -> DataFrame:
+    """``stem``, the rows that ``work(signal, rate)`` gives for each file, and ``problem``.
 
-
-def per_file(files: DataFrame, schema: str, work: Callable[[np.ndarray, int], list[tuple]], rate: int | None = None, problems: bool = False) -> DataFrame:
-    """``stem`` and the rows that ``work(signal, rate)`` gives for each file.
-
-    An unreadable file gives no row, or with ``problems`` one that has
-    nothing but its stem and the reason in a last column ``problem``.
+    With ``beside`` (a row a stem, with ``own``, the list of what belongs to
+    it) the work gets that list too, and files without one are left out.
     """
     names = [c.split()[0] for c in schema.split(", ")]
-    shown = [*names, "problem"] if problems else names
+    shown, alone = ["stem", *names, "problem"], beside is None
+    rows = files.select("stem", "content") if beside is None else files.select("stem", "content").join(beside.select("stem", "own"), "stem")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for stem, content in zip(batch["stem"], batch["content"], strict=True):
+            lists = [()] * len(batch) if alone else [(own,) for own in batch["own"]]
+            for stem, content, own in zip(batch["stem"], batch["content"], lists, strict=True):
                 try:
-                    signal, own = decode_wav(content)
+                    signal, have = decode_wav(content)
                 except Exception as e:  # noqa: BLE001  whatever a broken file raises
-                    if problems:
-                        yield pd.DataFrame([(stem, *(None for _ in names), f"{type(e).__name__}: {e}")], columns=["stem", *shown])
+                    yield pd.DataFrame([(stem, *(None for _ in names), f"{type(e).__name__}: {e}")], columns=shown)
                     continue
-                rows = work(resample(signal, own, rate) if rate else signal, rate or own)
-                if rows:
-                    yield pd.DataFrame(rows, columns=names).assign(stem=stem, problem=None)[["stem", *shown]]
+                found = work(resample(signal, have, rate) if rate else signal, rate or have, *own)
+                if found:
+                    yield pd.DataFrame(found, columns=names).assign(stem=stem, problem=None)[shown]
+
+    return rows.mapInPandas(run, f"stem string, {schema}, problem string")
+
 
-    return files.select("stem", "content").mapInPandas(run, f"stem string, {schema}{', problem string' if problems else ''}")
+def _own(rows: DataFrame, *columns: str) -> DataFrame:
+    return rows.groupBy("stem").agg(F.array_sort(F.collect_list(F.struct(*columns))).alias("own"))
 
 
 def chunk_files(files: DataFrame, rate: int = 16_000, shortest: float = 5.0, longest: float = 15.0) -> DataFrame:
-    return per_file(files, "start long, end long", lambda x, r: silence_chunks(x, r, shortest, longest), rate)
+    """``stem, start_sec, end_sec, method, problem``: chunks cut at the quietest silent frames (``cuts.chunk_frames``)."""
+    from loomwright.operators.cuts import chunk_frames
+
+    return chunk_frames(sound.frames(files, rate), shortest, longest)
 
 
 def longest_run_files(files: DataFrame, rate: int = 16_000, shortest: float = 5.0, longest: float = 15.0, silence_ms: float = 80.0) -> DataFrame:
@@ -301,30 +266,119 @@ def speech_files(files: DataFrame, rate: int = 16_000) -> DataFrame:
     return per_file(files, "start long, end long", speech_regions, rate)
 
 
+def budget_files(files: DataFrame, budget_sec: float, rate: int = 16_000, least_sec: float = 10.0) -> DataFrame:
+    """``stem, chunk, start, end, problem``: speech regions packed into chunks of at most the budget, long ones cut at quiet boundaries; a file without speech is cut all over."""
+
+    def work(x: np.ndarray, r: int) -> list[tuple]:
+        return [(k, *c) for k, c in enumerate(budget_chunks(x, r, speech_regions(x, r), budget_sec, least_sec))]
+
+    return per_file(files, "chunk long, start long, end long", work, rate)
+
+
+def gap_cut_files(files: DataFrame, rate: int = 16_000, low: float = 5.0, high: float = 15.0, hard: float = 10.0) -> DataFrame:
+    """``stem, part, start_sec, end_sec, forced, problem``: files cut in the middle of the longest gaps of their speech; ``forced`` counts the file's hard cuts."""
+
+    def work(x: np.ndarray, r: int) -> list[tuple]:
+        parts, forced = split_at_gaps(speech_regions(x, r), 0, len(x), r, low, high, hard)
+        return [(k, a / r, z / r, forced) for k, (a, z) in enumerate(parts) if z > a]
+
+    return per_file(files, "part long, start_sec double, end_sec double, forced long", work, rate)
+
+
+def even_part_files(files: DataFrame, target: float, window: float = 10.0) -> DataFrame:
+    """``stem, part_index, part_count, start_sec, end_sec, method, wav, problem``: long files as even parts cut at silences near their ideal places, ready for ``sources.files.part_files``.
+
+    ``method`` is that of the part's end, ``end`` for the last one.
+    """
+
+    def work(x: np.ndarray, r: int) -> list[tuple]:
+        cuts = [*even_cuts(x, r, target, window), (len(x) / r, "end")]
+        starts = [0.0, *(c for c, _ in cuts)]
+        return [(k, len(cuts), a, z, how, encode_wav(x[round(a * r) : round(z * r)], r)) for k, (a, (z, how)) in enumerate(zip(starts, cuts, strict=False))]
+
+    return per_file(files, "part_index long, part_count long, start_sec double, end_sec double, method string, wav binary", work)
+
+
+def level_files(files: DataFrame, db: float = -25.0) -> DataFrame:
+    """``stem, wav, undo, problem``: files brought to the level of their loud pieces (as float32 bytes), and the factor that takes it back."""
+
+    def work(x: np.ndarray, r: int) -> list[tuple]:
+        y, undo = level_to(x, r, db)
+        return [(r, y.tobytes(), undo)]
+
+    return per_file(files, "rate int, samples binary, undo double", work)
+
+
+def mark_silences(files: DataFrame, marks: DataFrame, scan: float = 0.55) -> DataFrame:
+    """``stem, idx, silence_ms, problem``: the quiet around each punctuation mark (stem, idx, left_end_sec, right_start_sec)."""
+
+    def work(x: np.ndarray, r: int, own: list) -> list[tuple]:
+        return [(m["idx"], silence_around(x, r, m["left_end_sec"], m["right_start_sec"], scan)) for m in own]
+
+    return per_file(files, "idx long, silence_ms double", work, beside=_own(marks, "idx", "left_end_sec", "right_start_sec"))
+
+
+def speech_levels(files: DataFrame, rate: int = 16_000) -> DataFrame:
+    """``stem, speech_sec, speech_dbfs, peak_dbfs, safe_dbfs, problem``: level of the samples in speech regions, and the highest level that keeps the peak under -1 dBFS. Files without speech have no row."""
+
+    def work(x: np.ndarray, r: int) -> list[tuple]:
+        parts = [x[a:z].astype(np.float64) for a, z in speech_regions(x, r)]
+        n, peak = sum(map(len, parts)), float(np.max(np.abs(x), initial=0))
+        power = sum(float(p @ p) for p in parts) / n if n else 0.0
+        if power <= EPS**2 or peak <= EPS:
+            return []
+        level, top = 10 * np.log10(power), 20 * np.log10(peak)
+        return [(n / r, level, top, level - 1.0 - top)]
+
+    return per_file(files, "speech_sec double, speech_dbfs double, peak_dbfs double, safe_dbfs double", work, rate)
+
+
+def library_target(levels: DataFrame) -> DataFrame:
+    """One row ``target``: the median level of all speech, weighted by its seconds, not over any file's safe level."""
+    return target_level(levels.where("problem is null"), "speech_dbfs", "speech_sec", "safe_dbfs")
+
+
+def restored_files(files: DataFrame, outputs: DataFrame, mode: str, target_dbfs: float | None = None) -> DataFrame:
+    """``stem, content, gain, reason, problem``: a model's outputs (stem, wav) at the level of their sources (``rms``, ``peak``, ``rms-peak``), at a target (``target-rms``, ``target-peak``) or as they are (``none``)."""
+
+    def work(x: np.ndarray, r: int, own: list) -> list[tuple]:
+        y, rate = decode_wav(own[0]["wav"])
+        z, gain, why = restored(y, x, mode, target_dbfs)
+        return [(encode_wav(z, rate), gain, why)]
+
+    return per_file(files, "content binary, gain double, reason string", work, beside=_own(outputs, "wav"))
+
+
 def edges_of_files(files: DataFrame) -> DataFrame:
     return per_file(files, "side string, edge_rms double, edge_peak double, boundary double, sustain double, crossings double", edge_features)
 
 
-def cut_segments(files: DataFrame, segments: DataFrame) -> DataFrame:
-    """``stem, segment_index, status, wav``: the 16-bit WAV of each segment (stem, segment_index, status, cut_start_sec, cut_end_sec).
+def abrupt_edges(files: DataFrame) -> DataFrame:
+    """``stem, side``, the edge features, ``score, likelihood``: how abruptly each file starts and ends beside all others.
 
-    Each file is decoded once, beside the list of its own segments; write
-    the rows with ``partitionBy("status")`` to keep what was dropped apart.
+    Levels count by their logarithms; features are distances to the median
+    of their side. ``manifests.top_per_group`` gives the worst ones, and
+    ``manifests.worst_of_each`` the worse side of each file.
     """
-    from pyspark.sql import functions as F
+    edges = edges_of_files(files).where("problem is null")
+    logs = {f"_{c}": F.log10(F.col(c) + EPS) for c in ("edge_rms", "edge_peak", "boundary", "sustain")}
+    names = [*logs, "crossings"]
+    rated = robust_z(edges.withColumns(logs), "side", names)
+    score = edge_score([F.col(f"z_{n}") for n in names])
+    likely = 1 / (1 + F.exp(-F.greatest(F.lit(-60.0), F.least(F.lit(60.0), score - EDGE_CENTRE))))
+    return rated.select("stem", "side", "edge_rms", "edge_peak", "boundary", "sustain", "crossings", score.alias("score"), likely.alias("likelihood"))
 
-    from loomwright.sources.audio import encode_wav
 
-    own = segments.groupBy("stem").agg(F.array_sort(F.collect_list(F.struct("segment_index", "status", "cut_start_sec", "cut_end_sec"))).alias("cuts"))
+def cut_segments(files: DataFrame, segments: DataFrame) -> DataFrame:
+    """``stem, segment_index, status, wav, problem``: the 16-bit WAV of each segment (stem, segment_index, status, cut_start_sec, cut_end_sec), for ``sources.files.segment_files``.
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for stem, content, cuts in zip(batch["stem"], batch["content"], batch["cuts"], strict=True):
-                signal, rate = decode_wav(content)
-                rows = [(stem, c["segment_index"], c["status"], encode_wav(signal[round(c["cut_start_sec"] * rate) : round(c["cut_end_sec"] * rate)], rate)) for c in cuts]
-                yield pd.DataFrame(rows, columns=["stem", "segment_index", "status", "wav"])
+    Each file is decoded once, beside the list of its own segments.
+    """
+
+    def work(x: np.ndarray, r: int, own: list) -> list[tuple]:
+        return [(c["segment_index"], c["status"], encode_wav(x[round(c["cut_start_sec"] * r) : round(c["cut_end_sec"] * r)], r)) for c in own]
 
-    return files.select("stem", "content").join(own, "stem").mapInPandas(run, "stem string, segment_index long, status string, wav binary")
+    return per_file(files, "segment_index long, status string, wav binary", work, beside=_own(segments, "segment_index", "status", "cut_start_sec", "cut_end_sec"))
 
 
 def trim_segments(files: DataFrame, segments: DataFrame, padding: float = 0.2, top_db: float = 60.0) -> DataFrame:
@@ -332,24 +386,17 @@ def trim_segments(files: DataFrame, segments: DataFrame, padding: float = 0.2, t
 
     A segment that is silent as a whole keeps its rough bounds and says so.
     """
-    from pyspark.sql import functions as F
-
-    from loomwright.sources.audio import trim
 
-    own = segments.groupBy("stem").agg(F.array_sort(F.collect_list(F.struct("segment_index", "start_sec", "end_sec"))).alias("cuts"))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for stem, content, cuts in zip(batch["stem"], batch["content"], batch["cuts"], strict=True):
-                signal, rate = decode_wav(content)
-                for c in cuts:
-                    a, z = round(c["start_sec"] * rate), min(len(signal), round(c["end_sec"] * rate))
-                    first, last = trim(signal[a:z], top_db)
-                    if last <= first:
-                        rows.append((stem, c["segment_index"], c["start_sec"], c["end_sec"], "trim_empty"))
-                    else:
-                        rows.append((stem, c["segment_index"], max(c["start_sec"], (a + first) / rate - padding), min(c["end_sec"], (a + last) / rate + padding), None))
-            yield pd.DataFrame(rows, columns=["stem", "segment_index", "cut_start_sec", "cut_end_sec", "problem"])
-
-    return files.select("stem", "content").join(own, "stem").mapInPandas(run, "stem string, segment_index long, cut_start_sec double, cut_end_sec double, problem string")
+    def work(x: np.ndarray, r: int, own: list) -> list[tuple]:
+        rows = []
+        for c in own:
+            a, z = round(c["start_sec"] * r), min(len(x), round(c["end_sec"] * r))
+            first, last = trim(x[a:z], top_db)
+            if last <= first:
+                rows.append((c["segment_index"], c["start_sec"], c["end_sec"], "trim_empty"))
+            else:
+                rows.append((c["segment_index"], max(c["start_sec"], (a + first) / r - padding), min(c["end_sec"], (a + last) / r + padding), None))
+        return rows
+
+    found = per_file(files, "segment_index long, cut_start_sec double, cut_end_sec double, empty string", work, beside=_own(segments, "segment_index", "start_sec", "end_sec"))
+    return found.withColumn("problem", F.coalesce("problem", "empty")).drop("empty")

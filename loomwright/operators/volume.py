@@ -111,6 +111,25 @@ def restore_gain(enhanced: np.ndarray, reference: np.ndarray, mode: str) -> tupl
     return (enhanced * gain).astype(np.float32), gain
 
 
+def restored(enhanced: np.ndarray, reference: np.ndarray, mode: str, target_dbfs: float | None = None, ceiling: float = CEILING_DBFS) -> tuple[np.ndarray, float, str]:
+    """(signal, gain, reason) by a gain mode: that of the reference (:func:`restore_gain`), a target under the ceiling, or none; a silent output is left as it is."""
+    if mode == "none":
+        return enhanced, 1.0, "disabled"
+    if mode in ("rms", "peak", "rms-peak"):
+        out, gain = restore_gain(enhanced, reference, mode)
+        return out, gain, f"source {mode}"
+    if mode not in ("target-rms", "target-peak") or target_dbfs is None:
+        raise ValueError(f"unknown gain mode {mode}, or no target for it")
+    peak = float(np.max(np.abs(enhanced), initial=0))
+    level = float(np.sqrt(np.mean(np.square(enhanced, dtype=np.float64)))) if mode == "target-rms" and len(enhanced) else peak
+    if peak <= 1e-8 or level <= 1e-8:
+        return enhanced, 1.0, "silent output"
+    wanted, most = 10 ** (target_dbfs / 20) / level, 10 ** (min(ceiling, 0.0) / 20) / peak
+    gain = min(wanted, most)
+    why = f"{mode.replace('-', ' ')} {target_dbfs:.1f} dBFS" if gain == wanted else f"limited by peak ceiling {ceiling:.1f} dBFS"
+    return (enhanced * gain).astype(np.float32), gain, why
+
+
 def _biquad(x: np.ndarray, b: np.ndarray, a: np.ndarray) -> np.ndarray:
     out = np.empty_like(x)
     z1 = z2 = 0.0

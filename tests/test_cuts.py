@@ -7,9 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from loomwright.functions.tables import group_quantiles
-from loomwright.operators import activity, manifests, reports, signal, transcripts
+from loomwright.operators import activity, manifests, reports, transcripts
 from loomwright.operators.cuts import chunk_frames, greedy_chunks
 from loomwright.sources import audio
+from tests.plain_signal import silence_chunks
 
 
 def fold(frames, low, high, end):
@@ -47,7 +48,7 @@ def test_chunks_of_recordings_equal_the_fold_over_signals(spark):
             x[a : a + int(rng.integers(200, 2000))] *= 0.001
         content = audio.encode_wav(x, rate)
         files.append((f"f{k}", content))
-        want[f"f{k}"] = [(a / rate, z / rate) for a, z in signal.silence_chunks(audio.decode_wav(content)[0], rate, 5, 15)]
+        want[f"f{k}"] = [(a / rate, z / rate) for a, z in silence_chunks(audio.decode_wav(content)[0], rate, 5, 15)]
     files.append(("broken", b"no wav"))
     got = {}
     rows = chunk_frames(audio.frames(spark.createDataFrame(files, "stem string, content binary").repartition(3), rate)).collect()

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from loomwright.operators import models, signal, transcripts
 from loomwright.operators.pauses import NAMES
 from loomwright.sources import audio
+from loomwright.sources import files as files_
 from loomwright.sources.config import Settings
 from loomwright.streaming import regions
+from tests.plain_signal import silence_chunks
 
 RATE = 8000
 
@@ -70,10 +72,10 @@ def test_ranges_and_stitch(spark):
 
 def test_chunks_cut_in_silence():
     x = np.concatenate([tone(6), quiet(0.5), tone(7), quiet(0.5), tone(9)])
-    chunks = signal.silence_chunks(x, RATE, 5, 10)
+    chunks = silence_chunks(x, RATE, 5, 10)
     assert chunks[0][0] == 0 and chunks[-1][1] == len(x) and all(a[1] == b[0] for a, b in zip(chunks, chunks[1:]))
     assert 6 * RATE <= chunks[0][1] <= 6.5 * RATE and all(b - a <= 10 * RATE for a, b in chunks)
-    assert signal.silence_chunks(quiet(0), RATE) == []
+    assert silence_chunks(quiet(0), RATE) == []
 
 
 def test_speech_and_silence():
@@ -92,18 +94,80 @@ def test_speech_and_silence():
 def test_edges_and_windows():
     start, end = signal.edge_features(np.concatenate([tone(0.5), quiet(0.5)]), RATE)
     assert start[1] > 0.3 and end[1] == 0 and start[5] > 0
-    x = np.random.default_rng(1).normal(size=RATE * 25).astype(np.float32)
-    assert np.allclose(signal.overlap_windows(x, RATE, lambda w: w * 2), x * 2)
-    assert np.allclose(signal.istft(signal.stft(x[:4096]), 4096), x[:4096], atol=1e-6)
 
 
 def test_files(spark, tmp_path):
     (tmp_path / "a.wav").write_bytes(audio.encode_wav(np.concatenate([tone(2), quiet(1), tone(2)]), RATE))
     (tmp_path / "b.wav").write_bytes(b"junk")
     files = audio.scan(spark, str(tmp_path))
-    assert signal.speech_files(files, RATE).count() == 2
-    assert {r.side for r in signal.edges_of_files(files).collect()} == {"start", "end"}
-    assert signal.chunk_files(files, RATE, 1, 3).count() >= 2
+    for found, n in ((signal.speech_files(files, RATE), 2), (signal.edges_of_files(files), 2), (signal.longest_run_files(files, RATE, 1, 3), 2), (signal.budget_files(files, 2.0, RATE), 3), (signal.gap_cut_files(files, RATE, 1, 3, 2), 2), (signal.level_files(files), 1), (signal.speech_levels(files, RATE), 1)):
+        rows = found.collect()
+        assert sum(r.problem is None for r in rows) >= n and [r.stem for r in rows if r.problem is not None] == ["b"]
+    rows = signal.chunk_files(files, RATE, 1, 3).collect()
+    assert sum(r.problem is None for r in rows) >= 2 and [r.stem for r in rows if r.problem] == ["b"]
+    assert {r.side for r in signal.edges_of_files(files).where("problem is null").collect()} == {"start", "end"}
+
+
+def test_even_parts_as_files(spark, tmp_path):
+    x = np.concatenate([tone(9), quiet(0.5), tone(10)])
+    rows = spark.createDataFrame([("a", audio.encode_wav(x, RATE)), ("s", audio.encode_wav(tone(2), RATE)), ("bad", b"")], "stem string, content binary")
+    parts = signal.even_part_files(rows, 10)
+    files_.write_files(files_.part_files(parts.where("problem is null")), str(tmp_path / "o"))
+    first, second = (audio.decode_wav((tmp_path / f"o/a_part00{k}.wav").read_bytes())[0] for k in (1, 2))
+    assert len(first) + len(second) == len(x) and 9 * RATE <= len(first) <= 9.5 * RATE
+    assert (tmp_path / "o/s.wav").exists() and [r.stem for r in parts.where("problem is not null").collect()] == ["bad"]
+
+
+def test_silences_at_marks(spark):
+    x = np.concatenate([tone(1), quiet(0.3), tone(1)])
+    rows = spark.createDataFrame([("a", audio.encode_wav(x, RATE)), ("bad", b""), ("none", b"")], "stem string, content binary")
+    marks = spark.createDataFrame([("a", 0, 1.1, 1.15), ("a", 1, 0.3, 0.3), ("bad", 0, 0.0, 0.0)], "stem string, idx long, left_end_sec double, right_start_sec double")
+    got = {(r.stem, r.idx): r.silence_ms for r in signal.mark_silences(rows, marks).collect()}
+    assert got["a", 0] == pytest.approx(300, abs=45) and got["a", 1] == signal.silence_around(audio.decode_wav(audio.encode_wav(x, RATE))[0], RATE, 0.3, 0.3) and ("bad", None) in got and len(got) == 3
+
+
+def test_library_target_and_gains(spark):
+    loud, low = tone(3, 0.5), tone(1, 0.05)
+    rows = spark.createDataFrame([("a", audio.encode_wav(loud, RATE)), ("b", audio.encode_wav(low, RATE)), ("c", audio.encode_wav(quiet(1), RATE))], "stem string, content binary")
+    levels = {r.stem: r for r in signal.speech_levels(rows, RATE).collect()}
+    assert set(levels) == {"a", "b"} and levels["a"].speech_dbfs == pytest.approx(20 * np.log10(0.5 / 2**0.5), abs=0.3) and levels["a"].peak_dbfs == pytest.approx(-6.02, abs=0.05)
+    assert signal.library_target(signal.speech_levels(rows, RATE)).first().target == pytest.approx(min(levels["a"].speech_dbfs, levels["a"].safe_dbfs, levels["b"].safe_dbfs))
+    outputs = rows.selectExpr("stem", "content as wav").where("stem <> 'c'").replace("a", "t", "stem").replace("b", "a", "stem").replace("t", "b", "stem")
+    for mode, target in (("rms", None), ("peak", None), ("none", None), ("target-rms", -20.0), ("target-peak", -3.0), ("target-rms", 0.0)):
+        got = {r.stem: r for r in signal.restored_files(rows, outputs, mode, target).collect()}
+        y = {k: audio.decode_wav(r.content)[0] for k, r in got.items()}
+        if mode in ("rms", "peak"):
+            assert np.abs(y["a"]).max() == pytest.approx(0.5, abs=0.01) and np.abs(y["b"]).max() == pytest.approx(0.05, abs=0.005)
+        elif mode == "none":
+            assert got["a"].gain == 1 and got["a"].reason == "disabled"
+        elif target == -20:
+            assert 20 * np.log10(np.sqrt(np.mean(y["a"] ** 2))) == pytest.approx(-20, abs=0.1)
+        else:
+            assert np.abs(y["a"]).max() == pytest.approx(10 ** (min(target, -1.0) / 20), abs=0.01) and (target < 0 or "limited" in got["a"].reason)
+
+
+def test_abrupt_edges(spark):
+    rng = np.random.default_rng(2)
+    smooth = [np.concatenate([quiet(0.3), tone(0.5) * rng.uniform(0.5, 1), quiet(0.3)]) + rng.normal(0, 1e-4, int(1.1 * RATE)).astype(np.float32) for _ in range(9)]
+    rows = spark.createDataFrame([(f"s{k}", audio.encode_wav(x, RATE)) for k, x in enumerate(smooth)] + [("cut", audio.encode_wav(tone(0.5), RATE)), ("bad", b"")], "stem string, content binary")
+    edges = signal.abrupt_edges(rows)
+    got = {(r.stem, r.side): r for r in edges.collect()}
+    assert len(got) == 20 and got["cut", "start"].likelihood > 0.9 and all(r.likelihood < 0.9 for (s, _), r in got.items() if s != "cut")
+    logs = np.array([np.log10(got[s, "end"].edge_rms + 1e-8) for s in sorted({s for s, _ in got})])
+    z = 0.67448975 * (logs - np.median(logs)) / np.median(np.abs(logs - np.median(logs)))
+    assert z.argmax() == sorted({s for s, _ in got}).index("cut")
+
+
+def test_manifest_of_the_volume_tool(spark):
+    from loomwright.operators import loudness
+
+    rows = spark.createDataFrame([("a", audio.encode_wav(tone(2, 0.1), RATE)), ("b", b"")], "stem string, content binary")
+    measured = loudness.measure_files(rows).cache()
+    written = loudness.normalise_files(rows, loudness.decide(measured, -20.0))
+    records = spark.createDataFrame([("a", 1, "x/a.wav", "o/a.wav", '{"id": 7, "audio": "x/a.wav", "t": "é"}'), ("b", 2, "x/b.wav", "o/b.wav", "[]")], "stem string, jsonl_row int, source_audio string, output_audio string, payload string")
+    m = loudness.normalised_manifest(measured, written, records).collect()
+    assert len(m) == 1 and len(m[0]) == 10 and m[0].duration_sec == "2.000" and m[0].source_sample_rate == RATE and m[0].source_lufs[-4] == "."
+    assert [r.payload for r in loudness.moved_records(records).collect()] == ['{"id": 7, "audio": "o/a.wav", "t": "é"}', "[]"]
 
 
 def test_models(spark):
@@ -121,9 +185,6 @@ def test_models(spark):
     assert models.even_aligner()([("abcd", 2.0)]) == [[0, 0.5, 1.0, 1.5]]
     assert len(models.fixed_rate_transcriber()([(bytes(4 * 16000), 16000)])[0]) == 4
     assert np.linalg.norm(models.hashed_embedder()([("a",)])[0]) == pytest.approx(1)
-    assert models.labels_with_retry(lambda ids, n: None if n == 0 else {1: "good", 2: "bad"}, [1, 2]) == {1: "good", 2: "bad"}
-    assert models.labels_with_retry(lambda ids, n: {1: "good"}, [1, 2]) == {1: "ok", 2: "ok"}
-    assert models.valid_cuts([1, 3], [1, 2, 3]) is None and models.valid_cuts([3, 1], [1, 3]) and models.valid_cuts([1], [1, 3]) and models.valid_cuts([2, 9], [9])
 
 
 def test_stream(spark, sf, tmp_path):
