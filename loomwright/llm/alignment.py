@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,12 +28,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomwright.llm.bytesets import give_back, ragged, text_batches, text_bytes
+from loomwright.llm.bytesets import UnitCache, Units, blocks, give_back, ragged, text_batches, text_bytes
 from loomwright.llm.common import materialise
 from loomwright.llm.piece_codec import vocabulary
 from loomwright.llm.token_counts import Counter
 
 SLICE = 4 << 20
+_CACHE_UNITS = 500_000
 #: Bits of the second id in the number of a pair.
 _ID_BITS = 31
 _CODEC = "zstd"
@@ -76,6 +78,58 @@ def plain_counter(path: str) -> PlainCounter:
     return _loaded[path]
 
 
+class PieceCoder:
+    """A sentencepiece vocabulary over whole columns: distinct units between places that no piece reaches across, new ones encoded by the library."""
+
+    def __init__(self, path: str):
+        self.vocab = vocabulary(path)
+        self.cache = UnitCache(_CACHE_UNITS)
+        self.surface, self.surface_at, self.surface_size = self.vocab.surface, self.vocab.surface_at, self.vocab.surface_size
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all rows, the space put before each text included, and their n+1 offsets."""
+        data, offsets = text_bytes(column)
+        flat, counts = [], np.zeros(len(offsets) - 1, np.int64)
+        starts = self.vocab.unit_starts
+        for b, pieces, rows in blocks(data, offsets, starts):
+            heads = np.array([offsets[r] < offsets[r + 1] for r in rows]) & ((len(rows) > 1) | (b.ctypes.data == data.ctypes.data + offsets[rows[0]]))
+            fed = np.insert(b, pieces[heads], 32)  # the space that is put before a text
+            u = Units(fed, pieces + np.cumsum(heads) - heads, starts, False)
+            h = u.hashes()
+            first, inverse = u.distinct(h)
+            h = h[first]
+            raw, size = u.bytes_of(first)
+            known = self.cache.find(h, raw, size)
+            new, old = np.flatnonzero(known < 0), np.flatnonzero(known >= 0)
+            ids, n = self._library(u.take(first[new]))
+            sizes, begins = np.zeros(len(first), np.int64), np.zeros(len(first), np.int64)
+            sizes[old], begins[old] = self.cache.size[known[old], 1], self.cache.start[known[old], 1]
+            sizes[new], begins[new] = n, self.cache.used[1] + np.cumsum(n) - n
+            flat.append(ragged(np.concatenate([self.cache.ids[: self.cache.used[1]], ids]), begins[inverse], sizes[inverse]))
+            self.cache.add(h[new], ragged(raw, (np.cumsum(size) - size)[new], size[new]), size[new], ids, n)
+            np.add.at(counts, rows, np.diff(np.append(0, np.cumsum(sizes[inverse]))[u.bounds]))
+        return (np.concatenate(flat) if flat else np.zeros(0, np.int32)), np.append(0, np.cumsum(counts))
+
+    def _library(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids one after another, how many each unit has); the library puts a space before what it is given, so others stand behind a line feed."""
+        texts = [x.decode() for x in units]
+        spaced = [len(t) > 1 and t.startswith(" ") for t in texts]  # of nothing the library makes no space
+        got = self.vocab.library.encode([t[1:] if s else "\n" + t for t, s in zip(texts, spaced, strict=True)], num_threads=1) if texts else []
+        got = [x if s else x[2:] for x, s in zip(got, spaced, strict=True)]
+        n = np.array([len(x) for x in got], np.int64)
+        return np.fromiter(chain.from_iterable(got), np.int32, int(n.sum())), n
+
+
+_coders: dict[str, PieceCoder] = {}
+
+
+def piece_coder(path: str) -> PieceCoder:
+    """One per worker process, with its cache of units."""
+    if path not in _coders:
+        _coders[path] = PieceCoder(path)
+    return _coders[path]
+
+
 def _sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Sum of each segment, by differences of prefix sums."""
     return np.diff(np.append(0, np.cumsum(values))[bounds])
@@ -110,11 +164,14 @@ class Aligned:
     def __init__(self, column: pa.Array, first: PlainCounter, second):
         spaced = pc.binary_join_element_wise(pa.scalar(" ", column.type), pc.fill_null(column, ""), pa.scalar("", column.type))
         data, offsets = text_bytes(spaced)
-        a, b = _Side(first, *first.encode(spaced)), _Side(second, *second.encode(column, end=False))
+        a, b = _Side(first, *first.encode(spaced)), _Side(second, *second.encode(column))
         want = np.diff(offsets)
         rows = np.flatnonzero((want > 1) & (a.lengths() == want) & (b.lengths() == want))
-        a, b = a.only(rows), b.only(rows)
-        text = ragged(data, offsets[:-1][rows], want[rows])
+        if len(rows) < len(want):
+            a, b = a.only(rows), b.only(rows)
+            text = ragged(data, offsets[:-1][rows], want[rows])
+        else:
+            text = data[offsets[0] : offsets[-1]]
         unequal = text != a.bytes()
         unequal |= text != b.bytes()
         if unequal.any():
@@ -206,7 +263,7 @@ def aligned_slices(docs: DataFrame, first: str, second: str, id_column: str = "d
 
     def _slice_rows(batch: pa.RecordBatch, number: int) -> Iterator[pa.RecordBatch]:
         n = batch.num_rows
-        got = Aligned(batch.column(text_column), plain_counter(first), vocabulary(second))
+        got = Aligned(batch.column(text_column), plain_counter(first), piece_coder(second))
         pairs, place = np.unique(got.pairs(), return_inverse=True)
         held = np.repeat(np.arange(len(got.rows)), np.diff(got.links)) * max(1, len(pairs)) + place  # (document, pair)
         held.sort()
