@@ -44,6 +44,48 @@ def test_toxicity_held_out(labelled):
     assert kept.count() == sum(1 - r.predicted for r in rows)
 
 
+def plain_ftrl(rows, labels, bits, alpha=1.0, beta=1.0, l1=2.0, l2=1.0, passes=3, group=4, positive=4.0):
+    """One coordinate and one row at a time, from the published update."""
+    z, n, zb, nb, bias = {}, {}, 0.0, 0.0, 0.0
+    order = np.random.Generator(np.random.PCG64(7))
+
+    def weight(i):
+        if abs(z.get(i, 0.0)) <= l1:
+            return 0.0
+        return -(z[i] - (l1 if z[i] > 0 else -l1)) / ((beta + n[i] ** 0.5) / alpha + l2)
+
+    for _ in range(passes):
+        deal = order.permutation(len(labels)).tolist()
+        for k in range(0, len(deal), group):
+            errors = []
+            for r in deal[k : k + group]:
+                p = 1 / (1 + np.exp(-(bias + sum(weight(i) for i in rows[r]))))
+                errors.append((r, (p - labels[r]) * (positive if labels[r] > 0 else 1.0)))
+            touched = {i: weight(i) for r, _ in errors for i in rows[r]}
+            for i, w in touched.items():
+                g = sum(e for r, e in errors if i in rows[r])
+                g2 = sum(e * e for r, e in errors if i in rows[r])
+                had = n.get(i, 0.0)
+                z[i] = z.get(i, 0.0) + g - ((had + g2) ** 0.5 - had**0.5) / alpha * w
+                n[i] = had + g2
+            g, g2 = sum(e for _, e in errors), sum(e * e for _, e in errors)
+            zb += g - ((nb + g2) ** 0.5 - nb**0.5) / alpha * bias
+            nb += g2
+            bias = -zb / ((beta + nb**0.5) / alpha)
+    return {i: w for i in z if (w := weight(i))}, bias
+
+
+def test_ftrl_equals_a_plain_one():
+    pick = random.Random(14)
+    rows = [sorted(pick.sample(range(256), pick.randint(0, 30))) for _ in range(120)]
+    labels = np.array([float(3 in r or 7 in r or pick.random() < 0.05) for r in rows])
+    sizes = np.array([len(r) for r in rows])
+    got, bias = toxicity.ftrl(np.array([i for r in rows for i in r]), np.cumsum(sizes) - sizes, sizes, labels, 8, l1=2.0, passes=3, group=4)
+    want, plain_bias = plain_ftrl(rows, labels, 8)
+    assert len(want) > 2 and set(np.flatnonzero(got)) == set(want)
+    assert all(abs(got[i] - w) < 1e-9 for i, w in want.items()) and abs(bias - plain_bias) < 1e-9
+
+
 def test_toxicity_edges(spark, odd_docs, odd_rows, no_docs, labelled):
     _, labels, _ = labelled
     rows = toxicity.score_toxicity(odd_docs, labels).collect()
