@@ -1,17 +1,22 @@
 """Activity and silence on a time axis: thresholds, runs, regions, gaps, overlaps, nearest events, packing.
 
 All of it works on rows (key, time, level) of any source: frames of a signal
-or events of a log. Sequential folds run per source in Arrow batches.
+or events of a log.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomwright.functions.pointers import followed, sorted_groups
+from loomwright.functions.tables import written
+
 
 def adaptive_threshold(rows: DataFrame, key: str, level: str, quarter: float = 1.8, half: float = 0.45, top: float = 0.025, least: float = 1e-6) -> DataFrame:
     """``threshold`` for each key: the largest of scaled quartile, median and maximum, and a floor."""
@@ -151,24 +156,42 @@ def pack_regions(regions: DataFrame, key: str, budget: float, start: str = "star
     """Neighbouring regions packed into chunks of at most ``budget`` from the first start to the last end: ``chunk, start, end, n``.
 
     Without levels there is no place to cut at, so a region longer than the
-    budget is a chunk of its own; ``pack_levels`` cuts it. The fold needs
-    the regions of a source in order, so it runs once per source.
+    budget is a chunk of its own; ``pack_levels`` cuts it.
     """
-    kind = regions.schema[key].dataType.simpleString()
-    times = regions.schema[start].dataType.simpleString()
+    alone = F.col(end) - F.col(start) > budget
+    order = F.row_number().over(Window.partitionBy(key).orderBy(start, end))
+    items = regions.select(F.col(key).alias("k"), order.alias("r"), F.lit(0).alias("p"), F.col(start).alias("a"), F.col(end).alias("z"), alone.alias("alone"), F.lit(1).alias("n"))
+    return _packed(items, budget).select(F.col("k").alias(key), "chunk", F.col("a").alias(start), F.col("z").alias(end), "n")
 
-    def fold(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values([start, end])
-        out: list[list] = []
-        for a, b in zip(part[start], part[end], strict=True):
-            if out and b - out[-1][1] <= budget:
-                out[-1][2] = max(out[-1][2], b)
-                out[-1][3] += 1
-            else:
-                out.append([len(out), a, b, 1])
-        return pd.DataFrame(out, columns=["chunk", start, end, "n"]).assign(**{key: part[key].iloc[0]})[[key, "chunk", start, end, "n"]]
 
-    return regions.select(key, start, end).groupBy(key).applyInPandas(fold, f"{key} {kind}, chunk long, {start} {times}, {end} {times}, n long")
+def _packed(items: DataFrame, budget: float) -> DataFrame:
+    """Chunks of items (k, r, p, a, z, alone, n) in the order of r and p: as many neighbours as the budget takes, those ``alone`` by themselves.
+
+    An item that may be joined is not longer than the budget, so the first
+    one behind it that reaches too far is the first at which the running
+    maximum of ends does: one ordered pass finds it for all items at once.
+    The chain of chunks is then followed from the first item on.
+    """
+    by = Window.partitionBy("k").orderBy("r", "p")
+    upto = by.rowsBetween(Window.unboundedPreceding, 0)
+    # items between two that stand alone are a run
+    numbered = items.withColumn("q", (F.row_number().over(by) - 1).cast("long")).withColumn("run", F.sum(F.col("alone").cast("long")).over(upto))
+    numbered = numbered.withColumn("behind", F.lead("q").over(by))
+    numbered = written(numbered)
+    run = Window.partitionBy("k", "run")
+    open_ = numbered.where("not alone").withColumn("top", F.max("z").over(run.orderBy("q").rowsBetween(Window.unboundedPreceding, 0)))
+    reached = open_.select("k", "run", "q", F.col("top").alias("v"), F.lit(1).alias("order"))
+    asked = open_.select("k", "run", "q", (F.col("a") + budget).alias("v"), F.lit(0).alias("order"))
+    far = F.min(F.when(F.col("order") == 1, F.col("q"))).over(run.orderBy(F.col("v").desc(), "order").rowsBetween(Window.unboundedPreceding, 0))
+    both = reached.select("k", "run", "q", F.col("v").cast("double").alias("v"), "order").unionByName(asked.select("k", "run", "q", F.col("v").cast("double").alias("v"), "order"))
+    stops = both.withColumn("far", far).where("order = 0").select(F.col("k").alias("sk"), F.col("q").alias("sq"), "far")
+    ends = numbered.groupBy(F.col("k").alias("ek"), F.col("run").alias("er")).agg(F.max_by("behind", "q").alias("over"))
+    ahead = numbered.join(stops, F.col("k").eqNullSafe(F.col("sk")) & (F.col("q") == F.col("sq")), "left").join(ends, F.col("k").eqNullSafe(F.col("ek")) & (F.col("run") == F.col("er")))
+    ahead = written(ahead.withColumn("next", F.when(F.col("alone"), F.col("behind")).otherwise(F.coalesce("far", "over"))).drop("sk", "sq", "ek", "er"))
+    firsts = followed(ahead, "k", "q", "next").select(F.col("k").alias("fk"), F.col("q").alias("fq"))
+    marked = ahead.join(firsts, F.col("k").eqNullSafe(F.col("fk")) & (F.col("q") == F.col("fq")), "left")
+    chunk = F.sum(F.col("fq").isNotNull().cast("long")).over(Window.partitionBy("k").orderBy("q").rowsBetween(Window.unboundedPreceding, 0)) - 1
+    return marked.withColumn("chunk", chunk).groupBy("k", "chunk").agg(F.min_by("a", "q").alias("a"), F.max("z").alias("z"), F.sum("n").cast("long").alias("n"))
 
 
 def pack_levels(regions: DataFrame, rows: DataFrame, key: str, budget: float, least: float, time: str, level: str, start: str = "start", end: str = "end") -> DataFrame:
@@ -180,49 +203,69 @@ def pack_levels(regions: DataFrame, rows: DataFrame, key: str, budget: float, le
     off are chunks of their own, the last part is packed with what follows.
     A source without regions is cut all over from its first row to its last.
     ``n`` counts regions and their parts; a source without regions has 0.
+
+    Only long regions see levels, each in one task with the rows that lie in
+    it; packing works on rows of all sources at once.
     """
     if budget <= 0:
         raise ValueError("the budget must be positive")
-    kind = regions.schema[key].dataType.simpleString()
     times = regions.schema[start].dataType.simpleString()
-
-    def fold(of: tuple, part: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
-        found = found.dropna(subset=[time, level]).sort_values(time, kind="stable")
-        at, loud = found[time].to_numpy(), found[level].to_numpy(float)
-
-        def cut(a, hard):
-            i, j = at.searchsorted(a + least, "left"), at.searchsorted(hard, "left")
-            i = max(i, at.searchsorted(a, "right"))
-            here = loud[i:j]
-            if not len(here) or (len(here) > 1 and here.max() - here.min() <= 1e-6):
-                return hard
-            return at[i + here.argmin()]
-
-        out: list[tuple] = []
-        if not len(part) and len(at):
-            a, last = at[0], at[-1]
-            while a < last:
-                b = cut(a, min(a + budget, last))
-                out.append((a, b, 0))
-                a = b
-            if not out:  # all rows at one time
-                out.append((a, last, 0))
-        now = None
-        for a, b in part.sort_values([start, end])[[start, end]].itertuples(index=False):
-            if now and b - a > budget:
-                out.append(now)
-                now = None
-            while b - a > budget:
-                c = cut(a, a + budget)
-                out.append((a, c, 1))
-                a = c
-            if now and b - now[0] <= budget:
-                now = (now[0], max(now[1], b), now[2] + 1)
-            else:
-                out += [now] if now else []
-                now = (a, b, 1)
-        out += [now] if now else []
-        return pd.DataFrame([(of[0], k, *x) for k, x in enumerate(out)], columns=[key, "chunk", start, end, "n"])
-
-    levels = rows.select(key, time, level).groupBy(key)
-    return regions.select(key, start, end).groupBy(key).cogroup(levels).applyInPandas(fold, f"{key} {kind}, chunk long, {start} {times}, {end} {times}, n long")
+    kind = regions.schema[key].dataType.simpleString()
+    order = F.row_number().over(Window.partitionBy(key).orderBy(start, end))
+    own = written(regions.select(F.col(key).alias("k"), order.cast("long").alias("r"), F.col(start).alias("a"), F.col(end).alias("z"), F.lit(False).alias("bare")))
+    heard = rows.where(F.col(time).isNotNull() & F.col(level).isNotNull()).select(F.col(key).alias("lk"), F.col(time).alias("t"), F.col(level).cast("double").alias("v"))
+    without = heard.groupBy("lk").agg(F.min("t").alias("a"), F.max("t").alias("z"))
+    known = own.select(F.col("k").alias("ok")).distinct()
+    without = without.join(known, F.col("lk").eqNullSafe(F.col("ok")), "left_anti").select(F.col("lk").alias("k"), F.lit(0).cast("long").alias("r"), F.col("a").cast(times).alias("a"), F.col("z").cast(times).alias("z"), F.lit(True).alias("bare"))
+    long_ = own.where(F.col("z") - F.col("a") > budget).unionByName(without)
+    bins = F.sequence(F.floor(F.col("a") / budget).cast("long"), F.floor(F.col("z") / budget).cast("long"))
+    met = long_.withColumn("bin", F.explode(bins)).join(heard.withColumn("lb", F.floor(F.col("t") / budget).cast("long")), F.col("k").eqNullSafe(F.col("lk")) & (F.col("bin") == F.col("lb")))
+    met = met.where((F.col("t") >= F.col("a")) & (F.col("t") <= F.col("z"))).select("k", "r", "a", "z", "bare", "t", "v")
+    none = long_.select("*", F.lit(None).cast(heard.schema["t"].dataType).alias("t"), F.lit(None).cast("double").alias("v"))  # a region has a row, whatever lies in it
+    by = Window.partitionBy("k", "r").orderBy(F.col("t").asc_nulls_first())
+    dealt = met.unionByName(none).withColumn("first", F.row_number().over(by) == 1)
+
+    def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in sorted_groups(batches, "first"):
+            table = table.combine_chunks()
+            begins = np.flatnonzero(table["first"].to_numpy()).tolist()
+            out, place = [], []
+            for x, y in zip(begins, [*begins[1:], table.num_rows], strict=True):
+                a, z, bare = (table[c][x].as_py() for c in ("a", "z", "bare"))
+                at, loud = (table[c].slice(x + 1, y - x - 1).to_numpy() for c in ("t", "v"))
+                parts = _quiet_parts(at, loud, a, z, budget, least, bare)
+                out += [(p, *part) for p, part in enumerate(parts)]
+                place += [x] * len(parts)
+            index = pa.array(place, pa.int64())
+            edge = table.schema.field("a").type
+            columns = [table["k"].take(index), table["r"].take(index), pa.array([o[0] for o in out], pa.int32()), *(pa.array([o[c] for o in out]).cast(edge, safe=False) for c in (1, 2))]
+            yield from pa.table([*columns, pa.array([o[3] for o in out], pa.bool_()), pa.array([o[4] for o in out], pa.int32())], ["k", "r", "p", "a", "z", "alone", "n"]).to_batches()
+
+    parts = dealt.mapInArrow(cut_up, f"k {kind}, r long, p int, a {times}, z {times}, alone boolean, n int")
+    short = own.where(F.col("z") - F.col("a") <= budget).select("k", "r", F.lit(0).alias("p"), "a", "z", F.lit(False).alias("alone"), F.lit(1).alias("n"))
+    return _packed(written(parts.unionByName(short)), budget).select(F.col("k").alias(key), "chunk", F.col("a").alias(start), F.col("z").alias(end), "n")
+
+
+def _quiet_parts(at: np.ndarray, loud: np.ndarray, a, z, budget: float, least: float, bare: bool) -> list[tuple]:
+    """(start, end, alone, n) of the parts of a long region, or of a source without regions (``bare``)."""
+
+    def cut(a, hard):
+        i, j = at.searchsorted(a + least, "left"), at.searchsorted(hard, "left")
+        i = max(i, at.searchsorted(a, "right"))
+        here = loud[i:j]
+        if not len(here) or (len(here) > 1 and here.max() - here.min() <= 1e-6):
+            return hard
+        return at[i + here.argmin()].item()
+
+    out: list[tuple] = []
+    if bare:
+        while a < z:
+            b = cut(a, min(a + budget, z))
+            out.append((a, b, True, 0))
+            a = b
+        return out or [(a, z, True, 0)]
+    while z - a > budget:
+        b = cut(a, a + budget)
+        out.append((a, b, True, 1))
+        a = b
+    return [*out, (a, z, False, 1)]

@@ -118,3 +118,34 @@ def test_summaries_by_ranks(spark):
     assert (got["s"].segments, got["s"].median_sec, got["s"].silence_median_ms, got["s"].hit_percent, got["s"].fallbacks) == (2, 3.0, 100.0, 50.0, 1)
     assert got[None].median_sec == 9.0
     assert manifests.numeric_summary(rows, ["k"], "sec").where("k = 's'").first().p95 == 4.0
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_packing_equals_a_fold_of_each_source(spark, seed):
+    from tests.plain_activity import pack_levels
+
+    pick = random.Random(seed)
+    regions, rows = [], []
+    for key in ("a", "b", "c", "bare", "one", "x"):
+        at = pick.randint(0, 50)
+        for _ in range(0 if key in ("bare", "one") else pick.randint(1, 25)):
+            length = pick.choice([1, 3, 8, 20, 20, 75, 200])
+            regions.append((key, at, at + length))
+            at += length + pick.randint(0, 12)
+        times = [5] * 3 if key == "one" else sorted(pick.choices(range(max(at, 300)), k=pick.choice([0, 40, 150])))
+        rows += [(key, t, float(pick.randint(1, 4)) if key != "x" else 1.0) for t in times]
+    r, e = spark.createDataFrame(regions, "k string, start long, end long").repartition(4), spark.createDataFrame(rows, "k string, t long, v double").repartition(3)
+    columns = ["k", "chunk", "start", "end", "n"]
+    got = sorted(tuple(x) for x in activity.pack_levels(r, e, "k", 30, 7, "t", "v").select(columns).collect())
+    assert got == sorted(tuple(x) for x in pack_levels(r, e, "k", 30, 7, "t", "v").select(columns).collect())
+    plain = []
+    for key in sorted({x[0] for x in regions}):
+        out = []
+        for a, z in sorted(x[1:] for x in regions if x[0] == key):
+            if out and z - out[-1][0] <= 30 and out[-1][1] - out[-1][0] <= 30:
+                out[-1] = (out[-1][0], max(out[-1][1], z), out[-1][2] + 1)
+            else:
+                out.append((a, z, 1))
+        plain += [(key, k, *x) for k, x in enumerate(out)]
+    assert sorted(tuple(x) for x in activity.pack_regions(r, "k", 30).select(columns).collect()) == plain
+    assert activity.pack_levels(r.limit(0), e.limit(0), "k", 30, 7, "t", "v").count() == 0
