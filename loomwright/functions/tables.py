@@ -151,35 +151,52 @@ def quantiles(df: DataFrame, column: str, points: list[float]) -> list[float] |
     return [at[int(x) + 1] + (x - int(x)) * (at[min(int(x) + 2, n)] - at[int(x) + 1]) for x in places.values()]
 
 
+#: Of the quantile sketches: ranks are off by at most this part of a group.
+SKETCH = 100_000
+
+
 def group_quantiles(rows: DataFrame, by: list[str], wanted: dict[str, tuple[str, float, bool]]) -> DataFrame:
     """Exact quantiles of each group: ``wanted`` gives for each name (column, point, interpolated or by nearest rank).
 
-    All columns are ranked in one range sort, so neither a group nor its
-    distinct values are held in one task. Null values do not count; groups
-    without values of a column have null there.
+    Sketches of bounded error give two values that hold the wanted ranks
+    between them; a second pass counts what lies under the first and, value
+    by value, what lies between. So no rows are sorted or moved, and of a
+    group only a few in 100,000 of its distinct values meet in one task. Null
+    values do not count; groups without values of a column have null there.
     """
     columns = list(dict.fromkeys(c for c, _, _ in wanted.values()))
     keys = [f"_k{n}" for n in range(len(by))]
-    cells = F.explode(F.array(*(F.struct(F.lit(k).alias("f"), F.col(c).cast("double").alias("v")) for k, c in enumerate(columns)))).alias("c")
-    values = written(rows.select(*(quoted(c).alias(k) for c, k in zip(by, keys, strict=True)), cells).select(*keys, "c.f", "c.v").where("v is not null"))
-    ranks = with_rank(values, [*map(F.col, keys), F.col("f"), F.col("v")], "_r", 0)
-    sizes = ranks.groupBy(*keys, "f").agg(F.min("_r").alias("_lo"), F.count("*").alias("_n"))
-    sizes = sizes.select(*(F.col(k).alias(f"{k}s") for k in keys), F.col("f").alias("_fs"), "_lo", "_n")
-    on = F.col("f") == F.col("_fs")
-    for k in keys:
-        on &= F.col(k).eqNullSafe(F.col(f"{k}s"))
-    place, n = F.col("_r") - F.col("_lo"), F.col("_n")
-    out, needed = [], F.lit(False)
-    for name, (column, point, between) in wanted.items():
-        x = (n - 1) * F.lit(point)
-        low, high = (F.floor(x), F.ceil(x)) if between else (F.greatest(F.ceil(n * F.lit(point)) - 1, F.lit(0)),) * 2
-        mine = F.col("f") == columns.index(column)
-        needed = needed | (mine & ((place == low) | (place == high)))
-        a, b = F.max(F.when(mine & (place == low), F.col("v"))), F.max(F.when(mine & (place == high), F.col("v")))
-        share = F.max(F.when(mine, x - F.floor(x))) if between else F.lit(0.0)
-        out.append((a + (b - a) * share).alias(name))
-    near = ranks.join(sizes, on).where(needed).groupBy(*keys).agg(*out)
-    return near.select(*(F.col(k).alias(c) for c, k in zip(by, keys, strict=True)), *wanted)
+    named = rows.select(*(quoted(c).alias(k) for c, k in zip(by, keys, strict=True)), *(F.col(c).cast("double").alias(f"_v{k}") for k, c in enumerate(columns)))
+    named = named if plain_scan(named) else written(named)
+    off = 4.0 / SKETCH  # a rank, and the error of both sketches
+    sketched = []
+    for j, (c, p, _) in enumerate(wanted.values()):
+        v = F.col(f"_v{columns.index(c)}")
+        near = F.percentile_approx(v, F.array(F.lit(max(0.0, p - off)), F.lit(min(1.0, p + off))), SKETCH)
+        # all values of a small group count, as one rank is more than the error there
+        sketched.append(F.when(F.count(v) <= SKETCH, F.array(F.min(v), F.max(v))).otherwise(near).alias(f"_q{j}"))
+    bounds = written(named.groupBy(*keys).agg(*(F.count(f"_v{k}").alias(f"_n{k}") for k in range(len(columns))), *sketched))
+    parts = []
+    for j, (c, _, _) in enumerate(wanted.values()):
+        v, q = F.col(f"_v{columns.index(c)}"), F.col(f"_q{j}")
+        parts.append(F.when(v <= q[1], F.struct(F.lit(j).alias("j"), F.when(v >= q[0], v).alias("v"))))
+    near = joined_by(named, bounds, keys).select(*keys, F.explode(F.array_compact(F.array(*parts))).alias("c"))
+    counts = near.groupBy(*keys, F.col("c.j").alias("j"), F.col("c.v").alias("v")).agg(F.count("*").alias("m"))
+    upto = F.sum("m").over(Window.partitionBy(*keys, "j").orderBy(F.col("v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0))
+    ranked = joined_by(counts.withColumn("_upto", upto), bounds, keys)
+    out = []
+    for j, (name, (c, point, between)) in enumerate(wanted.items()):
+        n = F.max(f"_n{columns.index(c)}")
+        count = F.col(f"_n{columns.index(c)}")
+        x = (count - 1) * F.lit(point)
+        low, high = (F.floor(x), F.ceil(x)) if between else (F.greatest(F.ceil(count * F.lit(point)) - 1, F.lit(0)),) * 2
+        mine = F.col("j") == j
+        at = lambda place, mine=mine: F.min(F.when(mine & (F.col("_upto") > place) & F.col("v").isNotNull(), F.col("v")))
+        outside = F.max(F.when(mine & F.col("v").isNull(), F.col("_upto") > low)) | (F.max(F.when(mine, F.col("_upto"))) <= F.max(high))
+        value = at(low) + (at(high) - at(low)) * (F.max(x) - F.floor(F.max(x))) if between else at(low)
+        out.append(F.when(n == 0, F.lit(None)).when(F.coalesce(outside, F.lit(False)), F.raise_error(F.lit("a quantile lies outside its sketch")).cast("double")).otherwise(value).alias(name))
+    found = ranked.groupBy(*keys).agg(*out)
+    return joined_by(bounds.select(*keys), found, keys).select(*(F.col(k).alias(c) for c, k in zip(by, keys, strict=True)), *wanted)
 
 
 def joined_by(left: DataFrame, right: DataFrame, by: list[str]) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomwright.functions.levels import dot, unit
-from loomwright.functions.tables import quantiles, with_rank
+from loomwright.functions.tables import group_quantiles, with_rank
 
 MAD_SCALE = 1.4826  # fixed value: MAD of a normal distribution to its deviation
 
@@ -21,6 +21,13 @@ def cosine_scores(rows: DataFrame, embedding: str = "embedding") -> DataFrame:
     return units.withColumn("similarity", dot(F.col("_unit"), centroid)).drop("_unit")
 
 
+def _middle(values: DataFrame) -> tuple[int, float | None]:
+    """(count, exact median) of ``v``."""
+    one = values.withColumn("all", F.lit(1))
+    found = one.groupBy("all").agg(F.count("v").alias("n")).join(group_quantiles(one, ["all"], {"m": ("v", 0.5, True)}), "all").first()
+    return (found["n"], found["m"]) if found else (0, None)
+
+
 def prune_outliers(scored: DataFrame, order: Column, multiplier: float = 3.0, ratio: float = 0.1, fewest: int = 8) -> DataFrame:
     """``rank_lowest_first, threshold, median, mad, pruned, reason`` beside each score.
 
@@ -28,14 +35,12 @@ def prune_outliers(scored: DataFrame, order: Column, multiplier: float = 3.0, ra
     first, up to max(1, floor(rows * ratio)); none with a ratio of 0 or
     fewer than ``fewest`` rows.
     """
-    ranked = with_rank(scored, [F.col("similarity"), order], "rank_lowest_first")  # one sort gives the ranks and the median
-    n = ranked.count()
+    ranked = with_rank(scored, [F.col("similarity"), order], "rank_lowest_first")
+    n, median = _middle(ranked.select(F.col("similarity").alias("v")))
     if not n:
         empty = scored.withColumn("rank_lowest_first", F.lit(0).cast("long"))
         return empty.withColumns({c: F.lit(0.0) for c in ("threshold", "median", "mad")} | {"pruned": F.lit(False), "reason": F.lit("")})
-    middle = [r[0] for r in ranked.where(F.col("rank_lowest_first").isin((n + 1) // 2, n // 2 + 1)).select("similarity").collect()]
-    median = (min(middle) + max(middle)) / 2
-    mad = quantiles(ranked.select(F.abs(F.col("similarity") - median).alias("d")), "d", [0.5])[0]
+    _, mad = _middle(ranked.select(F.abs(F.col("similarity") - median).alias("v")))
     threshold = median - multiplier * MAD_SCALE * mad
     most = min(n, max(1, int(n * ratio)) if ratio > 0 else 0) if n >= fewest else 0
     pruned = (F.col("similarity") < threshold) & (F.col("rank_lowest_first") <= most)

@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomwright.functions.tables import with_rank, written
+from loomwright.functions.tables import group_quantiles, written
 
 # Z scale of a MAD, weights of the positive edge scores, centre of their likelihood, ceiling of a target.
 Z_SCALE = 0.67448975
@@ -59,26 +59,18 @@ def prune_reasons(level: Column, headroom: Column, active: Column, dynamic: Colu
     )
 
 
-def _medians(values: DataFrame, by: str) -> DataFrame:
-    """Exact median of ``v`` for each (by, f) of rows (by, f, v): global ranks, of which the middle ones are picked."""
-    ranks = with_rank(values, [F.col(by), F.col("f"), F.col("v")], "_r")
-    sizes = ranks.groupBy(by, "f").agg(F.min("_r").alias("_lo"), F.count("*").alias("_n"), F.stddev_pop("v").alias("std"))
-    place = F.col("_r") - F.col("_lo")
-    middle = ranks.join(sizes, [by, "f"]).where((place == F.floor((F.col("_n") - 1) / 2)) | (place == F.floor(F.col("_n") / 2)))
-    return middle.groupBy(by, "f").agg(((F.min("v") + F.max("v")) / 2).alias("med"), F.first("std").alias("std"))
-
-
 def robust_z(rows: DataFrame, by: str, features: list[str]) -> DataFrame:
     """``z_<feature>``: distance to the group's median in MADs, or in population deviations where the MAD vanishes.
 
-    All features are ranked in one range sort and their deviations in a
-    second, so no group is held in one task.
+    Medians are exact (``group_quantiles``), and no group is held in one
+    task.
     """
     cells = F.explode(F.array(*(F.struct(F.lit(k).alias("f"), F.col(f).cast("double").alias("v")) for k, f in enumerate(features)))).alias("c")
     values = written(rows.where(F.col(by).isNotNull()).select(by, cells).select(by, "c.f", "c.v").where("v is not null"))
-    medians = written(_medians(values, by))
+    medians = group_quantiles(values, [by, "f"], {"med": ("v", 0.5, True)})
+    medians = written(medians.join(values.groupBy(by, "f").agg(F.stddev_pop("v").alias("std")), [by, "f"]))
     far = values.join(medians, [by, "f"]).select(by, "f", F.abs(F.col("v") - F.col("med")).alias("v"))
-    spread = _medians(far, by).select(by, "f", F.col("med").alias("mad"))
+    spread = group_quantiles(far, [by, "f"], {"mad": ("v", 0.5, True)})
     scale = F.when(F.col("mad") >= 1e-9, F.col("mad") / Z_SCALE).when(F.col("std") > 1e-9, F.col("std")).otherwise(1.0)
     wide = medians.join(spread, [by, "f"]).withColumn("scale", scale).groupBy(by).agg(F.map_from_entries(F.collect_list(F.struct("f", F.struct("med", "scale")))).alias("_m"))
     out = rows.join(written(wide), by)
