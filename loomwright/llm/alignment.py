@@ -33,8 +33,8 @@ from loomwright.llm.common import materialise
 from loomwright.llm.piece_codec import vocabulary
 from loomwright.llm.token_counts import Counter
 
-SLICE = 4 << 20
-_CACHE_UNITS = 500_000
+SLICE = 2 << 20
+_CACHE_UNITS = 300_000  # of each vocabulary
 #: Bits of the second id in the number of a pair.
 _ID_BITS = 31
 _CODEC = "zstd"
@@ -52,6 +52,7 @@ class PlainCounter(Counter):
 
     def __init__(self, path: str):
         super().__init__(path)
+        self.cache = UnitCache(_CACHE_UNITS)
         self.tokenizer.encode_special_tokens = True
         letters = byte_letters()
         entries = {i: t for t, i in self.tokenizer.get_vocab(with_added_tokens=True).items()}
