@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomwright.functions.levels import dot, unit
-from loomwright.functions.tables import group_quantiles, with_rank
+from loomwright.functions.tables import group_quantiles, with_rank, written
 
 MAD_SCALE = 1.4826  # fixed value: MAD of a normal distribution to its deviation
 
@@ -35,7 +35,8 @@ def prune_outliers(scored: DataFrame, order: Column, multiplier: float = 3.0, ra
     first, up to max(1, floor(rows * ratio)); none with a ratio of 0 or
     fewer than ``fewest`` rows.
     """
-    ranked = with_rank(scored, [F.col("similarity"), order], "rank_lowest_first")
+    # written first: the range sort reads its input twice, and scores are dear
+    ranked = with_rank(written(scored), [F.col("similarity"), order], "rank_lowest_first")
     n, median = _middle(ranked.select(F.col("similarity").alias("v")))
     if not n:
         empty = scored.withColumn("rank_lowest_first", F.lit(0).cast("long"))
