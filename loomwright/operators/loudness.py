@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from loomwright.operators.signal import per_file
 from loomwright.operators.volume import integrated_loudness
-from loomwright.sources.audio import decode_wav, encode_wav
+from loomwright.sources.audio import decode, encode_wav
 
 # Fixed value: the least amplitude that levels are taken of.
 LEAST = 1e-12
@@ -89,7 +89,7 @@ def normalise_files(files: DataFrame, decided: DataFrame, margin: float = 1.0) -
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for stem, content, gain in zip(batch["stem"], batch["content"], batch["needed_gain_db"], strict=True):
-                signal, rate = decode_wav(content)
+                signal, rate = decode(content)
                 out, applied, held = limited(signal, gain, margin)
                 yield pd.DataFrame([(stem, encode_wav(out, rate), gain, applied, held)], columns=["stem", "content", "requested_gain_db", "applied_gain_db", "peak_limited"])
 

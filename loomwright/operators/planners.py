@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from loomwright.functions.pointers import followed, sorted_groups
 from loomwright.functions.tables import written
 from loomwright.operators.pauses import combined_quantiles
-from loomwright.sources.audio import decode_wav, trim
+from loomwright.sources.audio import decode, trim
 
 # Fixed values of the rules, in seconds and milliseconds.
 PADDING_SEC = 0.1
@@ -373,7 +373,7 @@ def region_audio(rows: DataFrame, audio: DataFrame, source: str) -> DataFrame:
     def cut(spans: pa.Table, files: pa.Table) -> pa.Table:
         out: list[list] = [[] for _ in names]
         if files.num_rows and spans.num_rows:
-            signal, rate = decode_wav(files["content"][0].as_py())
+            signal, rate = decode(files["content"][0].as_py())
             signal = signal.astype(np.float32)
             most = most_trimmed(signal, rate)
             for k, (region, a, z) in enumerate(zip(*(spans[c].to_pylist() for c in ("region", "a", "z")), strict=True)):

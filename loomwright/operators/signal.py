@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from loomwright.operators.volume import EDGE_CENTRE, edge_score, restored, robust_z, target_level
 from loomwright.sources import audio as sound
-from loomwright.sources.audio import decode_wav, encode_wav, frame_rms, resample, trim
+from loomwright.sources.audio import decode, encode_wav, frame_rms, resample, trim
 
 EPS = 1e-8
 
@@ -234,7 +234,7 @@ def per_file(files: DataFrame, schema: str, work: Callable[..., list[tuple]], ra
             lists = [()] * len(batch) if alone else [(own,) for own in batch["own"]]
             for stem, content, own in zip(batch["stem"], batch["content"], lists, strict=True):
                 try:
-                    signal, have = decode_wav(content)
+                    signal, have = decode(content)
                 except Exception as e:  # noqa: BLE001  whatever a broken file raises
                     yield pd.DataFrame([(stem, *(None for _ in names), f"{type(e).__name__}: {e}")], columns=shown)
                     continue
@@ -342,13 +342,31 @@ def restored_files(files: DataFrame, outputs: DataFrame, mode: str, target_dbfs:
     """``stem, content, gain, reason, problem``: a model's outputs (stem, wav) at the level of their sources (``rms``, ``peak``, ``rms-peak``), at a target (``target-rms``, ``target-peak``) or as they are (``none``)."""
 
     def work(x: np.ndarray, r: int, own: list) -> list[tuple]:
-        y, rate = decode_wav(own[0]["wav"])
+        y, rate = decode(own[0]["wav"])
         z, gain, why = restored(y, x, mode, target_dbfs)
         return [(encode_wav(z, rate), gain, why)]
 
     return per_file(files, "content binary, gain double, reason string", work, beside=_own(outputs, "wav"))
 
 
+def separated_files(files: DataFrame, factory: Callable[[], Callable[[np.ndarray, int], list[np.ndarray]]], rate: int) -> DataFrame:
+    """``stem, speaker, n_speakers, wav, problem``: the voices that a separator finds in each file, ready for ``sources.files.enhanced_files``.
+
+    ``factory`` makes the model, once a task; it takes a signal at ``rate`` and
+    gives one signal for each voice. Voices come back at the file's own rate
+    and, but for what a model adds or leaves, at its length.
+    """
+    made: list = []
+
+    def work(x: np.ndarray, r: int) -> list[tuple]:
+        if not made:
+            made.append(factory())
+        voices = made[0](resample(x, r, rate), rate)
+        return [(k, len(voices), encode_wav(resample(v, rate, r), r)) for k, v in enumerate(voices, 1)]
+
+    return per_file(files, "speaker long, n_speakers long, wav binary", work)
+
+
 def edges_of_files(files: DataFrame) -> DataFrame:
     return per_file(files, "side string, edge_rms double, edge_peak double, boundary double, sustain double, crossings double", edge_features)
 

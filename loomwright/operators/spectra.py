@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomwright.sources.audio import decode_wav, encode_wav, resample
+from loomwright.sources.audio import decode, encode_wav, resample
 
 PROBLEM = "problem string"
 
@@ -35,7 +35,7 @@ def signal_windows(files: DataFrame, rate: int, window: float = 4.0, stride: flo
         for batch in batches:
             for stem, content in zip(batch["stem"], batch["content"], strict=True):
                 try:
-                    signal, own = decode_wav(content)
+                    signal, own = decode(content)
                 except Exception as e:  # noqa: BLE001  whatever a broken file raises
                     yield pd.DataFrame([(stem, None, None, None, None, None, f"{type(e).__name__}: {e}")], columns=columns)
                     continue
@@ -150,7 +150,7 @@ def fbank_frames(files: DataFrame, rate: int = 16_000, bands: int = 80, frame_ms
         for batch in batches:
             for stem, content in zip(batch["stem"].to_pylist(), batch["content"].to_pylist(), strict=True):
                 try:
-                    signal, own = decode_wav(content)
+                    signal, own = decode(content)
                 except Exception as e:  # noqa: BLE001  whatever a broken file raises
                     none = (pa.nulls(1, t) for t in (pa.int64(), pa.float64(), pa.list_(pa.float32())))
                     yield pa.RecordBatch.from_arrays([pa.array([stem]), *none, pa.array([f"{type(e).__name__}: {e}"])], names)

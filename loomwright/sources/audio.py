@@ -61,6 +61,45 @@ def decode_wav(content: bytes) -> tuple[np.ndarray, int]:
     return x.reshape(-1, channels).mean(1).astype(np.float32), rate
 
 
+#: Format tags of a RIFF file, and where an extensible format keeps its own tag.
+IEEE_FLOAT, EXTENSIBLE, OWN_TAG = 3, 0xFFFE, 24
+
+
+def _float_wav(content: bytes) -> tuple[np.ndarray, int] | None:
+    """Mono signal and rate of a WAV of 32- or 64-bit floats; None for any other file."""
+    if content[:4] != b"RIFF" or content[8:12] != b"WAVE":
+        return None
+    at, shape = 12, None
+    while at + 8 <= len(content):
+        name, size, body = content[at : at + 4], struct.unpack_from("<I", content, at + 4)[0], at + 8
+        if name == b"fmt ":
+            tag, channels, rate, _, _, bits = struct.unpack_from("<HHIIHH", content, body)
+            if tag == EXTENSIBLE and size > OWN_TAG + 1:
+                tag = struct.unpack_from("<H", content, body + OWN_TAG)[0]
+            if tag != IEEE_FLOAT or bits not in (32, 64):
+                return None
+            shape = channels, rate, bits // 8
+        elif name == b"data" and shape:
+            channels, rate, width = shape
+            n = min(size, len(content) - body) // (width * channels) * channels
+            return np.frombuffer(content, f"<f{width}", n, body).reshape(-1, channels).mean(1).astype(np.float32), rate
+        at = body + size + (size & 1)
+    return None
+
+
+def decode(content: bytes) -> tuple[np.ndarray, int]:
+    """Mono float32 signal and sample rate of a WAV of integers or floats; other formats by soundfile where it is installed, else an error that says so."""
+    content = bytes(content)
+    if content[:4] == b"RIFF":
+        return _float_wav(content) or decode_wav(content)
+    try:
+        import soundfile
+    except ImportError:
+        raise ValueError("no WAV, and soundfile is not installed") from None
+    signal, rate = soundfile.read(io.BytesIO(content), dtype="float32", always_2d=True)
+    return signal.mean(1), rate
+
+
 def encode_wav(signal: np.ndarray, rate: int) -> bytes:
     """16-bit PCM mono."""
     out = io.BytesIO()
@@ -135,11 +174,11 @@ def frames(files: DataFrame, rate: int = 16_000, frame_ms: float = 20.0, hop_ms:
         for batch in batches:
             for stem, content in zip(batch["stem"], batch["content"], strict=True):
                 try:
-                    signal, own = decode_wav(content)
+                    signal, own = decode(content)
                     duration = len(signal) / own
                     level, centre = frame_rms(resample(signal, own, rate), rate, frame_ms, hop_ms)
                     yield pd.DataFrame({"stem": stem, "idx": np.arange(len(level)), "center_sec": centre, "rms": level, "duration_sec": duration, "problem": None})
-                except (wave.Error, EOFError, struct.error, ValueError) as e:
+                except (wave.Error, EOFError, struct.error, ValueError, RuntimeError) as e:
                     yield pd.DataFrame({"stem": [stem], "idx": [None], "center_sec": [None], "rms": [None], "duration_sec": [None], "problem": [f"read_error: {e}"]})
 
     return files.select("stem", "content").mapInPandas(run, "stem string, idx long, center_sec double, rms double, duration_sec double, problem string")
