@@ -2,7 +2,8 @@
 
 A text sounds as one sample a character at 1000 Hz: letters and digits by
 their code points, blanks and most punctuation as silence. Samples are whole
-16-bit numbers, so that SQL knows them exactly.
+16-bit numbers, so that SQL knows them exactly. Where pauses matter, a line
+feed is three seconds of silence, and so are both ends.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomwright.functions.tables import shared_dir, with_rank
+from loomwright.functions.tables import shared_dir, with_rank, written
 from loomwright.operators import signal
 from loomwright.plans.catalogue import query, rounded, table
 from loomwright.sources import audio, files, manifests
@@ -23,6 +24,8 @@ from loomwright.sources import audio, files, manifests
 RATE = 1000
 #: Bytes of files that a task hands on at once.
 MOST_BYTES = 1 << 24
+#: Silent samples of a line feed and of both ends in paused recordings.
+PAUSE = 3000
 
 _SAMPLES = """c AS (SELECT {ident}, unnest(string_split({text}, '')) AS ch, unnest(range(length({text}))) AS p, length({text}) AS n FROM {table} WHERE length({text}) > 0),
   s AS (SELECT {ident}, p, n, CASE WHEN unicode(ch) < 48 THEN 0 ELSE (unicode(ch)::BIGINT * 37 % 101 - 50) * 256 END AS v FROM c)"""
@@ -30,16 +33,26 @@ _OF_DOCUMENTS = _SAMPLES.format(ident="doc_id", text="text", table="documents")
 _OF_PAGES = _SAMPLES.format(ident="page_id", text="html", table="pages")
 
 
-def recorded(rows: DataFrame, ident: str, text: str) -> DataFrame:
-    """``stem, content``: each text as a WAV file, named by its id. A null text is an empty recording."""
+def samples(text: str, paused: bool) -> np.ndarray:
+    code = np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.int64)
+    value = np.where(code < 48, 0, (code * 37 % 101 - 50) * 256)
+    if not paused:
+        return value
+    width = np.where(code == ord("\n"), PAUSE, 1)
+    out = np.zeros(2 * PAUSE + int(width.sum()), np.int64)
+    out[PAUSE + np.cumsum(width) - width] = value
+    return out
+
+
+def recorded(rows: DataFrame, ident: str, text: str, paused: bool = False) -> DataFrame:
+    """``stem, content``: each text as a WAV file, named by its id. A null text is an empty one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             stems, wavs, held = [], [], 0
             for stem, t in zip(batch.column("stem").to_pylist(), batch.column("t"), strict=True):
-                code = np.frombuffer((t.as_py() or "").encode("utf-32-le"), "<u4").astype(np.int64)
                 stems.append(stem)
-                wavs.append(audio.encode_wav(np.where(code < 48, 0, (code * 37 % 101 - 50) * 256) / 32767, RATE))
+                wavs.append(audio.encode_wav(samples(t.as_py() or "", paused) / 32767, RATE))
                 held += len(wavs[-1])
                 if held >= MOST_BYTES:
                     yield pa.record_batch([pa.array(stems, pa.string()), pa.array(wavs, pa.binary())], ["stem", "content"])
@@ -49,8 +62,8 @@ def recorded(rows: DataFrame, ident: str, text: str) -> DataFrame:
     return rows.select(F.col(ident).cast("string").alias("stem"), F.col(text).alias("t")).mapInArrow(run, "stem string, content binary")
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return recorded(table(spark, sf_dir, "documents"), "doc_id", "text")
+def documents(spark: SparkSession, sf_dir: str, paused: bool = False) -> DataFrame:
+    return recorded(table(spark, sf_dir, "documents"), "doc_id", "text", paused)
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
@@ -108,6 +121,73 @@ def abrupt_edges(spark, sf_dir):
     return signal.abrupt_edges(documents(spark, sf_dir)).select(_doc(), "side", *rounded("score", "likelihood"))
 
 
+# Frames of 2048 samples about every 512th, their power, and speech regions from them.
+_FRAMES = f"""{_OF_DOCUMENTS},
+  a AS (SELECT doc_id, v, {PAUSE} + sum(CASE WHEN ch = chr(10) THEN {PAUSE} ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY p) - 1 AS pos FROM c JOIN s USING (doc_id, p) QUALIFY v <> 0),
+  h AS (SELECT doc_id, coalesce(length(text) + {PAUSE - 1} * (length(text) - length(replace(text, chr(10), ''))), 0) + {2 * PAUSE} AS n FROM documents),
+  e AS (SELECT doc_id, k, sum(v * v) AS e FROM (SELECT doc_id, v, unnest(range(((pos - 1024) // 512 + 1)::BIGINT, ((pos + 1024) // 512 + 1)::BIGINT)) AS k FROM a) GROUP BY ALL),
+  f AS (SELECT doc_id, n, unnest(range(1 + n // 512)) AS k FROM h),
+  x AS (SELECT doc_id, n, k, greatest(coalesce(e, 0) / 2048.0 / (32768.0::DOUBLE * 32768), 1e-10) AS power FROM f LEFT JOIN e USING (doc_id, k)),
+  y AS (SELECT doc_id, n, k, 10 * log10(power / max(power) OVER (PARTITION BY doc_id)) AS db FROM x)"""
+_SPEECH = f"""{_FRAMES},
+  i AS (SELECT doc_id, n, k, k - row_number() OVER (PARTITION BY doc_id ORDER BY k) AS i FROM y WHERE db > -30),
+  j AS (SELECT doc_id, greatest(0, min(k) * 512 - 200) AS b, least(n, least((max(k) + 1) * 512, n) + 200) AS z FROM i GROUP BY doc_id, n, i),
+  o AS (SELECT *, coalesce((b - lag(z) OVER (PARTITION BY doc_id ORDER BY b) >= 300)::INT, 1) AS new FROM j WHERE z - b >= 250),
+  u AS (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY b) AS region FROM o),
+  w AS (SELECT doc_id, min(b) AS b, max(z) AS z FROM u GROUP BY doc_id, region)"""
+
+
+@query(f"WITH {_SPEECH} SELECT doc_id, b AS start, z AS end FROM w")
+def recording_speech(spark, sf_dir):
+    return signal.speech_files(documents(spark, sf_dir, True), RATE).select(_doc(), "start", "end")
+
+
+@query(f"""WITH {_FRAMES},
+  t AS (SELECT doc_id, n, min(k) FILTER (db > -60) * 512 AS b, least(n, (max(k) FILTER (db > -60) + 1) * 512) AS z, max(power) FROM x JOIN y USING (doc_id, n, k) GROUP BY doc_id, n HAVING max(power) > 1e-10)
+  SELECT doc_id, round(greatest(0, b / 1000 - 0.2), 4) AS cut_start_sec, round(least(n / 1000, z / 1000 + 0.2), 4) AS cut_end_sec, NULL AS problem FROM t
+  UNION ALL SELECT doc_id, 0, n / 1000, 'trim_empty' FROM h WHERE doc_id NOT IN (SELECT doc_id FROM t)""")
+def recording_trims(spark, sf_dir):
+    """Whole recordings as one rough segment each, without their silent ends."""
+    docs = table(spark, sf_dir, "documents").withColumn("text", F.coalesce("text", F.lit("")))
+    n = F.length("text") + (PAUSE - 1) * (F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))) + 2 * PAUSE
+    rough = docs.select(F.col("doc_id").cast("string").alias("stem"), F.lit(0).cast("long").alias("segment_index"), F.lit(0.0).alias("start_sec"), (n / RATE).alias("end_sec"))
+    return signal.trim_segments(documents(spark, sf_dir, True), rough).select(_doc(), *rounded("cut_start_sec", "cut_end_sec"), "problem")
+
+
+_LEVELS = f"""{_SPEECH},
+  q AS (SELECT doc_id, sum(z - b) AS n FROM w GROUP BY doc_id),
+  v AS (SELECT doc_id, sum(v * v) AS e FROM a JOIN w USING (doc_id) WHERE pos >= b AND pos < z GROUP BY doc_id),
+  g AS (SELECT doc_id, n / 1000 AS speech_sec, 10 * log10(e / n / (32768.0::DOUBLE * 32768)) AS speech_dbfs, 20 * log10(top / 32768) AS peak_dbfs
+    FROM q JOIN v USING (doc_id) JOIN (SELECT doc_id, max(abs(v)) AS top FROM a GROUP BY doc_id) USING (doc_id)),
+  d AS (SELECT *, speech_dbfs - 1 - peak_dbfs AS safe_dbfs FROM g)"""
+
+
+@query(f"WITH {_LEVELS} SELECT doc_id, round(speech_sec, 4) AS speech_sec, round(speech_dbfs, 4) AS speech_dbfs, round(peak_dbfs, 4) AS peak_dbfs, round(safe_dbfs, 4) AS safe_dbfs FROM d")
+def speech_levels(spark, sf_dir):
+    return signal.speech_levels(documents(spark, sf_dir, True), RATE).select(_doc(), *rounded("speech_sec", "speech_dbfs", "peak_dbfs", "safe_dbfs"))
+
+
+@query(f"""WITH {_LEVELS},
+  k AS (SELECT speech_dbfs, sum(sum(speech_sec)) OVER (ORDER BY speech_dbfs) AS upto, sum(sum(speech_sec)) OVER () AS total FROM d GROUP BY speech_dbfs)
+  SELECT round(least((SELECT min(speech_dbfs) FROM k WHERE upto >= total / 2), (SELECT min(safe_dbfs) FROM d), -1), 4) AS target""")
+def library_target(spark, sf_dir):
+    """The level that all recordings can be brought to: the weighted median of their speech, under every one's safe level."""
+    return signal.library_target(written(signal.speech_levels(documents(spark, sf_dir, True), RATE))).select(*rounded("target"))
+
+
+@query(f"""WITH {_OF_DOCUMENTS},
+  a AS (SELECT doc_id, sqrt(avg(v * v)) / 32768 AS rms FROM s GROUP BY doc_id),
+  b AS (SELECT doc_id, pow(10, -25 / 20.0) / rms AS factor FROM a WHERE rms > 1e-8),
+  k AS (SELECT doc_id, p // 100 AS k, sqrt(avg(v * v)) / 32768 AS r FROM s GROUP BY ALL),
+  f AS (SELECT doc_id, factor, r * factor AS r, avg(r * factor) OVER (PARTITION BY doc_id) AS middle FROM k JOIN b USING (doc_id)),
+  g AS (SELECT doc_id, any_value(factor) AS factor, sqrt(avg(r * r) FILTER (r > middle)) AS loud FROM f GROUP BY doc_id)
+  SELECT doc_id, n_samples, round(coalesce(1 / (factor * coalesce(pow(10, -25 / 20.0) / loud, 1)), 1), 4) AS undo FROM (SELECT doc_id, coalesce(length(text), 0) AS n_samples FROM documents) LEFT JOIN g USING (doc_id)""")
+def levelled_recordings(spark, sf_dir):
+    """Recordings at the level of their loud pieces, and the factor that takes it back."""
+    found = signal.level_files(documents(spark, sf_dir))
+    return found.select(_doc(), (F.length("samples") / 4).cast("long").alias("n_samples"), *rounded("undo"))
+
+
 def halved():
     """A stand-in for a separator: one voice, at half of the level."""
     return lambda x, rate: [x * np.float32(0.5)]
