@@ -75,7 +75,7 @@ def decide(measured: DataFrame, target: float, most_gain: float = 12.0, margin:
 
 def limited(signal: np.ndarray, gain_db: float, margin: float = 1.0) -> tuple[np.ndarray, float, bool]:
     """(signal with the gain, the gain that was given in dB, was it held back): the peak stays ``margin`` dB under full scale."""
-    out, most = signal * 10 ** (gain_db / 20), 10 ** (-margin / 20)
+    out, most = signal.astype(np.float64) * 10 ** (gain_db / 20), 10 ** (-margin / 20)
     peak = float(np.max(np.abs(out))) if len(out) else 0.0
     if peak <= most:
         return out.astype(np.float32), gain_db, False
