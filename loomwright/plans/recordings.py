@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomwright.functions.tables import shared_dir, with_rank, written
-from loomwright.operators import signal
+from loomwright.operators import models, reports, signal
 from loomwright.plans.catalogue import query, rounded, table
 from loomwright.sources import audio, files, manifests
 
@@ -216,6 +216,17 @@ def gain_modes(spark, sf_dir):
     return out
 
 
+@query("""WITH t AS (SELECT doc_id, coalesce(length(text), 0) AS n, floor(coalesce(length(text), 0) / 1000 * 4)::BIGINT AS m FROM documents)
+  SELECT doc_id, array_to_string(list_transform(range(m), lambda k: chr((97 + k % 26)::INT)), '') AS heard, m AS n_times, round(CASE WHEN m > 0 THEN n / 1000 * (m - 1) / m END, 10) AS last_sec FROM t""")
+def transcribed_recordings(spark, sf_dir):
+    """Recordings through a recogniser and an aligner (stand-ins), in batches of like length, four tasks at once. Ten decimals: times of 1/8 or 1/64 of a length lie between four."""
+    heard = signal.level_files(documents(spark, sf_dir)).withColumn("n", F.length("samples"))
+    texts = models.apply_model(heard.select("stem", "samples", "rate", "n"), ["samples", "rate"], "heard", "string", "transcriber", models.fixed_rate_transcriber, order="n", at_once=4)
+    timed = texts.select("stem", "heard", (F.col("n") / 4 / F.col("rate")).alias("sec"))
+    times = models.apply_model(timed, ["heard", "sec"], "times", "array<double>", "aligner", models.even_aligner)
+    return times.select(_doc(), "heard", F.size("times").cast("long").alias("n_times"), F.round(F.try_element_at("times", F.lit(-1)), 10).alias("last_sec"))
+
+
 # -- files ---------------------------------------------------------------
 
 
@@ -282,3 +293,22 @@ def manifest_table(spark, sf_dir):
     )
     manifests.write_tsv(rows, path, ["audio_relpath", "duration_sec", "sample_rate", "source_path"], ["c_custkey"])
     return manifests.read_tsv(spark, path, "audio_relpath string, duration_sec string, sample_rate int, source_path string")
+
+
+@query("""WITH d AS (SELECT doc_id, length(text) AS n, (length(text) + 999) // 1000 AS c FROM documents WHERE length(text) > 0),
+  k AS (SELECT doc_id, n, c, unnest(range(c)) AS k FROM d)
+  SELECT doc_id || '.wav' AS source_path, doc_id || CASE WHEN c = 1 THEN '' ELSE '_part' || lpad((k + 1)::VARCHAR, 3, '0') END || '.wav' AS output_path, k AS part_index, c AS part_count, printf('%.3f', k::DOUBLE) AS start_sec,
+    printf('%.3f', least(k + 1, n / 1000)) AS end_sec, printf('%.3f', least(k + 1, n / 1000) - k) AS duration_sec, CASE WHEN k = c - 1 THEN 'final' ELSE 'fixed' END AS cut_method, '0.000' AS silence_sec FROM k""")
+def part_mapping(spark, sf_dir):
+    """Every document in parts of a second: the mapping of their files, written as CSV and read back."""
+    docs = table(spark, sf_dir, "documents").where(F.length("text") > 0)
+    n = F.length("text")
+    count = F.ceil(n / 1000)
+    k = F.col("part_index")
+    each = docs.select(F.col("doc_id").cast("string").alias("stem"), n.alias("n"), count.alias("part_count"), F.explode(F.sequence(F.lit(0).cast("long"), count - 1)).alias("part_index"))
+    last = k == F.col("part_count") - 1
+    parts = each.withColumns({"start_sec": k.cast("double"), "end_sec": F.least((k + 1).cast("double"), F.col("n") / 1000), "cut_method": F.when(~last, F.lit("fixed")), "silence_sec": F.lit(0.0)})
+    path = new_folder(spark, "mapping")
+    reports.write_mapping(reports.part_mapping(parts.withColumns({"source_path": F.concat("stem", F.lit(".wav")), "output_path": files.part_name()})), path)
+    text = "source_path string, output_path string, part_index long, part_count long, start_sec string, end_sec string, duration_sec string, cut_method string, silence_sec string"
+    return spark.read.option("header", True).schema(text).csv(path)

@@ -147,11 +147,15 @@ def trace_files(traces: DataFrame) -> DataFrame:
     return grouped.select(F.concat_ws("/", source, F.lit("traces"), F.concat("phase", F.lit(".json"))).alias("path"), _utf8(text).alias("content"))
 
 
-def part_files(parts: DataFrame) -> DataFrame:
-    """``path, content`` of the parts of long files (stem, part_index, part_count, wav): the stem alone where there is one part."""
+def part_name() -> Column:
+    """The file name of a part (stem, part_index, part_count): the stem alone where there is one part."""
     number = F.lpad((F.col("part_index") + 1).cast("string"), 3, "0")
-    name = F.when(F.col("part_count") == 1, F.col("stem")).otherwise(F.concat("stem", F.lit("_part"), number))
-    return parts.select(F.concat(name, F.lit(".wav")).alias("path"), F.col("wav").alias("content"))
+    return F.concat(F.when(F.col("part_count") == 1, F.col("stem")).otherwise(F.concat("stem", F.lit("_part"), number)), F.lit(".wav"))
+
+
+def part_files(parts: DataFrame) -> DataFrame:
+    """``path, content`` of the parts of long files (stem, part_index, part_count, wav), named by :func:`part_name`."""
+    return parts.select(part_name().alias("path"), F.col("wav").alias("content"))
 
 
 def enhanced_files(outputs: DataFrame) -> DataFrame:
