@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomwright.functions.tables import written
+from loomwright.functions.tables import sorted_sides, written
 
 BLOCK = 4096
 
@@ -72,14 +72,14 @@ def followed(rows: DataFrame, key: str, here: str, next_: str, block: int = BLOC
     jumps = table.where("exit is not null").select(F.col("k").alias("jk"), F.col("here").alias("from"), F.col("exit").alias("to"))
     while True:
         on = F.col("k").eqNullSafe(F.col("jk")) & (F.col("here") == F.col("from"))
-        more = written(entered.join(jumps, on).select("k", F.col("to").alias("here")))
+        more = written(entered.join(sorted_sides(jumps), on).select("k", F.col("to").alias("here")))
         if more.isEmpty():
             break
         entered = entered.union(more)
         again = jumps.select(F.col("jk").alias("k2"), F.col("from").alias("from2"), F.col("to").alias("to2"))
-        jumps = written(jumps.join(again, F.col("jk").eqNullSafe(F.col("k2")) & (F.col("to") == F.col("from2"))).select("jk", "from", F.col("to2").alias("to")))
+        jumps = written(jumps.join(sorted_sides(again), F.col("jk").eqNullSafe(F.col("k2")) & (F.col("to") == F.col("from2"))).select("jk", "from", F.col("to2").alias("to")))
     entry = entered.select(F.col("k").alias("ek"), F.floor(F.col("here") / block).cast("long").alias("eb"), F.col("here").alias("entry"))
-    marked = table.drop("exit", "first").join(entry, F.col("k").eqNullSafe(F.col("ek")) & (F.col("block") == F.col("eb"))).drop("ek", "eb")
+    marked = table.drop("exit", "first").join(sorted_sides(entry), F.col("k").eqNullSafe(F.col("ek")) & (F.col("block") == F.col("eb"))).drop("ek", "eb")
     marked = marked.withColumn("first", F.row_number().over(by) == 1)
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -199,6 +199,16 @@ def group_quantiles(rows: DataFrame, by: list[str], wanted: dict[str, tuple[str,
     return joined_by(bounds.select(*keys), found, keys).select(*(F.col(k).alias(c) for c, k in zip(by, keys, strict=True)), *wanted)
 
 
+def sorted_sides(df: DataFrame) -> DataFrame:
+    """``df`` for joins that sort and merge both sides.
+
+    Without column statistics Spark judges a table by the bytes of its
+    compressed files, which a row for each character or frame exceeds many
+    times over; it would be broadcast from the driver's memory.
+    """
+    return df.hint("merge")
+
+
 def joined_by(left: DataFrame, right: DataFrame, by: list[str]) -> DataFrame:
     """Left join on columns of the same names; nulls are equal."""
     names = {c: f"_j{n}" for n, c in enumerate(by)}

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomwright.functions.pointers import followed
-from loomwright.functions.tables import written
+from loomwright.functions.tables import sorted_sides, written
 from loomwright.operators.activity import adaptive_threshold
 
 
@@ -43,8 +43,8 @@ def next_cuts(rows: DataFrame, key: str, idx: str, level: str, quiet: str, low:
     first = ends.select(F.col("k").alias("k1"), F.col("i").alias("i1"), "rest")
     last = ends.select(F.col("k").alias("k2"), F.col("i").alias("i2"), "head")
     over = whole.select(F.col("k").alias("k3"), F.col("block").alias("b3"), F.col("last").alias("last3"), F.col("least").alias("least3"))
-    found = asked.join(first, _same("qk", "k1") & (F.col("a") == F.col("i1")), "left").join(last, _same("qk", "k2") & (F.col("z") == F.col("i2")), "left")
-    found = found.join(over, _same("qk", "k3") & (F.col("bz") == F.col("b3")), "left")
+    found = asked.join(sorted_sides(first), _same("qk", "k1") & (F.col("a") == F.col("i1")), "left").join(sorted_sides(last), _same("qk", "k2") & (F.col("z") == F.col("i2")), "left")
+    found = found.join(sorted_sides(over), _same("qk", "k3") & (F.col("bz") == F.col("b3")), "left")
     tail = F.coalesce("head", F.when(F.col("last3") < F.col("z"), F.col("least3")))
     # a window that is one block whole has its end alone
     least = F.when(F.col("ba") == F.col("bz"), F.col("rest")).otherwise(F.least("rest", tail))
@@ -58,7 +58,7 @@ def next_cuts(rows: DataFrame, key: str, idx: str, level: str, quiet: str, low:
     near = near.withColumn("b", inside("b")).withColumn("n", inside("n"))
     later = F.col("n").isNotNull() & (F.col("b").isNull() | (2 * F.col("n") - F.col("at") <= F.col("at") - 2 * F.col("b")))
     cuts = near.select(F.col("k").alias("ck"), F.col("of").alias("ci"), F.when(later, F.col("n")).otherwise(F.col("b")).alias("cut"))
-    return frames.select("k", "i").join(cuts, _same("k", "ck") & (F.col("i") == F.col("ci")), "left").select(F.col("k").alias(key), F.col("i").alias(idx), "cut")
+    return frames.select("k", "i").join(sorted_sides(cuts), _same("k", "ck") & (F.col("i") == F.col("ci")), "left").select(F.col("k").alias(key), F.col("i").alias(idx), "cut")
 
 
 def greedy_chunks(rows: DataFrame, key: str, idx: str, level: str, quiet: str, low: int, high: int, end: str) -> DataFrame:
@@ -70,16 +70,16 @@ def greedy_chunks(rows: DataFrame, key: str, idx: str, level: str, quiet: str, l
     """
     cuts = next_cuts(rows, key, idx, level, quiet, low, high)
     ends = rows.groupBy(F.col(key).alias("ek")).agg(F.max(end).cast("long").alias("stop_at"))
-    ahead = cuts.join(ends, _same(key, "ek")).drop("ek")
+    ahead = cuts.join(sorted_sides(ends), _same(key, "ek")).drop("ek")
     more = F.col("stop_at") - F.col(idx) > high
     ahead = written(ahead.withColumn("next", F.when(more, F.coalesce("cut", F.col(idx) + high))))
     reached = followed(ahead.select(key, idx, "next"), key, idx, "next").select(F.col(key).alias("rk"), F.col(idx).alias("ri"))
-    used = ahead.join(reached, _same(key, "rk") & (F.col(idx) == F.col("ri"))).drop("rk", "ri")
+    used = ahead.join(sorted_sides(reached), _same(key, "rk") & (F.col(idx) == F.col("ri"))).drop("rk", "ri")
     method = F.when(~more, "end").when(F.col("cut").isNull(), "max").otherwise("silence")
     chunks = used.select(key, F.col(idx).alias("start"), F.coalesce("next", "stop_at").alias("stop"), method.alias("method"), "stop_at")
     # a cut behind the last frame has no frame to go on from: what is left is the last chunk
     last = rows.groupBy(F.col(key).alias("lk")).agg(F.max(idx).cast("long").alias("last_idx"))
-    beyond = chunks.join(last, _same(key, "lk")).where((F.col("stop") > F.col("last_idx")) & (F.col("stop") < F.col("stop_at")))
+    beyond = chunks.join(sorted_sides(last), _same(key, "lk")).where((F.col("stop") > F.col("last_idx")) & (F.col("stop") < F.col("stop_at")))
     tails = beyond.select(key, F.col("stop").alias("start"), F.col("stop_at").alias("stop"), F.lit("end").alias("method"))
     return chunks.drop("stop_at").unionByName(tails).where("stop > start")
 
@@ -94,7 +94,7 @@ def chunk_frames(frames: DataFrame, shortest: float = 5.0, longest: float = 15.0
     lead = round(frame_ms / hop_ms / 2)  # frames between the start of a recording and its first centre
     sound = frames.where("problem is null")
     limit = adaptive_threshold(sound, "stem", "rms").select(F.col("stem").alias("ts"), "threshold")
-    rated = sound.join(limit, _same("stem", "ts")).select("stem", (F.col("idx") + lead).alias("i"), "rms", (F.col("rms") <= F.col("threshold")).alias("quiet"), "duration_sec")
+    rated = sound.join(sorted_sides(limit), _same("stem", "ts")).select("stem", (F.col("idx") + lead).alias("i"), "rms", (F.col("rms") <= F.col("threshold")).alias("quiet"), "duration_sec")
     whole = F.round(F.col("duration_sec") * 1000 / hop_ms).cast("long")
     start = sound.groupBy("stem").agg(F.max("duration_sec").alias("duration_sec"))
     head = start.select("stem", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(lead - 1).cast("long"))).alias("i"), F.lit(None).cast("double").alias("rms"), F.lit(False).alias("quiet"), "duration_sec") if lead > 0 else None
@@ -102,6 +102,6 @@ def chunk_frames(frames: DataFrame, shortest: float = 5.0, longest: float = 15.0
     low, high = math.ceil(shortest * 1000 / hop_ms - 1e-9), math.floor(longest * 1000 / hop_ms + 1e-9)
     chunks = greedy_chunks(written(rows), "stem", "i", "rms", "quiet", low, high, "end_at").withColumnRenamed("stem", "_s")
     step = hop_ms / 1000
-    timed = start.join(chunks, _same("stem", "_s")).select("stem", (F.col("start") * step).alias("start_sec"), F.when(F.col("method") == "end", F.col("duration_sec")).otherwise(F.col("stop") * step).alias("end_sec"), "method")
+    timed = start.join(sorted_sides(chunks), _same("stem", "_s")).select("stem", (F.col("start") * step).alias("start_sec"), F.when(F.col("method") == "end", F.col("duration_sec")).otherwise(F.col("stop") * step).alias("end_sec"), "method")
     lost = frames.where("problem is not null").select("stem", *(F.lit(None).cast("double").alias(c) for c in ("start_sec", "end_sec")), F.lit(None).cast("string").alias("method"), "problem")
     return timed.withColumn("problem", F.lit(None).cast("string")).unionByName(lost)

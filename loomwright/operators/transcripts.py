@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomwright.functions import text as T
+from loomwright.functions.tables import sorted_sides
 from loomwright.operators.pauses import pause_warning
 
 # The mark that a rule inserts, and what it reports for each edit.
@@ -28,13 +29,13 @@ def align(texts: DataFrame, tokens: DataFrame) -> DataFrame:
     in_text = spoken_text.withColumn("n", F.row_number().over(Window.partitionBy("source_id").orderBy("pos")))
     units = tokens.select("source_id", "idx", F.posexplode(F.split("char", "")).alias("k", "unit")).where("unit <> ''").where(~T.is_silent(F.col("unit")))
     in_tokens = units.withColumn("n", F.row_number().over(Window.partitionBy("source_id").orderBy("idx", "k")))
-    both = in_tokens.select("source_id", "idx", "n").join(in_text.select("source_id", "pos", "n"), ["source_id", "n"])
+    both = in_tokens.select("source_id", "idx", "n").join(sorted_sides(in_text.select("source_id", "pos", "n")), ["source_id", "n"])
     return both.groupBy("source_id", "idx").agg(F.array_sort(F.collect_list("pos")).alias("positions"))
 
 
 def boundaries(texts: DataFrame, aligned: DataFrame) -> DataFrame:
     """``source_id, idx, run, category, kind`` for each aligned token; ``kind`` is null where no boundary follows, final at the last one."""
-    rows = aligned.join(texts, "source_id").withColumn("run", T.run_after(F.col("text"), F.array_max("positions")))
+    rows = aligned.join(sorted_sides(texts), "source_id").withColumn("run", T.run_after(F.col("text"), F.array_max("positions")))
     last = F.col("idx") == F.max("idx").over(Window.partitionBy("source_id"))
     return rows.select("source_id", "idx", "run", T.pause_category(F.col("run")).alias("category"), F.when(last, "final").otherwise(T.boundary_kind(F.col("run"))).alias("kind"))
 
@@ -71,7 +72,7 @@ def punctuation_edits(texts: DataFrame, aligned: DataFrame, pauses: DataFrame, s
     ``pauses``: source_id, idx, pause_ms; ``stats``: a row for each source
     with structs strong, weak and no_punc of quantiles.
     """
-    rows = aligned.join(texts, "source_id").join(pauses, ["source_id", "idx"]).join(stats, "source_id")
+    rows = aligned.join(sorted_sides(texts), "source_id").join(sorted_sides(pauses), ["source_id", "idx"]).join(sorted_sides(stats), "source_id")
     rows = rows.withColumn("end", F.array_max("positions") + 1).withColumn("run", T.run_after(F.col("text"), F.col("end") - 1))
     why = pause_warning(T.pause_category(F.col("run")), F.col("pause_ms"), F.col("strong"), F.col("weak"), F.col("no_punc"))
     found = rows.withColumn("why", why).where(F.col("why").isNotNull() & ((F.col("why") == "long_without_punctuation") | (F.col("run") != "")))
@@ -83,7 +84,7 @@ def punctuation_edits(texts: DataFrame, aligned: DataFrame, pauses: DataFrame, s
 def apply_edits(texts: DataFrame, edits: DataFrame) -> DataFrame:
     """``source_id, corrected, n_edits``: edits from left to right, overlapping ones skipped; none if a spoken character would change."""
     by = edits.groupBy("source_id").agg(F.array_sort(F.collect_list(F.struct("at", "upto", "mark"))).alias("edits"))
-    rows = texts.join(by, "source_id", "left")
+    rows = texts.join(sorted_sides(by), "source_id", "left")
     start = F.struct(F.lit(0).alias("done"), F.lit("").alias("out"), F.lit(0).alias("n"))
 
     def step(acc: Column, e: Column) -> Column:
@@ -106,16 +107,16 @@ def contained(segments: DataFrame, tokens: DataFrame, width: int = 64) -> DataFr
     """
     bin_ = lambda c: F.floor(F.col(c) / width).cast("long")
     dealt = segments.withColumn("_bin", F.explode(F.sequence(bin_("first_token"), bin_("last_token"))))
-    return tokens.withColumn("_bin", bin_("idx")).join(dealt, ["source_id", "_bin"]).where("idx between first_token and last_token").drop("_bin")
+    return tokens.withColumn("_bin", bin_("idx")).join(sorted_sides(dealt), ["source_id", "_bin"]).where("idx between first_token and last_token").drop("_bin")
 
 
 def segment_texts(segments: DataFrame, texts: DataFrame, aligned: DataFrame, tokens: DataFrame) -> DataFrame:
     """``transcript`` of each segment (first_token to last_token): its stretch of text with the marks that follow, or its tokens joined."""
-    placed = tokens.select("source_id", "idx", "char").join(aligned.select("source_id", "idx", "positions"), ["source_id", "idx"], "left")
+    placed = tokens.select("source_id", "idx", "char").join(sorted_sides(aligned.select("source_id", "idx", "positions")), ["source_id", "idx"], "left")
     inside = contained(segments.select("source_id", "first_token", "last_token").distinct(), placed)
     said = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("idx", "char"))), lambda x: x["char"]), "")
     found = inside.groupBy("source_id", "first_token", "last_token").agg(F.min(F.array_min("positions")).alias("a"), F.max(F.array_max("positions")).alias("z"), said.alias("said"))
-    rows = segments.join(texts, "source_id", "left").join(found, ["source_id", "first_token", "last_token"], "left")
+    rows = segments.join(sorted_sides(texts), "source_id", "left").join(sorted_sides(found), ["source_id", "first_token", "last_token"], "left")
     tail = F.regexp_extract(F.substring("text", F.col("z") + 2, F.length("text")), f"^{T.SILENT}*", 0)
     text = F.concat(F.substring("text", F.col("a") + 1, F.col("z") - F.col("a") + 1), tail)
     plain = F.btrim(F.regexp_replace(text, "\r\n|\n", " "))
@@ -131,7 +132,7 @@ def stitch(chunks: DataFrame, tokens: DataFrame) -> tuple[DataFrame, DataFrame]:
     some = F.when(F.trim("text") != "", F.struct("chunk", F.trim("text").alias("t")))  # a chunk without a result adds nothing, its source stays
     parts = chunks.groupBy("source_id").agg(F.array_sort(F.collect_list(some)).alias("p"))
     whole = parts.select("source_id", F.array_join(F.transform("p", lambda x: x["t"]), " ").alias("text"))
-    moved = tokens.join(chunks.select("source_id", "chunk", F.col("start_sec").alias("_o")), ["source_id", "chunk"])
+    moved = tokens.join(sorted_sides(chunks.select("source_id", "chunk", F.col("start_sec").alias("_o"))), ["source_id", "chunk"])
     place = F.row_number().over(Window.partitionBy("source_id").orderBy("chunk", "idx")) - 1
     return whole, moved.select("source_id", place.alias("idx"), "char", (F.col("start_sec") + F.col("_o")).alias("start_sec"), (F.col("end_sec") + F.col("_o")).alias("end_sec"))
 
