@@ -19,10 +19,31 @@ from loomwright.functions.tables import written
 
 
 def adaptive_threshold(rows: DataFrame, key: str, level: str, quarter: float = 1.8, half: float = 0.45, top: float = 0.025, least: float = 1e-6) -> DataFrame:
-    """``threshold`` for each key: the largest of scaled quartile, median and maximum, and a floor."""
-    return rows.groupBy(key).agg(
-        F.greatest(F.percentile(level, 0.25) * quarter, F.percentile(level, 0.5) * half, F.max(level) * top, F.lit(least)).alias("threshold")
-    )
+    """``threshold`` for each key: the largest of scaled quartile, median and maximum, and a floor.
+
+    Levels are compared with it exactly, so the quantiles are rounded as
+    DuckDB rounds them; ranks are those of a sorted pass, not of a map of a
+    key's values.
+    """
+    by = Window.partitionBy(key)
+    v = F.col(level).cast("double")
+    ranked = rows.select(key, v.alias("_v"), (F.row_number().over(by.orderBy(v.asc_nulls_last())) - 1).alias("_r"), F.count(v).over(by).alias("_n"))
+    at = lambda place: F.max(F.when(F.col("_r") == place, F.col("_v")))
+    place = {p: (F.col("_n") - 1) * p for p in (0.25, 0.5)}
+    ends = [c for p, x in place.items() for c in (at(F.floor(x)).alias(f"_low{p}"), at(F.ceil(x)).alias(f"_high{p}"), F.max(x - F.floor(x)).alias(f"_part{p}"))]
+    found = ranked.groupBy(key).agg(*ends, F.max("_v").alias("_top"))
+    q1, q2 = (_between(F.col(f"`_low{p}`"), F.col(f"`_high{p}`"), F.col(f"`_part{p}`")) for p in place)
+    return found.select(key, F.greatest(q1 * quarter, q2 * half, F.col("_top") * top, F.lit(least)).alias("threshold"))
+
+
+def _between(low: Column, high: Column, part: Column) -> Column:
+    """``low * (1 - part) + high * part`` for quarters, with ``low * (1 - part)`` not rounded before the sum (a fused multiply-add)."""
+    three = part == 0.25  # the one product that would be rounded, as two that are not
+    a, b, c = F.when(three, low * 0.5).otherwise(low * (1 - part)), F.when(three, low * 0.25).otherwise(0.0), high * part
+    s = a + b
+    t = s + c
+    lost = (a - (s - (s - a))) + (b - (s - a)) + (s - (t - (t - s))) + (c - (t - s))
+    return F.when(part == 0, low).otherwise(t + F.nanvl(lost, F.lit(0.0)))
 
 
 def true_runs(rows: DataFrame, key: str, order: list[str], mask: Column) -> DataFrame:
