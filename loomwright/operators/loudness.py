@@ -10,13 +10,12 @@ import json
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomwright.operators.signal import per_file
 from loomwright.operators.volume import integrated_loudness
-from loomwright.sources.audio import decode, encode_wav
+from loomwright.sources.audio import Made, encode_wav
 
 # Fixed value: the least amplitude that levels are taken of.
 LEAST = 1e-12
@@ -47,7 +46,7 @@ def measures(signal: np.ndarray, rate: int, silence_db: float = 40.0) -> tuple[f
     return len(signal) / rate, rate, lufs, peak, -peak, len(active) / len(level), float(high - low)
 
 
-def measure_files(files: DataFrame, silence_db: float = 40.0) -> DataFrame:
+def measure_files(files: DataFrame | Made, silence_db: float = 40.0) -> DataFrame:
     """``stem``, the measures and ``problem``: each file has one row, a file that cannot be measured only its reason."""
 
     def work(signal: np.ndarray, rate: int) -> list[tuple]:
@@ -82,18 +81,17 @@ def limited(signal: np.ndarray, gain_db: float, margin: float = 1.0) -> tuple[np
     return (out * (most / peak)).astype(np.float32), gain_db + 20 * float(np.log10(most / peak)), True
 
 
-def normalise_files(files: DataFrame, decided: DataFrame, margin: float = 1.0) -> DataFrame:
-    """``stem, content`` (16-bit WAV), ``requested_gain_db, applied_gain_db, peak_limited`` of each file that is not pruned."""
-    kept = decided.where(~F.col("pruned")).select("stem", "needed_gain_db")
+def normalise_files(files: DataFrame | Made, decided: DataFrame, margin: float = 1.0) -> DataFrame:
+    """``stem, content`` (16-bit WAV), ``requested_gain_db, applied_gain_db, peak_limited`` of each file that is not pruned; one that cannot be read ends the job."""
+    kept = decided.where(~F.col("pruned")).select("stem", F.array("needed_gain_db").alias("own"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for stem, content, gain in zip(batch["stem"], batch["content"], batch["needed_gain_db"], strict=True):
-                signal, rate = decode(content)
-                out, applied, held = limited(signal, gain, margin)
-                yield pd.DataFrame([(stem, encode_wav(out, rate), gain, applied, held)], columns=["stem", "content", "requested_gain_db", "applied_gain_db", "peak_limited"])
+    def work(signal: np.ndarray, rate: int, own: list[float]) -> list[tuple]:
+        out, applied, held = limited(signal, own[0], margin)
+        return [(encode_wav(out, rate), own[0], applied, held)]
 
-    return files.select("stem", "content").join(kept, "stem").mapInPandas(run, "stem string, content binary, requested_gain_db double, applied_gain_db double, peak_limited boolean")
+    found = per_file(files, "content binary, requested_gain_db double, applied_gain_db double, peak_limited boolean", work, beside=kept)
+    whole = F.when(F.col("problem").isNotNull(), F.raise_error("problem")).otherwise(F.col("stem"))
+    return found.select(whole.alias("stem"), "content", "requested_gain_db", "applied_gain_db", "peak_limited")
 
 
 def analysis_report(decided: DataFrame, target: float) -> DataFrame:

@@ -7,16 +7,17 @@ read has one row, with its stem and the ``problem``.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomwright.functions.tables import sorted_sides
 from loomwright.operators.volume import EDGE_CENTRE, edge_score, restored, robust_z, target_level
-from loomwright.sources import audio as sound
-from loomwright.sources.audio import decode, encode_wav, frame_rms, resample, trim
+from loomwright.sources.audio import Made, decode, encode_wav, frame_rms, resample, trim
 
 EPS = 1e-8
 
@@ -219,54 +220,107 @@ def edge_features(signal: np.ndarray, rate: int) -> list[tuple[str, float, float
     return out
 
 
-def per_file(files: DataFrame, schema: str, work: Callable[..., list[tuple]], rate: int | None = None, beside: DataFrame | None = None) -> DataFrame:
+#: Rows and bytes that a task hands on at once.
+MOST_ROWS, MOST_BYTES = 4096, 1 << 23
+_ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "binary": pa.binary(), "boolean": pa.bool_()}
+
+
+def per_file(files: DataFrame | Made, schema: str, work: Callable[..., list[tuple]], rate: int | None = None, beside: DataFrame | None = None) -> DataFrame:
     """``stem``, the rows that ``work(signal, rate)`` gives for each file, and ``problem``.
 
     With ``beside`` (a row a stem, with ``own``, the list of what belongs to
-    it) the work gets that list too, and files without one are left out.
+    it) the work gets that list too, and files without one are left out. A
+    task holds one signal at a time and hands rows on by thousands.
     """
-    names = [c.split()[0] for c in schema.split(", ")]
-    shown, alone = ["stem", *names, "problem"], beside is None
-    rows = files.select("stem", "content") if beside is None else files.select("stem", "content").join(beside.select("stem", "own"), "stem")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names, kinds = zip(*(c.split() for c in schema.split(", ")), strict=True)
+    made = files if isinstance(files, Made) else Made(files.select("stem", F.col("content").alias("of")), bytes)
+    rows, make, alone = made.rows, made.make, beside is None
+    if beside is not None:
+        rows = rows.join(sorted_sides(beside.select("stem", "own")), "stem")
+    arrow = pa.schema([("stem", pa.string()), *((n, _ARROW[k]) for n, k in zip(names, kinds, strict=True)), ("problem", pa.string())])
+    heavy = [k for k, kind in enumerate(kinds, 1) if kind in ("binary", "string")]
+
+    def packed(found: list[tuple]) -> pa.RecordBatch:
+        return pa.record_batch([pa.array([f[k] for f in found], c.type, from_pandas=True) for k, c in enumerate(arrow)], schema=arrow)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: list[tuple] = []
+        held = 0
         for batch in batches:
-            lists = [()] * len(batch) if alone else [(own,) for own in batch["own"]]
-            for stem, content, own in zip(batch["stem"], batch["content"], lists, strict=True):
+            stems, of, lists = batch.column("stem"), batch.column("of"), None if alone else batch.column("own")
+            for k in range(batch.num_rows):
+                stem, own = stems[k].as_py(), () if alone else (lists[k].as_py(),)
                 try:
-                    signal, have = decode(content)
+                    signal, have = decode(make(of[k].as_py()))
                 except Exception as e:  # noqa: BLE001  whatever a broken file raises
-                    yield pd.DataFrame([(stem, *(None for _ in names), f"{type(e).__name__}: {e}")], columns=shown)
+                    found.append((stem, *(None for _ in names), f"{type(e).__name__}: {e}"))
                     continue
-                found = work(resample(signal, have, rate) if rate else signal, rate or have, *own)
-                if found:
-                    yield pd.DataFrame(found, columns=names).assign(stem=stem, problem=None)[shown]
+                for row in work(resample(signal, have, rate) if rate else signal, rate or have, *own):
+                    found.append((stem, *row, None))
+                    held += sum(len(found[-1][c] or ()) for c in heavy)
+                    if len(found) >= MOST_ROWS or held >= MOST_BYTES:
+                        yield packed(found)
+                        found, held = [], 0
+        if found:
+            yield packed(found)
 
-    return rows.mapInPandas(run, f"stem string, {schema}, problem string")
+    return rows.mapInArrow(run, f"stem string, {schema}, problem string")
 
 
 def _own(rows: DataFrame, *columns: str) -> DataFrame:
     return rows.groupBy("stem").agg(F.array_sort(F.collect_list(F.struct(*columns))).alias("own"))
 
 
-def chunk_files(files: DataFrame, rate: int = 16_000, shortest: float = 5.0, longest: float = 15.0) -> DataFrame:
-    """``stem, start_sec, end_sec, method, problem``: chunks cut at the quietest silent frames (``cuts.chunk_frames``)."""
-    from loomwright.operators.cuts import chunk_frames
+def frame_stats(files: DataFrame | Made, low: float, rate: int = 16_000) -> DataFrame:
+    """``stem, n_frames, mean_rms, top_rms, n_low, problem``: the frame levels of each file in sum; ``n_low`` counts those under ``low``."""
+
+    def work(x: np.ndarray, r: int) -> list[tuple]:
+        level = frame_rms(x, r)[0]
+        return [(len(level), float(level.mean()), float(level.max()), int((level < low).sum()))]
+
+    return per_file(files, "n_frames long, mean_rms double, top_rms double, n_low long", work, rate)
+
+
+def frame_chunks(signal: np.ndarray, rate: int, shortest: float, longest: float, duration: float, frame_ms: float = 20.0, hop_ms: float = 5.0) -> list[tuple[float, float, str]]:
+    """(start, end, method) in seconds: the chunks of ``cuts.chunk_frames`` for one signal."""
+    level = frame_rms(signal, rate, frame_ms, hop_ms)[0]
+    limit, lead, step = threshold_of(level), round(frame_ms / hop_ms / 2), hop_ms / 1000
+    low, high = math.ceil(shortest * 1000 / hop_ms - 1e-9), math.floor(longest * 1000 / hop_ms + 1e-9)
+    end, last, at, out = math.floor(duration * 1000 / hop_ms + 0.5), lead + len(level) - 1, 0, []
+    while end - at > high and at <= last:
+        first = max(at + low, lead)
+        part = level[first - lead : at + high + 1 - lead]
+        quiet = np.flatnonzero(part <= limit)
+        if len(quiet):
+            place = quiet[part[quiet] == part[quiet].min()] + first
+            stop = int(place[np.lexsort((-place, np.abs(2 * place - 2 * at - low - high)))[0]])
+        else:
+            stop = at + high
+        out.append((at * step, stop * step, "silence" if len(quiet) else "max"))
+        at = stop
+    return [*out, (at * step, duration, "end")] if end > at else out
+
+
+def chunk_files(files: DataFrame | Made, rate: int = 16_000, shortest: float = 5.0, longest: float = 15.0) -> DataFrame:
+    """``stem, start_sec, end_sec, method, problem``: chunks cut at the quietest silent frames, found where a file is decoded (``cuts.chunk_frames`` does it for rows of frames)."""
 
-    return chunk_frames(sound.frames(files, rate), shortest, longest)
+    def work(x: np.ndarray, own: int) -> list[tuple]:
+        return frame_chunks(resample(x, own, rate), rate, shortest, longest, len(x) / own)
 
+    return per_file(files, "start_sec double, end_sec double, method string", work)
 
-def longest_run_files(files: DataFrame, rate: int = 16_000, shortest: float = 5.0, longest: float = 15.0, silence_ms: float = 80.0) -> DataFrame:
+
+def longest_run_files(files: DataFrame | Made, rate: int = 16_000, shortest: float = 5.0, longest: float = 15.0, silence_ms: float = 80.0) -> DataFrame:
     """The cut experiment over files; ``reports.cut_summary`` sums it up."""
     schema = "start_sec double, end_sec double, silence_start_sec double, silence_end_sec double, silence_ms double, silence_rms double, fallback string"
     return per_file(files, schema, lambda x, r: longest_run_cuts(x, r, shortest, longest, silence_ms), rate)
 
 
-def speech_files(files: DataFrame, rate: int = 16_000) -> DataFrame:
+def speech_files(files: DataFrame | Made, rate: int = 16_000) -> DataFrame:
     return per_file(files, "start long, end long", speech_regions, rate)
 
 
-def budget_files(files: DataFrame, budget_sec: float, rate: int = 16_000, least_sec: float = 10.0) -> DataFrame:
+def budget_files(files: DataFrame | Made, budget_sec: float, rate: int = 16_000, least_sec: float = 10.0) -> DataFrame:
     """``stem, chunk, start, end, problem``: speech regions packed into chunks of at most the budget, long ones cut at quiet boundaries; a file without speech is cut all over."""
 
     def work(x: np.ndarray, r: int) -> list[tuple]:
@@ -275,7 +329,7 @@ def budget_files(files: DataFrame, budget_sec: float, rate: int = 16_000, least_
     return per_file(files, "chunk long, start long, end long", work, rate)
 
 
-def gap_cut_files(files: DataFrame, rate: int = 16_000, low: float = 5.0, high: float = 15.0, hard: float = 10.0) -> DataFrame:
+def gap_cut_files(files: DataFrame | Made, rate: int = 16_000, low: float = 5.0, high: float = 15.0, hard: float = 10.0) -> DataFrame:
     """``stem, part, start_sec, end_sec, forced, problem``: files cut in the middle of the longest gaps of their speech; ``forced`` counts the file's hard cuts."""
 
     def work(x: np.ndarray, r: int) -> list[tuple]:
@@ -285,7 +339,7 @@ def gap_cut_files(files: DataFrame, rate: int = 16_000, low: float = 5.0, high:
     return per_file(files, "part long, start_sec double, end_sec double, forced long", work, rate)
 
 
-def even_part_files(files: DataFrame, target: float, window: float = 10.0) -> DataFrame:
+def even_part_files(files: DataFrame | Made, target: float, window: float = 10.0) -> DataFrame:
     """``stem, part_index, part_count, start_sec, end_sec, method, wav, problem``: long files as even parts cut at silences near their ideal places, ready for ``sources.files.part_files``.
 
     ``method`` is that of the part's end, ``end`` for the last one.
@@ -299,7 +353,7 @@ def even_part_files(files: DataFrame, target: float, window: float = 10.0) -> Da
     return per_file(files, "part_index long, part_count long, start_sec double, end_sec double, method string, wav binary", work)
 
 
-def level_files(files: DataFrame, db: float = -25.0) -> DataFrame:
+def level_files(files: DataFrame | Made, db: float = -25.0) -> DataFrame:
     """``stem, wav, undo, problem``: files brought to the level of their loud pieces (as float32 bytes), and the factor that takes it back."""
 
     def work(x: np.ndarray, r: int) -> list[tuple]:
@@ -309,7 +363,7 @@ def level_files(files: DataFrame, db: float = -25.0) -> DataFrame:
     return per_file(files, "rate int, samples binary, undo double", work)
 
 
-def mark_silences(files: DataFrame, marks: DataFrame, scan: float = 0.55) -> DataFrame:
+def mark_silences(files: DataFrame | Made, marks: DataFrame, scan: float = 0.55) -> DataFrame:
     """``stem, idx, silence_ms, problem``: the quiet around each punctuation mark (stem, idx, left_end_sec, right_start_sec)."""
 
     def work(x: np.ndarray, r: int, own: list) -> list[tuple]:
@@ -318,7 +372,7 @@ def mark_silences(files: DataFrame, marks: DataFrame, scan: float = 0.55) -> Dat
     return per_file(files, "idx long, silence_ms double", work, beside=_own(marks, "idx", "left_end_sec", "right_start_sec"))
 
 
-def speech_levels(files: DataFrame, rate: int = 16_000) -> DataFrame:
+def speech_levels(files: DataFrame | Made, rate: int = 16_000) -> DataFrame:
     """``stem, speech_sec, speech_dbfs, peak_dbfs, safe_dbfs, problem``: level of the samples in speech regions, and the highest level that keeps the peak under -1 dBFS. Files without speech have no row."""
 
     def work(x: np.ndarray, r: int) -> list[tuple]:
@@ -338,7 +392,7 @@ def library_target(levels: DataFrame) -> DataFrame:
     return target_level(levels.where("problem is null"), "speech_dbfs", "speech_sec", "safe_dbfs")
 
 
-def restored_files(files: DataFrame, outputs: DataFrame, mode: str, target_dbfs: float | None = None) -> DataFrame:
+def restored_files(files: DataFrame | Made, outputs: DataFrame, mode: str, target_dbfs: float | None = None) -> DataFrame:
     """``stem, content, gain, reason, problem``: a model's outputs (stem, wav) at the level of their sources (``rms``, ``peak``, ``rms-peak``), at a target (``target-rms``, ``target-peak``) or as they are (``none``)."""
 
     def work(x: np.ndarray, r: int, own: list) -> list[tuple]:
@@ -349,7 +403,25 @@ def restored_files(files: DataFrame, outputs: DataFrame, mode: str, target_dbfs:
     return per_file(files, "content binary, gain double, reason string", work, beside=_own(outputs, "wav"))
 
 
-def separated_files(files: DataFrame, factory: Callable[[], Callable[[np.ndarray, int], list[np.ndarray]]], rate: int) -> DataFrame:
+def restored_voices(files: DataFrame | Made, factory: Callable[[], Callable[[np.ndarray, int], list[np.ndarray]]], rate: int, modes: list[tuple[str, float | None]]) -> DataFrame:
+    """``stem, mode, gain, reason, n_bytes, problem``: the first voice of a separator at the level of its source or at a target, in each of ``modes`` (mode, target).
+
+    The same as :func:`restored_files` of :func:`separated_files` for each
+    mode, in one pass over the files and with no output moved.
+    """
+    made: list = []
+
+    def work(x: np.ndarray, r: int) -> list[tuple]:
+        if not made:
+            made.append(factory())
+        y, own = decode(encode_wav(resample(made[0](resample(x, r, rate), rate)[0], rate, r), r))
+        found = ((mode, restored(y, x, mode, target)) for mode, target in modes)
+        return [(mode, gain, why, len(encode_wav(z, own))) for mode, (z, gain, why) in found]
+
+    return per_file(files, "mode string, gain double, reason string, n_bytes long", work)
+
+
+def separated_files(files: DataFrame | Made, factory: Callable[[], Callable[[np.ndarray, int], list[np.ndarray]]], rate: int) -> DataFrame:
     """``stem, speaker, n_speakers, wav, problem``: the voices that a separator finds in each file, ready for ``sources.files.enhanced_files``.
 
     ``factory`` makes the model, once a task; it takes a signal at ``rate`` and
@@ -367,11 +439,11 @@ def separated_files(files: DataFrame, factory: Callable[[], Callable[[np.ndarray
     return per_file(files, "speaker long, n_speakers long, wav binary", work)
 
 
-def edges_of_files(files: DataFrame) -> DataFrame:
+def edges_of_files(files: DataFrame | Made) -> DataFrame:
     return per_file(files, "side string, edge_rms double, edge_peak double, boundary double, sustain double, crossings double", edge_features)
 
 
-def abrupt_edges(files: DataFrame) -> DataFrame:
+def abrupt_edges(files: DataFrame | Made) -> DataFrame:
     """``stem, side``, the edge features, ``score, likelihood``: how abruptly each file starts and ends beside all others.
 
     Levels count by their logarithms; features are distances to the median
@@ -387,7 +459,7 @@ def abrupt_edges(files: DataFrame) -> DataFrame:
     return rated.select("stem", "side", "edge_rms", "edge_peak", "boundary", "sustain", "crossings", score.alias("score"), likely.alias("likelihood"))
 
 
-def cut_segments(files: DataFrame, segments: DataFrame) -> DataFrame:
+def cut_segments(files: DataFrame | Made, segments: DataFrame) -> DataFrame:
     """``stem, segment_index, status, wav, problem``: the 16-bit WAV of each segment (stem, segment_index, status, cut_start_sec, cut_end_sec), for ``sources.files.segment_files``.
 
     Each file is decoded once, beside the list of its own segments.
@@ -399,7 +471,7 @@ def cut_segments(files: DataFrame, segments: DataFrame) -> DataFrame:
     return per_file(files, "segment_index long, status string, wav binary", work, beside=_own(segments, "segment_index", "status", "cut_start_sec", "cut_end_sec"))
 
 
-def trim_segments(files: DataFrame, segments: DataFrame, padding: float = 0.2, top_db: float = 60.0) -> DataFrame:
+def trim_segments(files: DataFrame | Made, segments: DataFrame, padding: float = 0.2, top_db: float = 60.0) -> DataFrame:
     """``stem, segment_index, cut_start_sec, cut_end_sec, problem``: rough segments (start_sec, end_sec) without silent ends, padded within their rough bounds.
 
     A segment that is silent as a whole keeps its rough bounds and says so.

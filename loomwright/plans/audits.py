@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from loomwright.operators import loudness, manifests, reports, speakers
 from loomwright.plans.catalogue import _DIFF, _SPEAKERS, _variants, query, rounded, table
-from loomwright.plans.recordings import _OF_DOCUMENTS, documents, new_folder
+from loomwright.plans.recordings import _OF_DOCUMENTS, heard, new_folder
 
 _RANKED = _SPEAKERS[: _SPEAKERS.rindex("SELECT vec_id")].format(k=1)
 
@@ -52,7 +52,7 @@ def summary_file(spark, sf_dir):
 def limited_recordings(spark, sf_dir):
     """Gains of 0 to 29 dB, held back where the peak would pass -1 dBFS."""
     asked = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("stem"), (F.coalesce(F.length("text"), F.lit(0)) % 30).cast("double").alias("needed_gain_db"), F.lit(False).alias("pruned"))
-    found = loudness.normalise_files(documents(spark, sf_dir), asked)
+    found = loudness.normalise_files(heard(spark, sf_dir), asked)
     return found.select(F.col("stem").cast("long").alias("doc_id"), "requested_gain_db", "peak_limited", F.length("content").cast("long").alias("n_bytes"), *rounded("applied_gain_db"))
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -52,7 +53,7 @@ def recorded(rows: DataFrame, ident: str, text: str, paused: bool = False) -> Da
             stems, wavs, held = [], [], 0
             for stem, t in zip(batch.column("stem").to_pylist(), batch.column("t"), strict=True):
                 stems.append(stem)
-                wavs.append(audio.encode_wav(samples(t.as_py() or "", paused) / 32767, RATE))
+                wavs.append(wav(t.as_py(), paused))
                 held += len(wavs[-1])
                 if held >= MOST_BYTES:
                     yield pa.record_batch([pa.array(stems, pa.string()), pa.array(wavs, pa.binary())], ["stem", "content"])
@@ -66,6 +67,16 @@ def documents(spark: SparkSession, sf_dir: str, paused: bool = False) -> DataFra
     return recorded(table(spark, sf_dir, "documents"), "doc_id", "text", paused)
 
 
+def wav(text: str | None, paused: bool = False) -> bytes:
+    return audio.encode_wav(samples(text or "", paused) / 32767, RATE)
+
+
+def heard(spark: SparkSession, sf_dir: str, paused: bool = False, name: str = "documents", ident: str = "doc_id", text: str = "text") -> audio.Made:
+    """The recordings of :func:`recorded`, each made by the task that listens to it: only texts are read and moved."""
+    rows = table(spark, sf_dir, name).select(F.col(ident).cast("string").alias("stem"), F.col(text).alias("of"))
+    return audio.Made(rows, partial(wav, paused=paused))
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
@@ -83,15 +94,13 @@ def _doc(c: str = "stem"):
   UNION ALL SELECT doc_id, 1, 0, 0, 1 FROM documents WHERE coalesce(length(text), 0) = 0""")
 def recording_levels(spark, sf_dir):
     """Frames of 20 ms every 5 ms."""
-    frames = audio.frames(documents(spark, sf_dir), RATE)
-    found = frames.groupBy("stem").agg(F.count("*").alias("n_frames"), F.avg("rms").alias("mean_rms"), F.max("rms").alias("top_rms"), F.count_if(F.col("rms") < 0.15).alias("n_low"))
-    return found.select(_doc(), "n_frames", *rounded("mean_rms", "top_rms"), "n_low")
+    return signal.frame_stats(heard(spark, sf_dir), 0.15, RATE).select(_doc(), "n_frames", *rounded("mean_rms", "top_rms"), "n_low")
 
 
 @query()
 def recording_chunks(spark, sf_dir):
     """Greedy chunks of 0.5 to 1.5 seconds at the quietest silent frames; sequential, so without SQL (the tests hold it to a fold)."""
-    found = signal.chunk_files(documents(spark, sf_dir), RATE, 0.5, 1.5)
+    found = signal.chunk_files(heard(spark, sf_dir), RATE, 0.5, 1.5)
     return found.select(_doc(), *rounded("start_sec", "end_sec"), "method")
 
 
@@ -106,7 +115,7 @@ _EDGES = f"""{_OF_DOCUMENTS},
 
 @query(f"WITH {_EDGES} SELECT doc_id, side, round(edge_rms, 4) AS edge_rms, round(edge_peak, 4) AS edge_peak, round(boundary, 4) AS boundary, round(sustain, 4) AS sustain, round(crossings, 4) AS crossings FROM g")
 def recording_edges(spark, sf_dir):
-    found = signal.edges_of_files(documents(spark, sf_dir))
+    found = signal.edges_of_files(heard(spark, sf_dir))
     return found.select(_doc(), "side", *rounded("edge_rms", "edge_peak", "boundary", "sustain", "crossings"))
 
 
@@ -118,7 +127,7 @@ def recording_edges(spark, sf_dir):
     FROM l JOIN m USING (side, f) JOIN d USING (side, f) GROUP BY doc_id, side)
   SELECT doc_id, side, round(score, 4) AS score, round(1 / (1 + exp(-greatest(-60, least(60, score - 1.5)))), 4) AS likelihood FROM z""")
 def abrupt_edges(spark, sf_dir):
-    return signal.abrupt_edges(documents(spark, sf_dir)).select(_doc(), "side", *rounded("score", "likelihood"))
+    return signal.abrupt_edges(heard(spark, sf_dir)).select(_doc(), "side", *rounded("score", "likelihood"))
 
 
 # Frames of 2048 samples about every 512th, their power, and speech regions from them.
@@ -139,7 +148,7 @@ _SPEECH = f"""{_FRAMES},
 
 @query(f"WITH {_SPEECH} SELECT doc_id, b AS start, z AS end FROM w")
 def recording_speech(spark, sf_dir):
-    return signal.speech_files(documents(spark, sf_dir, True), RATE).select(_doc(), "start", "end")
+    return signal.speech_files(heard(spark, sf_dir, True), RATE).select(_doc(), "start", "end")
 
 
 @query(f"""WITH {_FRAMES},
@@ -151,7 +160,7 @@ def recording_trims(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").withColumn("text", F.coalesce("text", F.lit("")))
     n = F.length("text") + (PAUSE - 1) * (F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))) + 2 * PAUSE
     rough = docs.select(F.col("doc_id").cast("string").alias("stem"), F.lit(0).cast("long").alias("segment_index"), F.lit(0.0).alias("start_sec"), (n / RATE).alias("end_sec"))
-    return signal.trim_segments(documents(spark, sf_dir, True), rough).select(_doc(), *rounded("cut_start_sec", "cut_end_sec"), "problem")
+    return signal.trim_segments(heard(spark, sf_dir, True), rough).select(_doc(), *rounded("cut_start_sec", "cut_end_sec"), "problem")
 
 
 _LEVELS = f"""{_SPEECH},
@@ -164,7 +173,7 @@ _LEVELS = f"""{_SPEECH},
 
 @query(f"WITH {_LEVELS} SELECT doc_id, round(speech_sec, 4) AS speech_sec, round(speech_dbfs, 4) AS speech_dbfs, round(peak_dbfs, 4) AS peak_dbfs, round(safe_dbfs, 4) AS safe_dbfs FROM d")
 def speech_levels(spark, sf_dir):
-    return signal.speech_levels(documents(spark, sf_dir, True), RATE).select(_doc(), *rounded("speech_sec", "speech_dbfs", "peak_dbfs", "safe_dbfs"))
+    return signal.speech_levels(heard(spark, sf_dir, True), RATE).select(_doc(), *rounded("speech_sec", "speech_dbfs", "peak_dbfs", "safe_dbfs"))
 
 
 @query(f"""WITH {_LEVELS},
@@ -172,7 +181,7 @@ def speech_levels(spark, sf_dir):
   SELECT round(least((SELECT min(speech_dbfs) FROM k WHERE upto >= total / 2), (SELECT min(safe_dbfs) FROM d), -1), 4) AS target""")
 def library_target(spark, sf_dir):
     """The level that all recordings can be brought to: the weighted median of their speech, under every one's safe level."""
-    return signal.library_target(written(signal.speech_levels(documents(spark, sf_dir, True), RATE))).select(*rounded("target"))
+    return signal.library_target(written(signal.speech_levels(heard(spark, sf_dir, True), RATE))).select(*rounded("target"))
 
 
 @query(f"""WITH {_OF_DOCUMENTS},
@@ -184,7 +193,7 @@ def library_target(spark, sf_dir):
   SELECT doc_id, n_samples, round(coalesce(1 / (factor * coalesce(pow(10, -25 / 20.0) / loud, 1)), 1), 4) AS undo FROM (SELECT doc_id, coalesce(length(text), 0) AS n_samples FROM documents) LEFT JOIN g USING (doc_id)""")
 def levelled_recordings(spark, sf_dir):
     """Recordings at the level of their loud pieces, and the factor that takes it back."""
-    found = signal.level_files(documents(spark, sf_dir))
+    found = signal.level_files(heard(spark, sf_dir))
     return found.select(_doc(), (F.length("samples") / 4).cast("long").alias("n_samples"), *rounded("undo"))
 
 
@@ -207,21 +216,16 @@ def above_and_below():
     CASE WHEN silent THEN 'silent output' WHEN wanted > most THEN 'limited by peak ceiling -1.0 dBFS' WHEN mode = 'target-rms' THEN 'target rms -20.0 dBFS' ELSE 'target peak -3.0 dBFS' END FROM t""")
 def gain_modes(spark, sf_dir):
     """A model's outputs at the level of their sources, at a target, and as they are."""
-    heard = documents(spark, sf_dir)
-    outputs = signal.separated_files(heard, halved, RATE)
-    parts = [signal.restored_files(heard, outputs, m, t).select(_doc(), F.lit(m).alias("mode"), *rounded("gain"), "reason") for m, t in (("none", None), ("rms-peak", None), ("target-rms", -20.0), ("target-peak", -3.0))]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    modes = [("none", None), ("rms-peak", None), ("target-rms", -20.0), ("target-peak", -3.0)]
+    return signal.restored_voices(heard(spark, sf_dir), halved, RATE, modes).select(_doc(), "mode", *rounded("gain"), "reason")
 
 
 @query("""WITH t AS (SELECT doc_id, coalesce(length(text), 0) AS n, floor(coalesce(length(text), 0) / 1000 * 4)::BIGINT AS m FROM documents)
   SELECT doc_id, array_to_string(list_transform(range(m), lambda k: chr((97 + k % 26)::INT)), '') AS heard, m AS n_times, round(CASE WHEN m > 0 THEN n / 1000 * (m - 1) / m END, 10) AS last_sec FROM t""")
 def transcribed_recordings(spark, sf_dir):
     """Recordings through a recogniser and an aligner (stand-ins), in batches of like length, four tasks at once. Ten decimals: times of 1/8 or 1/64 of a length lie between four."""
-    heard = signal.level_files(documents(spark, sf_dir)).withColumn("n", F.length("samples"))
-    texts = models.apply_model(heard.select("stem", "samples", "rate", "n"), ["samples", "rate"], "heard", "string", "transcriber", models.fixed_rate_transcriber, order="n", at_once=4)
+    levelled = signal.level_files(heard(spark, sf_dir)).withColumn("n", F.length("samples"))
+    texts = models.apply_model(levelled.select("stem", "samples", "rate", "n"), ["samples", "rate"], "heard", "string", "transcriber", models.fixed_rate_transcriber, order="n", at_once=4)
     timed = texts.select("stem", "heard", (F.col("n") / 4 / F.col("rate")).alias("sec"))
     times = models.apply_model(timed, ["heard", "sec"], "times", "array<double>", "aligner", models.even_aligner)
     return times.select(_doc(), "heard", F.size("times").cast("long").alias("n_times"), F.round(F.try_element_at("times", F.lit(-1)), 10).alias("last_sec"))
@@ -242,9 +246,9 @@ def _heard(rows: DataFrame) -> DataFrame:
   UNION ALL SELECT page_id || '_' || unnest(['s1', 's2']), 1000, 44, 0, 0, 0 FROM pages WHERE coalesce(length(html), 0) = 0""")
 def voice_files(spark, sf_dir):
     """Two voices of each recorded page, written as files, found again by a scan of their folder and decoded."""
-    heard = recorded(table(spark, sf_dir, "pages"), "page_id", "html")
+    pages = heard(spark, sf_dir, False, "pages", "page_id", "html")
     folder = new_folder(spark, "voices")
-    files.write_files(files.enhanced_files(signal.separated_files(heard, above_and_below, RATE)), folder)
+    files.write_files(files.enhanced_files(signal.separated_files(pages, above_and_below, RATE)), folder)
     found = audio.scan(spark, folder, ("WAV",))
     return _heard(found).join(found.select("stem", F.col("length").alias("n_bytes")), "stem").select("stem", "rate", "n_bytes", "n_samples", "total", "loudest")
 
@@ -263,7 +267,7 @@ def segment_layout(spark, sf_dir):
     pieces = pieces.select("stem", "segment_index", text.alias("transcript")).withColumn("status", F.when(F.length("transcript") >= 200, "kept").otherwise("too_short"))
     start = F.col("segment_index").cast("double")
     spans = pieces.select("stem", "segment_index", "status", start.alias("cut_start_sec"), (start + F.length("transcript") / RATE).alias("cut_end_sec"))
-    sounds = signal.cut_segments(documents(spark, sf_dir), spans).select("stem", "segment_index", "wav")
+    sounds = signal.cut_segments(heard(spark, sf_dir), spans).select("stem", "segment_index", "wav")
     rows = pieces.join(sounds, ["stem", "segment_index"]).withColumnRenamed("stem", "source_id").withColumn("meta", F.to_json(F.struct("status")))
     sha = F.when(~F.endswith("path", F.lit(".wav")), F.sha2("content", 256))
     return files.segment_files(rows).select("path", F.length("content").alias("n_bytes"), sha.alias("text_sha256"))
