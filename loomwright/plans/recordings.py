@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomwright.functions.tables import shared_dir, with_rank, written
+from loomwright.functions.tables import shared_dir, sorted_sides, with_rank, written
 from loomwright.operators import models, reports, signal
 from loomwright.plans.catalogue import query, rounded, table
 from loomwright.sources import audio, files, manifests
@@ -225,7 +225,7 @@ def gain_modes(spark, sf_dir):
 def transcribed_recordings(spark, sf_dir):
     """Recordings through a recogniser and an aligner (stand-ins), in batches of like length, four tasks at once. Ten decimals: times of 1/8 or 1/64 of a length lie between four."""
     levelled = signal.level_files(heard(spark, sf_dir)).withColumn("n", F.length("samples"))
-    texts = models.apply_model(levelled.select("stem", "samples", "rate", "n"), ["samples", "rate"], "heard", "string", "transcriber", models.fixed_rate_transcriber, order="n", at_once=4)
+    texts = models.apply_model(levelled.select("stem", "samples", "rate", "n"), ["samples", "rate"], "heard", "string", "transcriber", models.fixed_rate_transcriber, order="n", at_once=4, keep=["stem", "rate", "n"])
     timed = texts.select("stem", "heard", (F.col("n") / 4 / F.col("rate")).alias("sec"))
     times = models.apply_model(timed, ["heard", "sec"], "times", "array<double>", "aligner", models.even_aligner)
     return times.select(_doc(), "heard", F.size("times").cast("long").alias("n_times"), F.round(F.try_element_at("times", F.lit(-1)), 10).alias("last_sec"))
@@ -268,7 +268,7 @@ def segment_layout(spark, sf_dir):
     start = F.col("segment_index").cast("double")
     spans = pieces.select("stem", "segment_index", "status", start.alias("cut_start_sec"), (start + F.length("transcript") / RATE).alias("cut_end_sec"))
     sounds = signal.cut_segments(heard(spark, sf_dir), spans).select("stem", "segment_index", "wav")
-    rows = pieces.join(sounds, ["stem", "segment_index"]).withColumnRenamed("stem", "source_id").withColumn("meta", F.to_json(F.struct("status")))
+    rows = pieces.join(sorted_sides(sounds), ["stem", "segment_index"]).withColumnRenamed("stem", "source_id").withColumn("meta", F.to_json(F.struct("status")))
     sha = F.when(~F.endswith("path", F.lit(".wav")), F.sha2("content", 256))
     return files.segment_files(rows).select("path", F.length("content").alias("n_bytes"), sha.alias("text_sha256"))
 
