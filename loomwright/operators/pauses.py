@@ -50,6 +50,12 @@ def combined_quantiles(pauses: DataFrame, source: str = "source_id", category: s
     return found.select(source, "n", *_quantiles(F.col("n"), F.col("q")), (F.col("n") < FEWEST).alias("is_fallback"))
 
 
+def beside(pause: Column, source: str = "source_id") -> Column:
+    """A struct of the seven quantiles of a source's pauses (null ones do not count), on each of its rows: those meet sorted, no map of groups is kept."""
+    whole = Window.partitionBy(source)
+    return F.struct(*_quantiles(F.count(pause).over(whole), F.percentile(pause, F.array(*map(F.lit, POINTS))).over(whole)))
+
+
 def pause_warning(category: Column, pause: Column, strong: Column, weak: Column, bare: Column) -> Column:
     """Why a pause looks wrong for its punctuation, or null."""
     return (

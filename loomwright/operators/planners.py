@@ -18,16 +18,17 @@ from __future__ import annotations
 import itertools
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomwright.functions.pointers import followed, sorted_groups
 from loomwright.functions.tables import written
-from loomwright.operators.pauses import combined_quantiles
+from loomwright.operators.pauses import LONGEST_PAUSE_MS, beside
 from loomwright.sources.audio import decode, trim
 
 # Fixed values of the rules, in seconds and milliseconds.
@@ -51,6 +52,11 @@ def boundary_rows(tokens: DataFrame, source: str = "source_id", keep: tuple[str,
     before begins at ``from_token`` and opens at ``from_opens``. ``row``
     numbers the boundaries, ``n_tokens`` counts the source's tokens.
     """
+    return _rows_of_all(tokens, source, keep).where("kind is not null")
+
+
+def _rows_of_all(tokens: DataFrame, source: str, keep: tuple[str, ...]) -> DataFrame:
+    """Boundary rows, and of each source that no boundary divides its last token, which has no kind."""
     by = Window.partitionBy(source).orderBy("idx")
     start, end = F.col("start_sec"), F.col("end_sec")
     after = F.lead(start).over(by)
@@ -59,19 +65,21 @@ def boundary_rows(tokens: DataFrame, source: str = "source_id", keep: tuple[str,
             "token": F.row_number().over(by) - 1,
             "closes": F.when(after.isNull(), end).otherwise(F.least((end + after) / 2, end + PADDING_SEC)),
             "_next_opens": F.greatest((end + after) / 2, after - PADDING_SEC),
-            "_first_opens": F.first(start).over(by),
-            "n_tokens": F.count("*").over(Window.partitionBy(source)),
+            "_first_opens": F.first(start).over(by.rowsBetween(Window.unboundedPreceding, 0)),
+            "_ends": F.lead(F.lit(1)).over(by).isNull(),
         }
     )
-    rows = timed.where("kind is not null").withColumns(
+    # the last token stays for now, boundary or not: behind it there is no row that it could change
+    rows = timed.where("kind is not null or _ends").withColumns(
         {
             "from_token": F.coalesce(F.lag("token").over(by) + 1, F.lit(0)),
             "from_opens": F.coalesce(F.lag("_next_opens").over(by), F.col("_first_opens")),
             "row": F.row_number().over(by) - 1,
+            "n_tokens": (F.max("token").over(Window.partitionBy(source)) + 1).cast("long"),
         }
     )
     extra = [c for c in keep if c in tokens.columns]
-    return rows.select(source, "row", "token", "from_token", "from_opens", "closes", "kind", F.col("pause_ms").cast("double").alias("pause_ms"), "n_tokens", *extra)
+    return rows.where("kind is not null or row = 0").select(source, "row", "token", "from_token", "from_opens", "closes", "kind", F.col("pause_ms").cast("double").alias("pause_ms"), "n_tokens", *extra)
 
 
 # -- rules of the strategies -------------------------------------------------
@@ -153,14 +161,23 @@ RULES: dict[str, Callable[[], Rules]] = dict(zip(STRATEGIES[1:], (rules_v1, rule
 
 
 class Region:
-    """The rows of a region, in order, as lists."""
+    """The rows of a region, in order: stretches ``a`` to ``z`` of the lists of whole batches."""
+
+    def __init__(self, columns: dict[str, list], a: int, z: int):
+        self.columns, self.a, self.z, self.n = columns, a, z, z - a
+        self.from_opens, self.closes, self.pause_ms, self.flags = (columns[c][a:z] for c in ("from_opens", "closes", "pause_ms", "flags"))
 
-    def __init__(self, table: pa.Table):
-        self.table = table
-        for c in ("token", "from_token", "from_opens", "closes", "pause_ms", "flags", "worth", "spoils"):
-            setattr(self, c, table[c].to_pylist())
-        self.n = len(self.token)
-        self.before = [0, *itertools.accumulate(self.spoils)]
+    def part(self, column: str) -> list:
+        return self.columns[column][self.a : self.z]
+
+    @cached_property
+    def worth(self) -> list:
+        return self.part("worth")
+
+    @cached_property
+    def before(self) -> list:
+        """What the boundaries before each row cost."""
+        return [0, *itertools.accumulate(self.part("spoils"))]
 
 
 @dataclass(frozen=True)
@@ -200,7 +217,8 @@ def _more_worth(middle: float) -> Callable[..., tuple]:
 
 def best_chain(r: Region, begin: int, cuts: list[int], bounds: Bounds, zero: tuple, add: Callable[..., tuple], to_end: bool) -> list[Link]:
     """The best chain of valid links from the row ``begin`` over ``cuts`` (rows, the region's last one included); ``to_end``: it must reach that."""
-    reach = bounds.longest + bounds.most_trim + 1e-9
+    shortest, longest, trim, opens = bounds.shortest, bounds.longest, bounds.trim, r.from_opens
+    reach = longest + bounds.most_trim + 1e-9
     scores: list[tuple] = [zero]
     came: list[tuple[int, Link | None]] = [(-1, None)]
     starts: list[int | None] = [begin]  # row that a link from here begins with
@@ -213,9 +231,8 @@ def best_chain(r: Region, begin: int, cuts: list[int], bounds: Bounds, zero: tup
             s = starts[k]
             if s is None:
                 continue
-            trimmed = bounds.lengths(r, s, e)[1]
-            short = round(trimmed, 3)
-            if bounds.fits(trimmed) and short > 0:
+            trimmed = trim(opens[s], closes) if trim else closes - opens[s]
+            if shortest <= trimmed <= longest and (short := round(trimmed, 3)) > 0:
                 score = add(scores[k], r, s, e, short)
                 if best is None or score >= best[0]:  # of equals the earliest place
                     best = (score, k, (s, e))
@@ -266,7 +283,7 @@ def by_phases(names: list[str], needs_inner: bool, worth: bool, leftover: bool =
 
 def legacy_path(r: Region, bounds: Bounds) -> Found | None:
     """Between two anchors, the path with the fewest bad lengths and cuts; none may skip a must-cut. None where there is no path."""
-    quality, policy = r.table["quality"].to_pylist(), r.table["policy"].to_pylist()
+    quality, policy = r.part("quality"), r.part("policy")
     rank = {"perfect": 0, "ok": 1}
     target = (bounds.shortest + bounds.longest) / 2
     best: list[tuple[tuple, int] | None] = []
@@ -299,6 +316,12 @@ def legacy_path(r: Region, bounds: Bounds) -> Found | None:
 # -- regions dealt over tasks ------------------------------------------------
 
 _READ = ("region", "token", "from_token", "from_opens", "closes", "kind", "pause_ms", "flags", "worth", "spoils", "quality", "policy", "problem")
+_LISTED = ("from_opens", "closes", "pause_ms", "flags", "worth", "spoils", "quality", "policy")  # what solving reads
+
+
+def _listed(column: pa.ChunkedArray) -> list:
+    """A column's values; numbers by way of numpy, which is many times faster."""
+    return column.to_pylist() if column.null_count or not (pa.types.is_integer(column.type) or pa.types.is_floating(column.type)) else column.to_numpy().tolist()
 
 
 def plan_regions(rows: DataFrame, source: str, solve: Callable[[Region, Bounds], Found | None], shortest: float, longest: float, audio: DataFrame | None = None) -> DataFrame:
@@ -310,36 +333,39 @@ def plan_regions(rows: DataFrame, source: str, solve: Callable[[Region, Bounds],
     kind = rows.schema[source].dataType.simpleString()
     by = Window.partitionBy(source, "region").orderBy("token")
     used = [c for c in _READ if c in rows.columns]
-    more = {c: F.lit(d) for c, d in (("worth", 0), ("spoils", 0), ("quality", "bad"), ("policy", "normal")) if c not in used}
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # as many tasks, however few bytes the rows have
-    dealt = rows.select(source, *used).withColumns(more).repartition(n, source, "region").withColumn("opens_region", F.row_number().over(by) == 1)
+    dealt = rows.select(source, *used).repartition(n, source, "region").withColumn("opens_region", F.row_number().over(by) == 1)
     fields = f"{source} {kind}, region long, {PLAN_FIELDS}"
     names = [f.split()[0] for f in fields.split(", ")]
+    types = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.bool_(), pa.bool_(), pa.string(), pa.string(), pa.float64(), pa.string())
 
     def solved(table: pa.Table, bounds: Bounds) -> pa.Table:
-        links: list[tuple] = []
-        place: list[int] = []
+        table = table.combine_chunks()
+        columns = {c: _listed(table[c]) for c in _LISTED if c in table.column_names}
         begins = np.flatnonzero(table["opens_region"].to_numpy()).tolist()
-        problems = table["problem"].to_pylist()
-        kinds = table["kind"].to_pylist()
-        for a, z in zip(begins, [*begins[1:], table.num_rows], strict=True):
-            found, said = [], problems[a]
+        problems = table["problem"].take(pa.array(begins, pa.int64())).to_pylist()
+        first, last, made = [], [], []  # the rows of each link, and what is said of it
+        for a, z, said in zip(begins, [*begins[1:], table.num_rows], problems, strict=True):
+            found = []
             if said is None:
-                r = Region(table.slice(a, z - a))
+                r = Region(columns, a, z)
                 found = solve(r, bounds)
                 if found is None:
                     found, said = [], "unable to plan a cut path to the selected anchor"
             for (s, e), phase in found:
                 raw, trimmed = bounds.lengths(r, s, e)
-                links.append((r.from_token[s], r.token[e], round(raw, 3), round(trimmed, 3), bounds.fits(trimmed), phase == "leftover", phase, kinds[a + e], r.pause_ms[e], None))
-                place.append(a)
+                first.append(a + s)
+                last.append(a + e)
+                made.append((round(raw, 3), round(trimmed, 3), bounds.fits(trimmed), phase == "leftover", phase, None))
             if said is not None:
-                links.append((None,) * 9 + (said,))
-                place.append(a)
-        at = pa.array(place, pa.int64())
-        types = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.bool_(), pa.bool_(), pa.string(), pa.string(), pa.float64(), pa.string())
-        columns = [pa.array([x[k] for x in links], t) for k, t in enumerate(types)]
-        return pa.table([table[source].take(at), table["region"].take(at), *columns], names)
+                first.append(a)
+                last.append(None)
+                made.append((None,) * 5 + (said,))
+        at, to = pa.array(first, pa.int64()), pa.array(last, pa.int64())
+        raw, trimmed, valid, dropped, phase, problem = (pa.array([x[k] for x in made], t) for k, t in enumerate((*types[2:7], types[9])))
+        begun = table["from_token"].take(pc.if_else(pc.is_valid(to), at, None))
+        out = [begun, table["token"].take(to), raw, trimmed, valid, dropped, phase, table["kind"].take(to), table["pause_ms"].take(to), problem]
+        return pa.table([table[source].take(at), table["region"].take(at), *(c.cast(t) for c, t in zip(out, types, strict=True))], names)
 
     if audio is None:
         plain = Bounds(shortest, longest)
@@ -420,6 +446,9 @@ def most_trimmed(signal: np.ndarray, rate: int, top_db: float = 60.0, frame: int
 # -- strategies --------------------------------------------------------------
 
 
+_BARE = "no candidate punctuation boundaries found"
+
+
 def _with_stats(rows: DataFrame, stats: DataFrame, source: str) -> DataFrame:
     of = stats.withColumnRenamed(source, "_of")
     return rows.join(of, F.col(source).eqNullSafe(F.col("_of")), "left").drop("_of")
@@ -442,15 +471,11 @@ def _regions(rows: DataFrame, rules: Rules, strategy: str, source: str) -> DataF
     last = F.max(F.when(F.col("_must"), F.struct("token", "kind"))).over(whole)
     numbered = rows.withColumn("region", F.coalesce(F.sum(F.col("_must").cast("long")).over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).withColumn("_last", last)
     lost = ~F.coalesce(F.col("_last.kind") == "final", F.lit(False))
-    numbered = numbered.withColumn("problem", F.when(lost, F.lit(f"{strategy} found no final must_cut boundary")))
+    bare = F.col("kind").isNull()
+    numbered = numbered.withColumn("problem", F.when(bare, _BARE).when(lost, F.lit(f"{strategy} found no final must_cut boundary"))).withColumn("pause_ms", F.when(bare, 0.0).otherwise(F.col("pause_ms")))
     return numbered.where((F.col("problem").isNull() & (F.col("token") <= F.col("_last.token"))) | (F.col("problem").isNotNull() & (F.col("row") == 0)))
 
 
-def _without_boundaries(tokens: DataFrame, source: str) -> DataFrame:
-    """A row with the problem for each source that no boundary divides."""
-    return _problem(tokens.groupBy(source).agg(F.count("kind").alias("n")).where("n = 0"), source, "no candidate punctuation boundaries found")
-
-
 def _problem(sources: DataFrame, source: str, said: str, *more: str) -> DataFrame:
     none = [F.lit(None).cast(f.split()[1]).alias(f.split()[0]) for f in PLAN_FIELDS.split(", ")[:-1]]
     return sources.select(source, *more, *none, F.lit(said).alias("problem"))
@@ -503,8 +528,7 @@ def anchors(rows: DataFrame, source: str) -> DataFrame:
 
 
 def _plan_legacy(rows: DataFrame, source: str, bounds: tuple[float, float], audio: DataFrame | None) -> DataFrame:
-    """Windows from anchor to anchor: pointers from each start, the chain of a source's first one, then each window by itself."""
-    rows = written(rows)
+    """Windows from anchor to anchor: pointers from each start, the chain of a source's first one, then each window by itself; ``rows`` are a table."""
     pointed = written(anchors(rows, source).withColumn("next", F.col("anchor") + 1))
     used = followed(pointed, source, "row", "next")
     used = used.join(pointed.drop("next").withColumnsRenamed({source: "_s", "row": "_row"}), F.col(source).eqNullSafe(F.col("_s")) & (F.col("row") == F.col("_row")))
@@ -531,7 +555,8 @@ def plan_segments(tokens: DataFrame, strategy: str, shortest: float, longest: fl
     ``tokens``: a row for each token with idx, start_sec, end_sec; where a
     boundary follows, kind, pause_ms (and quality, policy, label). ``stats``:
     a row for each source with structs strong and weak of its pause
-    quantiles; without it they stand on the tokens. With ``audio`` (the
+    quantiles; without it they are those of the boundaries' own pauses by
+    ``category``, or where tokens have none stand on the tokens. With ``audio`` (the
     source and WAV ``content``, a row each) segments are judged by their
     lengths without silent ends; a source without audio by its whole lengths.
     What keeps a source from being planned is in ``problem``, on a row of its
@@ -539,35 +564,31 @@ def plan_segments(tokens: DataFrame, strategy: str, shortest: float, longest: fl
     """
     if strategy not in STRATEGIES:
         return _problem(tokens.select(source).distinct(), source, f"unknown rough cut strategy: {strategy}")
-    rows = boundary_rows(tokens, source)
-    for c, d in (("quality", "bad"), ("policy", "normal"), ("label", "ok")):
-        if c not in rows.columns:
-            rows = rows.withColumn(c, F.lit(d))
     bounds = (shortest, longest)
+    rows = _rows_of_all(tokens, source, ("quality", "policy") if strategy == "legacy_dp" else ("label", "category"))
     if strategy == "legacy_dp":
-        planned = _plan_legacy(rows, source, bounds, audio)
+        for c, d in (("quality", "bad"), ("policy", "normal")):
+            if c not in rows.columns:
+                rows = rows.withColumn(c, F.lit(d))
+        rows = written(rows)
+        planned = _plan_legacy(rows.where("kind is not null"), source, bounds, audio)
+        return planned.drop("region").unionByName(_problem(rows.where("kind is null"), source, _BARE))
+    if "label" not in rows.columns:
+        rows = rows.withColumn("label", F.lit("ok"))
+    if strategy == "priority_silence_v3":
+        rows = rows.withColumn("both", beside(F.when(_kind("strong", "weak"), F.col("pause_ms")), source))
+    elif stats is None and "category" in rows.columns:
+        counts = F.col("pause_ms") <= LONGEST_PAUSE_MS
+        rows = rows.withColumns({c: beside(F.when((F.col("category") == c) & counts, F.col("pause_ms")), source) for c in ("strong", "weak")})
     else:
-        if strategy == "priority_silence_v3":
-            q = combined_quantiles(rows, source, "kind")
-            stats = q.select(source, F.struct(*[c for c in q.columns if c.startswith("p")]).alias("both"))
-        elif stats is None:
+        if stats is None:
             stats = tokens.groupBy(source).agg(F.any_value("strong").alias("strong"), F.any_value("weak").alias("weak"))
-        rules = RULES[strategy]()
         rows = _with_stats(rows, stats, source)
-        if strategy == "priority_silence_v3":  # a source without strong or weak boundaries has the fixed quantiles
-            rows = rows.withColumn("both", F.coalesce("both", _fixed_quantiles()))
-        rows = _regions(rows, rules, strategy, source)
-        if strategy == "priority_silence_v2":
-            planned = _plan_v2(rows, rules, source, bounds, audio)
-        else:
-            if rules.worth is not None:
-                rows = rows.withColumns({"worth": rules.worth, "spoils": rules.spoils})
-            solve = by_phases([name for name, _ in rules.phases], rules.needs_inner, rules.worth is not None)
-            planned = plan_regions(_flagged(rows, rules.phases), source, solve, *bounds, audio)
-    return planned.drop("region").unionByName(_without_boundaries(tokens, source))
-
-
-def _fixed_quantiles() -> Column:
-    from loomwright.operators.pauses import FALLBACK, NAMES
-
-    return F.struct(*(F.lit(v).alias(n) for n, v in zip(NAMES, FALLBACK, strict=True)))
+    rules = RULES[strategy]()
+    rows = _regions(rows, rules, strategy, source)
+    if strategy == "priority_silence_v2":
+        return _plan_v2(rows, rules, source, bounds, audio).drop("region")
+    if rules.worth is not None:
+        rows = rows.withColumns({"worth": rules.worth, "spoils": rules.spoils})
+    solve = by_phases([name for name, _ in rules.phases], rules.needs_inner, rules.worth is not None)
+    return plan_regions(_flagged(rows, rules.phases), source, solve, *bounds, audio).drop("region")
