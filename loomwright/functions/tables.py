@@ -199,6 +199,15 @@ def group_quantiles(rows: DataFrame, by: list[str], wanted: dict[str, tuple[str,
     return joined_by(bounds.select(*keys), found, keys).select(*(F.col(k).alias(c) for c, k in zip(by, keys, strict=True)), *wanted)
 
 
+def spread(df: DataFrame, *by: str) -> DataFrame:
+    """Rows of a key in one task, in as many tasks as the session shuffles to.
+
+    Left alone, Spark joins parts by their compressed bytes, and narrow rows
+    that are sorted again and again in a task take many times those.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
+
+
 def sorted_sides(df: DataFrame) -> DataFrame:
     """``df`` for joins that sort and merge both sides.
 

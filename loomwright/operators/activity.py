@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomwright.functions.pointers import followed, sorted_groups
-from loomwright.functions.tables import written
+from loomwright.functions.tables import spread, written
 
 
 def adaptive_threshold(rows: DataFrame, key: str, level: str, quarter: float = 1.8, half: float = 0.45, top: float = 0.025, least: float = 1e-6) -> DataFrame:
@@ -57,6 +57,7 @@ def true_runs(rows: DataFrame, key: str, order: list[str], mask: Column) -> Data
 def gap_regions(rows: DataFrame, key: str, time: str, largest_gap: float, order: list[str]) -> DataFrame:
     """Regions of rows no more than ``largest_gap`` apart: ``region, start, end, n`` for each key."""
     by = Window.partitionBy(key).orderBy(*order)
+    rows = spread(rows, key)
     new = F.when(F.col(time) - F.lag(time).over(by) > largest_gap, 1).otherwise(0)
     numbered = rows.withColumn("_new", new).withColumn("region", F.sum("_new").over(by.rowsBetween(Window.unboundedPreceding, 0)))
     return numbered.groupBy(key, "region").agg(F.min(time).alias("start"), F.max(time).alias("end"), F.count("*").alias("n"))
@@ -65,6 +66,7 @@ def gap_regions(rows: DataFrame, key: str, time: str, largest_gap: float, order:
 def merge_intervals(rows: DataFrame, key: str, start: str = "start", end: str = "end", largest_gap: float = 0) -> DataFrame:
     """Coalesced intervals of each key; those at most ``largest_gap`` apart become one."""
     by = Window.partitionBy(key).orderBy(start, end)
+    rows = spread(rows, key)
     reach = F.max(end).over(by.rowsBetween(Window.unboundedPreceding, -1))
     flagged = rows.withColumn("_new", F.when(reach.isNull() | (F.col(start) - reach > largest_gap), 1).otherwise(0))
     grouped = flagged.withColumn("_g", F.sum("_new").over(by.rowsBetween(Window.unboundedPreceding, 0)))
@@ -77,13 +79,14 @@ def subtract_intervals(whole: DataFrame, holes: DataFrame, key: str, start: str
     A sweep over the ends of holes and intervals counts, at each interval's
     start, the holes that have ended and, at its end, those that have begun:
     between the two lie the gaps it reaches, which it then meets by their
-    numbers. Nothing is compared that is not part of the result.
+    numbers. Nothing is compared that is not part of the result. Merged
+    holes and intervals are written, as the sweep reads them many times.
     """
-    merged = merge_intervals(holes, key, start, end).select(F.col(key).alias("k"), F.col(start).alias("hs"), F.col(end).alias("he"))
+    merged = written(merge_intervals(holes, key, start, end).select(F.col(key).alias("k"), F.col(start).alias("hs"), F.col(end).alias("he")))
     by = Window.partitionBy("k").orderBy("hs")
     numbered = merged.withColumn("j", F.row_number().over(by) - 1).withColumn("from", F.lag("he").over(by)).withColumn("next", F.lead("hs").over(by))
     gaps = numbered.select("k", "j", "from", F.col("hs").alias("to")).unionByName(numbered.where("next is null").select("k", (F.col("j") + 1).alias("j"), F.col("he").alias("from"), F.lit(None).cast(holes.schema[start].dataType).alias("to")))
-    wholes = whole.groupBy(F.col(key).alias("k"), F.col(start).alias("s"), F.col(end).alias("e")).agg(F.count("*").alias("n"))
+    wholes = written(whole.groupBy(F.col(key).alias("k"), F.col(start).alias("s"), F.col(end).alias("e")).agg(F.count("*").alias("n")))
     none = F.lit(None)
     events = [
         merged.select("k", F.col("he").alias("at"), F.lit(0).alias("order"), none.alias("s"), none.alias("e"), none.alias("n")),
@@ -93,7 +96,7 @@ def subtract_intervals(whole: DataFrame, holes: DataFrame, key: str, start: str
     ]
     swept = Window.partitionBy("k").orderBy("at", "order").rowsBetween(Window.unboundedPreceding, 0)
     count = lambda order: F.sum((F.col("order") == order).cast("long")).over(swept)
-    seen = reduce(DataFrame.unionByName, events).withColumn("ended", count(0)).withColumn("begun", count(2)).where("order = 1")
+    seen = spread(reduce(DataFrame.unionByName, events), "k").withColumn("ended", count(0)).withColumn("begun", count(2)).where("order = 1")
     reach = seen.groupBy("k", "s", "e").agg(F.max("n").alias("n"), F.min("ended").alias("i"), F.max("begun").alias("z")).where("s < e")
     parts = reach.select("k", "s", "e", F.explode(F.sequence("i", F.greatest("i", "z"))).alias("j"), "n").withColumnsRenamed({"k": "wk", "j": "wj"})
     parts = parts.join(gaps, F.col("wk").eqNullSafe(F.col("k")) & (F.col("wj") == F.col("j")), "left")
