@@ -289,6 +289,18 @@ def give_back() -> None:
         _trim(0)
 
 
+#: Tables that a worker keeps from task to task: vocabularies with their caches, powers of a hash's base.
+TABLES: list[dict] = []
+
+
+def forget(*used: dict) -> None:
+    """Drops what a reused worker keeps for other steps than the one that begins; ``used``: the tables of that step."""
+    for table in TABLES:
+        if not any(table is x for x in used):
+            table.clear()
+    give_back()
+
+
 def ragged(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The runs flat[starts[k] : starts[k] + sizes[k]] one after another."""
     total = int(sizes.sum())
@@ -305,3 +317,4 @@ def text_batches(batch: pa.RecordBatch, name: str = "text", size: int = 8 << 20)
         j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + size, "right")) - 1)
         yield batch.slice(i, j - i)
         i = j
+    give_back()

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomwright.llm.bytesets import mix, ragged, text_batches, word_hashes
+from loomwright.llm.bytesets import forget, give_back, mix, ragged, text_batches, word_hashes
 from loomwright.llm.common import fresh, materialise, settled, text_rows, with_row_ids
 
 _BLOCK = 256
@@ -75,6 +75,7 @@ def band_hashes(g: np.ndarray, bounds: np.ndarray, bands: int, rows: int) -> np.
 
 def _sign(n: int, bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for whole in batches:
             for batch in text_batches(whole, "text", 1 << 20):
                 g, bounds = ngrams(batch.column("text"), n)
@@ -199,6 +200,7 @@ def _verify(n: int, threshold: float):
             own = [rid[some], np.full(len(some), -1), links[some]]
             rows = [np.append(own[0], [e[0] for e in edges]), np.append(own[1], [e[1] for e in edges]), np.append(own[2], np.zeros(len(edges)))]
             yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in rows], ["rid", "other", "links"])
+        give_back()
 
     return run
 

@@ -22,9 +22,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomwright.llm.bytesets import text_batches
+from loomwright.llm.bytesets import forget, text_batches
 from loomwright.llm.common import fresh, materialise, quoted, ranked
-from loomwright.llm.token_counts import counter
+from loomwright.llm.token_counts import counter, loaded
 
 CAPACITY = 4096
 END_ID = 1
@@ -39,6 +39,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget(loaded)
         tokens = counter(vocabulary)
         for whole in batches:
             for batch in text_batches(whole, "text", 4 << 20):

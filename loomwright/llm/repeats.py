@@ -30,13 +30,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from loomwright.llm.bytesets import mix, text_batches, text_bytes
+from loomwright.llm.bytesets import TABLES, forget, mix, text_batches, text_bytes
 from loomwright.llm.common import fresh, materialise, quoted, settled, text_rows, with_row_ids
 
 _BLOCK = 2 << 20
 _WINDOW = 8
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _powers: dict[str, np.ndarray] = {}
+TABLES.append(_powers)
 
 
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -100,6 +101,7 @@ def _parse(length: int, reach: int, size: int, contexts: bool = True):
     """``phrase, context, places``; without ``contexts`` how often each phrase of a batch occurs there (``phrase, n``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget(_powers)
         for whole in batches:
             for batch in text_batches(whole, "text", 4 * size):
                 data, offsets = text_bytes(batch.column("text"))

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from loomwright.llm.bytesets import UnitCache, Units, blocks, ragged, spaced_starts, text_batches, text_bytes, word_starts
+from loomwright.llm.bytesets import TABLES, UnitCache, Units, blocks, ragged, spaced_starts, text_batches, text_bytes, word_starts
 
 CHUNK_CHARS = 1 << 16
 OVERLAP_CHARS = 1 << 10
@@ -217,13 +217,14 @@ class Counter:
             yield part, rows, np.diff(np.append(0, np.cumsum(every))[u.bounds])
 
 
-_loaded: dict[str, Counter] = {}
+loaded: dict[str, Counter] = {}
+TABLES.append(loaded)
 
 
 def counter(path: str) -> Counter:
-    if path not in _loaded:
-        _loaded[path] = Counter(path)
-    return _loaded[path]
+    if path not in loaded:
+        loaded[path] = Counter(path)
+    return loaded[path]
 
 
 def count_tokens(docs: DataFrame, vocabulary: str, limit: int = 512, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

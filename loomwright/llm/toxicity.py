@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomwright.llm.bytesets import PLAIN, mix, ragged, text_batches, word_hashes
+from loomwright.llm.bytesets import PLAIN, forget, give_back, mix, ragged, text_batches, word_hashes
 
 BITS = 20
 MAX_TRAINING_ROWS = 20_000
@@ -103,6 +103,7 @@ def fit(docs: DataFrame, labels: DataFrame, bits: int = BITS, most_rows: int = M
     rows = rows.select(F.xxhash64("doc_id").alias("key"), "one.text", "one.y")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for whole in batches:
             for batch in text_batches(whole, size=2 << 20):
                 slots, bounds = features(batch.column("text"), bits)
@@ -111,30 +112,36 @@ def fit(docs: DataFrame, labels: DataFrame, bits: int = BITS, most_rows: int = M
                 row = np.repeat(np.arange(len(parts)), parts)
                 start = bounds[row] + (np.arange(len(row)) - np.repeat(np.cumsum(parts) - parts, parts)) * _PART
                 lists = pa.ListArray.from_arrays(pa.array(np.append(start, bounds[-1]).astype(np.int32)), pa.array(slots.astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([batch.column("key").take(pa.array(row)), batch.column("y").take(pa.array(row)), lists], ["key", "y", "slots"])
+                yield pa.RecordBatch.from_arrays([batch.column("key").take(pa.array(row)), pa.array(start.astype(np.int32)), batch.column("y").take(pa.array(row)), lists], ["key", "at", "y", "slots"])
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flat, sizes, keys, labels_ = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
+        # parts come sorted, so that the slots of a row stand together where they are first put; one array of them is held, and grown in place
+        forget()
+        slots, used, sizes, keys, labels_ = np.zeros(1 << 16, np.int32), 0, [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
         for batch in batches:
             lists = batch.column("slots")
-            flat.append(lists.flatten().to_numpy().copy())
+            part = lists.flatten().to_numpy()
+            if used + len(part) > len(slots):
+                slots.resize(used + len(part) + len(slots) // 4, refcheck=False)
+            slots[used : used + len(part)] = part
+            used += len(part)
             sizes.append(np.diff(lists.offsets.to_numpy()).astype(np.int64))
-            keys.append(batch.column("key").to_numpy())
-            labels_.append(batch.column("y").to_numpy())
-        slots = np.concatenate(flat)
-        del flat
+            keys.append(batch.column("key").to_numpy().copy())
+            labels_.append(batch.column("y").to_numpy().copy())
+            del batch, lists, part
+        give_back()
         size, key, y = np.concatenate(sizes), np.concatenate(keys), np.concatenate(labels_)
-        order = np.argsort(key, kind="stable")  # rows of one document together, in the same order whatever task they came from
-        start = np.cumsum(size) - size
-        slots = np.concatenate([slots[:0], *(ragged(slots, start[k], size[k]) for k in np.array_split(order, 1 + len(order) // 4096))])
-        ids, first = np.unique(key[order], return_index=True)
-        size = np.add.reduceat(size[order], first) if len(ids) else size
-        w, bias = ftrl(slots, np.cumsum(size) - size, size, y[order][first] if len(ids) else y, bits)
+        ids, first = np.unique(key, return_index=True)
+        size = np.add.reduceat(size, first) if len(ids) else size
+        w, bias = ftrl(slots[:used], np.cumsum(size) - size, size, y[first] if len(ids) else y, bits)
+        del slots
+        give_back()
         use = np.flatnonzero(w)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(use, -1)), pa.array(np.append(w[use], bias))], ["slot", "weight"])
 
-    # one task, for a sample of bounded size
-    found = rows.mapInArrow(extract, "key long, y double, slots array<int>").repartition(1).mapInArrow(learn, "slot long, weight double").toPandas()
+    # one task, for a sample of bounded size; rows in the same order whatever task they came from
+    parts = rows.mapInArrow(extract, "key long, at int, y double, slots array<int>").repartition(1).sortWithinPartitions("key", "at")
+    found = parts.mapInArrow(learn, "slot long, weight double").toPandas()
     bias = float(found.loc[found["slot"] < 0, "weight"].sum())
     found = found[found["slot"] >= 0]
     return found["slot"].to_numpy(np.int64), found["weight"].to_numpy(float), bias
@@ -159,6 +166,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], bits: in
     values = _scorer(docs, model, bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for whole in batches:
             for batch in text_batches(whole, size=2 << 20):
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(values(batch.column("text")))], ["doc_id", "score"])
@@ -193,6 +201,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, bits: int = BITS, most_rows:
     text = f"c{docs.columns.index('text')}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for whole in batches:
             for batch in text_batches(whole, text, 2 << 20):
                 yield batch.filter(pa.array(values(batch.column(text)) < 0.5))
