@@ -10,7 +10,10 @@ widened until there is one, or until the chunk holds all that is left.
 
 Shorter texts are cut where ASCII white space begins a run of white space (of
 Unicode, as the patterns read it); no pre-token of the known patterns reaches
-across, so that each distinct unit of a block is encoded once.
+across, so that each distinct unit of a block is encoded once. Where the
+pattern drops white space, words are cut further, between ASCII characters
+that no pre-token joins, and read in lower case if the vocabulary does that,
+so that a word is one unit whatever marks and capitals it has.
 """
 
 from __future__ import annotations
@@ -23,17 +26,50 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from loomwright.llm.bytesets import TABLES, UnitCache, Units, blocks, ragged, spaced_starts, text_batches, text_bytes, word_starts
+from loomwright.llm.bytesets import TABLES, WHITE, UnitCache, Units, blocks, ragged, spaced_starts, text_batches, text_bytes, word_starts
 
 CHUNK_CHARS = 1 << 16
 OVERLAP_CHARS = 1 << 10
 _CACHE_UNITS = 600_000
 _BLOCK = 1 << 20
 _MOST_JOINED = 4000
+_MOST_PLAIN = 1000
 #: Pre-tokenizer patterns (fixed values) in which a match never holds white space after something else.
 _KNOWN = {
     "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+": True,  # white space is dropped
 }
+#: The normaliser that is known to lower each character by itself, after characters were composed.
+_LOWERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+#: Kinds of bytes: white space, letter, digit, other, apostrophe, beyond ASCII.
+_KIND = np.full(256, 3, np.uint8)
+_KIND[WHITE] = 0
+_KIND[[c for c in range(128) if chr(c).isalpha()]] = 1
+_KIND[48:58] = 2
+_KIND[ord("'")] = 4
+_KIND[128:] = 5
+#: Whether a unit starts at the second of two kinds. No match of the known pattern holds both then: only after an apostrophe do letters
+#: go on with what is before them, and what is beyond ASCII may change the kind of the character before it.
+_APART = np.zeros(36, bool)
+_APART[[6 * a + b for a, after in enumerate(((1, 2, 3, 4, 5), (2, 3, 4), (1, 3, 4), (1, 2), (2,), ())) for b in after]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+
+
+def part_starts(b: np.ndarray) -> np.ndarray:
+    """Parts of words: runs without ASCII white space, cut between ASCII characters of which no match of the known pattern holds both."""
+    kind = _KIND[b]
+    s = np.zeros(len(b), bool)
+    s[:1] = kind[:1] > 0
+    s[1:] = _APART[kind[:-1] * np.uint8(6) + kind[1:]]
+    return s
+
+
+def lowered(b: np.ndarray) -> np.ndarray:
+    """ASCII capitals in lower case, but for those before a character beyond ASCII, with which they may be composed first."""
+    out = _LOWER[b]
+    kept = np.flatnonzero(b[1:] >= 0x80)
+    out[kept] = b[kept]
+    return out
 
 
 class Counter:
@@ -58,6 +94,9 @@ class Counter:
         self.mark, self.mark_id = next(((t["content"].encode(), t["id"]) for t in added if plain and t["special"] and not t["normalized"]), (None, -1))
         self.cache = UnitCache(_CACHE_UNITS)
         self.apart = self._separator() if self.bare else None
+        self.marks = [t["content"].encode().lower() for t in added]  # a block that holds one is not cut within words
+        self.lowers = (norm or {}).get("type") == "Sequence" and norm["normalizers"] == _LOWERS
+        self.plain = self._plain(steps[1:]) if self.apart and self.lowers else None
 
     def encode_whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
@@ -70,7 +109,32 @@ class Counter:
                 return c.encode(), got[0][0]
         return None
 
+    def _plain(self, after: list[dict]) -> object | None:
+        """The model without a normaliser and the pattern, for words of a to z alone: both leave them as they are, and so does the byte level."""
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        if after != [{"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]:
+            return None
+        plain = Tokenizer(self.tokenizer.model)
+        plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        between, mark = self.apart
+        return plain if plain.encode(f"a {between.decode()} b", add_special_tokens=False).ids.count(mark) == 1 else None
+
     def encode_units(self, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids one after another, how many each unit has) of many short units; words of a to z go to the model by themselves."""
+        if self.plain is None:
+            return self._encode_units(raw)
+        is_plain = np.array([x.isalpha() and x.islower() for x in raw], bool)
+        out = [(np.flatnonzero(~is_plain), *self._encode_units([x for x, p in zip(raw, is_plain.tolist(), strict=True) if not p]))]
+        which = np.flatnonzero(is_plain)
+        between, mark = b" " + self.apart[0] + b" ", self.apart[1]
+        for k in range(0, len(which), _MOST_PLAIN):
+            part = which[k : k + _MOST_PLAIN]
+            ids = np.array(self.plain.encode_batch_fast([between.join([raw[i] for i in part.tolist()]).decode()], add_special_tokens=False)[0].ids, np.int32)
+            out.append((part, *_told_apart(ids, mark)))
+        return _in_place(out)
+
+    def _encode_units(self, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids one after another, how many each unit has) of many short units.
 
         Many are handed to the library at once. Words (their white space is
@@ -103,12 +167,8 @@ class Counter:
         joined = between.join(part)
         if joined.count(between.strip()) != len(part) - 1:
             return None
-        ids = np.array(self.encode_whole([joined.decode()])[0], np.int32)
-        is_mark = ids == mark
-        ends = np.append(np.flatnonzero(is_mark), len(ids))
-        if len(ends) != len(part):
-            return None
-        return ids[~is_mark], np.diff(ends, prepend=-1) - 1
+        flat, counts = _told_apart(np.array(self.encode_whole([joined.decode()])[0], np.int32), mark)
+        return (flat, counts) if len(counts) == len(part) else None
 
     def _merged(self, part: list[bytes], between: bytes) -> tuple[np.ndarray, np.ndarray]:
         out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -119,10 +179,7 @@ class Counter:
                 ids = self.encode_whole([x.decode() for x in units])
                 got = np.array([i for x in ids for i in x], np.int32), np.array([len(x) for x in ids], np.int64)
             out.append((np.array(which), *got))
-        place = np.argsort(np.concatenate([o[0] for o in out]))
-        counts = np.concatenate([o[2] for o in out])
-        flat = np.concatenate([o[1] for o in out])
-        return ragged(flat, (np.cumsum(counts) - counts)[place], counts[place]), counts[place]
+        return _in_place(out)
 
     def encode_huge(self, text: str, chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS) -> np.ndarray:
         """Ids of one long text from overlapping chunks; equal to encoding it at once."""
@@ -194,9 +251,16 @@ class Counter:
                     np.add.at(counts, rows + a, size)
         return (np.concatenate(flat) if flat else np.zeros(0, np.int32)), np.append(0, np.cumsum(counts))
 
+    def _marked(self, b: np.ndarray) -> bool:
+        """Whether the bytes hold an added token, in whatever case."""
+        low = _LOWER[b].tobytes()
+        return any(x in low for x in self.marks)
+
     def _units(self, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        starts = word_starts if self.bare else spaced_starts
         for b, pieces, rows in blocks(data, offsets, spaced_starts, _BLOCK):
+            starts = word_starts if self.bare else spaced_starts
+            if self.bare and not self._marked(b):
+                b, starts = lowered(b) if self.lowers else b, part_starts
             u = Units(b, pieces, starts, self.bare)
             h = u.hashes()
             first, inverse = u.distinct(h)
@@ -217,6 +281,20 @@ class Counter:
             yield part, rows, np.diff(np.append(0, np.cumsum(every))[u.bounds])
 
 
+def _told_apart(ids: np.ndarray, mark: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids without the marks between units, and how many each unit has."""
+    is_mark = ids == mark
+    return ids[~is_mark], np.diff(np.append(np.flatnonzero(is_mark), len(ids)), prepend=-1) - 1
+
+
+def _in_place(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Parts of units (their numbers, ids one after another, how many each has) in the order of their numbers."""
+    place = np.argsort(np.concatenate([p[0] for p in parts]))
+    counts = np.concatenate([p[2] for p in parts])
+    flat = np.concatenate([p[1] for p in parts])
+    return ragged(flat, (np.cumsum(counts) - counts)[place], counts[place]), counts[place]
+
+
 loaded: dict[str, Counter] = {}
 TABLES.append(loaded)
 

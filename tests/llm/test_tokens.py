@@ -265,3 +265,14 @@ def test_words_that_hold_the_separator():
     texts = ["a ~ b~c ~~ d", "~", "x~", *scrambled(500, ["~", " ", "a", "|", "^", "é", " "], 9), *["w%d~ v" % k for k in range(9000)]]
     ids, bounds = tokens.encode(pa.array(texts))
     assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])] == tokens.encode_whole(texts)
+
+
+def test_words_share_units_whatever_their_marks_and_capitals():
+    tokens = Counter(tokenizer_path("word_bpe_49k.json"))
+    texts = ["Word, word. word, WORD. (Word) wORD) 7word's Word7", "H̱ ẖ J̌ ≮ i̇ İ 1⃣", "don't DON'T 'safe \"'s '7 ''ll 12'34", "a<|endoftext|>b <|EndOfText|>, <|x|>"]
+    texts += scrambled(300, ["'", "s", "S", "ll", "H", "J", "=", "7", ".", " ", "\u0338", "\u0331", "\u030c", "é", "word"], 3)
+    assert tokens.encode(pa.array(texts[:1]))[0].tolist() == tokens.encode_whole(texts[:1])[0]
+    assert tokens.cache.n == 7  # word , . ( ) 7 's: eight words were eight units before
+    for some in (texts[:3], texts[3:4], texts):
+        ids, bounds = tokens.encode(pa.array(some))
+        assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == tokens.encode_whole(some)
