@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomwright.functions.tables import fresh
+
 POINTS = (0.05, 0.2, 0.4, 0.5, 0.6, 0.8, 0.95)
 NAMES = ("p5", "p20", "p40", "p50", "p60", "p80", "p95")
 # Quantiles of a category with fewer than five pauses, the longest pause that counts, the categories.
@@ -50,10 +52,16 @@ def combined_quantiles(pauses: DataFrame, source: str = "source_id", category: s
     return found.select(source, "n", *_quantiles(F.col("n"), F.col("q")), (F.col("n") < FEWEST).alias("is_fallback"))
 
 
-def beside(pause: Column, source: str = "source_id") -> Column:
-    """A struct of the seven quantiles of a source's pauses (null ones do not count), on each of its rows: those meet sorted, no map of groups is kept."""
+def beside(rows: DataFrame, source: str = "source_id", **pauses: Column) -> DataFrame:
+    """``rows`` with structs of the seven quantiles of a source's pauses (null ones do not count), on each of its rows: those meet sorted, no map of groups is kept.
+
+    Counts and quantiles are columns of their own before the structs are
+    made of them, as Spark computes a window anew for each place it is named in.
+    """
     whole = Window.partitionBy(source)
-    return F.struct(*_quantiles(F.count(pause).over(whole), F.percentile(pause, F.array(*map(F.lit, POINTS))).over(whole)))
+    n, q = ({c: fresh(rows, f"_{x}_{c}") for c in pauses} for x in ("n", "q"))
+    found = rows.withColumns({n[c]: F.count(p).over(whole) for c, p in pauses.items()} | {q[c]: F.percentile(p, F.array(*map(F.lit, POINTS))).over(whole) for c, p in pauses.items()})
+    return found.withColumns({c: F.struct(*_quantiles(F.col(n[c]), F.col(q[c]))) for c in pauses}).drop(*n.values(), *q.values())
 
 
 def pause_warning(category: Column, pause: Column, strong: Column, weak: Column, bare: Column) -> Column:

@@ -51,6 +51,11 @@ def boundary_rows(tokens: DataFrame, source: str = "source_id", keep: tuple[str,
     ``closes`` in the pause behind it, and one that begins behind the row
     before begins at ``from_token`` and opens at ``from_opens``. ``row``
     numbers the boundaries, ``n_tokens`` counts the source's tokens.
+
+    Where tokens know their ``place`` in the source, when the next one starts
+    (``next_sec``, null behind the last) and the first one (``first_sec``),
+    those that no boundary follows may be left out, but for a source's last;
+    either all of a source's tokens know their place or none does.
     """
     return _rows_of_all(tokens, source, keep).where("kind is not null")
 
@@ -58,19 +63,28 @@ def boundary_rows(tokens: DataFrame, source: str = "source_id", keep: tuple[str,
 def _rows_of_all(tokens: DataFrame, source: str, keep: tuple[str, ...]) -> DataFrame:
     """Boundary rows, and of each source that no boundary divides its last token, which has no kind."""
     by = Window.partitionBy(source).orderBy("idx")
-    start, end = F.col("start_sec"), F.col("end_sec")
-    after = F.lead(start).over(by)
+    start, end, after = F.col("start_sec"), F.col("end_sec"), F.col("_after")
+    # windows are columns of their own first: Spark computes one anew for each place it is named in
     timed = tokens.withColumns(
         {
             "token": F.row_number().over(by) - 1,
-            "closes": F.when(after.isNull(), end).otherwise(F.least((end + after) / 2, end + PADDING_SEC)),
-            "_next_opens": F.greatest((end + after) / 2, after - PADDING_SEC),
+            "_after": F.lead(start).over(by),
             "_first_opens": F.first(start).over(by.rowsBetween(Window.unboundedPreceding, 0)),
             "_ends": F.lead(F.lit(1)).over(by).isNull(),
         }
     )
+    if "place" in tokens.columns:
+        known = F.col("place").isNotNull()
+        told = {"token": F.col("place"), "_after": F.col("next_sec"), "_first_opens": F.col("first_sec"), "_ends": F.col("next_sec").isNull()}
+        timed = timed.withColumns({c: F.when(known, x).otherwise(F.col(c)) for c, x in told.items()})
     # the last token stays for now, boundary or not: behind it there is no row that it could change
-    rows = timed.where("kind is not null or _ends").withColumns(
+    timed = timed.where("kind is not null or _ends").withColumns(
+        {
+            "closes": F.when(after.isNull(), end).otherwise(F.least((end + after) / 2, end + PADDING_SEC)),
+            "_next_opens": F.greatest((end + after) / 2, after - PADDING_SEC),
+        }
+    )
+    rows = timed.withColumns(
         {
             "from_token": F.coalesce(F.lag("token").over(by) + 1, F.lit(0)),
             "from_opens": F.coalesce(F.lag("_next_opens").over(by), F.col("_first_opens")),
@@ -576,10 +590,10 @@ def plan_segments(tokens: DataFrame, strategy: str, shortest: float, longest: fl
     if "label" not in rows.columns:
         rows = rows.withColumn("label", F.lit("ok"))
     if strategy == "priority_silence_v3":
-        rows = rows.withColumn("both", beside(F.when(_kind("strong", "weak"), F.col("pause_ms")), source))
+        rows = beside(rows, source, both=F.when(_kind("strong", "weak"), F.col("pause_ms")))
     elif stats is None and "category" in rows.columns:
         counts = F.col("pause_ms") <= LONGEST_PAUSE_MS
-        rows = rows.withColumns({c: beside(F.when((F.col("category") == c) & counts, F.col("pause_ms")), source) for c in ("strong", "weak")})
+        rows = beside(rows, source, **{c: F.when((F.col("category") == c) & counts, F.col("pause_ms")) for c in ("strong", "weak")})
     else:
         if stats is None:
             stats = tokens.groupBy(source).agg(F.any_value("strong").alias("strong"), F.any_value("weak").alias("weak"))
