@@ -46,6 +46,11 @@ def pause_category(run: Column) -> Column:
     return F.when(first == "", "no_punc").when(first.rlike(_marks(STRONG_STOPS)), "strong").otherwise("weak")
 
 
+def ends_unmarked(word: Column) -> Column:
+    """No strong or weak mark in the run of punctuation that ends a word: its :func:`pause_category` is no_punc."""
+    return ~word.rlike(_marks(STRONG_STOPS + WEAK_STOPS) + r"\p{P}*$")
+
+
 def boundary_kind(run: Column) -> Column:
     """strong if any mark of a visible run is strong, else weak; null without a visible run."""
     return F.when(_blank(run), None).when(run.rlike(_marks(STRONG_STOPS)), "strong").otherwise("weak")

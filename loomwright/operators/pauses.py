@@ -52,6 +52,18 @@ def combined_quantiles(pauses: DataFrame, source: str = "source_id", category: s
     return found.select(source, "n", *_quantiles(F.col("n"), F.col("q")), (F.col("n") < FEWEST).alias("is_fallback"))
 
 
+def quantiles_of(values: Column) -> Column:
+    """The struct of the seven quantiles of a sorted array of pauses, as ``percentile`` interpolates them."""
+    n = F.size(values)
+
+    def at(point: float) -> Column:
+        x = (n - 1) * F.lit(point)
+        below, above = (F.try_element_at(values, f(x).cast("int") + 1) for f in (F.floor, F.ceil))
+        return F.when(below == above, below).otherwise((F.ceil(x) - x) * below + (x - F.floor(x)) * above)
+
+    return F.struct(*(F.when(n < FEWEST, F.lit(f)).otherwise(at(p)).alias(name) for name, p, f in zip(NAMES, POINTS, FALLBACK, strict=True)))
+
+
 def beside(rows: DataFrame, source: str = "source_id", **pauses: Column) -> DataFrame:
     """``rows`` with structs of the seven quantiles of a source's pauses (null ones do not count), on each of its rows: those meet sorted, no map of groups is kept.
 

@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomwright.functions.pointers import followed, sorted_groups
+from loomwright.functions.pointers import sorted_groups
 from loomwright.functions.tables import written
 from loomwright.operators.pauses import LONGEST_PAUSE_MS, beside
 from loomwright.sources.audio import decode, trim
@@ -38,7 +38,6 @@ OVERSHOOT_SEC = 8.0
 ANCHOR_SEC = (15.0, 30.0)
 STRATEGIES = ("legacy_dp", "priority_silence_v1", "priority_silence_v2", "priority_silence_v3", "dp_strategy_2", "llm_pause_priority_silence_v2")
 PLAN_FIELDS = "first_token long, last_token long, raw_sec double, trimmed_sec double, valid boolean, dropped boolean, phase string, kind string, pause_ms double, problem string"
-_ANCHOR_BIN = 31.0  # wider than the furthest anchor, so that an anchor is in a start's bin or the next
 
 
 # -- boundaries as rows ------------------------------------------------------
@@ -60,8 +59,11 @@ def boundary_rows(tokens: DataFrame, source: str = "source_id", keep: tuple[str,
     return _rows_of_all(tokens, source, keep).where("kind is not null")
 
 
-def _rows_of_all(tokens: DataFrame, source: str, keep: tuple[str, ...]) -> DataFrame:
-    """Boundary rows, and of each source that no boundary divides its last token, which has no kind."""
+def _rows_of_all(tokens: DataFrame, source: str, keep: tuple[str, ...], ends: bool = False) -> DataFrame:
+    """Boundary rows, and of each source that no boundary divides its last token, which has no kind; with ``ends`` the last token of every source that no boundary follows.
+
+    ``after`` is when the token behind starts, null behind the last.
+    """
     by = Window.partitionBy(source).orderBy("idx")
     start, end, after = F.col("start_sec"), F.col("end_sec"), F.col("_after")
     # windows are columns of their own first: Spark computes one anew for each place it is named in
@@ -93,7 +95,8 @@ def _rows_of_all(tokens: DataFrame, source: str, keep: tuple[str, ...]) -> DataF
         }
     )
     extra = [c for c in keep if c in tokens.columns]
-    return rows.where("kind is not null or row = 0").select(source, "row", "token", "from_token", "from_opens", "closes", "kind", F.col("pause_ms").cast("double").alias("pause_ms"), "n_tokens", *extra)
+    kept = rows if ends else rows.where("kind is not null or row = 0")
+    return kept.select(source, "row", "token", "from_token", "from_opens", "closes", after.cast("double").alias("after"), "kind", F.col("pause_ms").cast("double").alias("pause_ms"), "n_tokens", *extra)
 
 
 # -- rules of the strategies -------------------------------------------------
@@ -179,11 +182,15 @@ class Region:
 
     def __init__(self, columns: dict[str, list], a: int, z: int):
         self.columns, self.a, self.z, self.n = columns, a, z, z - a
-        self.from_opens, self.closes, self.pause_ms, self.flags = (columns[c][a:z] for c in ("from_opens", "closes", "pause_ms", "flags"))
+        self.from_opens, self.closes, self.pause_ms = (columns[c][a:z] for c in ("from_opens", "closes", "pause_ms"))
 
     def part(self, column: str) -> list:
         return self.columns[column][self.a : self.z]
 
+    @cached_property
+    def flags(self) -> list:
+        return self.part("flags")
+
     @cached_property
     def worth(self) -> list:
         return self.part("worth")
@@ -295,42 +302,53 @@ def by_phases(names: list[str], needs_inner: bool, worth: bool, leftover: bool =
     return solve
 
 
+#: What a path costs as one whole number, so that sums are compared field by field: lengths out of bounds, nearly so, bad cuts, fair cuts, ms off the middle.
+OFF, NEARLY, BAD, FAIR = (1 << b for b in (120, 96, 72, 48))
+
+
 def legacy_path(r: Region, bounds: Bounds) -> Found | None:
     """Between two anchors, the path with the fewest bad lengths and cuts; none may skip a must-cut. None where there is no path."""
-    quality, policy = r.part("quality"), r.part("policy")
-    rank = {"perfect": 0, "ok": 1}
-    target = (bounds.shortest + bounds.longest) / 2
-    best: list[tuple[tuple, int] | None] = []
+    grade, policy, opens, closes = r.part("grade"), r.part("policy"), r.from_opens, r.closes
+    shortest, longest, trim = bounds.shortest, bounds.longest, bounds.trim
+    target, furthest, least, most = (shortest + longest) / 2, longest + OVERSHOOT_SEC, max(0.0, shortest - SLACK_SEC), longest + SLACK_SEC
+    must, never, of_grade = POLICIES["must_cut"], POLICIES["no_cut"], (0, FAIR, BAD)
+    best: list[int | None] = []  # of a path that ends at each row; None where there is none
+    came: list[int] = []
     for j in range(r.n):
-        found = None
-        for i in range(j - 1, -2, -1) if policy[j] != "no_cut" else ():
-            if i + 1 < j and policy[i + 1] == "must_cut":
-                break  # a must-cut would be skipped
-            if i >= 0 and best[i] is None:
-                continue
-            raw, trimmed = bounds.lengths(r, i + 1, j)
-            if raw > bounds.longest + OVERSHOOT_SEC:
-                continue
-            fits = bounds.fits(trimmed)
-            nearly = bounds.fits(raw) or max(0.0, bounds.shortest - SLACK_SEC) <= trimmed <= bounds.longest + SLACK_SEC
-            cost = (not fits and not nearly, not fits and nearly, quality[j] not in rank, quality[j] == "ok", round(abs(trimmed - target) * 1000))
-            score = tuple(map(sum, zip(best[i][0] if i >= 0 else (0,) * 5, cost, strict=True)))
-            if found is None or score <= found[0]:  # towards earlier starts, so that the first of equals stays
-                found = (score, i)
-        best.append(found)
+        found, before = None, -1
+        if policy[j] != never:
+            end = closes[j]
+            for i in range(j - 1, -2, -1):
+                if i + 1 < j and policy[i + 1] == must:
+                    break  # a must-cut would be skipped
+                cost = best[i] if i >= 0 else 0
+                if cost is None:
+                    continue
+                length = end - opens[i + 1]
+                raw = max(0.0, length)
+                if raw > furthest:
+                    continue
+                trimmed = trim(opens[i + 1], end) if trim else length
+                cost += round(abs(trimmed - target) * 1000)
+                if not shortest <= trimmed <= longest:
+                    cost += NEARLY if shortest <= raw <= longest or least <= trimmed <= most else OFF
+                if found is None or cost <= found:  # towards earlier starts, so that the first of equals stays
+                    found, before = cost, i
+        best.append(None if found is None else found + of_grade[grade[j]])
+        came.append(before)
     if best[-1] is None:
         return None
     path, at = [], r.n - 1
     while at >= 0:
-        path.append(((best[at][1] + 1, at), "legacy_dp"))
-        at = best[at][1]
+        path.append(((came[at] + 1, at), "legacy_dp"))
+        at = came[at]
     return path[::-1]
 
 
 # -- regions dealt over tasks ------------------------------------------------
 
-_READ = ("region", "token", "from_token", "from_opens", "closes", "kind", "pause_ms", "flags", "worth", "spoils", "quality", "policy", "problem")
-_LISTED = ("from_opens", "closes", "pause_ms", "flags", "worth", "spoils", "quality", "policy")  # what solving reads
+_READ = ("region", "token", "from_token", "from_opens", "closes", "kind", "pause_ms", "flags", "worth", "spoils", "grade", "policy", "problem")
+_LISTED = ("from_opens", "closes", "pause_ms", "flags", "worth", "spoils", "grade", "policy")  # what solving reads
 
 
 def _listed(column: pa.ChunkedArray) -> list:
@@ -513,54 +531,115 @@ def _plan_v2(rows: DataFrame, rules: Rules, source: str, bounds: tuple[float, fl
     return first.unionByName(plan_regions(_flagged(rest, rules.phases[1:]), source, by_phases(names, False, False), *bounds, audio))
 
 
-def anchors(rows: DataFrame, source: str) -> DataFrame:
-    """``row, anchor``: for each row as the first of a window, the row that the window ends with.
+# How rows of windows from anchor to anchor are ranked: kinds that a window may stop at, qualities, policies.
+STOPS, GRADES, POLICIES = {"weak": 1, "strong": 2, "final": 3}, {"perfect": 0, "ok": 1}, {"must_cut": 0, "no_cut": 2}
+
 
-    Boundaries ahead meet a start by a join of neighbouring bins of time;
-    null where no cut lies within reach.
+def _code(column: str, codes: dict[str, int], other: int) -> Column:
+    return reduce(lambda when, x: when.when(F.col(column) == x[0], x[1]), codes.items(), F).otherwise(other)
+
+
+def anchor_of(first: int, n: int, ended: bool, x: dict[str, list]) -> int | None:
+    """The row that a window from the row ``first`` on ends with, of ``n`` rows in order; -1 where no cut lies within reach, None where rows behind them may count.
+
+    ``ended``: no rows of the source come behind them.
+    """
+    stop, policy, closes, after = x["stop"], x["policy"], x["closes"], x["after"]
+    opens, reach = x["from_opens"][first], ANCHOR_SEC[1] + 1e-6
+    near = []
+    for e in range(first, n):
+        if policy[e] != POLICIES["no_cut"] and closes[e] - opens <= reach:
+            near.append(e)
+        if after[e] - opens > reach:  # what comes behind closes later than that
+            break
+    else:
+        if not ended:
+            return None
+    if not near:
+        return -1
+    if stop[near[-1]] == STOPS["final"]:
+        return near[-1]
+    window = [e for e in near if closes[e] - opens >= ANCHOR_SEC[0]]
+    if not window:
+        return near[-1]
+    grade, pause, token = x["grade"], x["pause"], x["token"]
+    if stops := [e for e in window if stop[e] >= STOPS["strong"]] or [e for e in window if stop[e] == STOPS["weak"]]:
+        return min(stops, key=lambda e: (policy[e], grade[e], x["shortness"][e], token[e]))
+    return max(window, key=lambda e: (pause[e], -grade[e], -token[e]))
+
+
+_PLACED = ("token", "from_token", "from_opens", "closes", "kind", "pause_ms", "grade", "policy")
+
+
+def between_anchors(rows: DataFrame, source: str) -> DataFrame:
+    """Rows of :func:`_rows_of_all`, with ends, and the number of the window from anchor to anchor that each lies in as its ``region``.
+
+    One pass over a source's sorted rows, of which no more are held than lie
+    within an anchor's reach. A source keeps no rows behind a window without
+    an anchor, which is one row with the ``problem``. ``grade`` and
+    ``policy`` are by GRADES and POLICIES.
     """
-    start = rows.select(F.col(source).alias("_s"), F.col("row").alias("_row"), F.col("from_opens").alias("_opens"), F.floor(F.col("from_opens") / _ANCHOR_BIN).alias("_bin"))
-    bin_ = F.floor(F.col("closes") / _ANCHOR_BIN)
-    ends = rows.where("policy <> 'no_cut'").withColumn("_bin", F.explode(F.array(bin_ - 1, bin_)))
-    ends = ends.select(F.col(source).alias("_t"), "_bin", F.col("row").alias("_at"), "token", "closes", "kind", "pause_ms", "quality", "policy")
-    far = F.col("closes") - F.col("_opens")
-    on = F.col("_s").eqNullSafe(F.col("_t")) & (start["_bin"] == ends["_bin"])
-    near = start.join(ends, on).where((F.col("_at") >= F.col("_row")) & (far <= ANCHOR_SEC[1] + 1e-6))
-    rank = F.when(F.col("quality") == "perfect", 0).when(F.col("quality") == "ok", 1).otherwise(2)
-    order = F.struct((F.col("policy") != "must_cut").alias("a"), rank.alias("b"), (-F.bround("pause_ms")).alias("c"), F.col("token").alias("d"))
-    window = far >= ANCHOR_SEC[0]
-
-    def stop(*kinds: str) -> Column:
-        return F.min(F.when(window & F.col("kind").isin(*kinds), F.struct(order.alias("o"), F.col("_at"))))["_at"]
-
-    loudest = F.max(F.when(window, F.struct(F.col("pause_ms"), (-rank).alias("r"), (-F.col("token")).alias("t"), F.col("_at"))))["_at"]
-    last = F.max(F.struct("_at", "kind"))
-    chosen = F.when(last["kind"] == "final", last["_at"]).otherwise(F.coalesce(stop("strong", "final"), stop("weak"), loudest, last["_at"]))
-    found = near.groupBy("_s", "_row").agg(chosen.alias("anchor"))
-    both = start.select("_s", "_row").join(found.withColumnsRenamed({"_s": "_f", "_row": "_g"}), F.col("_s").eqNullSafe(F.col("_f")) & (F.col("_row") == F.col("_g")), "left")
-    return both.select(F.col("_s").alias(source), F.col("_row").alias("row"), "anchor")
+    by = Window.partitionBy(source).orderBy("row")
+    none = float("-inf")
+    coded = rows.withColumns(
+        {
+            "stop": _code("kind", STOPS, 0), "grade": _code("quality", GRADES, 2), "policy": F.when(F.col("kind").isNull(), POLICIES["no_cut"]).otherwise(_code("policy", POLICIES, 1)),
+            "after": F.coalesce("after", F.lit(float("inf"))), "pause": F.coalesce("pause_ms", F.lit(none)), "shortness": F.coalesce(-F.bround("pause_ms"), F.lit(none)),
+            "bare": F.col("kind").isNull() & (F.col("row") == 0), "opens_source": F.row_number().over(by) == 1,
+        }
+    ).select(source, *_PLACED, "stop", "after", "pause", "shortness", "bare", "opens_source")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        region, dead = 0, False
+
+        def placed(table: pa.Table, last: bool) -> tuple[pa.Table, pa.Table]:
+            """What is settled, and what waits for the rows behind it."""
+            nonlocal region, dead
+            table = table.combine_chunks()
+            x = {c: _listed(table[c]) for c in ("token", "from_opens", "closes", "grade", "policy", "stop", "after", "pause", "shortness")}
+            n, at = table.num_rows, 0
+            opening = set(np.flatnonzero(table["opens_source"].to_numpy()).tolist())
+            regions, spans, problems = [], [], {}
+            for a, z in itertools.pairwise(sorted({0, *opening, n})):
+                if a in opening:
+                    region, dead = 0, False
+                at, ended = a, last or z < n
+                while at < z and not dead:
+                    to = anchor_of(at, z, ended, x)
+                    if to is None:
+                        break
+                    dead = to < 0
+                    if dead:
+                        problems[len(spans)] = _BARE if table["bare"][at].as_py() else "unable to choose planning anchor"
+                    spans.append((at, at + 1 if dead else to + 1))
+                    regions.append(region)
+                    region, at = region + 1, spans[-1][1]
+            begin, end = np.array(spans, np.int64).reshape(-1, 2).T
+            size = end - begin
+            take = np.repeat(begin - np.cumsum(size) + size, size) + np.arange(size.sum())
+            done = table.select([source, *_PLACED]).take(pa.array(take))
+            done = done.append_column("region", pa.array(np.repeat(np.array(regions, np.int64), size)))
+            said = pa.array([problems.get(k) for k in range(len(spans))], pa.string()) if problems else pa.nulls(len(spans), pa.string())
+            return done.append_column("problem", said.take(pa.array(np.repeat(np.arange(len(spans)), size)))), table.slice(n if dead else at)
+
+        for batch in batches:
+            done, rest = placed(pa.Table.from_batches([*held, batch]), False)
+            held = rest.to_batches()
+            yield from done.to_batches()
+        if held:
+            yield from placed(pa.Table.from_batches(held), True)[0].to_batches()
+
+    fields = ", ".join(f"{c} {coded.schema[c].dataType.simpleString()}" for c in _PLACED)
+    return coded.mapInArrow(run, f"{source} {rows.schema[source].dataType.simpleString()}, {fields}, region long, problem string")
 
 
 def _plan_legacy(rows: DataFrame, source: str, bounds: tuple[float, float], audio: DataFrame | None) -> DataFrame:
-    """Windows from anchor to anchor: pointers from each start, the chain of a source's first one, then each window by itself; ``rows`` are a table."""
-    pointed = written(anchors(rows, source).withColumn("next", F.col("anchor") + 1))
-    used = followed(pointed, source, "row", "next")
-    used = used.join(pointed.drop("next").withColumnsRenamed({source: "_s", "row": "_row"}), F.col(source).eqNullSafe(F.col("_s")) & (F.col("row") == F.col("_row")))
-    used = used.select(F.col(source).alias("_s"), F.col("row").alias("_row"), F.col("anchor"), F.lit(True).alias("_opens"))
-    by = Window.partitionBy(source).orderBy("row")
-    placed = rows.join(used, F.col(source).eqNullSafe(F.col("_s")) & (F.col("row") == F.col("_row")), "left").drop("_s", "_row")
-    placed = placed.withColumn("region", F.sum(F.coalesce(F.col("_opens").cast("long"), F.lit(0))).over(by) - 1)
-    stuck = F.col("_opens") & F.col("anchor").isNull()
-    placed = placed.withColumn("problem", F.when(stuck, F.lit("unable to choose planning anchor"))).withColumn("flags", F.lit(0))
-    # behind a window without an anchor there is no row that opens another
-    placed = placed.withColumn("_dead", F.max(F.coalesce(stuck, F.lit(False))).over(by))
-    found = written(plan_regions(placed.where(~F.col("_dead") | F.col("problem").isNotNull()), source, legacy_path, *bounds, audio))
-    ends = rows.groupBy(source).agg(F.max("token").alias("_last"), F.max("n_tokens").alias("_n")).where("_last + 1 < _n")
-    plan_ends = found.groupBy(source).agg(F.max("region").alias("region"), F.max("problem").alias("_p")).where("_p is null")
-    cut_off = plan_ends.join(ends.withColumnRenamed(source, "_e"), F.col(source).eqNullSafe(F.col("_e")))
-    late = _problem(cut_off.withColumn("region", F.col("region") + 1), source, "unable to choose planning anchor", "region")
+    """Windows from anchor to anchor, then each window by itself; what lies behind the first one of a source that has no plan is left out."""
+    placed = between_anchors(rows, source)
+    found = written(plan_regions(placed if audio is None else written(placed), source, legacy_path, *bounds, audio))
     failed = found.where("problem is not null").groupBy(F.col(source).alias("_s")).agg(F.min("region").alias("_at"))
-    return found.join(failed, F.col(source).eqNullSafe(F.col("_s")), "left").where("_at is null or region <= _at").drop("_s", "_at").unionByName(late)
+    return found.join(failed, F.col(source).eqNullSafe(F.col("_s")), "left").where("_at is null or region <= _at").drop("_s", "_at")
 
 
 def plan_segments(tokens: DataFrame, strategy: str, shortest: float, longest: float, source: str = "source_id", audio: DataFrame | None = None, stats: DataFrame | None = None) -> DataFrame:
@@ -579,14 +658,13 @@ def plan_segments(tokens: DataFrame, strategy: str, shortest: float, longest: fl
     if strategy not in STRATEGIES:
         return _problem(tokens.select(source).distinct(), source, f"unknown rough cut strategy: {strategy}")
     bounds = (shortest, longest)
-    rows = _rows_of_all(tokens, source, ("quality", "policy") if strategy == "legacy_dp" else ("label", "category"))
-    if strategy == "legacy_dp":
+    legacy = strategy == "legacy_dp"
+    rows = _rows_of_all(tokens, source, ("quality", "policy") if legacy else ("label", "category"), legacy)
+    if legacy:
         for c, d in (("quality", "bad"), ("policy", "normal")):
             if c not in rows.columns:
                 rows = rows.withColumn(c, F.lit(d))
-        rows = written(rows)
-        planned = _plan_legacy(rows.where("kind is not null"), source, bounds, audio)
-        return planned.drop("region").unionByName(_problem(rows.where("kind is null"), source, _BARE))
+        return _plan_legacy(rows, source, bounds, audio).drop("region")
     if "label" not in rows.columns:
         rows = rows.withColumn("label", F.lit("ok"))
     if strategy == "priority_silence_v3":
