@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomwright.functions.tables import shared_dir, sorted_sides, with_rank, written
+from loomwright.functions.tables import shared_dir, sorted_sides, spread, with_rank, written
 from loomwright.operators import models, reports, signal
 from loomwright.plans.catalogue import query, rounded, table
 from loomwright.sources import audio, files, manifests
@@ -234,7 +234,7 @@ def transcribed_recordings(spark, sf_dir):
 # -- files ---------------------------------------------------------------
 
 
-def _heard(rows: DataFrame) -> DataFrame:
+def _heard(rows: DataFrame | audio.Made) -> DataFrame:
     """Samples, their sum and the loudest of each file, as whole numbers."""
     whole = lambda x: np.rint(x.astype(np.float64) * 32768).astype(np.int64)
     return signal.per_file(rows, "rate long, n_samples long, total long, loudest long", lambda x, r: [(r, len(x), int(whole(x).sum()), int(np.abs(whole(x)).max(initial=0)))])
@@ -245,12 +245,18 @@ def _heard(rows: DataFrame) -> DataFrame:
   SELECT page_id || '_' || voice AS stem, 1000 AS rate, 44 + 2 * count(*) AS n_bytes, count(*) AS n_samples, sum(v)::BIGINT AS total, max(abs(v)) AS loudest FROM a GROUP BY page_id, voice
   UNION ALL SELECT page_id || '_' || unnest(['s1', 's2']), 1000, 44, 0, 0, 0 FROM pages WHERE coalesce(length(html), 0) = 0""")
 def voice_files(spark, sf_dir):
-    """Two voices of each recorded page, written as files, found again by a scan of their folder and decoded."""
+    """Two voices of each recorded page, written as files, found again by a scan of their folders and decoded.
+
+    Tasks list the folders and open the files that they decode: the driver
+    holds no list of files, and only paths are moved.
+    """
     pages = heard(spark, sf_dir, False, "pages", "page_id", "html")
     folder = new_folder(spark, "voices")
-    files.write_files(files.enhanced_files(signal.separated_files(pages, above_and_below, RATE)), folder)
-    found = audio.scan(spark, folder, ("WAV",))
-    return _heard(found).join(found.select("stem", F.col("length").alias("n_bytes")), "stem").select("stem", "rate", "n_bytes", "n_samples", "total", "loudest")
+    files.write_files(files.in_folders(files.enhanced_files(signal.separated_files(pages, above_and_below, RATE))), folder)
+    found = audio.named(files.listed(spark, folder), ("WAV",))
+    opened = audio.Made(spread(found.select("stem", F.col("path").alias("of")), "of"), partial(files.content_of, root=folder))
+    lengths = found.select("stem", F.col("length").alias("n_bytes"))
+    return _heard(opened).join(sorted_sides(lengths), "stem").select("stem", "rate", "n_bytes", "n_samples", "total", "loudest")
 
 
 @query("""WITH g AS (SELECT doc_id, text, unnest(range(0, (length(text) + 999) // 1000)) AS k FROM documents),

@@ -3,7 +3,8 @@
 ``spark.dataSource.register(RowFiles)`` makes it known; ``write_files`` does
 so. A file is written under a temporary name and renamed once it is whole, so
 that tasks that are killed, repeated or run twice leave whole files only, and
-no list of files passes the driver. Any file system that pyarrow knows will do.
+no list of files passes the driver: ``listed`` finds them again in tasks. Any
+file system that pyarrow knows will do.
 """
 
 from __future__ import annotations
@@ -11,14 +12,28 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache, reduce
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 from pyspark.sql.types import Row, StructType
 
+from loomwright.functions.tables import spread, written
 from loomwright.functions.text import safe_stem
 
+#: Folders that many files are dealt over, and entries of a folder that a task hands on at once.
+FOLDERS, MOST_ENTRIES = 4096, 10_000
+
+
+@lru_cache(maxsize=16)
+def _system(root: str):
+    """The file system of a folder, and its path there."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(root) if "://" in root or root.startswith("file:") else (fs.LocalFileSystem(), root)
+
 
 @dataclass
 class Written(WriterCommitMessage):
@@ -43,9 +58,7 @@ class _Writer(DataSourceWriter):
         self.root, self.staging, self.overwrite = root, f"_temporary-{job}", overwrite
 
     def _files(self):
-        from pyarrow import fs
-
-        return fs.FileSystem.from_uri(self.root) if "://" in self.root or self.root.startswith("file:") else (fs.LocalFileSystem(), self.root)
+        return _system(self.root)
 
     def write(self, rows: Iterator[Row]) -> Written:
         files, root = self._files()
@@ -109,6 +122,47 @@ def _there(rows: DataFrame, root: str) -> str | None:
     return found[0]["path"] if found else None
 
 
+def in_folders(files: DataFrame) -> DataFrame:
+    """``files`` with their ``path`` in one of FOLDERS folders, by a hash of it: none has more files than a task can list, and equal paths stay equal."""
+    folder = F.lpad(F.lower(F.hex(F.pmod(F.xxhash64("path"), F.lit(FOLDERS)))), len(f"{FOLDERS - 1:x}"), "0")
+    return files.withColumn("path", F.concat_ws("/", folder, "path"))
+
+
+def listed(spark: SparkSession, root: str) -> DataFrame:
+    """``path`` (relative) and ``length`` of the files under ``root``, but for names with ``_`` or ``.`` in front, as Spark's readers skip them.
+
+    A folder is listed in a task, all of one depth at once, so the driver
+    holds neither files nor folders.
+    """
+
+    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        files, top = _system(root)
+        for batch in batches:
+            for folder in batch.column("folder").to_pylist():
+                found = files.get_file_info(fs.FileSelector(f"{top}/{folder}".rstrip("/")))
+                kept = [x for x in found if x.base_name[:1] not in ("_", ".")]
+                for k in range(0, len(kept), MOST_ENTRIES):
+                    some = kept[k : k + MOST_ENTRIES]
+                    paths = pa.array([f"{folder}/{x.base_name}".lstrip("/") for x in some], pa.string())
+                    yield pa.record_batch([paths, pa.array([x.size if x.is_file else None for x in some], pa.int64())], ["path", "length"])
+
+    folders, found = spark.range(1).select(F.lit("").alias("folder")), []
+    while not found or not folders.isEmpty():
+        here = written(spread(folders, "folder").mapInArrow(entries, "path string, length long"))
+        found.append(here.where("length is not null"))
+        folders = here.where("length is null").select(F.col("path").alias("folder"))
+    return reduce(DataFrame.union, found)
+
+
+def content_of(path: str, root: str) -> bytes:
+    """What the file at a relative path under ``root`` holds."""
+    files, top = _system(root)
+    with files.open_input_stream(f"{top}/{path}") as f:
+        return f.read()
+
+
 def _utf8(text: Column) -> Column:
     return F.encode(F.coalesce(text, F.lit("")), "UTF-8")
 
